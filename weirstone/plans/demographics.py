@@ -84,17 +84,17 @@ def state_table(users: DataFrame) -> DataFrame:
 
 
 def demographic_tables(users: DataFrame, as_of: dt.date) -> DataFrame:
-    """Both tables in one pass: (issuer, table, sort_key, label, user_count).
+    """Both tables in one pass: (issuer, table_name, sort_key, label, user_count).
 
     Each user row becomes at most two labelled rows, and one aggregation counts them all.
     """
     age = F.lit(as_of.year) - F.col("birth_year")
     start = (F.floor(age / AGE_WIDTH) * AGE_WIDTH).cast("int")
     age_cell = F.struct(
-        F.lit("age_metrics").alias("table"), start.alias("sort_key"), bin_label(age, AGE_WIDTH).alias("label")
+        F.lit("age_metrics").alias("table_name"), start.alias("sort_key"), bin_label(age, AGE_WIDTH).alias("label")
     )
     state_cell = F.struct(
-        F.lit("state_metrics").alias("table"), F.lit(0).alias("sort_key"), F.upper("state").alias("label")
+        F.lit("state_metrics").alias("table_name"), F.lit(0).alias("sort_key"), F.upper("state").alias("label")
     )
     cells = F.array_compact(
         F.array(
@@ -103,7 +103,7 @@ def demographic_tables(users: DataFrame, as_of: dt.date) -> DataFrame:
         )
     )
     labelled = users.select("issuer", F.explode(cells).alias("c")).select("issuer", "c.*")
-    return labelled.groupBy("issuer", "table", "sort_key", "label").agg(F.count(F.lit(1)).alias("user_count"))
+    return labelled.groupBy("issuer", "table_name", "sort_key", "label").agg(F.count(F.lit(1)).alias("user_count"))
 
 
 def overview_table(issuers: DataFrame, start: dt.datetime, next_start: dt.datetime, as_of: dt.date) -> DataFrame:

@@ -18,6 +18,9 @@ def watched_login_stream(
     minutes: int = LOGIN_MINUTES,
     every: int = 5,
 ) -> DataFrame:
-    """(window_start, window_end, user_name, logins), each window once it has closed."""
-    logins = stream.withWatermark("record_time", delay).filter(F.col("event") == event)
+    """(window_start, window_end, user_name, logins), each window once it has closed.
+
+    The watermark follows the login events themselves.
+    """
+    logins = stream.filter(F.col("event") == event).withWatermark("record_time", delay)
     return watched_login_windows(logins, users, minutes, every)
