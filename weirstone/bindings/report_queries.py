@@ -46,7 +46,7 @@ SQL_AGE = "(2024 - birth_year)"
 def demographics_bins(t: Tables) -> DataFrame:
     """Two filtered distinct cohorts, a semi join, a histogram."""
     events = in_period(t.events, "ts", dt.datetime(2024, 1, 5), dt.datetime(2024, 1, 25))
-    cohort = demographics.redirect_cohort(events.filter("event_type = 'signup'"), k() > 50, ["user_id"])
+    cohort = events.filter((F.col("event_type") == "signup") & (k() > 50)).select("user_id").distinct()
     seen = events.filter("event_type = 'purchase'").select("user_id", k().alias("n")).distinct()
     return bin_counts(seen.join(cohort, "user_id", "left_semi"), F.col("n"), 10, 0, 140)
 

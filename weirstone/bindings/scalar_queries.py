@@ -252,9 +252,9 @@ def profile_scopes(t: Tables) -> DataFrame:
 """)
 def json_predicates(t: Tables) -> DataFrame:
     named = t.events.filter(F.col("event_type").isin("signup", "purchase"))
-    document = jsonpath.parsed(F.col("props"))
-    missing = filters.json_equals(document, "no.such.path", True)
-    return named.filter(filters.json_equals(document, "k", 7) & ~missing).select("event_id")
+    documents = jsonpath.with_document(named, F.col("props"), ["k", "no.such.path"])
+    missing = jsonpath.field_equals("no.such.path", True)
+    return documents.filter(jsonpath.field_equals("k", 7) & ~missing).select("event_id")
 
 
 @query("""

@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+DOCUMENT = "__document"
+
 
 def parsed(text: Column) -> Column:
     """Parse JSON text once; reuse the result for every path of the row."""
@@ -16,6 +20,59 @@ def value_at(document: Column, path: str, type_name: str = "string") -> Column:
     return F.try_variant_get(document, f"$.{path}", type_name)
 
 
+def once(df: DataFrame, **columns: Column) -> DataFrame:
+    """Add columns that are computed exactly once per row.
+
+    Filters on a projected expression are pushed below the projection, where the expression is
+    evaluated a second time. Filters on generated columns are not; for expressions as costly as
+    parsing or decrypting a whole message that is worth a one-element ``inline``.
+    """
+    fields = F.struct(*[value.alias(name) for name, value in columns.items()])
+    return df.select("*", F.inline(F.array(fields)))
+
+
+def with_document(df: DataFrame, text: Column, paths: Sequence[str]) -> DataFrame:
+    """Parse JSON text once per row, reading only the dotted ``paths``; ``field`` gets the values.
+
+    Values are read as text. Text that is no JSON has no values.
+    """
+    document = F.from_json(text, document_schema(paths), {"allowSingleQuotes": "false"})
+    return once(df, **{DOCUMENT: document})
+
+
+def document_schema(paths: Sequence[str]) -> str:
+    """DDL of the nested structs that hold the paths, every leaf a string."""
+    tree: dict = {}
+    for path in paths:
+        node = tree
+        *parents, leaf = path.split(".")
+        for part in parents:
+            node = node.setdefault(part, {})
+            if node is None:
+                raise ValueError(f"{path} lies below another listed path")
+        if node.setdefault(leaf, None) is not None:
+            raise ValueError(f"{path} holds another listed path")
+
+    def ddl(node: dict) -> str:
+        return ",".join(f"`{k}`:{'string' if v is None else f'struct<{ddl(v)}>'}" for k, v in node.items())
+
+    return f"struct<{ddl(tree)}>"
+
+
+def field(path: str, type_name: str = "string") -> Column:
+    """Typed value of a path named in ``with_document``; NULL where the text does not fit the type."""
+    column = F.col(DOCUMENT)
+    for part in path.split("."):
+        column = column.getField(part)
+    return column if type_name == "string" else column.try_cast(type_name)
+
+
+def field_equals(path: str, value: int | bool | str) -> Column:
+    """Typed comparison with a value of the document; missing or wrong-typed does not match."""
+    type_name = {bool: "boolean", int: "int", str: "string"}[type(value)]
+    return F.coalesce(field(path, type_name) == F.lit(value), F.lit(False))
+
+
 def can_json_parse(text: Column) -> Column:
     """True for well-formed JSON, false otherwise, NULL for NULL."""
     return F.when(text.isNotNull(), parsed(text).isNotNull())

@@ -11,10 +11,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from weirstone.functions.dates import epoch_seconds
-from weirstone.functions.jsonpath import first_value_or_self, parsed, value_at
+from weirstone.functions.jsonpath import can_json_parse, once
 
 Decryptor = Callable[[Column], Column]
 
+# Fields lifted out of the payload.
+LIFTED = "user_id string,user_uuid string,occurred_at string"
+
 EVENT_SCHEMA = T.StructType(
     [
         T.StructField("event_key", T.StringType()),
@@ -45,23 +48,25 @@ def aes_gcm(key: Column) -> Decryptor:
 def decrypt_events(df: DataFrame, decryptor: Decryptor, as_of: dt.datetime) -> Decrypted:
     """(decrypted events, rows that could not be decrypted or are no JSON).
 
+    Fields come from the first entry of ``events`` whatever its key, else from the document.
+
     A row-wise projection without a batch size; failures are data, they are neither retried in
     a loop nor lost. ``decryptor`` maps the message column to text: ``aes_gcm`` in the JVM, or
     a caller's ``pandas_udf`` for key-wrapped tokens.
     """
-    plain = df.withColumn("__text", decryptor(F.col("message")))
-    payload = parsed(first_value_or_self(F.col("__text")))
-    read = plain.withColumn("__doc", parsed(F.col("__text"))).withColumn("__payload", payload)
-    good = F.col("__doc").isNotNull()
-    ok = read.filter(good).select(
+    plain = once(df, __text=decryptor(F.col("message")))
+    good = F.coalesce(can_json_parse(F.col("__text")), F.lit(False))
+    lifted = F.from_json(F.col("__text"), f"{LIFTED},events map<string,struct<{LIFTED}>>")
+    payload = F.coalesce(F.get(F.map_values("__doc.events"), F.lit(0)), F.struct("__doc.user_id", "__doc.user_uuid", "__doc.occurred_at"))
+    ok = once(plain.filter(good), __doc=lifted).withColumn("__payload", payload).select(
         "event_key",
         F.col("__text").alias("message"),
-        value_at(F.col("__payload"), "user_id", "bigint").alias("user_id"),
-        value_at(F.col("__payload"), "user_uuid").alias("user_uuid"),
-        epoch_seconds(value_at(F.col("__payload"), "occurred_at", "double")).alias("event_timestamp"),
+        F.col("__payload.user_id").try_cast("bigint").alias("user_id"),
+        F.col("__payload.user_uuid").alias("user_uuid"),
+        epoch_seconds(F.col("__payload.occurred_at").try_cast("double")).alias("event_timestamp"),
         F.lit(as_of).cast("timestamp").alias("dw_created_at"),
     )
-    return Decrypted(ok, read.filter(~good).select(*df.columns))
+    return Decrypted(ok, plain.filter(~good).select(*df.columns))
 
 
 def register_decryptor(spark: SparkSession, function: Callable[[str, int], str | None], name: str = "decrypt_udf") -> None:

@@ -8,7 +8,7 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weirstone.functions.jsonpath import parsed, value_at
+from weirstone.functions.jsonpath import field, with_document
 
 
 class JsonColumn(NamedTuple):
@@ -88,6 +88,5 @@ def extract_columns(
     keep: Sequence[str] = ("message", "cloudwatch_timestamp"),
 ) -> DataFrame:
     """``keep`` first, then one typed column per entry; the message is parsed once per row."""
-    document = F.col("__document")
-    fields = [value_at(document, c.path, c.type).alias(c.column) for c in spec]
-    return df.withColumn("__document", parsed(F.col(message))).select(*keep, *fields)
+    document = with_document(df, F.col(message), [c.path for c in spec])
+    return document.select(*keep, *[field(c.path, c.type).alias(c.column) for c in spec])

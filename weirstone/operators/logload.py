@@ -36,12 +36,16 @@ def load_logs(raw: DataFrame, target: DataFrame, spec: Sequence[JsonColumn], key
     Every raw row with a key is merged (or superseded by a later one), so what remains is the
     rows without a usable key. They do not stop the load of the others.
     """
-    remaining = rejected_logs(raw, spec, key)
-    return LogLoad(upsert(target, latest_logs(raw, spec, key), [key]), remaining)
+    changed = extract_columns(raw, _key_only(spec, key), keep=())
+    merged = upsert(target, latest_logs(raw, spec, key), [key], changed.filter(F.col(key).isNotNull()))
+    return LogLoad(merged, rejected_logs(raw, spec, key))
 
 
 def rejected_logs(raw: DataFrame, spec: Sequence[JsonColumn], key: str) -> DataFrame:
     """Raw rows whose message has no key or is no JSON."""
-    only_key = [c for c in spec if c.column == key]
-    keyed = extract_columns(raw, [JsonColumn("__key", only_key[0].path)], keep=raw.columns)
-    return split_null_keys(keyed, ["__key"])[1].drop("__key")
+    keyed = extract_columns(raw, _key_only(spec, key), keep=raw.columns)
+    return split_null_keys(keyed, [key])[1].drop(key)
+
+
+def _key_only(spec: Sequence[JsonColumn], key: str) -> list[JsonColumn]:
+    return [c for c in spec if c.column == key]

@@ -52,7 +52,7 @@ def sync_table(
     if target is None:
         return latest
     if set(target.columns) <= set(rows.columns):
-        return upsert(target, latest, keys)
+        return upsert(target, latest, keys, rows)
     # The copy has columns the source lost: matched rows keep them.
     added = {c: F.lit(None).cast(rows.schema[c].dataType) for c in missing_columns(rows, target)}
     return upsert_partial(target.withColumns(added), latest, keys, rows.columns)

@@ -30,9 +30,14 @@ def with_matches(target: DataFrame, updates: DataFrame, keys: Sequence[str]) ->
     return target.alias("t").join(updates.select(*keys).alias("u"), same_key("t", "u", keys), "left_semi")
 
 
-def upsert(target: DataFrame, updates: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Replace matched rows, insert the others. Columns new in ``updates`` are added."""
-    return without_matches(target, updates, keys).unionByName(updates, allowMissingColumns=True)
+def upsert(target: DataFrame, updates: DataFrame, keys: Sequence[str], changed: DataFrame | None = None) -> DataFrame:
+    """Replace matched rows, insert the others. Columns new in ``updates`` are added.
+
+    ``changed`` may hold the keys of ``updates`` more cheaply (with repeats, before the dedup),
+    so that finding the matches does not repeat the dedup.
+    """
+    keep = without_matches(target, updates if changed is None else changed, keys)
+    return keep.unionByName(updates, allowMissingColumns=True)
 
 
 def upsert_partial(

@@ -4,13 +4,13 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from weirstone.functions.dates import quarter_label
-from weirstone.functions.jsonpath import parsed, value_at
+from weirstone.functions.jsonpath import field, field_equals, with_document
 from weirstone.functions.text import is_blank
-from weirstone.operators.filters import in_period, json_equals
+from weirstone.operators.filters import in_period
 from weirstone.operators.metrics import bin_counts, bin_label, bin_quality, category_counts
 
 # Event names, JSON paths, age limits, definition texts.
@@ -36,35 +36,40 @@ DEFINITIONS = [
 ]
 
 
-def redirect_cohort(events: DataFrame, requested: Column, by: list[str]) -> DataFrame:
-    """Distinct keys of the events that satisfy ``requested``."""
-    return events.filter(requested).select(*by).distinct()
-
-
 def verified_users(
     events: DataFrame, start: dt.datetime, next_start: dt.datetime, issuers: DataFrame | None = None
 ) -> DataFrame:
     """(issuer, user_id, birth_year, state) of users who were redirected and passed proofing.
 
-    One pass for all issuers. Each cohort reads only its own event name, and is reduced to
-    distinct keys on the map side before the semi join, so a large issuer is never one task.
+    One scan for all issuers, in which every message is parsed once: both cohorts are marked on
+    the rows and reduced to distinct rows on the map side. What is shuffled by user after that
+    is one row per distinct value, so neither a large issuer nor a busy user is a large task.
     A user with two birth years or states counts once for each, as reports have always shown.
     """
     base = in_period(events, "cloudwatch_timestamp", start, next_start).withColumnRenamed("service_provider", "issuer")
+    base = base.filter(F.col("name").isin(REDIRECT_EVENT, PROOFING_EVENT) & F.col("user_id").isNotNull())
     if issuers is not None:
         base = base.join(issuers.select("issuer").distinct(), "issuer", "left_semi")
-    document = parsed(F.col("message"))
-    redirects = base.filter(F.col("name") == REDIRECT_EVENT).withColumn("doc", document)
-    requested = json_equals(F.col("doc"), IAL_PATH, 2) & json_equals(F.col("doc"), FACIAL_MATCH_PATH, True)
-    proofed = base.filter(F.col("name") == PROOFING_EVENT).withColumn("doc", document)
-    details = proofed.filter(json_equals(F.col("doc"), SUCCESS_PATH, True)).select(
+    redirected = (
+        (F.col("name") == REDIRECT_EVENT) & field_equals(IAL_PATH, 2) & field_equals(FACIAL_MATCH_PATH, True)
+    )
+    proofed = (F.col("name") == PROOFING_EVENT) & field_equals(SUCCESS_PATH, True)
+    documents = with_document(
+        base, F.col("message"), [IAL_PATH, FACIAL_MATCH_PATH, SUCCESS_PATH, BIRTH_YEAR_PATH, STATE_PATH]
+    )
+    distinct = documents.select(
         "issuer",
         "user_id",
-        value_at(F.col("doc"), BIRTH_YEAR_PATH, "int").alias("birth_year"),
-        F.upper(value_at(F.col("doc"), STATE_PATH)).alias("state"),
-    )
-    return details.distinct().join(
-        redirect_cohort(redirects, requested, ["issuer", "user_id"]), ["issuer", "user_id"], "left_semi"
+        redirected.alias("redirected"),
+        proofed.alias("proofed"),
+        F.when(proofed, field(BIRTH_YEAR_PATH, "int")).alias("birth_year"),
+        F.when(proofed, F.upper(field(STATE_PATH))).alias("state"),
+    ).filter(F.col("redirected") | F.col("proofed")).distinct()
+    was_redirected = F.max("redirected").over(Window.partitionBy("issuer", "user_id"))
+    return (
+        distinct.withColumn("redirected", was_redirected)
+        .filter(F.col("redirected") & F.col("proofed"))
+        .select("issuer", "user_id", "birth_year", "state")
     )
 
 

@@ -7,6 +7,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from weirstone.functions.dates import micros
 from weirstone.operators.filters import active, in_period
 from weirstone.operators.metrics import mean_days, metric_text
 
@@ -42,40 +43,40 @@ def fraud_metrics(
 ) -> DataFrame:
     """(report, Metric, Total, Range Start, Range End), six rows.
 
-    The events are read once per use of the flags; users and profiles are joined to the flags
-    by key, never through a list of ids. A user with several active profiles counts once for
-    each of them in the proofing time. A mean over nothing is ``n/a``.
+    One scan of each table and one final aggregation: users are flagged per cohort, then joined
+    by key (never through a list of ids) to their dates and to their active profiles, which are
+    summed per user first. A user with several active profiles counts once for each of them in
+    the proofing time. ``uuid`` identifies a user. A mean over nothing is ``n/a``.
     """
     flags = user_flags(in_period(events, "cloudwatch_timestamp", start, next_start), COHORTS)
-    counts = flags.agg(
-        F.count_if("review").alias("a"), F.count_if("suspended").alias("b"), F.count_if("reinstated").alias("c")
-    ).select(
-        _cells(
-            ("Unique users seeing LG-99", F.col("a")),
-            ("Unique users suspended", F.col("b")),
-            ("Unique users reinstated", F.col("c")),
-        )
-    )
-    moved = flags.filter(F.col("suspended") | F.col("reinstated")).drop("review")
-    people = users.select(
+    dates = users.select(
         F.col("uuid").alias("user_id"), F.col("id").alias("__id"), "created_at", "suspended_at", "reinstated_at"
-    ).join(moved, "user_id")
+    )
+    activated = micros(F.col("activated_at")).cast("decimal(20,0)")
+    proofs = (
+        active(profiles)
+        .filter(F.col("activated_at").isNotNull())
+        .groupBy(F.col("user_id").alias("__id"))
+        .agg(F.count(F.lit(1)).alias("proofs"), F.sum(activated).alias("activated_sum"))
+    )
+    people = flags.join(dates, "user_id", "left").join(proofs, "__id", "left")
 
     def when(flag: str, column: str) -> Column:
         return F.when(F.col(flag), F.col(column))
 
-    spans = people.agg(
-        mean_days(when("suspended", "created_at"), F.col("suspended_at")).alias("a"),
-        mean_days(when("reinstated", "suspended_at"), F.col("reinstated_at")).alias("b"),
-    ).select(_cells(("Average Days Creation to Suspension", F.col("a")), ("Average Days to Reinstatement", F.col("b"))))
-    proofed = (
-        active(profiles)
-        .select(F.col("user_id").alias("__id"), "activated_at")
-        .join(people.filter("suspended").select("__id", "suspended_at"), "__id")
-        .agg(mean_days(F.col("activated_at"), F.col("suspended_at")).alias("a"))
-        .select(_cells(("Average Days Proofed to Suspension", F.col("a"))))
+    counted = F.col("suspended") & F.col("suspended_at").isNotNull()
+    proof_span = F.col("proofs") * micros(F.col("suspended_at")).cast("decimal(20,0)") - F.col("activated_sum")
+    proof_days = F.sum(F.when(counted, proof_span)).cast("double") / F.sum(F.when(counted, F.col("proofs")))
+    metrics = people.agg(
+        F.count_if("review").alias("review"),
+        F.count_if("suspended").alias("suspended"),
+        mean_days(when("suspended", "created_at"), F.col("suspended_at")).alias("to_suspension"),
+        F.round(proof_days / F.lit(86400e6), 1).alias("proofed_to_suspension"),
+        F.count_if("reinstated").alias("reinstated"),
+        mean_days(when("reinstated", "suspended_at"), F.col("reinstated_at")).alias("to_reinstatement"),
     )
-    return _report(counts.unionByName(spans).unionByName(proofed), start, next_start)
+    rows = metrics.select(_cells(*zip(METRICS, map(F.col, metrics.columns))))
+    return _report(rows, start, next_start)
 
 
 def _cells(*cells: tuple[str, Column]) -> Column:
