@@ -13,15 +13,21 @@ ROLE_OF_GROUP = {"BUILDING": "reader", "AUTOMOBILE": "author", "MACHINERY": "adm
 PRIORITY = {"reader": 1, "author": 2, "admin": 3}
 
 
+ALL_SEGMENTS = [*SEGMENTS, "HOUSEHOLD", "FURNITURE"]
+
+
 def people(t: Tables) -> DataFrame:
     """Nations are e-mail addresses, customers users; the groups of a user are the segments in
-    which their nation has a customer of the same balance sign."""
-    sign = (F.col("c_acctbal") > 9000).alias("rich")
-    groups = t.customer.groupBy("c_nationkey", sign).agg(F.collect_set("c_mktsegment").alias("segments"))
-    return t.customer.select("c_custkey", "c_name", "c_nationkey", sign, "c_mktsegment").join(groups, ["c_nationkey", "rich"]).select(
-        F.col("c_name").alias("username"), "c_custkey",
-        F.concat(F.lit("n"), "c_nationkey", F.lit("@example.gov")).alias("email"),
-        F.transform("segments", lambda s: F.when(s == "FURNITURE", "FURNITUREnonprod").otherwise(s)).alias("groups"),
+    which their nation has a customer of the same balance class."""
+    rich = (F.col("c_acctbal") > 9000).alias("rich")
+    has = [F.max(F.col("c_mktsegment") == s).alias(s) for s in ALL_SEGMENTS]
+    group = {s: "FURNITUREnonprod" if s == "FURNITURE" else s for s in ALL_SEGMENTS}
+    groups = t.customer.groupBy("c_nationkey", rich).agg(*has).select(
+        "c_nationkey", "rich", F.array_compact(F.array(*[F.when(F.col(s), g) for s, g in group.items()])).alias("groups")
+    )
+    users = t.customer.select("c_custkey", F.col("c_name").alias("username"), "c_nationkey", rich)
+    return users.join(groups, ["c_nationkey", "rich"]).select(
+        "username", "c_custkey", F.concat(F.lit("n"), "c_nationkey", F.lit("@example.gov")).alias("email"), "groups"
     )
 
 
@@ -58,14 +64,16 @@ def canonical_users(t: Tables) -> DataFrame:
 
 
 @query("""
-    SELECT n_name AS group_name, c_custkey AS user_id, c_name AS user_name
-    FROM customer JOIN nation ON c_nationkey = n_nationkey
+    SELECT 'order ' || o_orderkey AS group_name, c_custkey AS user_id, c_name AS user_name
+    FROM customer JOIN orders ON c_custkey IN (o_custkey, o_orderkey)
 """)
 def group_members(t: Tables) -> DataFrame:
     """Groups hold their members as arrays of ids."""
-    users = t.customer.select(F.col("c_custkey").alias("user_id"), F.col("c_name").alias("user_name"), "c_nationkey")
-    ids = users.groupBy("c_nationkey").agg(F.collect_list("user_id").alias("member_ids"))
-    groups = ids.join(t.nation, F.col("c_nationkey") == F.col("n_nationkey")).select(F.col("n_name").alias("group_name"), "member_ids")
+    users = t.customer.select(F.col("c_custkey").alias("user_id"), F.col("c_name").alias("user_name"))
+    groups = t.orders.select(
+        F.concat(F.lit("order "), "o_orderkey").alias("group_name"),
+        F.array_distinct(F.array("o_custkey", "o_orderkey")).alias("member_ids"),
+    )
     return access.group_members(users, groups)
 
 

@@ -6,6 +6,7 @@ import datetime as dt
 from collections.abc import Callable
 from typing import NamedTuple
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -71,7 +72,6 @@ def decrypt_events(df: DataFrame, decryptor: Decryptor, as_of: dt.datetime) -> D
 
 def register_decryptor(spark: SparkSession, function: Callable[[str, int], str | None], name: str = "decrypt_udf") -> None:
     """Make a caller's ``(encrypted, id) -> text`` callable from SQL, over Arrow batches."""
-    import pandas as pd
 
     @F.pandas_udf("string")
     def decrypt(encrypted: pd.Series, ids: pd.Series) -> pd.Series:

@@ -72,10 +72,11 @@ def ingest_events(
         staged = session.read.schema(batch.schema).parquet(f"{work}/staged/batch_id={batch_id}")
         if staged.isEmpty():
             return
-        dates = bucket_events(staged).select("partition_dt").distinct()
-        touched = read_partitioned(session, table, ENCRYPTED_SCHEMA).join(dates, "partition_dt", "left_semi")
-        merged = merge_encrypted(touched.select(*ENCRYPTED_SCHEMA.names), staged, stamp)
-        overwrite_partitions(merged.select(*ENCRYPTED_SCHEMA.names), table, "partition_dt")
+        # One value per day in the batch: as literals they prune the partitions of the scan.
+        days = [r[0] for r in bucket_events(staged).select("partition_dt").distinct().collect()]
+        day = F.col("partition_dt")
+        touched = read_partitioned(session, table, ENCRYPTED_SCHEMA).filter(day.isin(days) | day.isNull())
+        overwrite_partitions(merge_encrypted(touched, staged, stamp), table, "partition_dt")
 
     drain_to_batches(closed_bucket_events(stream, delay), merge, f"{work}/checkpoint")
     return read_partitioned(spark, table, ENCRYPTED_SCHEMA)
