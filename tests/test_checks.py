@@ -212,7 +212,7 @@ def test_effective_policies_and_masks(spark, policies):
     assert bob == {"ssn": "mask", "email": "deny", "name": "mask"}
     assert masking.policies_for(policies, "public.users", "iam:alice")["ssn"] == "unmask"
     grantees = spark.createDataFrame([("IAM:bob",), ("IAM:Alice",)], "grantee string")
-    seen = masking.effective_policies(policies, grantees)
+    seen = masking.effective_policies(policies, grantees, CONFIG.public_columns())
     assert ("IAM:bob", "public.users.ssn", "mask") in rows(seen) and seen.count() == 6
     table = spark.createDataFrame([(1, "123", "e", 5)], "id int, ssn string, email string, name int")
     assert rows(masking.mask_columns(table, bob)) == [(1, "XXXX", None, None)]

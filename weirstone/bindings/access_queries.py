@@ -65,7 +65,7 @@ def canonical_users(t: Tables) -> DataFrame:
 
 @query("""
     SELECT 'order ' || o_orderkey AS group_name, c_custkey AS user_id, c_name AS user_name
-    FROM customer JOIN orders ON c_custkey IN (o_custkey, o_orderkey)
+    FROM (SELECT o_orderkey, o_custkey AS m FROM orders UNION SELECT o_orderkey, o_orderkey FROM orders) JOIN customer ON c_custkey = m
 """)
 def group_members(t: Tables) -> DataFrame:
     """Groups hold their members as arrays of ids."""
@@ -163,22 +163,32 @@ def masking_policies(t: Tables) -> DataFrame:
 """)
 def effective_policies(t: Tables) -> DataFrame:
     policies = masking.build_policies(CONFIG, user_groups(t), db_users(t))
-    return masking.effective_policies(policies, db_users(t).withColumnRenamed("user_name", "grantee"))
+    return masking.effective_policies(policies, db_users(t).withColumnRenamed("user_name", "grantee"), CONFIG.public_columns())
+
+
+VIEWS = masking.MaskingConfig(
+    user_types={"redshift_user": ["IAM:Supplier#000000001", "IAM:Supplier#000000003"]},
+    columns={
+        "idp.customer.c_name": {"allowed": ["IAM:Supplier#000000001"], "denied": ["IAM:Supplier#000000003"]},
+        "idp.customer.c_acctbal": {"denied": ["IAM:Supplier#000000003"]},
+        "idp.customer.c_mktsegment": {},
+    },
+)
 
 
 @query("""
     SELECT 'allowed' AS seen_by, c_custkey, c_name, CAST(NULL AS DOUBLE) AS c_acctbal, 'XXXX' AS c_mktsegment FROM customer
-    UNION ALL SELECT 'masked', c_custkey, 'XXXX', c_acctbal, 'XXXX' FROM customer
+    UNION ALL SELECT 'masked', c_custkey, 'XXXX', NULL, 'XXXX' FROM customer
     UNION ALL SELECT 'denied', c_custkey, NULL, NULL, 'XXXX' FROM customer
 """)
 def masked_customers(t: Tables) -> DataFrame:
-    """The table as an admin, a member of nation 4 and a plain user see it."""
-    users = t.supplier.groupBy("s_nationkey").agg(F.concat(F.lit("IAM:"), F.min("s_name")).alias("user_name"))
-    first = {r.s_nationkey: r.user_name for r in users.filter("s_nationkey IN (1, 2, 4)").collect()}
-    policies = masking.build_policies(CONFIG, user_groups(t), db_users(t))
+    """The table as three users see it: one allowed, one only masked, one denied."""
+    policies = masking.build_policies(VIEWS, user_groups(t), db_users(t))
     table = t.customer.select("c_custkey", "c_name", "c_acctbal", "c_mktsegment")
     views = [
-        masking.mask_columns(table, masking.policies_for(policies, "idp.customer", first[n])).select(F.lit(kind).alias("seen_by"), "*")
-        for kind, n in (("allowed", 1), ("masked", 4), ("denied", 2))
+        masking.mask_columns(table, masking.policies_for(policies, "idp.customer", f"iam:supplier#00000000{n}")).select(
+            F.lit(kind).alias("seen_by"), "*"
+        )
+        for kind, n in (("allowed", 1), ("masked", 2), ("denied", 3))
     ]
     return views[0].unionByName(views[1]).unionByName(views[2])

@@ -42,7 +42,7 @@ def duplicate_line_items(t: Tables) -> DataFrame:
     return quality.duplicates(t.lineitem, ["l_orderkey", "l_linenumber"])
 
 
-EMAIL = r"[A-Za-z0-9._-]+@[A-Za-z0-9-]+\.[A-Za-z]+"
+EMAIL = r"[A-Za-z0-9._-]@[A-Za-z0-9-]+\.[A-Za-z]"
 PHONE = r"\(?[0-9]{3}\)?[ .-][0-9]{3}[.-][0-9]{4}"
 
 

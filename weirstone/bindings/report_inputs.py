@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from weirstone.bindings.registry import SQL_K, Tables, k
+from weirstone.functions.dates import date_key
 from weirstone.plans.demographics import PROOFING_EVENT, REDIRECT_EVENT
 from weirstone.plans.fraud import CALL_VISITED, REINSTATED, SETUP_ERROR_VISITED, SUSPENDED
 from weirstone.plans.partner_fields import ACCOUNT_FIELDS, AUTH_FIELDS, OUTCOME_DETAILS, OUTCOME_TOTALS, USAGE_FIELDS
@@ -112,16 +113,12 @@ def calendar(t: Tables) -> DataFrame:
     day = F.col("date_actual")
     days = t.lineitem.select(F.to_date("l_shipdate").alias("date_actual")).distinct()
     month, week = F.trunc(day, "month"), F.trunc(day, "week")
-
-    def number(column):
-        return F.date_format(column, "yyyyMMdd").cast("int")
-
     return days.select(
-        number(day).alias("calendar_id"),
+        date_key(day).alias("calendar_id"),
         day,
-        number(month).alias("month_start_calendar_id"),
+        date_key(month).alias("month_start_calendar_id"),
         month.alias("month_start_date_actual"),
-        number(week).alias("week_start_calendar_id"),
+        date_key(week).alias("week_start_calendar_id"),
         week.alias("week_start_date_actual"),
     )
 
@@ -166,7 +163,7 @@ def partner_tables(t: Tables) -> dict[str, DataFrame]:
             t.lineitem.filter(condition)
             .groupBy(
                 F.col("l_suppkey").alias(provider),
-                F.date_format(month, "yyyyMMdd").cast("int").alias("period_date_id"),
+                date_key(month).alias("period_date_id"),
             )
             .agg(*[F.count_if(F.col("l_quantity") > n).alias(f) for n, f in enumerate(fields)])
         )

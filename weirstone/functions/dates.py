@@ -12,7 +12,7 @@ CADENCES = ("monthly", "weekly", "daily")
 
 def date_key(day: Column) -> Column:
     """Calendar key, for example 20260315."""
-    return F.date_format(day, "yyyyMMdd").cast("int")
+    return F.year(day) * 10000 + F.month(day) * 100 + F.day(day)
 
 
 def date_key_of(day: dt.date) -> int:

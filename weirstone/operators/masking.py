@@ -44,6 +44,14 @@ class MaskingConfig:
         roles = (self.columns[column] or {}).get("allowed") or ()
         return any(self.type_of(role) == "superuser" for role in roles)
 
+    def public_columns(self, existing: Sequence[str] | None = None) -> list[str]:
+        """Columns that are masked for everybody."""
+        return [c for c in self.policed_columns(existing) if not self.superuser_allowed(c)]
+
+    def policed_columns(self, existing: Sequence[str] | None = None) -> list[str]:
+        """Configured schema.table.column names, of the existing ones if those are given."""
+        return [c for c in self.columns if c.count(".") == 2 and (existing is None or c in existing)]
+
     def entries(self, kind: str) -> list[tuple[str, str, int]]:
         """(role, column, precedence of its permission) for the roles of one user type."""
         return [
@@ -106,11 +114,8 @@ def build_policies(
     every user that is not listed and is no superuser then gets a mask of their own.
     """
     spark = db_users.sparkSession
-    columns = [
-        c for c in config.columns if c.count(".") == 2 and (existing_columns is None or c in existing_columns)
-    ]
-    per_user = [c for c in columns if config.superuser_allowed(c)]
-    baseline = [c for c in columns if c not in per_user]
+    baseline = config.public_columns(existing_columns)
+    per_user = [c for c in config.policed_columns(existing_columns) if c not in baseline]
 
     public = _rows(
         spark,
@@ -144,17 +149,22 @@ def build_policies(
     )
 
 
-def effective_policies(policies: DataFrame, grantees: DataFrame) -> DataFrame:
-    """(grantee, column_id, policy) in force: the highest priority of own and PUBLIC rows.
+def effective_policies(policies: DataFrame, grantees: DataFrame, public_columns: Sequence[str]) -> DataFrame:
+    """(grantee, column_id, policy) in force: the highest priority of own and public policies.
 
-    ``grantees`` is (grantee). Public rows go to every grantee, as the result demands.
+    ``grantees`` is (grantee). The public masks apply to everybody; they are laid out per
+    grantee from the configured columns instead of being joined through one shared key.
     """
     kind = F.substring_index("policy_name", "_", 1)
-    rows = policies.select("column_id", F.upper("grantee").alias("key"), kind.alias("policy"), "priority")
-    own = grantees.select("grantee", F.explode(F.array(F.upper("grantee"), F.lit(PUBLIC))).alias("key"))
-    return (
-        own.join(rows, "key").groupBy("grantee", "column_id").agg(F.max_by("policy", "priority").alias("policy"))
+    named = policies.filter(F.upper("grantee") != PUBLIC)
+    rows = named.select("column_id", F.upper("grantee").alias("key"), kind.alias("policy"), "priority")
+    own = grantees.withColumn("key", F.upper("grantee")).join(rows, "key").drop("key")
+    columns = F.array(*map(F.lit, public_columns)).cast("array<string>")
+    public = grantees.select(
+        "grantee", F.explode(columns).alias("column_id"), F.lit("mask").alias("policy"), F.lit(PUBLIC_PRIORITY).alias("priority")
     )
+    everything = own.unionByName(public)
+    return everything.groupBy("grantee", "column_id").agg(F.max_by("policy", "priority").alias("policy"))
 
 
 def policies_for(policies: DataFrame, table: str, grantee: str) -> dict[str, str]:

@@ -36,7 +36,8 @@ def upsert(target: DataFrame, updates: DataFrame, keys: Sequence[str], changed:
     ``changed`` may hold the keys of ``updates`` more cheaply (with repeats, before the dedup),
     so that finding the matches does not repeat the dedup.
     """
-    keep = without_matches(target, updates if changed is None else changed, keys)
+    matched = updates if changed is None else changed.select(*keys).distinct()
+    keep = without_matches(target, matched, keys)
     return keep.unionByName(updates, allowMissingColumns=True)
 
 

@@ -10,6 +10,7 @@ from typing import NamedTuple
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from weirstone.functions.dates import check_cadence, date_key_of
 from weirstone.functions.text import is_bad_integer, strict_integer
@@ -90,10 +91,10 @@ def checked_rows(rows: DataFrame, fields: Sequence[str]) -> DataFrame:
     many cells were not. Grouping keeps no more than one row per issuer in memory.
     """
     missing = reduce(lambda a, b: a | b, (F.col(c).isNull() for c in REQUIRED))
-    typed = rows.withColumns(
-        {"bad_values": reduce(add, (is_bad_integer(F.col(f)).cast("int") for f in fields))}
-        | {f: strict_integer(F.col(f)) for f in fields}
-    )
+    texts = [f for f in fields if isinstance(rows.schema[f].dataType, T.StringType)]
+    bad = reduce(add, (is_bad_integer(F.col(f)).cast("int") for f in texts), F.lit(0))
+    integers = {f: strict_integer(F.col(f)) if f in texts else F.col(f).cast("bigint") for f in fields}
+    typed = rows.withColumns({"bad_values": bad} | integers)
     grouped = typed.groupBy("issuer").agg(
         F.count(F.lit(1)).alias("__n"), F.any_value(F.struct(*[c for c in typed.columns if c != "issuer"])).alias("__row")
     )
