@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from weirstone.operators import access, filters, masking, metrics, pii, quality
-from weirstone.operators.decrypt import aes_gcm, decrypt_events, register_decryptor
+from weirstone.operators.decrypt import EVENT_SCHEMA, aes_gcm, decrypt_events, process_encrypted, register_decryptor
 
 from helpers import plan, rows, ts
 
@@ -258,6 +258,17 @@ def test_decrypt(spark):
     assert failed.columns == ["event_key", "message"]
 
 
+def test_process_encrypted_twice(spark):
+    rows_in = [tuple(r) for r in encrypted(spark).collect()]
+    table = spark.createDataFrame([(k, m, None) for k, m in rows_in], "event_key string, message string, dw_processed_at timestamp")
+    events = spark.createDataFrame([], EVENT_SCHEMA)
+    first = process_encrypted(table, events, aes_gcm(secret()), ts("2026-01-01"))
+    assert first.events.count() == 4 and first.failed.count() == 3
+    assert rows(first.encrypted.filter("dw_processed_at is null"), "event_key") == [("broken",), ("not json",), ("null",)]
+    again = process_encrypted(first.encrypted, first.events, aes_gcm(secret()), ts("2026-02-01"))
+    assert rows(again.events) == rows(first.events) and rows(again.encrypted) == rows(first.encrypted)
+
+
 def test_decrypt_with_a_callers_function(spark):
     @F.pandas_udf("string")
     def reverse(s):

@@ -27,7 +27,7 @@ def people(t: Tables) -> DataFrame:
     )
     users = t.customer.select("c_custkey", F.col("c_name").alias("username"), "c_nationkey", rich)
     return users.join(groups, ["c_nationkey", "rich"]).select(
-        "username", "c_custkey", F.concat(F.lit("n"), "c_nationkey", F.lit("@example.gov")).alias("email"), "groups"
+        "username", "c_custkey", F.concat(F.lit("n"), "c_nationkey", F.lit("@example.org")).alias("email"), "groups"
     )
 
 
@@ -52,10 +52,10 @@ SQL_PEOPLE = """
         SELECT *, CASE WHEN list_contains(segments, 'MACHINERY') THEN 'admin' WHEN list_contains(segments, 'AUTOMOBILE') THEN 'author'
                        ELSE 'reader' END AS role FROM claimed
     )
-    SELECT 'n' || c_nationkey || '@example.gov' AS email, c_name AS username, role, role || '/n' || c_nationkey AS account FROM best
+    SELECT 'n' || c_nationkey || '@example.org' AS email, c_name AS username, role, role || '/n' || c_nationkey AS account FROM best
 """)
 def expected_access(t: Tables) -> DataFrame:
-    return access.expected_access(people(t), SEGMENTS, ROLE_OF_GROUP, PRIORITY, [F.col("c_custkey")], "example.gov")
+    return access.expected_access(people(t), SEGMENTS, ROLE_OF_GROUP, PRIORITY, [F.col("c_custkey")], "example.org")
 
 
 @query(f"WITH {SQL_PEOPLE} SELECT 'IAM:' || c_name AS user_name FROM enabled")

@@ -247,13 +247,13 @@ PART_SPECS = [
     ColumnSpec("p_name", "string", limit=9),
     ColumnSpec("p_brand", "integer"),
     ColumnSpec("p_size", "string", not_null=True),
-    ColumnSpec("redshift_only_field", "string"),
+    ColumnSpec("warehouse_only_field", "string"),
 ]
 
 
 @query("""
     SELECT CAST(p_partkey AS INTEGER) AS p_partkey, p_name, CAST(NULL AS INTEGER) AS p_brand,
-           CAST(p_size AS VARCHAR) AS p_size, CAST(NULL AS VARCHAR) AS redshift_only_field,
+           CAST(p_size AS VARCHAR) AS p_size, CAST(NULL AS VARCHAR) AS warehouse_only_field,
            '2024-01-01 00:00:00.000000' AS dw_created_at, '2024-01-01 00:00:00.000000' AS dw_updated_at
     FROM part
 """)
@@ -267,7 +267,7 @@ def conform_parts(t: Tables) -> DataFrame:
     UNION ALL SELECT 'p_name', 0, 0, count(*) FILTER (length(p_name) > 9) FROM part
     UNION ALL SELECT 'p_brand', count(*), 0, 0 FROM part
     UNION ALL SELECT 'p_size', 0, 0, 0
-    UNION ALL SELECT 'redshift_only_field', 0, 0, 0
+    UNION ALL SELECT 'warehouse_only_field', 0, 0, 0
 """)
 def conform_part_issues(t: Tables) -> DataFrame:
     return conform_issues(t.part, PART_SPECS)

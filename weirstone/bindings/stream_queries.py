@@ -11,7 +11,7 @@ from weirstone.bindings.load_queries import SPEC
 from weirstone.bindings.quality_queries import SQL_LOGIN_WINDOWS
 from weirstone.bindings.registry import SQL_K, Tables, k, query, sql_stamp, stamp
 from weirstone.bindings.sample_logs import SQL_EVENT_COLUMNS, raw_events
-from weirstone.operators.decrypt import aes_gcm, decrypt_events
+from weirstone.operators.decrypt import Processed, aes_gcm, decrypt_events, process_encrypted
 from weirstone.session import fresh_dir
 from weirstone.sources.logs import stream_raw_logs
 from weirstone.streaming.decrypt import decrypt_stream, decrypted_events
@@ -147,3 +147,33 @@ def decrypt_unprocessed_stream(t: Tables) -> DataFrame:
     stream = t.spark.readStream.schema(encrypted.schema).parquet(f"{work}/encrypted")
     decrypt_stream(stream, aes_gcm(secret_key()), dt.datetime(2024, 2, 1), f"{work}/events", f"{work}/failed", f"{work}/checkpoint")
     return decryption_result(decrypted_events(t.spark, f"{work}/events"), t.spark.read.parquet(f"{work}/failed"))
+
+
+def processed(t: Tables) -> Processed:
+    """Purchases are in the event table already, under their keys, with an older message."""
+    events = t.events.filter("event_type = 'purchase'").select(
+        F.col("event_id").cast("string").alias("event_key"), F.lit("older").alias("message"),
+        F.lit(None).cast("bigint").alias("user_id"), F.lit("old uuid").alias("user_uuid"),
+        F.lit(None).cast("timestamp").alias("event_timestamp"), F.col("ts").cast("timestamp").alias("dw_created_at"),
+    )
+    return process_encrypted(encrypted_events(t), events, aes_gcm(secret_key()), dt.datetime(2024, 2, 1))
+
+
+@query(f"""
+    SELECT CAST(event_id AS VARCHAR) AS event_key, user_id, 'uuid-' || user_id AS user_uuid, '2024-02-01 00:00:00.000000' AS dw_created_at
+    FROM events WHERE event_type <> 'error' AND {SQL_K} NOT IN (0, 1)
+    UNION ALL
+    SELECT CAST(event_id AS VARCHAR), NULL, 'old uuid', {sql_stamp("ts")} FROM events WHERE event_type = 'purchase' AND {SQL_K} IN (0, 1)
+""")
+def decrypted_event_table(t: Tables) -> DataFrame:
+    events = processed(t).events
+    return events.select("event_key", "user_id", "user_uuid", stamp("dw_created_at").alias("dw_created_at"))
+
+
+@query(f"""
+    SELECT CAST(event_id AS VARCHAR) AS event_key,
+           CASE WHEN event_type = 'error' THEN {sql_stamp("ts")} WHEN {SQL_K} NOT IN (0, 1) THEN '2024-02-01 00:00:00.000000' END AS dw_processed_at
+    FROM events
+""")
+def encrypted_event_marks(t: Tables) -> DataFrame:
+    return processed(t).encrypted.select("event_key", stamp("dw_processed_at").alias("dw_processed_at"))

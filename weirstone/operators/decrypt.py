@@ -13,6 +13,9 @@ from pyspark.sql import types as T
 
 from weirstone.functions.dates import epoch_seconds
 from weirstone.functions.jsonpath import can_json_parse, once
+from weirstone.operators.dedup import dedup_latest
+from weirstone.operators.filters import unprocessed
+from weirstone.operators.upsert import mark_processed, upsert
 
 Decryptor = Callable[[Column], Column]
 
@@ -70,6 +73,26 @@ def decrypt_events(df: DataFrame, decryptor: Decryptor, as_of: dt.datetime) -> D
     return Decrypted(ok, plain.filter(~good).select(*df.columns))
 
 
+class Processed(NamedTuple):
+    """New state of both tables after one pass, and the rows that stay unprocessed."""
+
+    events: DataFrame
+    encrypted: DataFrame
+    failed: DataFrame
+
+
+def process_encrypted(encrypted: DataFrame, events: DataFrame, decryptor: Decryptor, as_of: dt.datetime) -> Processed:
+    """Decrypt what is unprocessed, add it to ``events`` and mark it in ``encrypted``.
+
+    The events are upserted by key, so a pass that is repeated adds nothing twice. A key that
+    occurs more than once (on several days) keeps one event, the one with the greatest message.
+    """
+    ok, failed = decrypt_events(unprocessed(encrypted), decryptor, as_of)
+    loaded = dedup_latest(ok, ["event_key"], [F.col("message").desc()])
+    marked = mark_processed(encrypted, ok, ["event_key"], F.lit(as_of))
+    return Processed(upsert(events, loaded, ["event_key"], ok), marked, failed)
+
+
 def register_decryptor(spark: SparkSession, function: Callable[[str, int], str | None], name: str = "decrypt_udf") -> None:
     """Make a caller's ``(encrypted, id) -> text`` callable from SQL, over Arrow batches."""
 
