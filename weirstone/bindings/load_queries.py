@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from weirstone.bindings.registry import Tables, query, sql_stamp, stamp
 from weirstone.bindings.sample_logs import SQL_EVENT_COLUMNS, raw_events
+from weirstone.functions.dates import instant
 from weirstone.operators.conform import ColumnSpec, conform, conform_issues, split_pii
 from weirstone.operators.extract import EVENT_COLUMNS, extract_columns
 from weirstone.operators.logload import load_logs
@@ -60,7 +61,7 @@ def upsert_partial_orders(t: Tables) -> DataFrame:
     columns = ["o_orderkey", "o_custkey", "o_totalprice"]
     target = t.orders.select(*columns, F.lit(None).cast("timestamp").alias("dw_created_at"))
     updates = reissued_orders(t).select(*columns)
-    loaded = {"dw_created_at": F.lit(dt.datetime(2024, 1, 1))}
+    loaded = {"dw_created_at": instant(dt.datetime(2024, 1, 1))}
     merged = upsert_partial(target, updates, ["o_orderkey"], ["o_totalprice"], loaded)
     return merged.withColumn("dw_created_at", stamp("dw_created_at"))
 
@@ -172,7 +173,7 @@ def missing_columns_in_copy(t: Tables) -> DataFrame:
 def mark_processed_orders(t: Tables) -> DataFrame:
     target = t.orders.select("o_orderkey", "o_custkey", F.lit(None).cast("timestamp").alias("dw_processed_at"))
     done = t.events.filter("event_type = 'error'").select(F.col("user_id").alias("o_custkey"))
-    marked = mark_processed(target, done, ["o_custkey"], F.lit(dt.datetime(2024, 2, 1)))
+    marked = mark_processed(target, done, ["o_custkey"], instant(dt.datetime(2024, 2, 1)))
     return marked.select("o_orderkey", stamp("dw_processed_at").alias("dw_processed_at"))
 
 

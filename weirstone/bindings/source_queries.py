@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from weirstone.bindings.registry import Tables, query, sql_stamp, stamp
 from weirstone.bindings.report_inputs import SQL_FRAUD_ROWS, fraud_inputs
-from weirstone.functions.dates import quarter_label
+from weirstone.functions.dates import instant, quarter_label
 from weirstone.plans.fraud import METRICS, fraud_metrics
 from weirstone.session import fresh_dir
 from weirstone.sources.buckets import bucket_events, bucket_name, closed_buckets
@@ -39,7 +39,7 @@ def table_scan(t: Tables) -> DataFrame:
 """)
 def bucket_partitions(t: Tables) -> DataFrame:
     named = t.events.select("event_id", bucket_name(F.col("ts")).alias("bucket_name"))
-    as_of = F.lit(dt.datetime(2024, 1, 15, 12, 3, 30))
+    as_of = instant(dt.datetime(2024, 1, 15, 12, 3, 30))
     dated = bucket_events(closed_buckets(named, as_of))
     return dated.withColumn("partition_dt", F.col("partition_dt").cast("string"))
 

@@ -11,6 +11,7 @@ from weirstone.bindings.load_queries import SPEC
 from weirstone.bindings.quality_queries import SQL_LOGIN_WINDOWS
 from weirstone.bindings.registry import SQL_K, Tables, k, query, sql_stamp, stamp
 from weirstone.bindings.sample_logs import SQL_EVENT_COLUMNS, raw_events
+from weirstone.functions.dates import instant
 from weirstone.operators.decrypt import Processed, aes_gcm, decrypt_events, process_encrypted
 from weirstone.session import fresh_dir
 from weirstone.sources.logs import stream_raw_logs
@@ -48,7 +49,7 @@ def ingest_stream(t: Tables) -> DataFrame:
     stream = stream_table(t, "events").select(
         F.concat_ws(":", "user_id", "event_type").alias("event_key"), F.col("props").alias("message"), "ts"
     )
-    table = ingest_events(t.spark, stream, f"{work}/table", work, DELAY, F.lit(dt.datetime(2024, 2, 1)))
+    table = ingest_events(t.spark, stream, f"{work}/table", work, DELAY, instant(dt.datetime(2024, 2, 1)))
     return table.select(
         "event_key", "message", "bucket_name", F.col("partition_dt").cast("string").alias("partition_dt"),
         stamp("dw_created_at").alias("dw_created_at"),

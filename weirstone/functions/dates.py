@@ -10,6 +10,11 @@ from pyspark.sql import functions as F
 CADENCES = ("monthly", "weekly", "daily")
 
 
+def instant(value: dt.datetime) -> Column:
+    """Timestamp literal. A value without zone is UTC, whatever the zone of the driver's machine."""
+    return F.lit(value if value.tzinfo else value.replace(tzinfo=dt.UTC))
+
+
 def date_key(day: Column) -> Column:
     """Calendar key, for example 20260315."""
     return F.year(day) * 10000 + F.month(day) * 100 + F.day(day)

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from weirstone.functions.dates import instant
 from weirstone.functions.text import pg_array_to_array
 
 # Load-time columns, default text length, names of declared types.
@@ -67,7 +68,7 @@ def conform(df: DataFrame, specs: Sequence[ColumnSpec], as_of: dt.datetime) -> D
     A value that does not fit its new type becomes NULL; ``conform_issues`` counts those.
     """
     loads = [
-        (F.col(c) if c in df.columns else F.lit(as_of).cast("timestamp")).alias(c) for c in LOAD_COLUMNS
+        (F.col(c) if c in df.columns else instant(as_of)).alias(c) for c in LOAD_COLUMNS
     ]
     return df.select(*[_conformed(df, s).alias(s.name) for s in specs], *loads)
 

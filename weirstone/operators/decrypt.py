@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from weirstone.functions.dates import epoch_seconds
+from weirstone.functions.dates import epoch_seconds, instant
 from weirstone.functions.jsonpath import can_json_parse, once
 from weirstone.operators.dedup import dedup_latest
 from weirstone.operators.filters import unprocessed
@@ -68,7 +68,7 @@ def decrypt_events(df: DataFrame, decryptor: Decryptor, as_of: dt.datetime) -> D
         F.col("__payload.user_id").try_cast("bigint").alias("user_id"),
         F.col("__payload.user_uuid").alias("user_uuid"),
         epoch_seconds(F.col("__payload.occurred_at").try_cast("double")).alias("event_timestamp"),
-        F.lit(as_of).cast("timestamp").alias("dw_created_at"),
+        instant(as_of).alias("dw_created_at"),
     )
     return Decrypted(ok, plain.filter(~good).select(*df.columns))
 
@@ -89,7 +89,7 @@ def process_encrypted(encrypted: DataFrame, events: DataFrame, decryptor: Decryp
     """
     ok, failed = decrypt_events(unprocessed(encrypted), decryptor, as_of)
     loaded = dedup_latest(ok, ["event_key"], [F.col("message").desc()])
-    marked = mark_processed(encrypted, ok, ["event_key"], F.lit(as_of))
+    marked = mark_processed(encrypted, ok, ["event_key"], instant(as_of))
     return Processed(upsert(events, loaded, ["event_key"], ok), marked, failed)
 
 

@@ -8,15 +8,17 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from weirstone.functions.dates import instant
+
 
 def between(df: DataFrame, ts: str, start: dt.datetime, end: dt.datetime) -> DataFrame:
     """Both ends inclusive."""
-    return df.filter(F.col(ts).between(F.lit(start), F.lit(end)))
+    return df.filter(F.col(ts).between(instant(start), instant(end)))
 
 
 def in_period(df: DataFrame, ts: str, start: dt.datetime, next_start: dt.datetime) -> DataFrame:
     """Half-open [start, next_start): no fraction of the last second is lost."""
-    return df.filter((F.col(ts) >= F.lit(start)) & (F.col(ts) < F.lit(next_start)))
+    return df.filter((F.col(ts) >= instant(start)) & (F.col(ts) < instant(next_start)))
 
 
 def issuer_filter(

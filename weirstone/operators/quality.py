@@ -8,6 +8,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from weirstone.functions.dates import instant
+
 # Limits, watched logins and accounts that are never unexpected.
 FRESHNESS_HOURS = 31
 EXPORT_LINES = 10000
@@ -36,9 +38,9 @@ DUPLICATE_CHECK_SCHEMAS = ("logs", "idp")
 
 def freshness(df: DataFrame, ts: str, as_of: dt.datetime, hours: int = FRESHNESS_HOURS) -> DataFrame:
     """One row: latest time, age in hours, status. An empty table has the status ``error``."""
-    limit = F.lit(as_of - dt.timedelta(hours=hours))
+    limit = instant(as_of - dt.timedelta(hours=hours))
     latest = F.col("latest")
-    age = (F.unix_micros(F.lit(as_of).cast("timestamp")) - F.unix_micros(latest.cast("timestamp"))) / F.lit(3.6e9)
+    age = (F.unix_micros(instant(as_of)) - F.unix_micros(latest.cast("timestamp"))) / F.lit(3.6e9)
     status = (
         F.when(latest.isNull(), "error").when(latest > limit, "within_range").otherwise("out_of_range")
     )
@@ -85,7 +87,7 @@ def large_exports(
 ) -> DataFrame:
     """Exports over the threshold that started after the minute ``minutes`` before ``as_of``."""
     since = (as_of - dt.timedelta(minutes=minutes)).replace(second=0, microsecond=0)
-    found = df.filter((F.col(count) > lines) & (F.col(start) > F.lit(since)))
+    found = df.filter((F.col(count) > lines) & (F.col(start) > instant(since)))
     minute = "yyyy-MM-dd HH:mm"
     return found.withColumns({start: F.date_format(start, minute), end: F.date_format(end, minute)})
 
@@ -98,7 +100,7 @@ def watched_logins(
     event: str = LOGIN_EVENT,
 ) -> DataFrame:
     """Distinct watched users that logged in during the last minutes, the start included."""
-    recent = F.col("record_time") >= F.lit(as_of - dt.timedelta(minutes=minutes))
+    recent = F.col("record_time") >= instant(as_of - dt.timedelta(minutes=minutes))
     found = df.filter((F.col("event") == event) & F.col("user_name").isin(*users) & recent)
     return found.select(F.trim("user_name").alias("detected_user")).distinct()
 

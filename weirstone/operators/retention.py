@@ -9,6 +9,8 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from weirstone.functions.dates import instant
+
 # Default age limit, and the columns that can date a row, in order of preference.
 RETENTION_DAYS = 366
 TIMESTAMP_COLUMNS = ("dw_created_at", "updated_at", "created_at")
@@ -21,12 +23,12 @@ def cutoff(as_of: dt.date, days: int = RETENTION_DAYS) -> dt.datetime:
 
 def is_expired(timestamp: str, as_of: dt.date, days: int = RETENTION_DAYS) -> Column:
     """Strictly older than the cutoff day; a NULL timestamp is kept."""
-    return F.col(timestamp) < F.lit(cutoff(as_of, days))
+    return F.col(timestamp) < instant(cutoff(as_of, days))
 
 
 def apply_retention(df: DataFrame, timestamp: str, as_of: dt.date, days: int = RETENTION_DAYS) -> DataFrame:
     """Rows to keep. On a table partitioned by date whole partitions are pruned."""
-    return df.filter((F.col(timestamp) >= F.lit(cutoff(as_of, days))) | F.col(timestamp).isNull())
+    return df.filter((F.col(timestamp) >= instant(cutoff(as_of, days))) | F.col(timestamp).isNull())
 
 
 def count_expired(df: DataFrame, timestamp: str, as_of: dt.date, days: int = RETENTION_DAYS) -> DataFrame:

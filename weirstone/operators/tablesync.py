@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from weirstone.functions.dates import instant
 from weirstone.operators.dedup import dedup_latest
 from weirstone.operators.upsert import upsert, upsert_partial
 
@@ -67,7 +68,7 @@ def last_sync(metadata: DataFrame, table: str, as_of: dt.datetime) -> dt.datetim
 def record_sync(metadata: DataFrame, table: str, as_of: dt.datetime) -> DataFrame:
     """Metadata with the run time of ``table`` set."""
     row = metadata.sparkSession.range(1).select(
-        F.lit(table).alias("table_name"), F.lit(as_of).cast("timestamp").alias("last_sync_time")
+        F.lit(table).alias("table_name"), instant(as_of).alias("last_sync_time")
     )
     return upsert(metadata, row, ["table_name"])
 
