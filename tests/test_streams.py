@@ -1,5 +1,6 @@
 """Streams drain to what the batch form gives, and replays change nothing."""
 
+import datetime as dt
 import json
 
 from pyspark.sql import functions as F
@@ -10,7 +11,7 @@ from weirstone.operators.quality import watched_login_windows
 from weirstone.sources.logs import RAW_LOG_SCHEMA, read_raw_logs, stream_raw_logs
 from weirstone.streaming.decrypt import decrypt_stream, decrypted_events
 from weirstone.streaming.exports import large_export_stream
-from weirstone.streaming.ingest import ENCRYPTED_SCHEMA, ingest_events, merge_encrypted
+from weirstone.streaming.ingest import ENCRYPTED_SCHEMA, current_events, fold_batches, ingest_events, merge_encrypted
 from weirstone.streaming.logins import watched_login_stream
 from weirstone.streaming.logs import compact_logs, current_logs, extract_logs
 from weirstone.streaming.runner import drain_to_files
@@ -27,7 +28,8 @@ def feed(spark, path, data, schema=EVENT):
 
 def ingest(spark, tmp_path):
     stream = spark.readStream.schema(EVENT).parquet(f"{tmp_path}/in")
-    return ingest_events(spark, stream, f"{tmp_path}/table", f"{tmp_path}/work", "0 seconds", F.lit(ts(LOADED)))
+    ingest_events(stream, f"{tmp_path}/batches", f"{tmp_path}/checkpoint", "0 seconds", F.lit(ts(LOADED)))
+    return current_events(spark, f"{tmp_path}/batches")
 
 
 def test_rerun_adds_only_new_rows(spark, tmp_path):
@@ -60,20 +62,35 @@ def test_last_write_in_the_latest_bucket_wins(spark, tmp_path):
     assert rows(ingest(spark, tmp_path), "event_key", "message") == [("a", "late in bucket"), ("b", "new bucket")]
 
 
-def test_other_partitions_and_marks_survive(spark, tmp_path):
+def test_fold_touches_its_days_only(spark, tmp_path):
+    batches, table = f"{tmp_path}/batches", f"{tmp_path}/table"
     feed(spark, f"{tmp_path}/in", [("a", "m", ts("2024-01-01 23:50:00")), ("b", "m", ts("2024-01-02 00:01:00")), ("clock", "", ts("2024-01-02 00:10:00"))])
-    assert ingest(spark, tmp_path).count() == 2
-    feed(spark, f"{tmp_path}/in", [("b", "again", ts("2024-01-02 00:11:00")), ("clock", "", ts("2024-01-02 01:10:00"))])
-    got = ingest(spark, tmp_path)
-    assert rows(got, "event_key", "message") == [("a", "m"), ("b", "again"), ("clock", "")]
-
+    ingest(spark, tmp_path)
+    days = [dt.date(2024, 1, 1), dt.date(2024, 1, 2)]
+    assert rows(fold_batches(spark, batches, table, days[:1]), "event_key") == [("a",)]
+    once = rows(fold_batches(spark, batches, table, days), "event_key", "message", "dw_created_at", "dw_processed_at")
+    assert once == [("a", "m", ts(LOADED), None), ("b", "m", ts(LOADED), None)]
+    first_day = sorted(p.name for p in (tmp_path / "table" / "partition_dt=2024-01-01").glob("*.parquet"))
 
-def test_merge_twice(spark):
-    target = spark.createDataFrame([], ENCRYPTED_SCHEMA)
-    batch = spark.createDataFrame([("a", "m", "fraud-ops-events:2024-01-01T10:00:00Z")], "event_key string, message string, bucket_name string")
-    once = merge_encrypted(target, batch, F.lit(ts(LOADED)))
-    later = merge_encrypted(once, batch, F.lit(ts("2025-01-01")))
-    assert rows(once) == rows(later)
+    feed(spark, f"{tmp_path}/in", [("b", "again", ts("2024-01-02 00:11:00")), ("clock", "", ts("2024-01-02 01:10:00"))])
+    ingest(spark, tmp_path)
+    for _ in range(2):
+        folded = fold_batches(spark, batches, table, days[1:])
+        assert rows(folded, "event_key", "message") == [("a", "m"), ("b", "again"), ("clock", "")]
+    assert sorted(p.name for p in (tmp_path / "table" / "partition_dt=2024-01-01").glob("*.parquet")) == first_day
+
+
+def test_merge_keeps_marks_and_first_load(spark):
+    target = spark.createDataFrame([("a", "m", "b1", ts(LOADED), ts(LOADED), dt.date(2024, 1, 1))], ENCRYPTED_SCHEMA)
+    update = spark.createDataFrame(
+        [("a", "m2", "b2", ts("2025-01-01"), dt.date(2024, 1, 1)), ("a", "x", "b3", ts("2025-01-01"), dt.date(2024, 1, 2))],
+        "event_key string, message string, bucket_name string, dw_created_at timestamp, partition_dt date",
+    )
+    once = merge_encrypted(target, update)
+    assert rows(once, "message", "bucket_name", "dw_created_at", "dw_processed_at") == [
+        ("m2", "b2", ts(LOADED), ts(LOADED)), ("x", "b3", ts("2025-01-01"), None),
+    ]
+    assert rows(merge_encrypted(once, update)) == rows(once)
 
 
 def test_log_stream_equals_batch(spark, tmp_path):

@@ -111,7 +111,7 @@ def report_csv(t: Tables) -> DataFrame:
     table = t.orders.groupBy("o_orderstatus").agg(
         stamp(F.max("o_orderdate")).alias("latest_order"), F.count(F.lit(1)).alias("orders")
     )
-    write_report(table.orderBy("o_orderstatus"), path, single_file=True)
+    write_report(table.orderBy("o_orderstatus"), path)
     return t.spark.read.schema("o_orderstatus string, latest_order string, orders bigint").option("header", True).csv(path)
 
 

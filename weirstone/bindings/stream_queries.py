@@ -17,7 +17,7 @@ from weirstone.session import fresh_dir
 from weirstone.sources.logs import stream_raw_logs
 from weirstone.streaming.decrypt import decrypt_stream, decrypted_events
 from weirstone.streaming.exports import large_export_stream
-from weirstone.streaming.ingest import ingest_events
+from weirstone.streaming.ingest import current_events, ingest_events
 from weirstone.streaming.logins import watched_login_stream
 from weirstone.streaming.logs import compact_logs, current_logs, extract_logs
 from weirstone.streaming.runner import drain_to_files
@@ -49,8 +49,8 @@ def ingest_stream(t: Tables) -> DataFrame:
     stream = stream_table(t, "events").select(
         F.concat_ws(":", "user_id", "event_type").alias("event_key"), F.col("props").alias("message"), "ts"
     )
-    table = ingest_events(t.spark, stream, f"{work}/table", work, DELAY, instant(dt.datetime(2024, 2, 1)))
-    return table.select(
+    ingest_events(stream, f"{work}/batches", f"{work}/checkpoint", DELAY, instant(dt.datetime(2024, 2, 1)))
+    return current_events(t.spark, f"{work}/batches").select(
         "event_key", "message", "bucket_name", F.col("partition_dt").cast("string").alias("partition_dt"),
         stamp("dw_created_at").alias("dw_created_at"),
     )

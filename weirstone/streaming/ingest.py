@@ -1,7 +1,15 @@
-"""Encrypted events from 5-minute buckets into their table."""
+"""Encrypted events from 5-minute buckets into their table.
+
+Every couple of minutes a batch of closed buckets is appended; no batch rewrites the day it falls
+on. ``current_events`` resolves the batches when reading, and ``fold_batches`` merges them into
+the table, for example once a day is over.
+"""
 
 from __future__ import annotations
 
+import datetime as dt
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -10,7 +18,7 @@ from weirstone.operators.dedup import dedup_latest
 from weirstone.operators.upsert import upsert_partial
 from weirstone.sources.buckets import bucket_events, bucket_name
 from weirstone.sources.tables import create_partitioned, overwrite_partitions, read_partitioned
-from weirstone.streaming.runner import drain_to_batches, write_batch
+from weirstone.streaming.runner import drain_to_batches
 
 ENCRYPTED_SCHEMA = T.StructType(
     [
@@ -23,6 +31,16 @@ ENCRYPTED_SCHEMA = T.StructType(
     ]
 )
 KEYS = ["event_key", "partition_dt"]
+BATCH_SCHEMA = T.StructType(
+    [
+        T.StructField("event_key", T.StringType()),
+        T.StructField("message", T.StringType()),
+        T.StructField("bucket_name", T.StringType()),
+        T.StructField("dw_created_at", T.TimestampType()),
+        T.StructField("batch_id", T.LongType()),
+        T.StructField("partition_dt", T.DateType()),
+    ]
+)
 
 
 def closed_bucket_events(stream: DataFrame, delay: str, minutes: int = 5) -> DataFrame:
@@ -45,38 +63,45 @@ def newest_bucket_per_key(df: DataFrame) -> DataFrame:
     return dedup_latest(df, ["event_key"], [F.col("bucket_name").desc(), F.col("message").desc()])
 
 
-def merge_encrypted(target: DataFrame, batch: DataFrame, loaded_at: Column) -> DataFrame:
+def ingest_events(
+    stream: DataFrame, batches: str, checkpoint: str, delay: str = "10 minutes", loaded_at: Column | None = None
+) -> None:
+    """Drain the stream: each micro-batch becomes one folder, partitioned by day.
+
+    The folder is replaced as a whole when a batch is replayed, so delivery is exactly once.
+    """
+    stamp = F.current_timestamp() if loaded_at is None else loaded_at
+
+    def append(batch: DataFrame, batch_id: int) -> None:
+        rows = bucket_events(newest_bucket_per_key(batch)).withColumn("dw_created_at", stamp)
+        rows.write.mode("overwrite").partitionBy("partition_dt").parquet(f"{batches}/batch_id={batch_id}")
+
+    drain_to_batches(closed_bucket_events(stream, delay), append, checkpoint)
+
+
+def current_events(spark: SparkSession, batches: str, days: Sequence[dt.date] | None = None) -> DataFrame:
+    """One row per key and day: message and bucket of the last batch, load time of the first."""
+    rows = read_partitioned(spark, batches, BATCH_SCHEMA)
+    if days is not None:
+        rows = rows.filter(F.col("partition_dt").isin(list(days)))
+    last = F.max_by(F.struct("message", "bucket_name"), "batch_id").alias("last")
+    first = F.min_by("dw_created_at", "batch_id").alias("dw_created_at")
+    resolved = rows.groupBy(*KEYS).agg(last, first)
+    return resolved.select("event_key", "last.message", "last.bucket_name", "dw_created_at", "partition_dt")
+
+
+def merge_encrypted(target: DataFrame, updates: DataFrame) -> DataFrame:
     """Upsert by (event_key, partition_dt): a match changes message and bucket only."""
-    updates = bucket_events(newest_bucket_per_key(batch)).select("event_key", "message", "bucket_name", "partition_dt")
-    return upsert_partial(
-        target, updates, KEYS, ["message", "bucket_name"], {"dw_created_at": loaded_at}
-    )
+    return upsert_partial(target, updates, KEYS, ["message", "bucket_name"])
 
 
-def ingest_events(
-    spark: SparkSession, stream: DataFrame, table: str, work: str, delay: str = "10 minutes", loaded_at: Column | None = None
-) -> DataFrame:
-    """Drain the stream into ``table`` (partitioned by date) and return the table.
+def fold_batches(spark: SparkSession, batches: str, table: str, days: Sequence[dt.date]) -> DataFrame:
+    """Merge the batches of ``days`` into the table, which is partitioned by day.
 
-    Each batch is first written once below ``work`` (the state is not recomputed by the merge),
-    then merged into only those date partitions that it touches: the key contains the
-    partition, so no other partition can hold a match.
+    The key contains the partition, so no other day can hold a match: each day is rewritten on
+    its own, and folding it again changes nothing.
     """
-    stamp = F.current_timestamp() if loaded_at is None else loaded_at
-    empty = spark.createDataFrame([], ENCRYPTED_SCHEMA)
-    create_partitioned(empty, table, "partition_dt")
-
-    def merge(batch: DataFrame, batch_id: int) -> None:
-        session = batch.sparkSession
-        write_batch(batch, f"{work}/staged", batch_id)
-        staged = session.read.schema(batch.schema).parquet(f"{work}/staged/batch_id={batch_id}")
-        if staged.isEmpty():
-            return
-        # One value per day in the batch: as literals they prune the partitions of the scan.
-        days = [r[0] for r in bucket_events(staged).select("partition_dt").distinct().collect()]
-        day = F.col("partition_dt")
-        touched = read_partitioned(session, table, ENCRYPTED_SCHEMA).filter(day.isin(days) | day.isNull())
-        overwrite_partitions(merge_encrypted(touched, staged, stamp), table, "partition_dt")
-
-    drain_to_batches(closed_bucket_events(stream, delay), merge, f"{work}/checkpoint")
+    create_partitioned(spark.createDataFrame([], ENCRYPTED_SCHEMA), table, "partition_dt")
+    target = read_partitioned(spark, table, ENCRYPTED_SCHEMA).filter(F.col("partition_dt").isin(list(days)))
+    overwrite_partitions(merge_encrypted(target, current_events(spark, batches, days)), table, "partition_dt")
     return read_partitioned(spark, table, ENCRYPTED_SCHEMA)
