@@ -87,6 +87,13 @@ def test_load_keeps_the_latest_and_is_repeatable(spark):
     assert rows(twice) == rows(once)
 
 
+def test_staged_load_gives_the_same(spark, tmp_path):
+    source = raw(spark, EVENT | {"id": "a"}, EVENT | {"id": "b"}, {})
+    target = load_logs(raw(spark, EVENT | {"id": "a", "name": "old"}, EVENT | {"id": "c"}), empty_log(spark, EVENT_COLUMNS), EVENT_COLUMNS, "id").target
+    plain = load_logs(source, target, EVENT_COLUMNS, "id").target
+    assert rows(load_logs(source, target, EVENT_COLUMNS, "id", str(tmp_path / "s")).target) == rows(plain)
+
+
 def test_message_is_parsed_once(spark, tmp_path):
     raw(spark, EVENT | {"id": "a"}).write.parquet(str(tmp_path / "raw"))
     text = plan(extract_columns(spark.read.parquet(str(tmp_path / "raw")), EVENT_COLUMNS).filter("id is not null and pid > 1"))
@@ -158,7 +165,7 @@ def test_mark_processed(spark):
     assert rows(marked) == [("a", ts("2024-02-02")), ("b", None), ("c", ts("2024-01-01"))]
 
 
-def test_sync_creates_adds_columns_and_keeps_lost_ones(spark):
+def test_sync_creates_adds_columns_and_keeps_lost_ones(spark, tmp_path):
     order = [F.col("v").desc()]
     source = spark.createDataFrame([(1, "x"), (1, "y"), (2, "z")], "k int, v string")
     created = tablesync.sync_table(source, None, ["k"], order)
@@ -166,6 +173,7 @@ def test_sync_creates_adds_columns_and_keeps_lost_ones(spark):
     wider = source.withColumn("extra", F.lit(7))
     synced = tablesync.sync_table(wider, created, ["k"], order)
     assert rows(synced) == [(1, "y", 7), (2, "z", 7)]
+    assert rows(tablesync.sync_table(wider, created, ["k"], order, staging=str(tmp_path / "s"))) == rows(synced)
     narrow = tablesync.sync_table(source.limit(0).unionByName(spark.createDataFrame([(2, "new")], "k int, v string")), synced, ["k"], order)
     assert rows(narrow) == [(1, "y", 7), (2, "new", 7)]
     assert rows(tablesync.sync_table(wider, synced, ["k"], order)) == rows(synced)

@@ -157,7 +157,7 @@ def processed(t: Tables) -> Processed:
         F.lit(None).cast("bigint").alias("user_id"), F.lit("old uuid").alias("user_uuid"),
         F.lit(None).cast("timestamp").alias("event_timestamp"), F.col("ts").cast("timestamp").alias("dw_created_at"),
     )
-    return process_encrypted(encrypted_events(t), events, aes_gcm(secret_key()), dt.datetime(2024, 2, 1))
+    return process_encrypted(encrypted_events(t), events, aes_gcm(secret_key()), dt.datetime(2024, 2, 1), fresh_dir(t.spark, "process"))
 
 
 @query(f"""

@@ -16,6 +16,7 @@ from weirstone.functions.jsonpath import can_json_parse, once
 from weirstone.operators.dedup import dedup_latest
 from weirstone.operators.filters import unprocessed
 from weirstone.operators.upsert import mark_processed, upsert
+from weirstone.sources.tables import staged
 
 Decryptor = Callable[[Column], Column]
 
@@ -81,13 +82,17 @@ class Processed(NamedTuple):
     failed: DataFrame
 
 
-def process_encrypted(encrypted: DataFrame, events: DataFrame, decryptor: Decryptor, as_of: dt.datetime) -> Processed:
+def process_encrypted(
+    encrypted: DataFrame, events: DataFrame, decryptor: Decryptor, as_of: dt.datetime, staging: str | None = None
+) -> Processed:
     """Decrypt what is unprocessed, add it to ``events`` and mark it in ``encrypted``.
 
     The events are upserted by key, so a pass that is repeated adds nothing twice. A key that
     occurs more than once (on several days) keeps one event, the one with the greatest message.
+    With ``staging`` the decrypted rows are written there, so that each is decrypted once.
     """
-    ok, failed = decrypt_events(unprocessed(encrypted), decryptor, as_of)
+    decrypted, failed = decrypt_events(unprocessed(encrypted), decryptor, as_of)
+    ok = staged(decrypted, staging)
     loaded = dedup_latest(ok, ["event_key"], [F.col("message").desc()])
     marked = mark_processed(encrypted, ok, ["event_key"], instant(as_of))
     return Processed(upsert(events, loaded, ["event_key"], ok), marked, failed)

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from weirstone.operators.dedup import dedup_latest, split_null_keys
 from weirstone.operators.extract import JsonColumn, extract_columns
 from weirstone.operators.upsert import upsert
+from weirstone.sources.tables import staged
 
 
 class LogLoad(NamedTuple):
@@ -30,15 +31,19 @@ def arrival_order() -> list[Column]:
     return [F.col("cloudwatch_timestamp").desc_nulls_last(), F.col("message").desc_nulls_last()]
 
 
-def load_logs(raw: DataFrame, target: DataFrame, spec: Sequence[JsonColumn], key: str) -> LogLoad:
+def load_logs(
+    raw: DataFrame, target: DataFrame, spec: Sequence[JsonColumn], key: str, staging: str | None = None
+) -> LogLoad:
     """Dedup, extract, upsert by ``key``.
 
     Every raw row with a key is merged (or superseded by a later one), so what remains is the
-    rows without a usable key. They do not stop the load of the others.
+    rows without a usable key. They do not stop the load of the others. With ``staging`` (a new
+    folder in shared storage) the typed rows are written there and computed only once; without,
+    the plan reads the keys of the raw rows a second time to find the matches.
     """
-    changed = extract_columns(raw, _key_only(spec, key), keep=())
-    merged = upsert(target, latest_logs(raw, spec, key), [key], changed.filter(F.col(key).isNotNull()))
-    return LogLoad(merged, rejected_logs(raw, spec, key))
+    latest = staged(latest_logs(raw, spec, key), staging)
+    changed = None if staging else extract_columns(raw, _key_only(spec, key), keep=()).filter(F.col(key).isNotNull())
+    return LogLoad(upsert(target, latest, [key], changed), rejected_logs(raw, spec, key))
 
 
 def rejected_logs(raw: DataFrame, spec: Sequence[JsonColumn], key: str) -> DataFrame:

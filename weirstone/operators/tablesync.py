@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 from weirstone.functions.dates import instant
 from weirstone.operators.dedup import dedup_latest
 from weirstone.operators.upsert import upsert, upsert_partial
+from weirstone.sources.tables import staged
 
 # Fixed value: how far a first incremental sync looks back.
 FIRST_SYNC_DAYS = 6
@@ -39,21 +40,23 @@ def sync_table(
     order: Sequence[Column],
     since: Column | None = None,
     timestamp: str | None = None,
+    staging: str | None = None,
 ) -> DataFrame:
     """Upsert the source, one row per key, into its copy.
 
     A missing copy is created; new source columns are added (NULL in old rows). With
-    ``timestamp`` and ``since`` only newer source rows are read.
+    ``timestamp`` and ``since`` only newer source rows are read. With ``staging`` the deduplicated
+    rows are written there and computed only once.
     """
     widen = wide_types(source.schema)
     rows = source.select([F.col(c).cast(widen[c]).alias(c) if c in widen else F.col(c) for c in source.columns])
     if timestamp and since is not None:
         rows = rows.filter(F.col(timestamp) > since)
-    latest = dedup_latest(rows, keys, order)
+    latest = staged(dedup_latest(rows, keys, order), staging)
     if target is None:
         return latest
     if set(target.columns) <= set(rows.columns):
-        return upsert(target, latest, keys, rows)
+        return upsert(target, latest, keys, None if staging else rows)
     # The copy has columns the source lost: matched rows keep them.
     added = {c: F.lit(None).cast(rows.schema[c].dataType) for c in missing_columns(rows, target)}
     return upsert_partial(target.withColumns(added), latest, keys, rows.columns)

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from weirstone.operators.retention import RETENTION_DAYS, cutoff
 from weirstone.operators.upsert import upsert, with_matches, without_matches
+from weirstone.sources.tables import staged
 
 
 def create_day_table(df: DataFrame, table: str, day: str) -> None:
@@ -52,18 +53,17 @@ def merge_days(updates: DataFrame, table: str, keys: Sequence[str], day: str, st
     rows have all moved to other days is dropped last. A merge that broke off can be repeated.
     """
     spark = updates.sparkSession
-    updates.write.mode("overwrite").parquet(staging)
-    staged = spark.read.schema(updates.schema).parquet(staging)
+    rows = staged(updates, staging)
     target = spark.table(table)
     placed = target.select(*dict.fromkeys([*keys, day]))
-    new, held = _days(staged, day), _days(with_matches(placed, staged, keys), day)
+    new, held = _days(rows, day), _days(with_matches(placed, rows, keys), day)
     if None in new:
         raise ValueError(f"rows without {day} cannot be placed in {table}")
     in_held = placed.filter(F.col(day).isin(list(held)) if held else F.lit(False))
-    emptied = held - new - _days(without_matches(in_held, staged, keys), day)
+    emptied = held - new - _days(without_matches(in_held, rows, keys), day)
 
     concerned = target.filter(F.col(day).isin(list(held | new)))
-    replace_days(upsert(concerned, staged, keys), table)
+    replace_days(upsert(concerned, rows, keys), table)
     for value in emptied:
         _drop_day(spark, table, day, value)
 

@@ -11,6 +11,18 @@ def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{root}/{name.replace('.', '/')}.parquet")
 
 
+def staged(df: DataFrame, path: str | None) -> DataFrame:
+    """Write ``df`` to a new folder in shared storage and read it back; without a path, ``df``.
+
+    For a costly result that a plan uses several times: it is computed once, and what a lost
+    executor had done of it is not lost.
+    """
+    if path is None:
+        return df
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def read_partitioned(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """Partitioned Parquet with a declared schema; an empty or new folder is an empty table."""
     return spark.read.schema(schema).parquet(path)
