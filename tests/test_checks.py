@@ -41,9 +41,10 @@ def test_large_exports(spark):
     at = ts("2024-01-01 10:05:30")
     df = spark.createDataFrame(
         [(1, ts("2024-01-01 10:00:01"), at, 150), (2, ts("2024-01-01 10:04:00"), at, 250), (3, at, at, 1), (4, ts("2024-01-01 10:00:00"), at, 900)],
-        "userid int, start_time timestamp, end_time timestamp, line_count int",
+        "query int, start_time timestamp, end_time timestamp, line_count int",
     )
     found = quality.large_exports(df, at, lines=100)
+    assert found.columns == ["query_id", "starttime", "endtime", "line_count"]
     assert rows(found) == [(1, "2024-01-01 10:00", "2024-01-01 10:05", 150), (2, "2024-01-01 10:04", "2024-01-01 10:05", 250)]
 
 

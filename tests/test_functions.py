@@ -1,4 +1,5 @@
 import datetime as dt
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -7,7 +8,7 @@ from pyspark.sql import types as T
 from weirstone.functions import dates, jsonpath, text
 from weirstone.operators.masking import mask_type
 from weirstone.sources.buckets import bucket_events, bucket_name, closed_buckets
-from weirstone.sources.sinks import report_path
+from weirstone.sources.sinks import issuer_mapping_path, report_path
 
 from helpers import rows, ts
 
@@ -102,6 +103,17 @@ def test_bucket_events_and_open_bucket(spark):
     assert rows(dated, "partition_dt") == [(dt.date(2024, 1, 1),), (None,)]
 
 
+def test_instants_do_not_follow_the_machine_zone(spark, monkeypatch):
+    monkeypatch.setenv("TZ", "America/New_York")
+    time.tzset()
+    try:
+        shown = F.date_format(dates.instant(ts("2024-01-01 12:00:00")), "yyyy-MM-dd HH:mm")
+        assert spark.range(1).select(shown).first()[0] == "2024-01-01 12:00"
+    finally:
+        monkeypatch.undo()
+        time.tzset()
+
+
 def test_order_key_keeps_long_numbers(spark):
     key = text.order_key(F.col("g"), F.col("n"))
     assert one(spark, key, g="gtc1234", n=1) == "gtc1234-0001"
@@ -137,6 +149,7 @@ def test_report_path():
     latest, dated = report_path("fraud", "csv", dt.date(2025, 11, 9), env="dev", directory="idp", subname="lg99")
     assert latest == "dev/idp/fraud/latest.fraud/lg99.csv"
     assert dated == "dev/idp/fraud/2025/2025-11-09.fraud/lg99.csv"
+    assert issuer_mapping_path("dev") == "dev/portal/issuers_service_provider_id.json"
     assert report_path("x", "csv", dt.date(2025, 1, 2))[1] == "x/2025/2025-01-02.x.csv"
 
 

@@ -71,8 +71,8 @@ def literals_in_conversations(t: Tables) -> DataFrame:
 
 
 @query("""
-    SELECT l_orderkey, l_linenumber, strftime(l_shipdate, '%Y-%m-%d %H:%M') AS start_time,
-           strftime(l_shipdate + INTERVAL 90 SECOND, '%Y-%m-%d %H:%M') AS end_time, l_quantity AS line_count
+    SELECT l_orderkey, l_linenumber, strftime(l_shipdate, '%Y-%m-%d %H:%M') AS starttime,
+           strftime(l_shipdate + INTERVAL 90 SECOND, '%Y-%m-%d %H:%M') AS endtime, l_quantity AS line_count
     FROM lineitem WHERE l_quantity > 45 AND l_shipdate > TIMESTAMP '2001-06-30 23:55:00'
 """)
 def large_exports(t: Tables) -> DataFrame:

@@ -85,7 +85,7 @@ def login_stream(t: Tables) -> DataFrame:
 
 
 @query("""
-    SELECT l_orderkey, strftime(l_shipdate, '%Y-%m-%d %H:%M') AS start_time, strftime(l_shipdate, '%Y-%m-%d %H:%M') AS end_time,
+    SELECT l_orderkey, strftime(l_shipdate, '%Y-%m-%d %H:%M') AS starttime, strftime(l_shipdate, '%Y-%m-%d %H:%M') AS endtime,
            l_quantity AS line_count
     FROM lineitem WHERE l_quantity > 45
 """)

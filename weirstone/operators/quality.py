@@ -14,6 +14,7 @@ from weirstone.functions.dates import instant
 FRESHNESS_HOURS = 31
 EXPORT_LINES = 10000
 EXPORT_MINUTES = 5
+EXPORT_NAMES = {"path": "s3_path", "query": "query_id"}
 LOGIN_MINUTES = 15
 LOGIN_EVENT = "authenticated"
 WATCHED_USERS = ("pii_reader", "superuser")
@@ -85,11 +86,18 @@ def large_exports(
     end: str = "end_time",
     count: str = "line_count",
 ) -> DataFrame:
-    """Exports over the threshold that started after the minute ``minutes`` before ``as_of``."""
+    """Exports over the threshold that started after the minute ``minutes`` before ``as_of``.
+
+    Findings carry times to the minute, under the names of the alert.
+    """
     since = (as_of - dt.timedelta(minutes=minutes)).replace(second=0, microsecond=0)
-    found = df.filter((F.col(count) > lines) & (F.col(start) > instant(since)))
+    return export_findings(df.filter((F.col(count) > lines) & (F.col(start) > instant(since))), start, end)
+
+
+def export_findings(df: DataFrame, start: str = "start_time", end: str = "end_time") -> DataFrame:
     minute = "yyyy-MM-dd HH:mm"
-    return found.withColumns({start: F.date_format(start, minute), end: F.date_format(end, minute)})
+    cut = df.withColumns({start: F.date_format(start, minute), end: F.date_format(end, minute)})
+    return cut.withColumnsRenamed({start: "starttime", end: "endtime"} | EXPORT_NAMES)
 
 
 def watched_logins(

@@ -76,6 +76,11 @@ def provider_files(
     ).select(key, "is_external", F.concat("folder", "file").alias("path"))
 
 
+def issuer_mapping_path(env: str | None = None) -> str:
+    """Where the mapping of issuers to provider ids goes."""
+    return "/".join(p for p in (env, "portal", "issuers_service_provider_id.json") if p is not None)
+
+
 def partner_document_path(provider: Column, cadence: str, period_date: Column, env: str | None = None) -> Column:
     """Where the JSON document of one provider and period goes."""
     base = "/".join(p for p in (env, "portal") if p is not None)

@@ -5,12 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weirstone.operators.quality import EXPORT_LINES
+from weirstone.operators.quality import EXPORT_LINES, export_findings
 
 
 def large_export_stream(stream: DataFrame, lines: int = EXPORT_LINES) -> DataFrame:
     """Each export over the threshold once; a stateless filter needs no look-back window."""
-    minute = "yyyy-MM-dd HH:mm"
-    return stream.filter(F.col("line_count") > lines).withColumns(
-        {"start_time": F.date_format("start_time", minute), "end_time": F.date_format("end_time", minute)}
-    )
+    return export_findings(stream.filter(F.col("line_count") > lines))
