@@ -70,17 +70,14 @@ def test_shared_root(spark):
     assert session.fresh_dir(spark, "x").startswith(root)
 
 
-def test_shared_root_is_required_on_a_cluster():
+def test_shared_root_is_the_same_rule_on_every_master():
     class Conf:
         def get(self, key, default):
             return default
 
-    class Cluster:
-        conf = Conf()
-        sparkContext = type("C", (), {"master": "yarn"})
-
-    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
-        session.shared_root(Cluster())
+    for master in ("local[2]", "local-cluster[2,1,1024]", "yarn"):
+        unset = type("S", (), {"conf": Conf(), "sparkContext": type("C", (), {"master": master})})()
+        assert session.shared_root(unset) == "weirstone-work"
 
 
 def test_a_hot_key_never_reaches_one_task(spark):

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import functools
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -42,23 +40,13 @@ def use_utc(spark: SparkSession) -> SparkSession:
     return spark
 
 
-@functools.cache
-def _local_root() -> str:
-    return tempfile.mkdtemp(prefix="weirstone-")
-
-
 def shared_root(spark: SparkSession) -> str:
     """Folder every executor can reach: ``spark.checkpoint.dir``.
 
-    A machine-local folder is used only by a local session that sets none (tests); on a
-    cluster a missing setting is an error rather than a silent local write.
+    Without that setting it is a relative path, which Spark resolves against the default file
+    system (on a cluster the user's home folder there). The rule is the same on every master.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if root:
-        return root.rstrip("/")
-    if spark.sparkContext.master.startswith("local"):
-        return _local_root()
-    raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    return (spark.conf.get("spark.checkpoint.dir", None) or "weirstone-work").rstrip("/")
 
 
 def fresh_dir(spark: SparkSession, label: str) -> str:
