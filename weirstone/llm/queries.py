@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weirstone.llm import language_id
+from weirstone.llm import language_id, packing, token_counts
 from weirstone.sources.tables import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -29,3 +30,24 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     found, _ = language_id.identify(docs, ~fold(3, 1) & F.col("doc_id").isNotNull())
     return found.select("doc_id", fold(3, 1).alias("held_out"), "language.lang_pred", "language.score", "language.rejected")
+
+
+@_query
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    count = token_counts.token_counter(public_tokenizers.path("word_bpe_49k.json"))
+    text = F.coalesce("text", F.lit(""))
+    return (
+        read_table(spark, sf_dir, "documents")
+        .select("doc_id", F.octet_length(text).cast("long").alias("n_bytes"), count(text).alias("n_tokens"))
+        .withColumn("over_limit", F.col("n_tokens") > 2048)
+    )
+
+
+@_query
+def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(
+        read_table(spark, sf_dir, "documents"),
+        public_tokenizers.path("byte_bpe_50k.tiktoken"),
+        public_tokenizers.PATTERN,
+        {"<|endoftext|>": 50256},
+    )
