@@ -35,11 +35,13 @@ _FOLD[:128][[not chr(i).isalpha() for i in range(128)]] = 32
 
 @dataclass(frozen=True)
 class Settings:
-    """``sample_rows`` labelled rows at most, spread evenly over the languages, of each at most
-    ``sample_chars`` characters: the stated bound of what is fitted on."""
+    """``sample_rows`` labelled rows at most, spread evenly over the languages and at most
+    ``rows_each`` of one, of each row at most ``sample_chars`` characters: the stated bound of what
+    is fitted on. Up to 1000 of a language, Spark limits the ranking before the shuffle."""
 
-    sample_rows: int = 6000
-    sample_chars: int = 1200
+    sample_rows: int = 4000
+    rows_each: int = 1000
+    sample_chars: int = 1000
     buckets: int = 1 << 16
     dimensions: int = 16
     snippet_bytes: int = 200
@@ -95,6 +97,10 @@ def softmax(x: np.ndarray) -> np.ndarray:
     return x / x.sum(axis=1, keepdims=True)
 
 
+def _offsets(raw: list[bytes]) -> np.ndarray:
+    return np.concatenate([[0], np.cumsum([len(r) for r in raw])]).astype(np.int64)
+
+
 def train(texts: list[str], labels: list[str], settings: Settings = Settings()) -> Model | None:
     """Fit on texts in memory; ``None`` without any text."""
     if not texts:
@@ -110,10 +116,6 @@ def train(texts: list[str], labels: list[str], settings: Settings = Settings())
             pieces.append(raw[at : at + settings.snippet_bytes])
             target.append(languages.index(labels[i]))
     target = np.array(target)
-    offsets = np.concatenate([[0], np.cumsum([len(p) for p in pieces])])
-    bucket, row = ngrams(np.frombuffer(b"".join(pieces), np.uint8), offsets, settings.buckets)
-    by_row = np.argsort(row, kind="stable")
-    bucket, bounds = bucket[by_row], np.searchsorted(row[by_row], np.arange(len(pieces) + 1))
     embedding = random.normal(0, 0.1, (settings.buckets, settings.dimensions))
     weight = random.normal(0, 0.1, (settings.dimensions, len(languages)))
     bias = np.zeros(len(languages))
@@ -124,10 +126,9 @@ def train(texts: list[str], labels: list[str], settings: Settings = Settings())
             rate = settings.rate * (1 - done / steps)
             done += 1
             chosen = shuffled[at : at + settings.batch]
-            sizes = bounds[chosen + 1] - bounds[chosen]
-            member = np.repeat(np.arange(len(chosen)), sizes)
-            index = bucket[np.concatenate([np.arange(bounds[i], bounds[i + 1]) for i in chosen])] if len(chosen) else bucket[:0]
-            share = 1.0 / np.maximum(sizes, 1)
+            raw = [pieces[i] for i in chosen]
+            index, member = ngrams(np.frombuffer(b"".join(raw), np.uint8), _offsets(raw), settings.buckets)
+            share = 1.0 / np.maximum(np.bincount(member, minlength=len(chosen)), 1)
             used, place = np.unique(index, return_inverse=True)
             flat = np.bincount(member * len(used) + place, minlength=len(chosen) * len(used)).reshape(len(chosen), -1) * share[:, None]
             hidden = flat @ embedding[used]
@@ -142,7 +143,7 @@ def train(texts: list[str], labels: list[str], settings: Settings = Settings())
     if not len(held):
         return Model(languages, table, bias, 1.0, 0.0)
     raw = [texts[i].encode() for i in held]
-    logits = mean_scores(table, np.frombuffer(b"".join(raw), np.uint8), np.concatenate([[0], np.cumsum([len(p) for p in raw])])) + bias
+    logits = mean_scores(table, np.frombuffer(b"".join(raw), np.uint8), _offsets(raw)) + bias
     truth = np.array([languages.index(labels[i]) for i in held])
     temperature = min(
         (0.25, 0.35, 0.5, 0.7, 1.0, 1.4, 2.0, 2.8, 4.0),
@@ -159,7 +160,7 @@ def labelled_sample(docs: DataFrame, may_learn: Column, settings: Settings = Set
     known = usable.select(lang).distinct().count()
     if not known:
         return [], []
-    each = max(1, settings.sample_rows // known)
+    each = min(settings.rows_each, max(1, settings.sample_rows // known))
     ranked = usable.select(
         F.col(lang).alias("label"),
         F.substring(text, 1, settings.sample_chars).alias("part"),
