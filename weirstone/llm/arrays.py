@@ -124,3 +124,22 @@ def shingles(word_hash: np.ndarray, first_word: np.ndarray, size: int = 5) -> tu
         factor = np.uint64((0x9E3779B97F4A7C15 * (2 * j + 3)) & ((1 << 64) - 1) | 1)
         total += np.where(j < room, mix(padded[begin + j] + np.uint64(j + 1)) * factor, np.uint64(0))
     return mix(total), row
+
+
+class Lookup:
+    """Positions of hashes in a fixed set; a table of bits turns most misses away cheaply."""
+
+    def __init__(self, hashes: np.ndarray, bits: int = 20):
+        self.hashes = np.unique(hashes)
+        self.mask = np.uint64((1 << bits) - 1)
+        self.present = np.zeros(1 << bits, bool)
+        self.present[self.hashes & self.mask] = True
+
+    def __call__(self, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Which of ``wanted`` are in the set (their positions), and where in ``hashes`` each is."""
+        spot = np.flatnonzero(self.present[wanted & self.mask])
+        if not len(spot):
+            return spot, spot
+        at = np.minimum(np.searchsorted(self.hashes, wanted[spot]), len(self.hashes) - 1)
+        hit = self.hashes[at] == wanted[spot]
+        return spot[hit], at[hit]

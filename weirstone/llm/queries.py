@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weirstone.llm import language_id, lattice_lm, packing, token_counts
+from weirstone.llm import decontaminate, language_id, lattice_lm, packing, token_counts
 from weirstone.sources.tables import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -57,3 +57,8 @@ def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_lattice_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     return lattice_lm.score(docs, ~fold(10, 0), public_tokenizers.path("piece_bpe_32k.model"), extra={"held_out": fold(10, 0)})
+
+
+@_query
+def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
