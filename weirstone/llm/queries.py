@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weirstone.llm import decontaminate, language_id, lattice_lm, license_scan, packing, token_counts
+from weirstone.llm import decontaminate, language_id, lattice_lm, license_scan, near_vectors, packing, token_counts
 from weirstone.sources.tables import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -68,3 +68,8 @@ def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     scanned = license_scan.scan(read_table(spark, sf_dir, "documents"))
     return scanned.withColumn("n_detections", F.size("detections").cast("long")).drop("detections")
+
+
+@_query
+def op10_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors.near_duplicates(read_table(spark, sf_dir, "embeddings"))
