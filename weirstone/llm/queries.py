@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weirstone.llm import decontaminate, language_id, lattice_lm, license_scan, near_vectors, packing, quality, token_counts
+from weirstone.llm import decontaminate, language_id, lattice_lm, license_scan, near_vectors, ngram_join, packing, quality, token_counts
 from weirstone.sources.tables import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -81,3 +81,8 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
     judged = quality.classify(docs, labels, ("quality", "toxic"), F.col("source"), F.col("lang"))
     return judged.withColumn("keep", (F.col("quality_score") >= 0.5) & (F.col("toxic_score") < 0.5))
+
+
+@_query
+def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.near_duplicates(read_table(spark, sf_dir, "documents"))
