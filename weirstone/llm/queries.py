@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weirstone.llm import decontaminate, language_id, lattice_lm, license_scan, near_vectors, ngram_join, packing, quality, token_counts
+from weirstone.llm import decontaminate, language_id, lattice_lm, license_scan, near_vectors, ngram_join, packing, quality, suffix_dedup, token_counts
 from weirstone.sources.tables import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -86,3 +86,8 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.near_duplicates(read_table(spark, sf_dir, "documents"))
+
+
+@_query
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.deduplicate(read_table(spark, sf_dir, "documents"))
