@@ -31,11 +31,11 @@ from pyspark.sql import types as T
 from weirstone.llm.arrays import LOWER, NOT_WORD, Prefixes, slices, text_buffer, words
 from weirstone.session import fresh_dir
 
-SAMPLE = 16_000
+SAMPLE = 8_000
 BUCKETS = 1 << 18
 MARKS = 8  # bins of each shape mark
 CLEAR = 4.5  # standard errors between the classes that make a feature count
-FEATURES = 2_000
+FEATURES = 800
 
 _UPPER = np.zeros(256, bool)
 _UPPER[65:91] = True
@@ -121,7 +121,8 @@ def fit(rows: list[np.ndarray], target: np.ndarray, penalty: float = 2.0) -> Hea
     for _ in range(25):
         p = 1 / (1 + np.exp(-np.clip(matrix @ beta, -30, 30)))
         gradient = matrix.T @ (p - target) + ridge * beta
-        curve = (matrix * np.maximum(p * (1 - p), 1e-6)[:, None]).T @ matrix + np.diag(ridge)
+        weighted = matrix * np.maximum(p * (1 - p), 1e-6).astype(np.float32)[:, None]
+        curve = (weighted.T @ matrix).astype(float) + np.diag(ridge)
         step = np.linalg.solve(curve, gradient)
         beta -= step
         if np.abs(step).max() < 1e-6:
@@ -136,7 +137,7 @@ def labelled_rows(docs: DataFrame, labels: DataFrame, heads: tuple[str, ...], ke
     known = docs.select(F.col(key).alias("label_key"), F.col(text).alias("t")).join(some, "label_key")
     table = known.select(feature_numbers("t").alias("f"), *(f"is_{i}" for i in range(len(heads)))).toArrow()
     lists = table["f"].combine_chunks()
-    flat, begin = lists.flatten().to_numpy().astype(np.int64), lists.offsets.to_numpy() if len(lists) else np.zeros(1, int)
+    flat, begin = lists.flatten().to_numpy(), lists.offsets.to_numpy() if len(lists) else np.zeros(1, int)
     rows = [flat[a:b] for a, b in zip(begin[:-1] - begin[0], begin[1:] - begin[0], strict=True)]
     return rows, {h: table[f"is_{i}"].to_numpy().astype(float) for i, h in enumerate(heads)}
 
