@@ -13,14 +13,14 @@ size into pages, each with the coordinate-wise maximum of its points; pages are
 the bound of their maxima allows, points only where their own bound does. Surviving pairs are
 verified on the texts.
 
-Only components are asked for, so pairs are not listed in full. First each document of a top node is
-paired with the node's first document; then the pages pair what is still in different components.
-Two documents that stay in different components have been compared, or a bound keeps them apart.
-Equal texts are one point from the start.
+Only components are asked for, so pairs are not listed in full. In each top node the first document
+of every component so far is paired with the first of them all, in a few rounds; then the pages pair
+what is still in different components. Two documents that stay apart have been compared, or a bound
+keeps them apart. Equal texts are one point from the start.
 
 What each step holds: hot tokens are at most ``HOT_TOKENS`` numbers, sent to all tasks; a node with
-many points is split into chunks that are paired in separate tasks; texts are shuffled once per
-round of verification, only of documents with a surviving pair.
+many points is split into chunks that are paired in separate tasks; texts are shuffled compressed,
+and past that only those of documents with a surviving pair are kept.
 
 Defined cases: null, empty and blank texts have no shingle and are linked with nothing; a text with
 fewer than five words is one shingle. Repeated rows are one component. Rows with a null key belong
@@ -33,6 +33,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -41,7 +42,9 @@ from weirstone.llm.arrays import LOWER, SPACE, Lookup, Prefixes, shingles, slice
 from weirstone.llm.graph import components
 from weirstone.session import fresh_dir
 
-GROUPS = 64
+GROUPS = 256
+FULL = 255  # a document with so many tokens in one group has no point: no bound applies to it
+ROUNDS = 3
 HOT_TOKENS = 200_000
 HOT_FROM = 24
 BLOCK_BYTES = 12 << 20
@@ -101,7 +104,8 @@ def points(texts: DataFrame) -> DataFrame:
                 n = np.diff(begin)
                 row = np.repeat(np.arange(len(n)), n)
                 counts = np.bincount(row * GROUPS + (found % np.uint64(GROUPS)).astype(np.int64), minlength=len(n) * GROUPS).reshape(-1, GROUPS)
-                vectors = [v.tobytes() for v in counts.astype("<u4")]
+                counts[counts.max(axis=1) >= FULL] = FULL
+                vectors = [v.tobytes() for v in counts.astype(np.uint8)]
                 none = pa.nulls(len(n), pa.int64())
                 yield pa.RecordBatch.from_arrays([keys.take(chosen), pa.array(n), pa.array(vectors, pa.binary()), none, none], names=schema.names)
                 blocks.append(found)
@@ -151,19 +155,35 @@ def postings(texts: DataFrame, hot: np.ndarray) -> DataFrame:
     return texts.mapInArrow(post, schema)
 
 
+def point_rows(column: pa.Array) -> np.ndarray:
+    """Points as a matrix of counts."""
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, GROUPS).astype(np.int16)
+
+
 @F.arrow_udf(T.BooleanType())
-def bound_allows(point_a: pa.Array, point_b: pa.Array) -> pa.Array:
+def bound_allows(point_a: pa.Array, n_a: pa.Array, point_b: pa.Array, n_b: pa.Array) -> pa.Array:
     """Whether the summed minima of two points allow the overlap that is asked for."""
-    a, b = (np.frombuffer(p.buffers()[2], "<u4")[p.offset * GROUPS : (p.offset + len(p)) * GROUPS].reshape(-1, GROUPS).astype(np.int64) for p in (point_a, point_b))
-    return pa.array(alike(np.minimum(a, b).sum(axis=1), a.sum(axis=1), b.sum(axis=1)))
+    a, b = point_rows(point_a), point_rows(point_b)
+    size_a, size_b = n_a.to_numpy(), n_b.to_numpy()
+    none = (a[:, 0] == FULL) | (b[:, 0] == FULL)
+    return pa.array(none | alike(np.minimum(a, b).sum(axis=1, dtype=np.int64), size_a, size_b))
+
+
+@F.arrow_udf(T.BinaryType())
+def compressed(text: pa.Array) -> pa.Array:
+    pack = zstandard.ZstdCompressor(level=1)
+    return pa.array([pack.compress(t.encode()) for t in text.to_pylist()], pa.binary())
 
 
 @F.arrow_udf(T.BooleanType())
-def verified(text_a: pa.Array, text_b: pa.Array) -> pa.Array:
+def verified(zip_a: pa.Array, zip_b: pa.Array) -> pa.Array:
     """Whether the shingle sets of two texts have a Jaccard similarity of at least 0.8."""
+    unpack = zstandard.ZstdDecompressor()
     result = []
-    for (i, a), b in zip(enumerate(_sets(text_a)), _sets(text_b), strict=True):
-        result.append(bool(len(a) and len(b) and alike(len(np.intersect1d(a, b, assume_unique=True)), len(a), len(b))))
+    for first in range(0, len(zip_a), 256):
+        texts = [pa.array([unpack.decompress(z).decode() for z in column.slice(first, 256).to_pylist()], pa.large_string()) for column in (zip_a, zip_b)]
+        for a, b in zip(*map(_sets, texts), strict=True):
+            result.append(bool(len(a) and len(b) and alike(len(np.intersect1d(a, b, assume_unique=True)), len(a), len(b))))
     return pa.array(result, pa.bool_())
 
 
@@ -180,19 +200,23 @@ def page_pairs(th: np.ndarray, n: np.ndarray, point: np.ndarray, root: np.ndarra
     made_a, made_b = [], []
     pages_a = [left[i : i + PAGE] for i in range(0, len(left), PAGE)]
     pages_b = pages_a if same else [right[i : i + PAGE] for i in range(0, len(right), PAGE)]
-    top = {id(p): point[p].max(axis=0) for p in [*pages_a, *pages_b]}
-    tops_b = np.stack([top[id(p)] for p in pages_b])
+    tops = np.stack([point[p].max(axis=0) for p in pages_b])
+    free = tops.max(axis=1) == FULL
     low_b, high_b = np.array([n[p].min() for p in pages_b]), np.array([n[p].max() for p in pages_b])
     for x, a in enumerate(pages_a):
         low, high = n[a].min(), n[a].max()
         # sizes within a factor of 0.8, and maxima that allow the least overlap asked for
-        near = (5 * high_b >= 4 * low) & (5 * high >= 4 * low_b) & alike(np.minimum(top[id(a)], tops_b).sum(axis=1), low, low_b)
+        top = point[a].max(axis=0)
+        bound = alike(np.minimum(top, tops).sum(axis=1, dtype=np.int64), low, low_b) | free | (top.max() == FULL)
+        near = (5 * high_b >= 4 * low) & (5 * high >= 4 * low_b) & bound
         for y in np.flatnonzero(near).tolist():
             if same and y < x:
                 continue
             b = pages_b[y]
-            overlap = np.minimum(point[a][:, None, :], point[b][None, :, :]).sum(axis=2)
-            ok = alike(overlap, n[a][:, None], n[b][None, :]) & (root[a][:, None] != root[b][None, :])
+            overlap = np.minimum(point[a][:, None, :], point[b][None, :, :]).sum(axis=2, dtype=np.int64)
+            none = (point[a][:, :1] == FULL) | (point[b][:, 0] == FULL)[None, :]
+            sizes = (5 * n[a][:, None] >= 4 * n[b][None, :]) & (5 * n[b][None, :] >= 4 * n[a][:, None])
+            ok = (none | alike(overlap, n[a][:, None], n[b][None, :])) & sizes & (root[a][:, None] != root[b][None, :])
             i, j = np.nonzero(ok)
             made_a.append(th[a[i]])
             made_b.append(th[b[j]])
@@ -202,26 +226,36 @@ def page_pairs(th: np.ndarray, n: np.ndarray, point: np.ndarray, root: np.ndarra
     return np.minimum(a, b), np.maximum(a, b)
 
 
-def tree_pairs(lists: DataFrame, measured: DataFrame, roots: DataFrame | None) -> DataFrame:
+def with_roots(lists: DataFrame, roots: DataFrame | None) -> DataFrame:
+    if roots is None:
+        return lists.withColumn("root", F.col("th"))
+    return lists.join(roots.select(F.col("node").alias("th"), "root"), "th", "left").withColumn("root", F.coalesce("root", "th"))
+
+
+def tree_pairs(named: DataFrame, measured: DataFrame) -> DataFrame:
     """Distinct pairs ``a < b`` of one top node, of different components, that the bounds allow.
 
-    Nodes with the same documents are one node; nodes of one component have nothing to pair."""
-    named = lists.withColumn("root", F.col("th")) if roots is None else lists.join(roots.select(F.col("node").alias("th"), "root"), "th", "left").withColumn("root", F.coalesce("root", "th"))
+    ``named`` has token, th, n and root. Nodes with the same documents are one node; nodes of one
+    component have nothing to pair, and a document without another of a fitting size in its node
+    has no partner there."""
     shape = named.groupBy("token").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("size"), F.bit_xor(F.xxhash64("th")).alias("x"), F.sum(F.xxhash64(F.lit(1), "th") % 1_000_000_007).alias("y"))
     unlike = shape.where((F.col("low") != F.col("high")) & (F.col("size") > 2))
     once = unlike.groupBy("size", "x", "y").agg(F.min("token").alias("token")).select("token")
-    members = named.join(once, "token", "left_semi").join(measured, "th")
-    place = F.row_number().over(Window.partitionBy("token").orderBy("n", "th")) - 1
-    chunked = members.select("token", "th", "n", "point", "root", F.floor(place / CHUNK).cast("int").alias("chunk"))
-    sizes = once.join(shape, "token").select("token", F.ceil(F.col("size") / CHUNK).cast("int").alias("chunks"))
-    units = chunked.join(sizes, "token").select("*", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("other"))
+    order = Window.partitionBy("token").orderBy("n", "th")
+    fits = F.coalesce(5 * F.lag("n").over(order) >= 4 * F.col("n"), F.lit(False)) | F.coalesce(5 * F.col("n") >= 4 * F.lead("n").over(order), F.lit(False))
+    members = named.join(once, "token", "left_semi").withColumn("fits", fits).where("fits")
+    place = F.row_number().over(order) - 1
+    chunked = _keep(members.select("token", "th", "n", "root", F.floor(place / CHUNK).cast("int").alias("chunk")), "chunks")
+    chunks = chunked.groupBy("token").agg((F.max("chunk") + 1).alias("chunks"))
+    units = chunked.join(chunks, "token").select("*", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("other"))
+    units = units.join(measured.select("th", "point"), "th")
     units = units.select("token", F.least("chunk", "other").alias("i"), F.greatest("chunk", "other").alias("j"), "chunk", "th", "n", "point", "root")
     schema = T.StructType([T.StructField("a", LONG), T.StructField("b", LONG)])
 
     def pair(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def solve(table: pa.Table) -> pa.RecordBatch:
             columns = {c: table[c].to_numpy() for c in ("token", "i", "j", "chunk", "th", "n", "root")}
-            point = np.frombuffer(b"".join(table["point"].to_pylist()), "<u4").reshape(-1, GROUPS).astype(np.int64)
+            point = point_rows(table["point"])
             unit = np.ones(len(table), bool)
             for c in ("token", "i", "j"):
                 unit[1:] &= columns[c][1:] == columns[c][:-1]
@@ -236,8 +270,8 @@ def tree_pairs(lists: DataFrame, measured: DataFrame, roots: DataFrame | None) -
                     left, right = rows[first], rows[~first]
                 if len(left) and len(right):
                     made.append(page_pairs(columns["th"], columns["n"], point, columns["root"], left, right))
-            a, b = (np.concatenate(x) for x in zip(*made, strict=True))
-            return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
+            found = np.unique(np.stack([np.concatenate(x) for x in zip(*made, strict=True)], axis=1), axis=0)
+            return pa.RecordBatch.from_arrays([pa.array(found[:, 0]), pa.array(found[:, 1])], names=["a", "b"])
 
         held: list[pa.RecordBatch] = []
         for batch in batches:  # sorted: the last unit may go on in the next batch
@@ -268,40 +302,62 @@ def text_key(text: Column) -> Column:
     return F.xxhash64(text)
 
 
-def confirm(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+def fetch(texts: DataFrame, needed: DataFrame) -> DataFrame:
+    """Compressed texts of the keys in ``needed``, each once."""
+    packed = texts.select("th", compressed("text").alias("zip"))
+    return _keep(packed.join(needed, "th", "left_semi").dropDuplicates(["th"]), "texts")
+
+
+def ends(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.col("a").alias("th")).unionAll(pairs.select("b")).distinct()
+
+
+def confirm(pairs: DataFrame, some: DataFrame) -> DataFrame:
     """The pairs ``a``, ``b`` whose texts are similar."""
-    needed = pairs.select(F.col("a").alias("th")).unionAll(pairs.select("b")).distinct()
-    some = _keep(texts.join(needed, "th", "left_semi").dropDuplicates(["th"]), "texts")
-    both = pairs.join(some.select(F.col("th").alias("b"), F.col("text").alias("text_b")), "b").join(some.select(F.col("th").alias("a"), F.col("text").alias("text_a")), "a")
-    return both.where(verified("text_a", "text_b")).select("a", "b")
+    both = pairs.join(some.select(F.col("th").alias("b"), F.col("zip").alias("zip_b")), "b").join(some.select(F.col("th").alias("a"), F.col("zip").alias("zip_a")), "a")
+    return both.where(verified("zip_a", "zip_b")).select("a", "b")
+
+
+def star_pairs(named: DataFrame, measured: DataFrame) -> DataFrame:
+    """In each top node the first document of every component with the first of them all."""
+    first = named.groupBy("token", "root").agg(F.min(F.struct("th", "n")).alias("one"))
+    lead = F.min("one").over(Window.partitionBy("token"))
+    pairs = first.select(lead.alias("lead"), "one").where("one.th <> lead.th and 5 * one.n >= 4 * lead.n and 5 * lead.n >= 4 * one.n")
+    pairs = pairs.select(F.col("lead.th").alias("a"), F.col("lead.n").alias("n_a"), F.col("one.th").alias("b"), F.col("one.n").alias("n_b")).distinct()
+    pairs = pairs.join(measured.select(F.col("th").alias("a"), F.col("point").alias("point_a")), "a").join(measured.select(F.col("th").alias("b"), F.col("point").alias("point_b")), "b")
+    return pairs.where(bound_allows("point_a", "n_a", "point_b", "n_b")).select("a", "b")
 
 
 def linked_texts(docs: DataFrame, text: str = "text") -> tuple[DataFrame, DataFrame]:
     """``th``, ``n`` of every text, and ``node``, ``root`` of those that are linked."""
-    spark = docs.sparkSession
     texts = docs.where(F.col(text).isNotNull()).select(text_key(F.col(text)).alias("th"), F.col(text).alias("text"))
     raw = _keep(points(texts), "points")
     measured = _keep(raw.where(F.col("th").isNotNull()).groupBy("th").agg(F.max("n").alias("n"), F.max("point").alias("point")), "measured")
     frequent = raw.where(F.col("token").isNotNull()).groupBy("token").agg(F.sum("seen").alias("seen")).where(F.col("seen") >= HOT_FROM)
     hot = frequent.orderBy(F.col("seen").desc(), "token").limit(HOT_TOKENS).select("token").toArrow()["token"].to_numpy().view(np.uint64)
     node = Window.partitionBy("token")
-    posted = postings(texts, hot).select("token", "th", "n", F.min("th").over(node).alias("lead"), F.max("th").over(node).alias("last"))
-    lists = _keep(posted.where("lead <> last").select("token", "th", "n", "lead").distinct(), "nodes")
-    # every document with the first of its nodes, as far as sizes and points allow
-    first = lists.where("th <> lead").select(F.col("lead").alias("a"), F.col("th").alias("b")).distinct()
-    sized = first.join(measured.select(F.col("th").alias("a"), F.col("n").alias("n_a"), F.col("point").alias("point_a")), "a").where(F.col("n_a") > 0)
-    sized = sized.join(measured.select(F.col("th").alias("b"), F.col("n").alias("n_b"), F.col("point").alias("point_b")), "b").where((5 * F.col("n_a") >= 4 * F.col("n_b")) & (5 * F.col("n_b") >= 4 * F.col("n_a")))
-    stars = _keep(sized.where(bound_allows("point_a", "point_b")).select("a", "b"), "stars")
-    hoped = components(stars)
-    nodes = lists.select("token", "th")
-    across = tree_pairs(nodes, measured.select("th", "n", "point"), hoped)
-    tried = _keep(stars.unionByName(across).distinct(), "pairs")
-    edges = _keep(confirm(tried, texts), "links")
-    # what a failed pair leaves apart is paired with all that it has not been compared with
-    left = _keep(tree_pairs(nodes, measured.select("th", "n", "point"), components(edges)).join(tried, ["a", "b"], "left_anti"), "pairs")
+    posted = postings(texts, hot).select("token", "th", "n", F.min("th").over(node).alias("first"), F.max("th").over(node).alias("last"))
+    lists = _keep(posted.where("first <> last").select("token", "th", "n").distinct(), "nodes")
+    fresh = _keep(star_pairs(with_roots(lists, None), measured), "pairs")
+    some = fetch(texts, ends(fresh))
+    tried, edges, roots = fresh.limit(0), None, None
+    for _ in range(ROUNDS):
+        found = confirm(fresh, some)
+        tried = tried.unionByName(fresh)
+        edges = _keep(found if edges is None else edges.unionByName(found), "links")
+        roots = _keep(components(edges), "roots")
+        fresh = star_pairs(with_roots(lists, roots), measured).join(tried, ["a", "b"], "left_anti")
+        fresh = _keep(fresh.join(some.select(F.col("th").alias("a")), "a", "left_semi").join(some.select(F.col("th").alias("b")), "b", "left_semi"), "pairs")
+        if fresh.isEmpty():
+            break
+    # what is left in different components is paired in full, as far as the bounds allow
+    left = _keep(tree_pairs(with_roots(lists, roots), measured).join(tried, ["a", "b"], "left_anti"), "pairs")
+    missing = ends(left).join(some, "th", "left_anti")
     if not left.isEmpty():
-        edges = _keep(edges.unionByName(confirm(left, texts)), "links")
-    return measured.select("th", "n"), components(edges)
+        if not missing.isEmpty():
+            some = some.unionByName(fetch(texts, missing))
+        roots = components(_keep(edges.unionByName(confirm(left, some)), "links"))
+    return measured.select("th", "n"), roots
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
