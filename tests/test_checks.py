@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from weirstone.operators import access, filters, masking, metrics, pii, quality
-from weirstone.operators.decrypt import EVENT_SCHEMA, aes_gcm, decrypt_events, process_encrypted, register_decryptor
+from weirstone.operators.decrypt import EVENT_SCHEMA, aes_gcm, decrypt_events, decryption, mark_days, process_encrypted, register_decryptor, register_series_decryptor
 
 from helpers import plan, rows, ts
 
@@ -259,17 +259,38 @@ def test_decrypt(spark):
     assert failed.columns == ["event_key", "message"]
 
 
-def test_process_encrypted_twice(spark):
+DAY = dt.date(2026, 1, 1)
+
+
+def test_process_encrypted_twice(spark, tmp_path):
     rows_in = [tuple(r) for r in encrypted(spark).collect()]
-    table = spark.createDataFrame([(k, m, None) for k, m in rows_in], "event_key string, message string, dw_processed_at timestamp")
+    table = spark.createDataFrame([(k, m, None, DAY) for k, m in rows_in], "event_key string, message string, dw_processed_at timestamp, partition_dt date")
     events = spark.createDataFrame([], EVENT_SCHEMA)
-    first = process_encrypted(table, events, aes_gcm(secret()), ts("2026-01-01"))
+    first = process_encrypted(table, events, aes_gcm(secret()), ts("2026-01-01"), str(tmp_path / "one"))
     assert first.events.count() == 4 and first.failed.count() == 3
     assert rows(first.encrypted.filter("dw_processed_at is null"), "event_key") == [("broken",), ("not json",), ("null",)]
-    again = process_encrypted(first.encrypted, first.events, aes_gcm(secret()), ts("2026-02-01"))
+    again = process_encrypted(first.encrypted, first.events, aes_gcm(secret()), ts("2026-02-01"), str(tmp_path / "two"))
     assert rows(again.events) == rows(first.events) and rows(again.encrypted) == rows(first.encrypted)
 
 
+def test_marks_go_to_the_decrypted_day_only(spark, tmp_path):
+    """One key on three days: good, not decryptable, and processed a year earlier."""
+    good = encrypted(spark).filter("event_key = 'flat'").first().message
+    days = [dt.date(2026, 1, n) for n in (1, 2, 3)]
+    data = [("k", good, None, days[0]), ("k", "nonsense", None, days[1]), ("k", good, ts("2025-01-01"), days[2])]
+    table = spark.createDataFrame(data, "event_key string, message string, dw_processed_at timestamp, partition_dt date")
+    done = process_encrypted(table, spark.createDataFrame([], EVENT_SCHEMA), aes_gcm(secret()), ts("2026-02-01"), str(tmp_path / "s"))
+    assert rows(done.encrypted, "partition_dt", "dw_processed_at") == [(days[0], ts("2026-02-01")), (days[1], None), (days[2], ts("2025-01-01"))]
+    assert rows(done.failed, "partition_dt") == [(days[1],)]
+    assert rows(mark_days(table, done), "partition_dt") == [(d,) for d in days[:2]]
+
+
+def test_one_decryption_per_row(spark, tmp_path):
+    encrypted(spark).write.parquet(str(tmp_path / "in"))
+    text = plan(decryption(spark.read.parquet(str(tmp_path / "in")), aes_gcm(secret()), ts("2026-01-01")))
+    assert text.lower().count("aesdecrypt") == 1 and text.count("Scan parquet") == 1
+
+
 def test_decrypt_with_a_callers_function(spark):
     @F.pandas_udf("string")
     def reverse(s):
@@ -280,7 +301,11 @@ def test_decrypt_with_a_callers_function(spark):
     assert rows(ok, "event_key", "user_id") == [("a", 7)] and rows(failed, "event_key") == [("b",)]
 
 
-def test_registered_decryptor(spark):
-    register_decryptor(spark, lambda text, key: f"{text[::-1]}-{key}" if text else None)
+def test_registered_decryptors(spark):
+    register_series_decryptor(spark, lambda text, ids: text.str[::-1] + "-" + ids.astype(str))
     df = spark.sql("SELECT decrypt_udf(t, id) AS d FROM VALUES ('abc', 1L), (NULL, 2L) AS x(t, id)")
     assert rows(df) == [("cba-1",), (None,)]
+    register_decryptor(spark, "encode('sixteen byte key', 'UTF-8')")
+    found = encrypted(spark).select("event_key", F.expr("decrypt_message(message)").alias("t"))
+    assert "Python" not in plan(found)
+    assert [(k, t is None) for k, t in rows(found)] == [(k, k in ("broken", "null")) for k in ("broken", "empty", "flat", "nested", "not json", "null", "null user")]

@@ -159,3 +159,19 @@ def test_mask_type():
     assert [mask_type(k) for k in kinds] == [
         "VARCHAR(MAX)", "CHAR(5)", "VARCHAR(MAX)", "NUMERIC", "NUMERIC", "DATE", "TIMESTAMP", "BOOLEAN", "SUPER", "VARCHAR(MAX)",
     ]
+
+
+def test_text_after_a_document_is_no_document(spark):
+    texts = ['{"id":"d"}{"id":"e"}', '{"id":"a"} junk', ' {"id":"b"} \n', '{"id":"c","t":"} not the end {"}', '{"id":"f"}]', '{"id":"g"},', '{"id":"h","p":{"x":[{"y":1}, {"y":2}]}}']
+    df = spark.createDataFrame([(t,) for t in texts], "m string")
+    got = jsonpath.with_document(df, F.col("m"), ["id"]).select(jsonpath.field("id")).collect()
+    assert [r[0] for r in got] == [None, None, "b", "c", None, None, "h"]
+
+
+def test_booleans_are_strict(spark):
+    values = ["true", "false", "1", '"t"', '"yes"', '"true"', "null", "[true]"]
+    df = spark.createDataFrame([(n, f'{{"p":{{"flag":{v}}},"q":"text"}}') for n, v in enumerate(values)], "n int, m string")
+    typed = jsonpath.with_document(df, F.col("m"), ["p.flag", "q"], booleans=["p.flag"])
+    assert rows(typed.filter(jsonpath.field_equals("p.flag", True)), "n") == [(0,)]
+    assert rows(typed.filter(jsonpath.field_equals("p.flag", False)), "n") == [(1,)]
+    assert typed.filter(jsonpath.field_equals("q", "text")).count() == len(values)

@@ -182,9 +182,14 @@ def test_sync_creates_adds_columns_and_keeps_lost_ones(spark, tmp_path):
 def test_sync_since(spark):
     source = spark.createDataFrame([(1, ts("2024-01-01")), (2, ts("2024-03-01"))], "k int, at timestamp")
     metadata = spark.createDataFrame([("t", ts("2024-02-01"))], "table_name string, last_sync_time timestamp")
-    since = tablesync.last_sync(metadata, "t", ts("2024-03-02"))
-    assert rows(tablesync.sync_table(source, None, ["k"], [F.col("at")], F.lit(since), "at"), "k") == [(2,)]
-    assert tablesync.last_sync(metadata, "new", ts("2024-03-07")) == ts("2024-03-01")
+    source = source.unionByName(spark.createDataFrame([(3, None)], source.schema))
+    since = tablesync.last_sync(metadata, "t")
+    empty = source.limit(0)
+    assert rows(tablesync.sync_table(source, empty, ["k"], [F.col("at")], F.lit(since), "at"), "k") == [(2,), (3,)]
+    # the first sync copies everything, whatever its age
+    assert tablesync.last_sync(metadata, "new") is None
+    for first in (F.lit(since), None):
+        assert rows(tablesync.sync_table(source, None, ["k"], [F.col("at")], first, "at"), "k") == [(1,), (2,), (3,)]
     assert rows(tablesync.record_sync(metadata, "t", ts("2024-03-02"))) == [("t", ts("2024-03-02"))]
 
 

@@ -214,6 +214,8 @@ def partner_rows(spark):
             ("three", "Three", "A", 3, "2026-03-01", 20260301, "invalid_number", None),
             *[("four", "Four", "A", 4, "2026-03-01", 20260301, str(n), "1") for n in range(3)],
             ("five", "Five", "A", None, "2026-03-01", 20260301, "5", "5"),
+            (None, "Six", "A", 6, "2026-03-01", 20260301, "5", "5"),
+            (None, "Seven", "A", 7, "2026-03-01", 20260301, "5", "5"),
         ],
         ROW,
     )
@@ -222,7 +224,8 @@ def partner_rows(spark):
 def test_partner_rows_are_checked(spark):
     checked = partner.checked_rows(partner_rows(spark), FIELDS)
     assert rows(checked, "issuer", "status", "bad_values") == [
-        ("five", "ok", 0), ("four", "duplicate_issuer", 0), ("one", "ok", 0), ("three", "ok", 1), ("two", "missing_field", 0),
+        ("five", "missing_id", 0), *[("four", "duplicate_issuer", 0)] * 3, ("one", "ok", 0), ("three", "ok", 1), ("two", "missing_field", 0),
+        *[(None, "missing_field", 0)] * 2,
     ]
 
 

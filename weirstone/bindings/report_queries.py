@@ -87,7 +87,7 @@ def demographics_states_all_issuers(t: Tables) -> DataFrame:
     events = demographic_events(t)
     listed = events.select(F.col("service_provider").alias("issuer")).distinct()
     listed = listed.unionByName(t.spark.range(1).select(F.lit("sp-none").alias("issuer")))
-    users = demographics.verified_users(events, *QUARTER, issuers=listed)
+    users = demographics.verified_users(events, *QUARTER)
     return demographics.table_per_issuer(listed, demographics.state_table(users))
 
 

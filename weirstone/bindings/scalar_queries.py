@@ -114,11 +114,11 @@ def first_payload(t: Tables) -> DataFrame:
 """)
 def event_date_parts(t: Tables) -> DataFrame:
     ts = F.col("ts")
-    seconds = (dates.micros(ts) / F.lit(1e6)).cast("double")
+    seconds = dates.micros(ts).cast("decimal(20,0)") / F.lit(1_000_000)
     return t.events.select(
         "event_id",
         stamp(dates.bucket_floor(ts)).alias("bucket"),
-        stamp(F.timestamp_micros(F.round(dates.micros(dates.epoch_seconds(seconds))).cast("bigint"))).alias("from_epoch"),
+        stamp(dates.epoch_seconds(seconds)).alias("from_epoch"),
         dates.date_key(ts).alias("date_key"),
         dates.month_key(ts).alias("month_key"),
         dates.month_name(ts).alias("month_name"),

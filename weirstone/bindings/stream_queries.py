@@ -7,24 +7,23 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from weirstone.bindings.load_queries import SPEC
+from weirstone.bindings.load_queries import SPEC, existing_logs
 from weirstone.bindings.quality_queries import SQL_LOGIN_WINDOWS
 from weirstone.bindings.registry import SQL_K, Tables, k, query, sql_stamp, stamp
 from weirstone.bindings.sample_logs import SQL_EVENT_COLUMNS, raw_events
 from weirstone.functions.dates import instant
-from weirstone.operators.decrypt import Processed, aes_gcm, decrypt_events, process_encrypted
+from weirstone.operators.decrypt import Processed, aes_gcm, decryption, process_encrypted, register_decryptor
+from weirstone.operators.quality import watched_login_windows
+from weirstone.operators.upsert import upsert
 from weirstone.session import fresh_dir
 from weirstone.sources.logs import stream_raw_logs
-from weirstone.streaming.decrypt import decrypt_stream, decrypted_events
+from weirstone.streaming.decrypt import decrypt_stream, decrypted_events, failed_events
 from weirstone.streaming.exports import large_export_stream
-from weirstone.streaming.ingest import current_events, ingest_events
+from weirstone.streaming.ingest import current_events, fold_batches, ingest_events
 from weirstone.streaming.logins import watched_login_stream
 from weirstone.streaming.logs import compact_logs, current_logs, extract_logs
 from weirstone.streaming.runner import drain_to_files
 
-DELAY = "10 minutes"
-
-
 def stream_table(t: Tables, name: str) -> DataFrame:
     """A sample table as a file stream; times become zoned, as watermarks need."""
     schema = getattr(t, name).schema
@@ -37,23 +36,44 @@ def stream_table(t: Tables, name: str) -> DataFrame:
     WITH closed AS (
         SELECT user_id || ':' || event_type AS event_key, time_bucket(INTERVAL '5 minutes', ts) AS bucket, ts, props AS message
         FROM events
-        WHERE time_bucket(INTERVAL '5 minutes', ts) + INTERVAL '5 minutes' <= (SELECT max(ts) - INTERVAL 10 MINUTES FROM events)
+        WHERE time_bucket(INTERVAL '5 minutes', ts) <> (SELECT time_bucket(INTERVAL '5 minutes', max(ts)) FROM events)
     )
     SELECT event_key, message, 'fraud-ops-events:' || strftime(bucket, '%Y-%m-%dT%H:%M:%SZ') AS bucket_name,
            strftime(bucket, '%Y-%m-%d') AS partition_dt, '2024-02-01 00:00:00.000000' AS dw_created_at
     FROM closed
-    QUALIFY row_number() OVER (PARTITION BY event_key ORDER BY bucket DESC, ts DESC, message DESC) = 1
+    QUALIFY row_number() OVER (PARTITION BY event_key, CAST(bucket AS DATE) ORDER BY bucket DESC, ts DESC, message DESC) = 1
 """)
 def ingest_stream(t: Tables) -> DataFrame:
+    """All that has arrived but the bucket that is open at the time of the last event."""
+    return current_events(t.spark, ingested(t), last_event(t)).select(
+        "event_key", "message", "bucket_name", F.col("partition_dt").cast("string").alias("partition_dt"),
+        stamp("dw_created_at").alias("dw_created_at"),
+    )
+
+
+def ingested(t: Tables) -> str:
     work = fresh_dir(t.spark, "ingest")
     stream = stream_table(t, "events").select(
         F.concat_ws(":", "user_id", "event_type").alias("event_key"), F.col("props").alias("message"), "ts"
     )
-    ingest_events(stream, f"{work}/batches", f"{work}/checkpoint", DELAY, instant(dt.datetime(2024, 2, 1)))
-    return current_events(t.spark, f"{work}/batches").select(
-        "event_key", "message", "bucket_name", F.col("partition_dt").cast("string").alias("partition_dt"),
-        stamp("dw_created_at").alias("dw_created_at"),
-    )
+    ingest_events(stream, f"{work}/batches", f"{work}/checkpoint", loaded_at=instant(dt.datetime(2024, 2, 1)))
+    return f"{work}/batches"
+
+
+def last_event(t: Tables) -> dt.datetime:
+    return t.events.agg(F.max("ts")).first()[0]
+
+
+@query("""
+    SELECT user_id || ':' || event_type AS event_key, props AS message, strftime(ts, '%Y-%m-%d') AS partition_dt
+    FROM events
+    QUALIFY row_number() OVER (PARTITION BY event_key, CAST(ts AS DATE) ORDER BY ts DESC, message DESC) = 1
+""")
+def fold_batches_events(t: Tables) -> DataFrame:
+    """A day after the last event every bucket is closed and every batch is folded."""
+    batches = ingested(t)
+    table = fold_batches(t.spark, batches, fresh_dir(t.spark, "encrypted"), last_event(t) + dt.timedelta(days=1))
+    return table.select("event_key", "message", F.col("partition_dt").cast("string").alias("partition_dt"))
 
 
 @query(f"""
@@ -66,21 +86,40 @@ def log_stream(t: Tables) -> DataFrame:
     """Raw rows written as files, streamed, extracted; then the current rows."""
     work = fresh_dir(t.spark, "logs")
     raw_events(t).withColumn("cloudwatch_timestamp", F.col("cloudwatch_timestamp").cast("timestamp")).write.parquet(f"{work}/raw")
-    extract_logs(stream_raw_logs(t.spark, f"{work}/raw"), SPEC, "id", f"{work}/table", f"{work}/rejects", f"{work}/checkpoint")
+    extract_logs(stream_raw_logs(t.spark, f"{work}/raw"), SPEC, "id", f"{work}/table", f"{work}/checkpoint")
     current = current_logs(t.spark, f"{work}/table", "id")
-    merged = compact_logs(t.spark, current.limit(0), f"{work}/table", "id")
-    return merged.drop("message").withColumn("cloudwatch_timestamp", stamp("cloudwatch_timestamp"))
+    return current.drop("message").withColumn("cloudwatch_timestamp", stamp("cloudwatch_timestamp"))
+
+
+@query(f"""
+    WITH e AS (SELECT {SQL_EVENT_COLUMNS})
+    SELECT CAST(event_id AS VARCHAR) AS id, CASE WHEN event_type = 'error' THEN 'newer' ELSE 'late' END AS name
+    FROM e WHERE n NOT IN (0, 1)
+    UNION ALL SELECT 'x' || event_id, 'other' FROM e
+""")
+def compact_logs_events(t: Tables) -> DataFrame:
+    """Batches are compacted; then another load makes some rows newer; these survive the next one."""
+    work = fresh_dir(t.spark, "logs")
+    raw_events(t).withColumn("cloudwatch_timestamp", F.col("cloudwatch_timestamp").cast("timestamp")).write.parquet(f"{work}/raw")
+    extract_logs(stream_raw_logs(t.spark, f"{work}/raw"), SPEC, "id", f"{work}/table", f"{work}/checkpoint")
+    other = existing_logs(t).filter("id like 'x%'").withColumn("cloudwatch_timestamp", F.col("cloudwatch_timestamp").cast("timestamp"))
+    first = compact_logs(t.spark, other, f"{work}/table", "id", f"{work}/first")
+    errors = t.events.filter("event_type = 'error'").select(F.col("event_id").cast("string").alias("id"))
+    newer = first.join(errors, "id", "left_semi").withColumn("name", F.lit("newer")).select(*first.columns)
+    second = compact_logs(t.spark, upsert(first, newer, ["id"]), f"{work}/table", "id", f"{work}/second")
+    return second.select("id", "name")
 
 
-@query(SQL_LOGIN_WINDOWS.format(where="WHERE w + INTERVAL 15 MINUTES <= (SELECT max(ts) - INTERVAL 10 MINUTES FROM events WHERE event_type = 'signup')"))
+@query(SQL_LOGIN_WINDOWS.format(where=""))
 def login_stream(t: Tables) -> DataFrame:
+    """An alert per login, and their windows when they are read."""
     work = fresh_dir(t.spark, "logins")
     stream = stream_table(t, "events").select(
         F.concat(F.lit(" user-"), "user_id").alias("user_name"), F.col("event_type").alias("event"), F.col("ts").alias("record_time")
     )
-    windows = watched_login_stream(stream, DELAY, users=None, event="signup")
-    drain_to_files(windows, f"{work}/windows", f"{work}/checkpoint")
-    rows = t.spark.read.schema(windows.schema).parquet(f"{work}/windows")
+    alerts = watched_login_stream(stream, users=None, event="signup")
+    drain_to_files(alerts, f"{work}/alerts", f"{work}/checkpoint")
+    rows = watched_login_windows(t.spark.read.schema(alerts.schema).parquet(f"{work}/alerts"), None)
     return rows.withColumns({c: stamp(c) for c in ("window_start", "window_end")})
 
 
@@ -104,7 +143,7 @@ def encrypted_events(t: Tables) -> DataFrame:
     payload = F.struct(
         "user_id",
         F.concat(F.lit("uuid-"), "user_id").alias("user_uuid"),
-        (F.unix_micros(F.col("ts").cast("timestamp")) / F.lit(1e6)).alias("occurred_at"),
+        (F.unix_micros(F.col("ts").cast("timestamp")).cast("decimal(20,0)") / F.lit(1_000_000)).cast("decimal(20,6)").alias("occurred_at"),
     )
     events = F.map_from_arrays(F.array(F.concat(F.lit("urn:type:"), "event_type")), F.array(payload))
     text = F.to_json(F.struct(F.col("event_id").cast("string").alias("jti"), events.alias("events")))
@@ -112,32 +151,46 @@ def encrypted_events(t: Tables) -> DataFrame:
     secret = F.when(number == 1, secret_key("another key 0000")).otherwise(secret_key())
     message = F.when(number == 0, "no cipher text!").otherwise(F.base64(F.aes_encrypt(text, secret, F.lit("GCM"))))
     processed = F.when(F.col("event_type") == "error", F.col("ts").cast("timestamp"))
-    return t.events.select(F.col("event_id").cast("string").alias("event_key"), message.alias("message"), processed.alias("dw_processed_at"))
+    return t.events.select(
+        F.col("event_id").cast("string").alias("event_key"), message.alias("message"), processed.alias("dw_processed_at"),
+        F.col("ts").cast("date").alias("partition_dt"),
+    )
 
 
 def secret_key(text: str = "sixteen byte key") -> Column:
     return F.encode(F.lit(text), "UTF-8")
 
 
+SQL_PLAIN = f"""'{{{{"jti":"' || event_id || '","events":{{{{"urn:type:' || event_type || '":{{{{"user_id":' || user_id || ',"user_uuid":"uuid-' ||
+           user_id || '","occurred_at":' || epoch_us(ts) // 1000000 || '.' || lpad(CAST(epoch_us(ts) % 1000000 AS VARCHAR), 6, '0') || '}}}}}}}}}}}}'"""
+SQL_PLAIN_IN = SQL_PLAIN.replace("{{", "{").replace("}}", "}")
 SQL_DECRYPTED = f"""
-    SELECT CAST(event_id AS VARCHAR) AS event_key, user_id, 'uuid-' || user_id AS user_uuid,
-           {sql_stamp("date_trunc('second', ts)")} AS event_second, 'ok' AS result
+    SELECT CAST(event_id AS VARCHAR) AS event_key, {SQL_PLAIN} AS message, user_id, 'uuid-' || user_id AS user_uuid,
+           {sql_stamp("ts")} AS event_timestamp, 'ok' AS status
     FROM events WHERE {{where}} {SQL_K} NOT IN (0, 1)
     UNION ALL
-    SELECT CAST(event_id AS VARCHAR), NULL, NULL, NULL, 'failed' FROM events WHERE {{where}} {SQL_K} IN (0, 1)
+    SELECT CAST(event_id AS VARCHAR), NULL, NULL, NULL, NULL, 'failed' FROM events WHERE {{where}} {SQL_K} IN (0, 1)
 """
 
 
-def decryption_result(ok: DataFrame, failed: DataFrame) -> DataFrame:
-    second = stamp(F.date_trunc("second", F.col("event_timestamp"))).alias("event_second")
-    good = ok.select("event_key", "user_id", "user_uuid", second, F.lit("ok").alias("result"))
-    bad = failed.select("event_key", F.lit("failed").alias("result"))
-    return good.unionByName(bad, allowMissingColumns=True)
+def decryption_result(rows: DataFrame) -> DataFrame:
+    return rows.select("event_key", "message", "user_id", "user_uuid", stamp("event_timestamp").alias("event_timestamp"), "status")
 
 
 @query(SQL_DECRYPTED.format(where=""))
 def decrypted(t: Tables) -> DataFrame:
-    return decryption_result(*decrypt_events(encrypted_events(t), aes_gcm(secret_key()), dt.datetime(2024, 2, 1)))
+    """One pass over all rows: whole message, time to the microsecond, failures with their status."""
+    return decryption_result(decryption(encrypted_events(t), aes_gcm(secret_key()), dt.datetime(2024, 2, 1)))
+
+
+@query(f"SELECT CAST(event_id AS VARCHAR) AS event_key, CASE WHEN {SQL_K} NOT IN (0, 1) THEN user_id END AS user_id FROM events")
+def decrypt_sql_function(t: Tables) -> DataFrame:
+    """Decryption as an SQL function, without Python."""
+    register_decryptor(t.spark, "encode('sixteen byte key', 'UTF-8')")
+    text = F.expr("decrypt_message(message)")
+    user = F.get_json_object(text, "$.jti").isNotNull() & text.isNotNull()
+    inner = F.from_json(F.get_json_object(text, "$.events"), "map<string,struct<user_id bigint>>")
+    return encrypted_events(t).select("event_key", F.when(user, F.get(F.map_values(inner), F.lit(0))["user_id"]).alias("user_id"))
 
 
 @query(SQL_DECRYPTED.format(where="event_type <> 'error' AND"))
@@ -146,8 +199,10 @@ def decrypt_unprocessed_stream(t: Tables) -> DataFrame:
     encrypted = encrypted_events(t)
     encrypted.write.parquet(f"{work}/encrypted")
     stream = t.spark.readStream.schema(encrypted.schema).parquet(f"{work}/encrypted")
-    decrypt_stream(stream, aes_gcm(secret_key()), dt.datetime(2024, 2, 1), f"{work}/events", f"{work}/failed", f"{work}/checkpoint")
-    return decryption_result(decrypted_events(t.spark, f"{work}/events"), t.spark.read.parquet(f"{work}/failed"))
+    decrypt_stream(stream, aes_gcm(secret_key()), dt.datetime(2024, 2, 1), f"{work}/events", f"{work}/checkpoint")
+    good = decrypted_events(t.spark, f"{work}/events").withColumn("status", F.lit("ok"))
+    bad = failed_events(t.spark, f"{work}/events").select("event_key", F.lit("failed").alias("status"))
+    return decryption_result(good.unionByName(bad, allowMissingColumns=True))
 
 
 def processed(t: Tables) -> Processed:
@@ -161,14 +216,15 @@ def processed(t: Tables) -> Processed:
 
 
 @query(f"""
-    SELECT CAST(event_id AS VARCHAR) AS event_key, user_id, 'uuid-' || user_id AS user_uuid, '2024-02-01 00:00:00.000000' AS dw_created_at
+    SELECT CAST(event_id AS VARCHAR) AS event_key, {SQL_PLAIN_IN} AS message, user_id, 'uuid-' || user_id AS user_uuid,
+           {sql_stamp("ts")} AS event_timestamp, '2024-02-01 00:00:00.000000' AS dw_created_at
     FROM events WHERE event_type <> 'error' AND {SQL_K} NOT IN (0, 1)
     UNION ALL
-    SELECT CAST(event_id AS VARCHAR), NULL, 'old uuid', {sql_stamp("ts")} FROM events WHERE event_type = 'purchase' AND {SQL_K} IN (0, 1)
+    SELECT CAST(event_id AS VARCHAR), 'older', NULL, 'old uuid', NULL, {sql_stamp("ts")} FROM events WHERE event_type = 'purchase' AND {SQL_K} IN (0, 1)
 """)
 def decrypted_event_table(t: Tables) -> DataFrame:
     events = processed(t).events
-    return events.select("event_key", "user_id", "user_uuid", stamp("dw_created_at").alias("dw_created_at"))
+    return events.withColumns({c: stamp(c) for c in ("event_timestamp", "dw_created_at")})
 
 
 @query(f"""

@@ -78,8 +78,8 @@ def bucket_floor(ts: Column, minutes: int = 5) -> Column:
 
 
 def epoch_seconds(seconds: Column) -> Column:
-    """Epoch seconds with a fraction to a timestamp."""
-    return F.timestamp_seconds(seconds.cast("double"))
+    """Epoch seconds with a fraction to a timestamp, exact to the microsecond."""
+    return F.timestamp_seconds(seconds.cast("decimal(20,6)"))
 
 
 def micros(ts: Column) -> Column:

@@ -31,18 +31,33 @@ def once(df: DataFrame, **columns: Column) -> DataFrame:
     return df.select("*", F.inline(F.array(fields)))
 
 
-def with_document(df: DataFrame, text: Column, paths: Sequence[str]) -> DataFrame:
+def with_document(df: DataFrame, text: Column, paths: Sequence[str], booleans: Sequence[str] = ()) -> DataFrame:
     """Parse JSON text once per row, reading only the dotted ``paths``; ``field`` gets the values.
 
-    Values are read as text. Text that is no JSON has no values.
+    Values are read as text, those of ``booleans`` as JSON booleans and nothing else. Text that is
+    no JSON has no values; that includes text with anything but white space after the document.
     """
-    document = F.from_json(text, document_schema(paths), {"allowSingleQuotes": "false"})
-    return once(df, **{DOCUMENT: document})
+    document = F.from_json(text, document_schema(paths, booleans), {"allowSingleQuotes": "false"})
+    return once(df, **{DOCUMENT: F.when(is_one_document(text), document)})
 
 
-def document_schema(paths: Sequence[str]) -> str:
-    """DDL of the nested structs that hold the paths, every leaf a string."""
+def is_one_document(text: Column) -> Column:
+    """False where a second document or other text follows the first one.
+
+    A document ends with its own brace, and outside of its strings no brace closes before anything
+    but a comma or another closing one. Only texts that break this rule are parsed for an answer: as
+    the one element of an array with something behind it, which leaves no room for a rest.
+    """
+    doubtful = ~text.rlike(r"\}\s*$") | text.rlike(r"\}\s*[^\s,\]}]")
+    framed = F.try_parse_json(F.concat(F.lit('{"x":['), text, F.lit('],"end":1}')))
+    alone = F.try_variant_get(framed, "$.end", "int").isNotNull() & F.try_variant_get(framed, "$.x[1]", "string").isNull()
+    return F.when(doubtful, F.coalesce(alone, F.lit(False))).otherwise(True)
+
+
+def document_schema(paths: Sequence[str], booleans: Sequence[str] = ()) -> str:
+    """DDL of the nested structs that hold the paths, every leaf a string or one of ``booleans``."""
     tree: dict = {}
+    leaf_types: dict = {}
     for path in paths:
         node = tree
         *parents, leaf = path.split(".")
@@ -52,9 +67,10 @@ def document_schema(paths: Sequence[str]) -> str:
                 raise ValueError(f"{path} lies below another listed path")
         if node.setdefault(leaf, None) is not None:
             raise ValueError(f"{path} holds another listed path")
+        leaf_types[id(node), leaf] = "boolean" if path in booleans else "string"
 
     def ddl(node: dict) -> str:
-        return ",".join(f"`{k}`:{'string' if v is None else f'struct<{ddl(v)}>'}" for k, v in node.items())
+        return ",".join(f"`{k}`:{leaf_types[id(node), k] if v is None else f'struct<{ddl(v)}>'}" for k, v in node.items())
 
     return f"struct<{ddl(tree)}>"
 
@@ -68,9 +84,13 @@ def field(path: str, type_name: str = "string") -> Column:
 
 
 def field_equals(path: str, value: int | bool | str) -> Column:
-    """Typed comparison with a value of the document; missing or wrong-typed does not match."""
-    type_name = {bool: "boolean", int: "int", str: "string"}[type(value)]
-    return F.coalesce(field(path, type_name) == F.lit(value), F.lit(False))
+    """Typed comparison with a value of the document; missing or wrong-typed does not match.
+
+    A path that is compared with a boolean belongs to the ``booleans`` of the document.
+    """
+    if isinstance(value, bool):
+        return F.coalesce(field(path).cast("string") == str(value).lower(), F.lit(False))
+    return F.coalesce(field(path, {int: "int", str: "string"}[type(value)]) == F.lit(value), F.lit(False))
 
 
 def can_json_parse(text: Column) -> Column:

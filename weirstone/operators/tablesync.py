@@ -14,10 +14,6 @@ from weirstone.operators.dedup import dedup_latest
 from weirstone.operators.upsert import upsert, upsert_partial
 from weirstone.sources.tables import staged
 
-# Fixed value: how far a first incremental sync looks back.
-FIRST_SYNC_DAYS = 6
-
-
 def wide_types(schema: T.StructType) -> dict[str, str]:
     """CHAR and VARCHAR columns become STRING in the copy."""
     return {f.name: "string" for f in schema if isinstance(f.dataType, (T.CharType, T.VarcharType))}
@@ -45,13 +41,14 @@ def sync_table(
     """Upsert the source, one row per key, into its copy.
 
     A missing copy is created; new source columns are added (NULL in old rows). With
-    ``timestamp`` and ``since`` only newer source rows are read. With ``staging`` the deduplicated
+    ``timestamp`` and ``since`` only newer source rows are read, and those without a time; a copy
+    that is missing gets them all. With ``staging`` the deduplicated
     rows are written there and computed only once.
     """
     widen = wide_types(source.schema)
     rows = source.select([F.col(c).cast(widen[c]).alias(c) if c in widen else F.col(c) for c in source.columns])
-    if timestamp and since is not None:
-        rows = rows.filter(F.col(timestamp) > since)
+    if timestamp and since is not None and target is not None:
+        rows = rows.filter((F.col(timestamp) > since) | F.col(timestamp).isNull())
     latest = staged(dedup_latest(rows, keys, order), staging)
     if target is None:
         return latest
@@ -62,10 +59,10 @@ def sync_table(
     return upsert_partial(target.withColumns(added), latest, keys, rows.columns)
 
 
-def last_sync(metadata: DataFrame, table: str, as_of: dt.datetime) -> dt.datetime:
-    """Last run of one table (a metadata row, not data); a first run looks back a few days."""
+def last_sync(metadata: DataFrame, table: str) -> dt.datetime | None:
+    """Last run of one table (a metadata row, not data); None before the first, which copies all."""
     found = metadata.filter(F.col("table_name") == table).agg(F.max("last_sync_time")).first()
-    return (found and found[0]) or as_of - dt.timedelta(days=FIRST_SYNC_DAYS)
+    return found[0] if found else None
 
 
 def record_sync(metadata: DataFrame, table: str, as_of: dt.datetime) -> DataFrame:

@@ -77,9 +77,10 @@ def upsert_partial(
 def mark_processed(
     target: DataFrame, done: DataFrame, keys: Sequence[str], at: Column, mark: str = "dw_processed_at"
 ) -> DataFrame:
-    """Stamp the rows whose key is in ``done``; the keys come by join, not as a literal list."""
+    """Stamp the unmarked rows whose key is in ``done``; a mark that is there stays. The keys come by
+    join, not as a literal list."""
     flags = done.select(*[F.col(k).alias(f"__{k}") for k in keys]).distinct().withColumn("__done", F.lit(True))
     condition = reduce(and_, (F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys))
-    stamp = F.when(F.col("__done"), at).otherwise(F.col(mark)).cast(target.schema[mark].dataType)
+    stamp = F.coalesce(F.col(mark), F.when(F.col("__done"), at)).cast(target.schema[mark].dataType)
     joined = target.join(flags, condition, "left")
     return joined.select([stamp.alias(c) if c == mark else F.col(c) for c in target.columns])

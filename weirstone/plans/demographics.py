@@ -37,25 +37,26 @@ DEFINITIONS = [
 
 
 def verified_users(
-    events: DataFrame, start: dt.datetime, next_start: dt.datetime, issuers: DataFrame | None = None
+    events: DataFrame, start: dt.datetime, next_start: dt.datetime
 ) -> DataFrame:
     """(issuer, user_id, birth_year, state) of users who were redirected and passed proofing.
 
     One scan for all issuers, in which every message is parsed once: both cohorts are marked on
     the rows and reduced to distinct rows on the map side. What is shuffled by user after that
     is one row per distinct value, so neither a large issuer nor a busy user is a large task.
+    A list of issuers is applied to the counts (``table_per_issuer``), never to the raw rows: these
+    would have to be shuffled by issuer for it.
     A user with two birth years or states counts once for each, as reports have always shown.
     """
     base = in_period(events, "cloudwatch_timestamp", start, next_start).withColumnRenamed("service_provider", "issuer")
     base = base.filter(F.col("name").isin(REDIRECT_EVENT, PROOFING_EVENT) & F.col("user_id").isNotNull())
-    if issuers is not None:
-        base = base.join(issuers.select("issuer").distinct(), "issuer", "left_semi")
     redirected = (
         (F.col("name") == REDIRECT_EVENT) & field_equals(IAL_PATH, 2) & field_equals(FACIAL_MATCH_PATH, True)
     )
     proofed = (F.col("name") == PROOFING_EVENT) & field_equals(SUCCESS_PATH, True)
     documents = with_document(
-        base, F.col("message"), [IAL_PATH, FACIAL_MATCH_PATH, SUCCESS_PATH, BIRTH_YEAR_PATH, STATE_PATH]
+        base, F.col("message"), [IAL_PATH, FACIAL_MATCH_PATH, SUCCESS_PATH, BIRTH_YEAR_PATH, STATE_PATH],
+        booleans=[FACIAL_MATCH_PATH, SUCCESS_PATH],
     )
     distinct = documents.select(
         "issuer",

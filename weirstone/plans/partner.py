@@ -85,25 +85,30 @@ def partner_rows(
 
 
 def checked_rows(rows: DataFrame, fields: Sequence[str]) -> DataFrame:
-    """One row per issuer with a ``status``: ok, duplicate_issuer or missing_field.
+    """Every row with a ``status``: missing_field, duplicate_issuer, missing_id or ok.
 
-    Only ok rows become reports. Counts turn into strict integers; ``bad_values`` tells how
-    many cells were not. Grouping keeps no more than one row per issuer in memory.
+    Only ok rows become reports; the first status that applies is given. Counts turn into strict
+    integers; ``bad_values`` tells how many cells were not. Issuers that occur more than once are
+    counted first and joined back, so no row is merged into another and no issuer gathers its rows
+    in one place.
     """
     missing = reduce(lambda a, b: a | b, (F.col(c).isNull() for c in REQUIRED))
     texts = [f for f in fields if isinstance(rows.schema[f].dataType, T.StringType)]
     bad = reduce(add, (is_bad_integer(F.col(f)).cast("int") for f in texts), F.lit(0))
     integers = {f: strict_integer(F.col(f)) if f in texts else F.col(f).cast("bigint") for f in fields}
     typed = rows.withColumns({"bad_values": bad} | integers)
-    grouped = typed.groupBy("issuer").agg(
-        F.count(F.lit(1)).alias("__n"), F.any_value(F.struct(*[c for c in typed.columns if c != "issuer"])).alias("__row")
+    doubled = rows.filter(F.col("issuer").isNotNull()).groupBy("issuer").agg(F.count(F.lit(1)).alias("__n")).filter("__n > 1")
+    status = (
+        F.when(missing, "missing_field")
+        .when(F.col("__n").isNotNull(), "duplicate_issuer")
+        .when(F.col("service_provider_id").isNull(), "missing_id")
+        .otherwise("ok")
     )
-    status = F.when(F.col("__n") > 1, "duplicate_issuer").when(missing, "missing_field").otherwise("ok")
-    return grouped.select("issuer", "__n", "__row.*").withColumn("status", status).drop("__n")
+    return typed.join(doubled, "issuer", "left").withColumn("status", status).drop("__n")
 
 
 def partner_documents(checked: DataFrame, cadence: str, fields: Sequence[str]) -> DataFrame:
-    """(service_provider_id, issuer, period_date_actual, document) for the ok rows with an id."""
+    """(service_provider_id, issuer, period_date_actual, document) for the ok rows."""
     document = F.struct(
         F.col("issuer"),
         F.struct("service_provider_name", "agency_name", "service_provider_id").alias("provider_information"),
@@ -114,7 +119,7 @@ def partner_documents(checked: DataFrame, cadence: str, fields: Sequence[str]) -
         ).alias("report_information"),
         F.struct(*fields).alias("data"),
     )
-    ok = checked.filter((F.col("status") == "ok") & F.col("service_provider_id").isNotNull())
+    ok = checked.filter(F.col("status") == "ok")
     return ok.select(
         "service_provider_id",
         "issuer",

@@ -7,26 +7,41 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weirstone.operators.decrypt import Decryptor, decrypt_events
+from weirstone.operators.decrypt import EVENT_SCHEMA, FAILED, OK, Decryptor, decryption
 from weirstone.operators.dedup import dedup_latest
 from weirstone.operators.filters import unprocessed
+from weirstone.streaming.batches import has_batches
 from weirstone.streaming.runner import drain_to_batches, write_batch
 
 
-def decrypt_stream(
-    stream: DataFrame, decryptor: Decryptor, as_of: dt.datetime, events: str, dead_letters: str, checkpoint: str
-) -> None:
-    """Drain: decrypted rows to ``events``, the others to ``dead_letters``, nothing is retried."""
+def decrypt_stream(stream: DataFrame, decryptor: Decryptor, as_of: dt.datetime, path: str, checkpoint: str) -> None:
+    """Try the rows again that failed before, then drain: one pass and one write per batch.
+
+    Each batch is partitioned by its status. Retries are batches with a negative number.
+    """
+    spark = stream.sparkSession
 
     def load(batch: DataFrame, batch_id: int) -> None:
-        ok, failed = decrypt_events(unprocessed(batch), decryptor, as_of)
-        write_batch(ok, events, batch_id)
-        write_batch(failed, dead_letters, batch_id)
+        write_batch(decryption(unprocessed(batch), decryptor, as_of), path, batch_id, "status")
 
+    if has_batches(spark, path):
+        failed = failed_events(spark, path)
+        lowest = spark.read.parquet(path).agg(F.min("batch_id")).first()[0]
+        if not failed.isEmpty():
+            write_batch(decryption(failed, decryptor, as_of), path, min(lowest, 0) - 1, "status")
     drain_to_batches(stream, load, checkpoint)
 
 
-def decrypted_events(spark: SparkSession, events: str) -> DataFrame:
+def failed_events(spark: SparkSession, path: str) -> DataFrame:
+    """Rows as they were given that no pass has decrypted so far, each once."""
+    rows = spark.read.parquet(path)
+    good = rows.filter(F.col("status") == OK).select(F.to_json("given").alias("row"))
+    bad = rows.filter(F.col("status") == FAILED).select("given", F.to_json("given").alias("row"))
+    return bad.dropDuplicates(["row"]).join(good, "row", "left_anti").select("given.*")
+
+
+def decrypted_events(spark: SparkSession, path: str) -> DataFrame:
     """One row per event key; a key that was decrypted twice does no harm."""
     order = [F.col("batch_id").desc(), F.col("message").desc()]
-    return dedup_latest(spark.read.parquet(events), ["event_key"], order).drop("batch_id")
+    rows = spark.read.parquet(path).filter(F.col("status") == OK)
+    return dedup_latest(rows, ["event_key"], order).select(*EVENT_SCHEMA.names)

@@ -1,8 +1,9 @@
 """Encrypted events from 5-minute buckets into their table.
 
-Every couple of minutes a batch of closed buckets is appended; no batch rewrites the day it falls
-on. ``current_events`` resolves the batches when reading, and ``fold_batches`` merges them into
-the table, for example once a day is over.
+Every couple of minutes the rows that have arrived are appended with their bucket and event time;
+no batch rewrites the day it falls on, and no row is dropped for coming late. ``current_events``
+resolves the batches when reading and leaves out only the bucket that is still being filled.
+``fold_batches`` merges closed batches into the table and retires them.
 """
 
 from __future__ import annotations
@@ -14,10 +15,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from weirstone.operators.dedup import dedup_latest
-from weirstone.operators.upsert import upsert_partial
-from weirstone.sources.buckets import bucket_events, bucket_name
+from weirstone.functions.dates import instant
+from weirstone.operators.upsert import same_key, upsert_partial
+from weirstone.sources.buckets import bucket_events, bucket_name, closed_buckets
 from weirstone.sources.tables import create_partitioned, overwrite_partitions, read_partitioned
+from weirstone.streaming.batches import folded_batch, record_folded, retire
 from weirstone.streaming.runner import drain_to_batches
 
 ENCRYPTED_SCHEMA = T.StructType(
@@ -35,6 +37,7 @@ BATCH_SCHEMA = T.StructType(
     [
         T.StructField("event_key", T.StringType()),
         T.StructField("message", T.StringType()),
+        T.StructField("ts", T.TimestampType()),
         T.StructField("bucket_name", T.StringType()),
         T.StructField("dw_created_at", T.TimestampType()),
         T.StructField("batch_id", T.LongType()),
@@ -43,65 +46,68 @@ BATCH_SCHEMA = T.StructType(
 )
 
 
-def closed_bucket_events(stream: DataFrame, delay: str, minutes: int = 5) -> DataFrame:
-    """(event_key, message, bucket_name) of buckets that have closed.
+def ingest_events(stream: DataFrame, batches: str, checkpoint: str, minutes: int = 5, loaded_at: Column | None = None) -> None:
+    """Drain (event_key, message, ts): each micro-batch becomes one folder, partitioned by day.
 
-    Input is (event_key, message, ts). Append mode emits a bucket only once the watermark has
-    passed its end: rows of the open bucket wait in state, they are not filtered away. The last
-    write of a key within its bucket wins.
-    """
-    window = F.window("ts", f"{minutes} minutes")
-    last = F.max_by("message", F.struct("ts", "message"))
-    closed = (
-        stream.withWatermark("ts", delay).groupBy(window.alias("w"), "event_key").agg(last.alias("message"))
-    )
-    return closed.select("event_key", "message", bucket_name(F.col("w.start"), minutes).alias("bucket_name"))
-
-
-def newest_bucket_per_key(df: DataFrame) -> DataFrame:
-    """A key that sits in two buckets of one batch is taken from the later bucket."""
-    return dedup_latest(df, ["event_key"], [F.col("bucket_name").desc(), F.col("message").desc()])
-
-
-def ingest_events(
-    stream: DataFrame, batches: str, checkpoint: str, delay: str = "10 minutes", loaded_at: Column | None = None
-) -> None:
-    """Drain the stream: each micro-batch becomes one folder, partitioned by day.
-
-    The folder is replaced as a whole when a batch is replayed, so delivery is exactly once.
+    Stateless, so late rows and the last rows of a quiet source are kept like all others. The
+    folder is replaced as a whole when a batch is replayed, so delivery is exactly once.
     """
     stamp = F.current_timestamp() if loaded_at is None else loaded_at
 
     def append(batch: DataFrame, batch_id: int) -> None:
-        rows = bucket_events(newest_bucket_per_key(batch)).withColumn("dw_created_at", stamp)
+        named = batch.select("event_key", "message", "ts", bucket_name(F.col("ts"), minutes).alias("bucket_name"))
+        rows = bucket_events(named).withColumn("dw_created_at", stamp)
         rows.write.mode("overwrite").partitionBy("partition_dt").parquet(f"{batches}/batch_id={batch_id}")
 
-    drain_to_batches(closed_bucket_events(stream, delay), append, checkpoint)
+    drain_to_batches(stream, append, checkpoint)
+
 
+def resolved(rows: DataFrame) -> DataFrame:
+    """One row per key and day: the last write by bucket, event time and batch; the first load time."""
+    order = F.struct("bucket_name", "ts", "batch_id", "message")
+    last = F.max_by(F.struct("message", "bucket_name"), order).alias("last")
+    first = F.min_by("dw_created_at", "batch_id").alias("dw_created_at")
+    return rows.groupBy(*KEYS).agg(last, first).select("event_key", "last.message", "last.bucket_name", "dw_created_at", "partition_dt")
 
-def current_events(spark: SparkSession, batches: str, days: Sequence[dt.date] | None = None) -> DataFrame:
-    """One row per key and day: message and bucket of the last batch, load time of the first."""
-    rows = read_partitioned(spark, batches, BATCH_SCHEMA)
+
+def current_events(spark: SparkSession, batches: str, as_of: dt.datetime, days: Sequence[dt.date] | None = None, after: int | None = None) -> DataFrame:
+    """Events of all buckets but the one that is open at ``as_of``; of ``days`` and of the batches
+    after ``after`` only, if given."""
+    rows = closed_buckets(read_partitioned(spark, batches, BATCH_SCHEMA), instant(as_of))
     if days is not None:
         rows = rows.filter(F.col("partition_dt").isin(list(days)))
-    last = F.max_by(F.struct("message", "bucket_name"), "batch_id").alias("last")
-    first = F.min_by("dw_created_at", "batch_id").alias("dw_created_at")
-    resolved = rows.groupBy(*KEYS).agg(last, first)
-    return resolved.select("event_key", "last.message", "last.bucket_name", "dw_created_at", "partition_dt")
+    if after is not None:
+        rows = rows.filter(F.col("batch_id") > after)
+    return resolved(rows)
 
 
 def merge_encrypted(target: DataFrame, updates: DataFrame) -> DataFrame:
-    """Upsert by (event_key, partition_dt): a match changes message and bucket only."""
-    return upsert_partial(target, updates, KEYS, ["message", "bucket_name"])
+    """Upsert by (event_key, partition_dt): a match changes message and bucket only, and only to
+    the same or a later bucket."""
+    newer = F.coalesce(F.col("t.bucket_name") > F.col("u.bucket_name"), F.lit(False))
+    fresh = updates.alias("u").join(target.alias("t"), same_key("u", "t", KEYS) & newer, "left_anti")
+    return upsert_partial(target, fresh, KEYS, ["message", "bucket_name"])
 
 
-def fold_batches(spark: SparkSession, batches: str, table: str, days: Sequence[dt.date]) -> DataFrame:
-    """Merge the batches of ``days`` into the table, which is partitioned by day.
+def fold_batches(spark: SparkSession, batches: str, table: str, as_of: dt.datetime) -> DataFrame:
+    """Merge the batches that came after the last fold into the table, which is partitioned by day.
 
-    The key contains the partition, so no other day can hold a match: each day is rewritten on
-    its own, and folding it again changes nothing.
+    Batches are folded in order, up to the first one that holds rows of the open bucket. The key
+    contains the partition, so no other day can hold a match: only the days of those batches are
+    rewritten. The number of the last folded batch is kept beside the table, and folded folders
+    are removed once it is written. A fold that broke off is simply repeated.
     """
     create_partitioned(spark.createDataFrame([], ENCRYPTED_SCHEMA), table, "partition_dt")
-    target = read_partitioned(spark, table, ENCRYPTED_SCHEMA).filter(F.col("partition_dt").isin(list(days)))
-    overwrite_partitions(merge_encrypted(target, current_events(spark, batches, days)), table, "partition_dt")
+    done = folded_batch(spark, table)
+    pending = read_partitioned(spark, batches, BATCH_SCHEMA).filter(F.col("batch_id") > done)
+    is_open = F.col("bucket_name") == bucket_name(instant(as_of))
+    first_open, last = pending.agg(F.min(F.when(is_open, F.col("batch_id"))), F.max("batch_id")).first()
+    upto = last if first_open is None else first_open - 1
+    if upto is not None and upto > done:
+        ready = pending.filter(F.col("batch_id") <= upto)
+        days = [r[0] for r in ready.select("partition_dt").distinct().collect()]  # one value per day
+        target = read_partitioned(spark, table, ENCRYPTED_SCHEMA).filter(F.col("partition_dt").isin(days))
+        overwrite_partitions(merge_encrypted(target, resolved(ready)), table, "partition_dt")
+        record_folded(spark, table, upto)
+        retire(spark, batches, upto)
     return read_partitioned(spark, table, ENCRYPTED_SCHEMA)

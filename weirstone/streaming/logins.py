@@ -1,4 +1,4 @@
-"""Logins of watched users per sliding window."""
+"""Alerts on logins of watched users, one per login."""
 
 from __future__ import annotations
 
@@ -7,20 +7,14 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weirstone.operators.quality import LOGIN_EVENT, LOGIN_MINUTES, WATCHED_USERS, watched_login_windows
+from weirstone.operators.quality import LOGIN_EVENT, WATCHED_USERS
 
 
-def watched_login_stream(
-    stream: DataFrame,
-    delay: str,
-    users: Sequence[object] | None = WATCHED_USERS,
-    event: str = LOGIN_EVENT,
-    minutes: int = LOGIN_MINUTES,
-    every: int = 5,
-) -> DataFrame:
-    """(window_start, window_end, user_name, logins), each window once it has closed.
+def watched_login_stream(stream: DataFrame, users: Sequence[str] | None = WATCHED_USERS, event: str = LOGIN_EVENT) -> DataFrame:
+    """Every login of a watched user as it is logged.
 
-    The watermark follows the login events themselves.
+    Stateless: no login waits for a later one, and none is dropped for coming late. Windows are
+    formed when the alerts are read (``quality.watched_login_windows``).
     """
-    logins = stream.filter(F.col("event") == event).withWatermark("record_time", delay)
-    return watched_login_windows(logins, users, minutes, every)
+    logins = stream.filter(F.col("event") == event)
+    return logins if users is None else logins.filter(F.col("user_name").isin(*users))

@@ -1,7 +1,7 @@
 """Raw log stream into typed tables.
 
 Batches are appended, and the current rows are found when reading: no batch rewrites the log
-table. ``compact_logs`` folds the batches into a snapshot with the batch upsert.
+table. ``compact_logs`` folds the batches that came after the last compaction into a snapshot.
 """
 
 from __future__ import annotations
@@ -12,29 +12,54 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from weirstone.operators.dedup import dedup_latest
-from weirstone.operators.extract import JsonColumn
-from weirstone.operators.logload import arrival_order, latest_logs, rejected_logs
+from weirstone.operators.extract import JsonColumn, extract_columns
+from weirstone.operators.logload import arrival_order
 from weirstone.operators.upsert import upsert
+from weirstone.sources.logs import RAW_LOG_SCHEMA
+from weirstone.streaming.batches import folded_batch, record_folded
 from weirstone.streaming.runner import drain_to_batches, write_batch
 
+TYPED, REJECTED = "typed", "rejected"
 
-def extract_logs(stream: DataFrame, spec: Sequence[JsonColumn], key: str, table: str, rejects: str, checkpoint: str) -> None:
-    """Drain raw rows: typed rows, one per key and batch, and the rows without a key."""
+
+def extract_logs(stream: DataFrame, spec: Sequence[JsonColumn], key: str, table: str, checkpoint: str) -> None:
+    """Drain raw rows; those without a key, or without JSON, are the rejected outcome.
+
+    Every message is parsed once: a batch is one write, partitioned by outcome.
+    """
 
     def load(batch: DataFrame, batch_id: int) -> None:
-        write_batch(latest_logs(batch, spec, key), table, batch_id)
-        write_batch(rejected_logs(batch, spec, key), rejects, batch_id)
+        outcome = F.when(F.col(key).isNull(), REJECTED).otherwise(TYPED)
+        write_batch(extract_columns(batch, spec).withColumn("outcome", outcome), table, batch_id, "outcome")
 
     drain_to_batches(stream, load, checkpoint)
 
 
-def current_logs(spark: SparkSession, table: str, key: str) -> DataFrame:
-    """One row per key: a later batch replaces an earlier one."""
+def batch_rows(spark: SparkSession, table: str, outcome: str, after: int = -1) -> DataFrame:
     rows = spark.read.parquet(table)
-    newest = dedup_latest(rows, [key], [F.col("batch_id").desc(), *arrival_order()])
+    return rows.filter((F.col("outcome") == outcome) & (F.col("batch_id") > after)).drop("outcome")
+
+
+def rejected_rows(spark: SparkSession, table: str) -> DataFrame:
+    """Raw rows that could not be typed."""
+    return batch_rows(spark, table, REJECTED).select(*RAW_LOG_SCHEMA.names)
+
+
+def current_logs(spark: SparkSession, table: str, key: str, after: int = -1) -> DataFrame:
+    """One row per key: a later batch replaces an earlier one, a later arrival within a batch."""
+    newest = dedup_latest(batch_rows(spark, table, TYPED, after), [key], [F.col("batch_id").desc(), *arrival_order()])
     return newest.drop("batch_id")
 
 
-def compact_logs(spark: SparkSession, snapshot: DataFrame, table: str, key: str) -> DataFrame:
-    """Snapshot with all batches merged in."""
-    return upsert(snapshot, current_logs(spark, table, key), [key])
+def compact_logs(spark: SparkSession, snapshot: DataFrame, table: str, key: str, path: str) -> DataFrame:
+    """New snapshot at ``path`` with the batches merged in that came after the last compaction.
+
+    What another load has made newer in the snapshot stays, unless a batch has come since. Once the
+    snapshot is published, ``batches.retire`` removes the folders up to ``folded_batch``.
+    """
+    done = folded_batch(spark, table)
+    last = spark.read.parquet(table).agg(F.max("batch_id")).first()[0]
+    fresh = current_logs(spark, table, key, done)
+    upsert(snapshot, fresh, [key]).write.mode("errorifexists").parquet(path)
+    record_folded(spark, table, done if last is None else max(done, last))
+    return spark.read.schema(snapshot.schema).parquet(path)

@@ -37,6 +37,6 @@ def drain_to_batches(stream: DataFrame, sink: BatchSink, checkpoint: str) -> Str
     return query
 
 
-def write_batch(df: DataFrame, path: str, batch_id: int) -> None:
+def write_batch(df: DataFrame, path: str, batch_id: int, *partition_columns: str) -> None:
     """One folder per batch, replaced as a whole when the batch is replayed."""
-    df.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+    df.write.mode("overwrite").partitionBy(*partition_columns).parquet(f"{path}/batch_id={batch_id}")
