@@ -93,3 +93,45 @@ def test_a_hot_key_never_reaches_one_task(spark):
     before_shuffle = text[text.index("Exchange hashpartitioning") :]
     assert "WindowGroupLimit" in before_shuffle and "Partial" in before_shuffle
     assert latest.count() == 60_001 and rows(latest.filter("k = 0")) == [(0, 89_997)]
+
+
+def test_partial_merge_and_marks_touch_their_days_only(spark, tmp_path):
+    from weirstone.sources.partitions import mark_processed_days, merge_days_partial
+
+    at, later = dt.datetime(2024, 2, 1), dt.datetime(2024, 3, 1)
+    table = "partial_days"
+    data = [("a", "m", None, d(1)), ("a", "m", None, d(2)), ("b", "m", at, d(2)), ("c", "m", None, d(3))]
+    first = spark.createDataFrame(data, "id string, message string, dw_processed_at timestamp, day date")
+    create_day_table(first, table, "day")
+    replace_days(first, table)
+
+    def files(n):
+        return {f.input_file_name for f in spark.table(table).filter(F.col("day") == d(n)).select(F.input_file_name().alias("input_file_name")).collect()}
+
+    before = {n: files(n) for n in (1, 2, 3)}
+    updates = spark.createDataFrame([("a", "new", d(2)), ("x", "new", d(2))], "id string, message string, day date")
+    merge_days_partial(updates, table, ["id", "day"], ["message"], "day", str(tmp_path / "s"))
+    assert rows(spark.table(table), "id", "message", "dw_processed_at", "day") == [
+        ("a", "m", None, d(1)), ("a", "new", None, d(2)), ("b", "m", at, d(2)), ("c", "m", None, d(3)), ("x", "new", None, d(2)),
+    ]
+    assert files(1) == before[1] and files(3) == before[3] and files(2) != before[2]
+    done = spark.createDataFrame([("a", d(2)), ("b", d(2))], "id string, day date")
+    mark_processed_days(done, table, ["id", "day"], F.lit(later), "day")
+    assert rows(spark.table(table).filter("dw_processed_at is not null"), "id", "dw_processed_at", "day") == [("a", later, d(2)), ("b", at, d(2))]
+    assert files(1) == before[1]
+
+
+def test_load_by_day_parses_once(spark, tmp_path):
+    import json
+
+    from weirstone.operators.extract import EVENT_COLUMNS, extract_columns
+    from weirstone.operators.logload import load_logs_by_day
+
+    at = dt.datetime(2024, 1, 2, 10)
+    raw = spark.createDataFrame([(json.dumps({"id": k, "name": "n"}), t) for k, t in (("a", at), ("b", None))] + [("{}", at), ('{"id":"d"}{"id":"e"}', at)], "message string, cloudwatch_timestamp timestamp")
+    empty = extract_columns(raw.limit(0), EVENT_COLUMNS).withColumn("day", F.to_date("cloudwatch_timestamp"))
+    create_day_table(empty, "loaded_days", "day")
+    rest = load_logs_by_day(raw, "loaded_days", EVENT_COLUMNS, "id", "day", str(tmp_path / "load"))
+    assert rows(spark.table("loaded_days"), "id", "day") == [("a", dt.date(2024, 1, 2)), ("b", dt.date(1970, 1, 1))]
+    assert rows(rest, "message") == [('{"id":"d"}{"id":"e"}',), ("{}",)]
+    assert "from_json" not in plan(rest) and "from_json" not in plan(spark.table("loaded_days"))

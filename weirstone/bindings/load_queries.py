@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -12,11 +13,13 @@ from weirstone.bindings.sample_logs import SQL_EVENT_COLUMNS, raw_events
 from weirstone.functions.dates import instant
 from weirstone.operators.conform import ColumnSpec, conform, conform_issues, split_pii
 from weirstone.operators.extract import EVENT_COLUMNS, extract_columns
-from weirstone.operators.logload import load_logs
+from weirstone.operators.logload import load_logs, load_logs_by_day
 from weirstone.operators.reconcile import policy_drift, reconcile
 from weirstone.operators.retention import apply_retention, plan_retention
 from weirstone.operators.tablesync import missing_catalog_columns, record_sync, sync_table
 from weirstone.operators.upsert import mark_processed, upsert, upsert_partial
+from weirstone.session import fresh_dir
+from weirstone.sources.partitions import create_day_table, drop_expired_days, mark_processed_days, merge_days, replace_days
 
 NEW_KEYS = 10_000_000
 
@@ -105,6 +108,73 @@ def load_event_logs(t: Tables) -> DataFrame:
     return loaded.drop("message").withColumn("cloudwatch_timestamp", stamp("cloudwatch_timestamp"))
 
 
+def day_table(t: Tables, rows: DataFrame, day: str) -> str:
+    """A new catalogue table partitioned by ``day`` that holds ``rows``."""
+    name = f"weirstone_{uuid.uuid4().hex}"
+    create_day_table(rows, name, day)
+    replace_days(rows, name)
+    return name
+
+
+@query(f"""
+    WITH {SQL_LOADED}
+    SELECT * FROM loaded
+    UNION ALL
+    SELECT 'x' || event_id, 'other', NULL, NULL, NULL, NULL, {sql_stamp("ts")} FROM e
+    UNION ALL
+    SELECT CAST(event_id AS VARCHAR), 'old', NULL, NULL, NULL, NULL, {sql_stamp("ts")} FROM e
+    WHERE event_type = 'error' AND n IN (0, 1)
+""")
+def load_event_logs_by_day(t: Tables) -> DataFrame:
+    """The same load into a table partitioned by day; a message is parsed once."""
+    old = existing_logs(t).withColumn("day", F.to_date("cloudwatch_timestamp"))
+    table = day_table(t, old, "day")
+    load_logs_by_day(raw_events(t), table, SPEC, "id", "day", fresh_dir(t.spark, "load"))
+    loaded = t.spark.table(table).drop("message", "day")
+    return loaded.withColumn("cloudwatch_timestamp", stamp("cloudwatch_timestamp"))
+
+
+def orders_by_year(t: Tables, rows: DataFrame) -> DataFrame:
+    return rows.withColumn("year", F.trunc("o_orderdate", "year"))
+
+
+@query(f"""
+    WITH {SQL_REISSUED}, result AS (
+        SELECT * FROM orders WHERE o_orderkey NOT IN (SELECT o_orderkey FROM updates)
+        UNION ALL SELECT * FROM updates
+    )
+    SELECT * REPLACE ({sql_stamp("o_orderdate")} AS o_orderdate) FROM result
+""")
+def merge_days_orders(t: Tables) -> DataFrame:
+    """The upsert of ``upsert_orders``, rewriting only the years that it concerns."""
+    table = day_table(t, orders_by_year(t, t.orders), "year")
+    merge_days(orders_by_year(t, reissued_orders(t)), table, ["o_orderkey"], "year", fresh_dir(t.spark, "merge"))
+    return t.spark.table(table).drop("year").withColumn("o_orderdate", stamp("o_orderdate"))
+
+
+@query("""
+    SELECT o_orderkey, CASE WHEN o_orderstatus = 'O' AND year(o_orderdate) > 1995 THEN '2024-02-01 00:00:00.000000'
+                            WHEN o_orderstatus = 'P' THEN '2020-01-01 00:00:00.000000' END AS dw_processed_at
+    FROM orders
+""")
+def marked_days(t: Tables) -> DataFrame:
+    """Open orders after 1995 are marked; pending ones have their mark already and keep it."""
+    old = F.when(F.col("o_orderstatus") == "P", instant(dt.datetime(2020, 1, 1)))
+    rows = orders_by_year(t, t.orders).select("o_orderkey", "o_orderstatus", old.cast("timestamp").alias("dw_processed_at"), "year")
+    table = day_table(t, rows, "year")
+    done = rows.filter("o_orderstatus IN ('O', 'P') AND year > DATE'1995-12-31'").select("o_orderkey", "year")
+    mark_processed_days(done, table, ["o_orderkey", "year"], instant(dt.datetime(2024, 2, 1)), "year")
+    return t.spark.table(table).select("o_orderkey", stamp("dw_processed_at").alias("dw_processed_at"))
+
+
+@query("SELECT o_orderkey FROM orders WHERE year(o_orderdate) >= 1996")
+def expired_days_dropped(t: Tables) -> DataFrame:
+    """Whole partitions before 1995-12-31 go; none is read for it."""
+    table = day_table(t, orders_by_year(t, t.orders), "year")
+    drop_expired_days(t.spark, table, "year", dt.date(1998, 1, 1), days=732)
+    return t.spark.table(table).select("o_orderkey")
+
+
 @query(f"""
     WITH e AS (SELECT {SQL_EVENT_COLUMNS})
     SELECT {sql_stamp("ts")} AS cloudwatch_timestamp FROM e WHERE n IN (0, 1)

@@ -7,13 +7,14 @@ need not read what it deletes. Both work on whole partitions here.
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
+import uuid
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from weirstone.operators.retention import RETENTION_DAYS, cutoff
-from weirstone.operators.upsert import upsert, with_matches, without_matches
+from weirstone.operators.upsert import mark_processed, upsert, upsert_partial, with_matches, without_matches
 from weirstone.sources.tables import staged
 
 
@@ -24,14 +25,23 @@ def create_day_table(df: DataFrame, table: str, day: str) -> None:
 
 
 def replace_days(df: DataFrame, table: str) -> None:
-    """Overwrite the partitions that occur in ``df``, and no others."""
-    conf, key = df.sparkSession.conf, "spark.sql.sources.partitionOverwriteMode"
-    before = conf.get(key)
-    conf.set(key, "dynamic")  # a table insert reads the mode from the session only
+    """Overwrite the partitions that occur in ``df``, and no others.
+
+    A table insert reads the overwrite mode from its session only, so it gets a session of its own:
+    two merges of one session do not disturb each other.
+    """
+    spark = df.sparkSession
+    view = f"replace_{uuid.uuid4().hex}"
+    df.select(*spark.table(table).columns).createGlobalTempView(view)
+    own = spark.newSession()
+    for name in ("spark.sql.shuffle.partitions", "spark.sql.session.timeZone"):
+        own.conf.set(name, spark.conf.get(name))
+    own.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
     try:
-        df.select(*df.sparkSession.table(table).columns).write.mode("overwrite").insertInto(table)
+        own.sql(f"INSERT OVERWRITE TABLE {table} SELECT * FROM global_temp.{view}")
     finally:
-        conf.set(key, before)
+        spark.catalog.dropGlobalTempView(view)
+    spark.catalog.refreshTable(table)
 
 
 def _days(df: DataFrame, day: str) -> set[dt.date]:
@@ -43,9 +53,14 @@ def _drop_day(spark: SparkSession, table: str, day: str, value: dt.date) -> None
     spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({day} = DATE'{value:%Y-%m-%d}')")
 
 
-def merge_days(updates: DataFrame, table: str, keys: Sequence[str], day: str, staging: str) -> None:
+def merge_days(
+    updates: DataFrame, table: str, keys: Sequence[str], day: str, staging: str, merge: Callable[[DataFrame, DataFrame], DataFrame] | None = None
+) -> None:
     """Upsert ``updates`` (unique on the keys) into ``table``, rewriting only the days concerned.
 
+    ``merge`` may be another merge of (rows of those days, updates), such as a partial upsert that
+    keeps the day of a matched row (see ``merge_days_partial``).
+
     Those are the days of the updates, and the days on which the table holds one of their keys;
     finding the latter reads key columns only. The updates are written to ``staging`` first (a
     new folder in shared storage), so they are computed once and survive lost executors. Spark
@@ -63,11 +78,26 @@ def merge_days(updates: DataFrame, table: str, keys: Sequence[str], day: str, st
     emptied = held - new - _days(without_matches(in_held, rows, keys), day)
 
     concerned = target.filter(F.col(day).isin(list(held | new)))
-    replace_days(upsert(concerned, rows, keys), table)
+    replace_days((merge or (lambda t, u: upsert(t, u, keys)))(concerned, rows), table)
     for value in emptied:
         _drop_day(spark, table, day, value)
 
 
+def merge_days_partial(updates: DataFrame, table: str, keys: Sequence[str], columns: Sequence[str], day: str, staging: str) -> None:
+    """A match changes ``columns`` only; the keys contain the day, so no row moves."""
+    if day not in keys:
+        raise ValueError(f"{day} must be one of the keys")
+    merge_days(updates, table, keys, day, staging, lambda t, u: upsert_partial(t, u, keys, columns))
+
+
+def mark_processed_days(done: DataFrame, table: str, keys: Sequence[str], at: Column, day: str, mark: str = "dw_processed_at") -> None:
+    """Stamp the unmarked rows with a key in ``done``; the keys contain the day. Other days stay."""
+    if day not in keys:
+        raise ValueError(f"{day} must be one of the keys")
+    concerned = done.sparkSession.table(table).filter(F.col(day).isin(list(_days(done, day))))
+    replace_days(mark_processed(concerned, done, keys, at, mark), table)
+
+
 def drop_expired_days(spark: SparkSession, table: str, day: str, as_of: dt.date, days: int = RETENTION_DAYS) -> list[dt.date]:
     """Drop the partitions before the cutoff day: no data is read or written.
 
