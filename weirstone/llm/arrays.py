@@ -12,7 +12,7 @@ from functools import cache
 import numpy as np
 import pyarrow as pa
 
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 19
 
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
@@ -51,7 +51,7 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of the base and of its inverse, at least ``n`` of each."""
     if n > 8 << 20:  # one very long text: not kept
         return _powers.__wrapped__(n)
-    return _powers(1 << max(22, (n - 1).bit_length()))
+    return _powers(1 << max(20, (n - 1).bit_length()))
 
 
 def text_buffer(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:

@@ -33,7 +33,7 @@ from weirstone.llm.arrays import LOWER, NOT_WORD, Lookup, Prefixes, shingles, sl
 RADIUS = 23
 SHINGLE = 5
 BLOCK_WORDS = 1_000_000
-WINDOWS_AT_ONCE = 4096
+WINDOWS_AT_ONCE = 1024
 MATCH = "array<struct<item:int,start:long,words:long,similarity:double,distance:int>>"
 
 _BITS = np.array([bin(i).count("1") for i in range(256)], np.uint8)

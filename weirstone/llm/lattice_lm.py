@@ -35,6 +35,7 @@ from weirstone.llm.arrays import LOWER, SPACE, Prefixes, slices, text_buffer, wo
 from weirstone.session import fresh_dir
 
 HOT_WORDS = 300_000
+COUNT_BYTES = 2 << 20  # words are counted over slices of this size before the first shuffle
 BEGIN = "▁".encode()
 LN10 = np.log(10.0)
 
@@ -114,7 +115,7 @@ def word_counts(docs: DataFrame, may_learn: Column, text: str = "text") -> DataF
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             train = batch.column(1).to_numpy(zero_copy_only=False)
-            for first_row, last_row in slices(batch.column(0)):
+            for first_row, last_row in slices(batch.column(0), COUNT_BYTES):
                 raw, starts, stops, first, hashed = _words(batch.column(0).slice(first_row, last_row - first_row))
                 learns = train[first_row:last_row].astype(np.int64)
                 _, one, place = np.unique(hashed, return_index=True, return_inverse=True)
