@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from weirstone.bindings.registry import Tables, query, sql_stamp, stamp
-from weirstone.bindings.sample_logs import SQL_EVENT_COLUMNS, raw_events
+from weirstone.bindings.sample_logs import SQL_EVENT_COLUMNS, raw_events, sql_event_message, sql_other_columns
 from weirstone.functions.dates import instant
 from weirstone.operators.conform import ColumnSpec, conform, conform_issues, split_pii
 from weirstone.operators.extract import EVENT_COLUMNS, extract_columns
@@ -69,15 +69,29 @@ def upsert_partial_orders(t: Tables) -> DataFrame:
     return merged.withColumn("dw_created_at", stamp("dw_created_at"))
 
 
-SPEC = [c for c in EVENT_COLUMNS if c.column in ("id", "name", "user_id", "pid", "browser_mobile", "success")]
+SPEC = EVENT_COLUMNS
 
+MADE = "id name time log_filename new_event path user_id pid browser_mobile success".split()
+SQL_LATE = f"""
+    SELECT {sql_event_message("'late'", "value * 2")} AS message, CAST(event_id AS VARCHAR) AS id, 'late' AS name, {sql_stamp("ts")} AS "time",
+           'events.log' AS log_filename, TRUE AS new_event, '/late' AS path, CAST(user_id AS VARCHAR) AS user_id, n AS pid,
+           value * 2 > 100 AS browser_mobile, TRUE AS success, {sql_stamp("ts + INTERVAL 1 MINUTE")} AS cloudwatch_timestamp,
+           {sql_other_columns(SPEC, *MADE)}
+    FROM e WHERE n NOT IN (0, 1)
+"""
 SQL_LOADED = f"""
     e AS (SELECT {SQL_EVENT_COLUMNS}),
-    loaded AS (
-        SELECT CAST(event_id AS VARCHAR) AS id, 'late' AS name, CAST(user_id AS VARCHAR) AS user_id, n AS pid,
-               value * 2 > 100 AS browser_mobile, TRUE AS success, {sql_stamp("ts + INTERVAL 1 MINUTE")} AS cloudwatch_timestamp
-        FROM e WHERE n NOT IN (0, 1)
-    )
+    loaded AS ({SQL_LATE})
+"""
+# Rows of the table before the load: the id and the name alone.
+SQL_LOADED_TABLE = f"""
+    WITH {SQL_LOADED}
+    SELECT * FROM loaded
+    UNION ALL BY NAME
+    SELECT '{{"id":"x' || event_id || '","name":"other"}}' AS message, 'x' || event_id AS id, 'other' AS name, {sql_stamp("ts")} AS cloudwatch_timestamp FROM e
+    UNION ALL BY NAME
+    SELECT '{{"id":"' || event_id || '","name":"old"}}' AS message, CAST(event_id AS VARCHAR) AS id, 'old' AS name, {sql_stamp("ts")} AS cloudwatch_timestamp
+    FROM e WHERE event_type = 'error' AND n IN (0, 1)
 """
 
 
@@ -94,18 +108,10 @@ def existing_logs(t: Tables) -> DataFrame:
     return extract_columns(old.unionByName(other), SPEC)
 
 
-@query(f"""
-    WITH {SQL_LOADED}
-    SELECT * FROM loaded
-    UNION ALL
-    SELECT 'x' || event_id, 'other', NULL, NULL, NULL, NULL, {sql_stamp("ts")} FROM e
-    UNION ALL
-    SELECT CAST(event_id AS VARCHAR), 'old', NULL, NULL, NULL, NULL, {sql_stamp("ts")} FROM e
-    WHERE event_type = 'error' AND n IN (0, 1)
-""")
+@query(SQL_LOADED_TABLE)
 def load_event_logs(t: Tables) -> DataFrame:
     loaded = load_logs(raw_events(t), existing_logs(t), SPEC, "id").target
-    return loaded.drop("message").withColumn("cloudwatch_timestamp", stamp("cloudwatch_timestamp"))
+    return loaded.withColumns({c: stamp(c) for c in ("time", "cloudwatch_timestamp")})
 
 
 def day_table(t: Tables, rows: DataFrame, day: str) -> str:
@@ -116,22 +122,14 @@ def day_table(t: Tables, rows: DataFrame, day: str) -> str:
     return name
 
 
-@query(f"""
-    WITH {SQL_LOADED}
-    SELECT * FROM loaded
-    UNION ALL
-    SELECT 'x' || event_id, 'other', NULL, NULL, NULL, NULL, {sql_stamp("ts")} FROM e
-    UNION ALL
-    SELECT CAST(event_id AS VARCHAR), 'old', NULL, NULL, NULL, NULL, {sql_stamp("ts")} FROM e
-    WHERE event_type = 'error' AND n IN (0, 1)
-""")
+@query(SQL_LOADED_TABLE)
 def load_event_logs_by_day(t: Tables) -> DataFrame:
     """The same load into a table partitioned by day; a message is parsed once."""
     old = existing_logs(t).withColumn("day", F.to_date("cloudwatch_timestamp"))
     table = day_table(t, old, "day")
     load_logs_by_day(raw_events(t), table, SPEC, "id", "day", fresh_dir(t.spark, "load"))
-    loaded = t.spark.table(table).drop("message", "day")
-    return loaded.withColumn("cloudwatch_timestamp", stamp("cloudwatch_timestamp"))
+    loaded = t.spark.table(table).drop("day")
+    return loaded.withColumns({c: stamp(c) for c in ("time", "cloudwatch_timestamp")})
 
 
 def orders_by_year(t: Tables, rows: DataFrame) -> DataFrame:

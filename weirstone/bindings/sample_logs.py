@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from weirstone.bindings.registry import SQL_K, Tables, k
+from weirstone.operators.extract import JsonColumn
 
 
 def iso(ts: Column | str) -> Column:
@@ -38,6 +41,20 @@ def event_message(value: Column, kind: Column) -> Column:
     return F.when(number == 1, F.substring(document, F.lit(1), F.length(document) - 1)).otherwise(document)
 
 
+def sql_event_message(kind: str, value: str) -> str:
+    """The text of ``event_message`` in SQL, from event_id, n, ts and user_id."""
+    document = f"""'{{"id":' || CASE WHEN n = 0 THEN 'null' ELSE '"' || event_id || '"' END || ',"name":"' || {kind} || '","time":"' ||
+        strftime(ts, '%Y-%m-%dT%H:%M:%S.%fZ') || '","log_filename":"events.log","properties":{{"new_event":true,"path":"/' || {kind} ||
+        '","user_id":"' || user_id || '","pid":"' || CASE WHEN {kind} = 'error' THEN 'none' ELSE CAST(n AS VARCHAR) END ||
+        '","service_provider":null,"browser_mobile":' || ({value} > 100) || ',"event_properties":{{"success":' || ({kind} <> 'error') || '}}}}}}'"""
+    return f"CASE WHEN n = 1 THEN left({document}, length({document}) - 1) ELSE {document} END"
+
+
+def sql_other_columns(spec: Sequence[JsonColumn], *made: str) -> str:
+    """The columns that no sample message holds, as NULL."""
+    return ", ".join(f'NULL AS "{c.column}"' for c in spec if c.column not in made)
+
+
 def raw_events(t: Tables) -> DataFrame:
     """Every event twice: as it is, and a minute later with a doubled value and kind ``late``."""
     events = t.events

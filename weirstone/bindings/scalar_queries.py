@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from weirstone.bindings.registry import SQL_K, Tables, k, query, sql_stamp, stamp
 from weirstone.bindings.report_inputs import calendar, providers, SQL_PROVIDERS
-from weirstone.bindings.sample_logs import SQL_EVENT_COLUMNS, raw_events, raw_requests
+from weirstone.bindings.sample_logs import SQL_EVENT_COLUMNS, raw_events, raw_requests, sql_event_message, sql_other_columns
 from weirstone.functions import dates, jsonpath, text
 from weirstone.operators import filters
 from weirstone.operators.extract import EVENT_COLUMNS, REQUEST_COLUMNS, extract_columns
@@ -31,35 +31,28 @@ from weirstone.operators.extract import EVENT_COLUMNS, REQUEST_COLUMNS, extract_
            CASE WHEN n <> 1 THEN '/' || kind END AS path,
            CASE WHEN n <> 1 THEN CAST(user_id AS VARCHAR) END AS user_id,
            CASE WHEN n <> 1 AND kind <> 'error' THEN n END AS pid,
-           CAST(NULL AS VARCHAR) AS service_provider,
            CASE WHEN n <> 1 THEN value > 100 END AS browser_mobile,
-           CASE WHEN n <> 1 THEN kind <> 'error' END AS success
+           CASE WHEN n <> 1 THEN kind <> 'error' END AS success,
+           {sql_event_message("kind", "value")} AS message,
+           {sql_other_columns(EVENT_COLUMNS, *"id name time log_filename new_event path user_id pid browser_mobile success".split())}
     FROM copies
 """)
 def extract_event_columns(t: Tables) -> DataFrame:
     rows = extract_columns(raw_events(t), EVENT_COLUMNS)
-    return rows.select(
-        "id",
-        "name",
-        stamp("time").alias("time"),
-        stamp("cloudwatch_timestamp").alias("cloudwatch_timestamp"),
-        *"log_filename new_event path user_id pid service_provider browser_mobile success".split(),
-    )
+    return rows.withColumns({c: stamp(c) for c in ("time", "cloudwatch_timestamp")})
 
 
 @query(f"""
     SELECT l_orderkey || '-' || l_linenumber || '-' || l_partkey AS uuid,
            CASE WHEN l_returnflag = 'R' THEN 'POST' ELSE 'GET' END AS method,
            200 + l_linenumber AS status, {sql_stamp("l_shipdate")} AS "timestamp",
-           CAST(l_suppkey AS INTEGER) AS pid, l_extendedprice AS duration, CAST(NULL AS VARCHAR) AS trace_id
+           CAST(l_suppkey AS INTEGER) AS pid, l_extendedprice AS duration, '/api/health' AS path, {sql_stamp("l_shipdate")} AS cloudwatch_timestamp,
+           {sql_other_columns(REQUEST_COLUMNS, *"uuid method path status timestamp pid duration".split())}
     FROM lineitem
 """)
 def extract_request_columns(t: Tables) -> DataFrame:
-    rows = extract_columns(raw_requests(t), REQUEST_COLUMNS)
-    return rows.select(
-        "uuid", "method", "status", stamp("timestamp").alias("timestamp"), "pid",
-        F.col("duration").cast("double").alias("duration"), "trace_id",
-    )
+    rows = extract_columns(raw_requests(t), REQUEST_COLUMNS, keep=["cloudwatch_timestamp"])
+    return rows.withColumns({c: stamp(c) for c in ("timestamp", "cloudwatch_timestamp")} | {"duration": F.col("duration").cast("double")})
 
 
 @query(f"""

@@ -26,9 +26,9 @@ from weirstone.sources.sinks import (
 SQL_BUCKET = "'fraud-ops-events:' || strftime(time_bucket(INTERVAL '5 minutes', ts), '%Y-%m-%dT%H:%M:%SZ')"
 
 
-@query("SELECT o_orderkey, o_totalprice FROM orders WHERE o_orderpriority = '1-URGENT'")
+@query("SELECT o_orderkey, o_totalprice FROM orders")
 def table_scan(t: Tables) -> DataFrame:
-    return t.orders.filter(F.col("o_orderpriority") == "1-URGENT").select("o_orderkey", "o_totalprice")
+    return t.orders.select("o_orderkey", "o_totalprice")
 
 
 @query(f"""

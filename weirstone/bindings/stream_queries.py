@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from weirstone.bindings.load_queries import SPEC, existing_logs
+from weirstone.bindings.load_queries import SPEC, SQL_LATE, existing_logs
 from weirstone.bindings.quality_queries import SQL_LOGIN_WINDOWS
 from weirstone.bindings.registry import SQL_K, Tables, k, query, sql_stamp, stamp
 from weirstone.bindings.sample_logs import SQL_EVENT_COLUMNS, raw_events
@@ -76,19 +76,14 @@ def fold_batches_events(t: Tables) -> DataFrame:
     return table.select("event_key", "message", F.col("partition_dt").cast("string").alias("partition_dt"))
 
 
-@query(f"""
-    WITH e AS (SELECT {SQL_EVENT_COLUMNS})
-    SELECT CAST(event_id AS VARCHAR) AS id, 'late' AS name, CAST(user_id AS VARCHAR) AS user_id, n AS pid,
-           value * 2 > 100 AS browser_mobile, TRUE AS success, {sql_stamp("ts + INTERVAL 1 MINUTE")} AS cloudwatch_timestamp
-    FROM e WHERE n NOT IN (0, 1)
-""")
+@query(f"WITH e AS (SELECT {SQL_EVENT_COLUMNS}) {SQL_LATE}")
 def log_stream(t: Tables) -> DataFrame:
     """Raw rows written as files, streamed, extracted; then the current rows."""
     work = fresh_dir(t.spark, "logs")
     raw_events(t).withColumn("cloudwatch_timestamp", F.col("cloudwatch_timestamp").cast("timestamp")).write.parquet(f"{work}/raw")
     extract_logs(stream_raw_logs(t.spark, f"{work}/raw"), SPEC, "id", f"{work}/table", f"{work}/checkpoint")
     current = current_logs(t.spark, f"{work}/table", "id")
-    return current.drop("message").withColumn("cloudwatch_timestamp", stamp("cloudwatch_timestamp"))
+    return current.withColumns({c: stamp(c) for c in ("time", "cloudwatch_timestamp")})
 
 
 @query(f"""
