@@ -44,7 +44,7 @@ from weirstone.session import fresh_dir
 
 GROUPS = 256
 FULL = 255  # a document with so many tokens in one group has no point: no bound applies to it
-ROUNDS = 3
+ROUNDS = 4
 HOT_TOKENS = 200_000
 HOT_FROM = 24
 BLOCK_BYTES = 12 << 20
@@ -318,11 +318,19 @@ def confirm(pairs: DataFrame, some: DataFrame) -> DataFrame:
     return both.where(verified("zip_a", "zip_b")).select("a", "b")
 
 
-def star_pairs(named: DataFrame, measured: DataFrame) -> DataFrame:
-    """In each top node the first document of every component with the first of them all."""
-    first = named.groupBy("token", "root").agg(F.min(F.struct("th", "n")).alias("one"))
-    lead = F.min("one").over(Window.partitionBy("token"))
-    pairs = first.select(lead.alias("lead"), "one").where("one.th <> lead.th and 5 * one.n >= 4 * lead.n and 5 * lead.n >= 4 * one.n")
+def star_pairs(named: DataFrame, measured: DataFrame, turn: int = 0) -> DataFrame:
+    """In each top node one document of every component with one that leads them all.
+
+    At first these are the smallest keys, the same in all nodes. In later turns every node draws its
+    own: two components of near copies meet in many nodes, with another pair in each.
+    """
+    rank = F.lit(0) if turn == 0 else F.xxhash64(F.lit(turn), "token", "th")
+    first = named.groupBy("token", "root").agg(F.min(F.struct(rank.alias("rank"), "th", "n")).alias("one"), F.count("*").alias("members"))
+    node = Window.partitionBy("token")
+    pairs = first.select(F.min("one").over(node).alias("lead"), "one", F.sum("members").over(node).alias("size"))
+    if turn:  # a node of two has one pair only, which the first turn has tried
+        pairs = pairs.where("size > 2")
+    pairs = pairs.where("one.th <> lead.th and 5 * one.n >= 4 * lead.n and 5 * lead.n >= 4 * one.n")
     pairs = pairs.select(F.col("lead.th").alias("a"), F.col("lead.n").alias("n_a"), F.col("one.th").alias("b"), F.col("one.n").alias("n_b")).distinct()
     pairs = pairs.join(measured.select(F.col("th").alias("a"), F.col("point").alias("point_a")), "a").join(measured.select(F.col("th").alias("b"), F.col("point").alias("point_b")), "b")
     return pairs.where(bound_allows("point_a", "n_a", "point_b", "n_b")).select("a", "b")
@@ -338,15 +346,16 @@ def linked_texts(docs: DataFrame, text: str = "text") -> tuple[DataFrame, DataFr
     node = Window.partitionBy("token")
     posted = postings(texts, hot).select("token", "th", "n", F.min("th").over(node).alias("first"), F.max("th").over(node).alias("last"))
     lists = _keep(posted.where("first <> last").select("token", "th", "n").distinct(), "nodes")
-    fresh = _keep(star_pairs(with_roots(lists, None), measured), "pairs")
+    alone = with_roots(lists, None)
+    fresh = _keep(star_pairs(alone, measured).unionByName(star_pairs(alone, measured, ROUNDS + 1)).distinct(), "pairs")
     some = fetch(texts, ends(fresh))
     tried, edges, roots = fresh.limit(0), None, None
-    for _ in range(ROUNDS):
+    for turn in range(1, ROUNDS + 1):
         found = confirm(fresh, some)
         tried = tried.unionByName(fresh)
         edges = _keep(found if edges is None else edges.unionByName(found), "links")
         roots = _keep(components(edges), "roots")
-        fresh = star_pairs(with_roots(lists, roots), measured).join(tried, ["a", "b"], "left_anti")
+        fresh = star_pairs(with_roots(lists, roots), measured, turn).join(tried, ["a", "b"], "left_anti")
         fresh = _keep(fresh.join(some.select(F.col("th").alias("a")), "a", "left_semi").join(some.select(F.col("th").alias("b")), "b", "left_semi"), "pairs")
         if fresh.isEmpty():
             break
