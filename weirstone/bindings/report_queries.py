@@ -91,6 +91,16 @@ def demographics_states_all_issuers(t: Tables) -> DataFrame:
     return demographics.table_per_issuer(listed, demographics.state_table(users))
 
 
+@query("""
+    WITH issuers AS (SELECT DISTINCT 'sp-' || CAST(floor(value / 100) AS BIGINT) AS issuer FROM events)
+    SELECT issuer, metric, unit, 'The number of users for this issuer who verified within the reporting period, grouped by ' || grouped || '.' AS definition
+    FROM issuers, (VALUES ('Age range/Verification Demographics', 'Count', 'age in 10 year range'),
+                          ('Geographic area/Verification Demographics', 'Count', 'state')) AS d(metric, unit, grouped)
+""")
+def demographics_definitions(t: Tables) -> DataFrame:
+    return demographics.definitions_table(demographic_events(t).select(F.col("service_provider").alias("issuer")))
+
+
 @query("""
     WITH issuers AS (SELECT DISTINCT 'sp-' || CAST(floor(value / 100) AS BIGINT) AS issuer FROM events)
     SELECT issuer, 'Report Timeframe' AS line, '2024-01-01 00:00:00 UTC to 2024-03-31 23:59:59 UTC' AS value FROM issuers
@@ -218,6 +228,44 @@ def partner_idv_outcomes(t: Tables) -> DataFrame:
     return partner_idv.partner_idv_rows(outcomes.withColumn("month_start_date_actual", month), named, None, 19960601)
 
 
+@query(f"""
+    WITH {sql_partner_tables()}
+    SELECT s_name AS issuer, 'App ' || s_name AS service_provider_name, n_name AS agency_name, start_service_provider_id,
+           '1996-06-01' AS month_start_date_actual, period_date_id AS month_start_calendar_id, {", ".join(OUTCOME_DETAILS)}
+    FROM idv JOIN supplier ON s_suppkey = start_service_provider_id JOIN nation ON s_nationkey = n_nationkey
+    WHERE period_date_id = 19960601 AND start_service_provider_id = 2
+""")
+def partner_idv_of_one_provider(t: Tables) -> DataFrame:
+    outcomes = partner_tables(t)["idv"].withColumnRenamed("period_date_id", "month_start_calendar_id")
+    month = F.to_date(F.col("month_start_calendar_id").cast("string"), "yyyyMMdd").cast("string")
+    named = providers(t).withColumn("service_provider_name", F.concat(F.lit("App "), "issuer"))
+    return partner_idv.partner_idv_rows(outcomes.withColumn("month_start_date_actual", month), named, 2, 19960601)
+
+
+@query("""
+    WITH given AS (
+        SELECT CASE WHEN o_orderstatus <> 'P' THEN 'sp-' || o_orderkey // 2 END AS issuer,
+               CASE WHEN o_orderpriority <> '5-LOW' THEN o_orderkey END AS service_provider_id, o_orderkey
+        FROM orders
+    )
+    SELECT o_orderkey, issuer, service_provider_id, CASE WHEN issuer IS NULL THEN 'missing_field'
+                WHEN count(*) OVER (PARTITION BY issuer) > 1 THEN 'duplicate_issuer'
+                WHEN service_provider_id IS NULL THEN 'missing_id' ELSE 'ok' END AS status
+    FROM given
+""")
+def partner_row_status(t: Tables) -> DataFrame:
+    """Every row keeps its own status: issuers that are missing or occur twice, and missing ids."""
+    key = F.col("o_orderkey")
+    rows = t.orders.select(
+        key,
+        F.when(F.col("o_orderstatus") != "P", F.concat(F.lit("sp-"), F.floor(key / 2))).alias("issuer"),
+        F.lit("name").alias("service_provider_name"), F.lit("agency").alias("agency_name"),
+        F.when(F.col("o_orderpriority") != "5-LOW", key).alias("service_provider_id"),
+        F.lit("1996-06-01").alias("period_date_actual"), F.lit(19960601).alias("period_date_id"),
+    )
+    return partner.checked_rows(rows, []).select("o_orderkey", "issuer", "service_provider_id", "status")
+
+
 SQL_RAW_ISSUERS = """
     raw AS (
         SELECT s_name AS issuer, CAST(s_suppkey AS VARCHAR) AS id FROM supplier
