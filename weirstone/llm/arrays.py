@@ -14,6 +14,8 @@ import pyarrow as pa
 
 SLICE_BYTES = 1 << 19
 
+BATCH_ROWS = 1000
+
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
@@ -28,6 +30,17 @@ _BASE = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 
 
+def bounded_batches(spark) -> None:
+    """Hand rows to Python in batches of ``BATCH_ROWS`` at most, for this session.
+
+    The default of 10,000 rows is meant for numbers; of documents it makes a batch of 30 MB and more,
+    which both sides hold several times.
+    """
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if int(spark.conf.get(name)) > BATCH_ROWS:
+        spark.conf.set(name, BATCH_ROWS)
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """Finalizer that spreads every bit of 64-bit values over all bits."""
     x = x ^ (x >> np.uint64(33))

@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from weirstone.llm import decontaminate, language_id, lattice_lm, license_scan, near_vectors, ngram_join, packing, quality, suffix_dedup, token_counts
+from weirstone.llm.arrays import bounded_batches
 from weirstone.sources.tables import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -16,8 +18,13 @@ ORACLE_SQL: dict[str, str] = {}
 
 
 def _query(build: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
-    QUERIES[build.__name__] = build
-    return build
+    @wraps(build)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        bounded_batches(spark)
+        return build(spark, sf_dir)
+
+    QUERIES[build.__name__] = run
+    return run
 
 
 def fold(divisor: int, remainder: int, key: str = "doc_id") -> Column:
