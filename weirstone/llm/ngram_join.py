@@ -44,7 +44,7 @@ from weirstone.session import fresh_dir
 
 GROUPS = 256
 FULL = 255  # a document with so many tokens in one group has no point: no bound applies to it
-ROUNDS = 4
+ROUNDS = 2
 HOT_TOKENS = 200_000
 HOT_FROM = 24
 BLOCK_BYTES = 12 << 20
