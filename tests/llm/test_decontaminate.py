@@ -64,3 +64,41 @@ def test_blocks_give_the_same(spark):
     assert decontaminate.contaminated(docs, items.limit(0)).count() == 0
     assert decontaminate.contaminated(docs.limit(0), items).count() == 0
     assert decontaminate.contaminated(docs, items).select("item_id").collect()[0][0] == 7
+
+
+def brute_short(docs, items):
+    """What ``brute`` leaves out: documents with fewer words than an item, compared as a whole."""
+    found = {}
+    for d, text in docs:
+        have = bag(norm(text))
+        for i, item in items:
+            want = bag(norm(item))
+            if have and len(norm(text)) < len(norm(item)):
+                s = sum((have & want).values()) / sum((have | want).values())
+                if s >= 0.8:
+                    found[d, i] = (0, s)
+    return found
+
+
+def test_documents_shorter_than_the_item(spark):
+    rng = random.Random(11)
+    vocabulary = [f"w{i}" for i in range(60)]
+    items = [(i, " ".join(rng.choices(vocabulary, k=rng.randint(15, 59)))) for i in range(30)]
+    items += [(100, " ".join(f"i{n}" for n in range(59))), (101, "a b c d e f g h i"), (102, "two words"), (103, items[4][1])]
+    docs = [(1, " ".join(f"i{n}" for n in range(57))), (2, "a b c d e f g h"), (3, "two"), (4, ""), (5, None), (6, "b c d e f g h")]
+    for d in range(10, 130):
+        words = items[rng.randrange(30)][1].split()
+        first, last = rng.randint(0, 8), rng.randint(0, 8)
+        words = words[first : len(words) - last]
+        if rng.random() < 0.3:
+            words[rng.randrange(len(words))] = "zz"
+        docs.append((d, " ".join(words)))
+    frame = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    table = spark.createDataFrame(items, "item_id long, text string")
+    rows = decontaminate.contaminated(frame, table).collect()
+    short = brute_short(docs, items)
+    assert {(r.doc_id, r.item_id): (r.start_word, r.similarity) for r in rows} == brute(docs, items) | short
+    assert (1, 100) in short and (2, 101) in short and len(short) > 30
+    length = dict(docs)
+    assert all(r.n_words == len(norm(length[r.doc_id])) for r in rows if (r.doc_id, r.item_id) in short)
+    assert {r.doc_id for r in decontaminate.clean(frame, table).collect()} == {d for d, _ in docs} - {d for d, _ in brute(docs, items) | short}

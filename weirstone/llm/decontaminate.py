@@ -1,14 +1,15 @@
 """Benchmark decontamination: SimHash of item-sized windows, multi-index Hamming tables, exact check.
 
-A window is as many consecutive words of a document as an item has; with fewer words the document
-has none. Only windows that share a shingle with an item of their size can be similar to one, so
+A window is as many consecutive words of a document as an item has. A document with fewer words than
+an item is one window as a whole, as long as it has 0.8 of the item's shingles: with fewer it cannot
+reach the similarity. Only windows that share a shingle with an item of their size can be similar to one, so
 these are formed, all of them. Each window gets a 64-bit SimHash of its shingles. Items lie in eight
 tables by the bytes of their own SimHash: fingerprints within ``RADIUS`` bits agree up to
 ``RADIUS // 8`` bits in at least one byte, so the tables return every item within the radius. What
 they return is verified by the weighted Jaccard similarity of the shingles (a shingle weighs as
 often as it occurs), 0.8 or more. At that similarity a bit of two fingerprints differs with
 probability 0.15, so 23 of 64 differing bits lie beyond four standard deviations; a similar window
-that is missed there has neighbours, one word on, that are tried as well.
+that is missed there has neighbours, one word on, that are tried as well (a whole document has none).
 
 Words are lower-cased runs of letters, digits and non-ASCII; shingles have five words, or all words
 of a shorter item. Items go to the tasks in blocks of at most ``BLOCK_WORDS`` words, whatever the
@@ -126,31 +127,39 @@ class ItemIndex:
             base = np.searchsorted(row, np.arange(len(counts)))
             for size, lookup in gates:
                 spot, _ = lookup(found)
-                spot = spot[counts[row[spot]] >= size]
-                if not len(spot):
-                    continue
                 width = size - k + 1
+                long = counts[row[spot]] >= size
+                whole = np.unique(row[spot[~long]])
+                whole = whole[(counts[whole] - k + 1) / width >= threshold]
+                self._compare(result, found, base[whole], whole, base, counts[whole], k, size, threshold)
+                spot = spot[long]
                 start = (spot[:, None] - np.arange(width)[None, :]).ravel()
                 owner = np.repeat(row[spot], width)
                 inside = (start >= base[owner]) & (start - base[owner] + size <= counts[owner])
                 start, one = np.unique(start[inside], return_index=True)
                 owner = owner[inside][one]
-                for a in range(0, len(start), WINDOWS_AT_ONCE):
-                    some = start[a : a + WINDOWS_AT_ONCE]
-                    rows = found[some[:, None] + np.arange(width)[None, :]]
-                    window, item, distance = self.near(simhash(rows), size)
-                    if not len(window):
-                        continue
-                    alike = self.similarity(rows[window], item)
-                    for w, i, s, d in zip(window.tolist(), item.tolist(), alike.tolist(), distance.tolist(), strict=True):
-                        if s >= threshold:
-                            doc = int(owner[a + w])
-                            at = int(some[w] - base[doc])
-                            best = result.setdefault(doc, {})
-                            if i not in best or (s, -at) > (best[i][0], -best[i][1]):
-                                best[i] = (s, at, size, d)
+                self._compare(result, found, start, owner, base, np.full(len(start), size), k, size, threshold)
         return result
 
+    def _compare(self, result: dict[int, dict[int, tuple]], found: np.ndarray, start: np.ndarray, owner: np.ndarray, base: np.ndarray, length: np.ndarray, k: int, size: int, threshold: float) -> None:
+        """Enter into ``result`` the windows of ``length`` words from the shingles ``start`` on that match items of ``size`` words."""
+        for n in np.unique(length).tolist():
+            some_n = np.flatnonzero(length == n)
+            for a in range(0, len(some_n), WINDOWS_AT_ONCE):
+                chosen = some_n[a : a + WINDOWS_AT_ONCE]
+                rows = found[start[chosen][:, None] + np.arange(n - k + 1)[None, :]]
+                window, item, distance = self.near(simhash(rows), size)
+                if not len(window):
+                    continue
+                alike = self.similarity(rows[window], item)
+                for w, i, s, d in zip(chosen[window].tolist(), item.tolist(), alike.tolist(), distance.tolist(), strict=True):
+                    if s >= threshold:
+                        doc = int(owner[w])
+                        at = int(start[w] - base[doc])
+                        best = result.setdefault(doc, {})
+                        if i not in best or (s, -at) > (best[i][0], -best[i][1]):
+                            best[i] = (s, at, n, d)
+
 
 def item_blocks(items: DataFrame, key: str = "item_id", text: str = "text", block_words: int = BLOCK_WORDS) -> list[tuple[list, ItemIndex]]:
     """The benchmark as blocks of bounded size, each collected by itself."""
