@@ -31,3 +31,24 @@ def test_nothing_to_learn_from(spark):
     judged, model = identify(docs, F.lit(True), SMALL)
     assert model is None and {r.lang_pred for r in judged.select("language.lang_pred").collect()} == {"und"}
     assert identify(docs.limit(0), F.lit(True), SMALL)[0].count() == 0
+
+
+def test_unlearned_languages_and_junk_are_rejected(spark):
+    docs = spark.read.parquet(f"{ROOT}/documents.parquet").select("doc_id", "text", "lang")
+    foreign = [
+        "Nel mezzo del cammin di nostra vita mi ritrovai per una selva oscura, che la diritta via era smarrita.",
+        "Litwo, ojczyzno moja, ty jesteś jak zdrowie; ile cię trzeba cenić, ten tylko się dowie, kto cię stracił.",
+        "De hond loopt over straat en het kind speelt buiten met zijn vriendjes bij de winkel op de hoek van de gracht.",
+        "Мой дядя самых честных правил, когда не в шутку занемог, он уважать себя заставил и лучше выдумать не мог.",
+        "qxzv wkjpt zzqrx vbnmq xcvkl pqwzj hjkqz mnbvx zxqwk jjqxv kwqzp vvxzq bqjxk qxzv wkjpt zzqrx vbnmq",
+    ]
+    extra = [(90000 + i, t * n, None) for n in (1, 20) for i, t in enumerate(foreign, 100 * n)]
+    held = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 3 == 1, F.lit(False))
+    lines = docs.where(held).select((F.col("doc_id") + 100_000).alias("doc_id"), F.explode(F.split("text", r"\n|(?<=\.) ")).alias("text"), "lang")
+    short = lines.where(F.length("text").between(4, 80) & F.col("text").rlike(r"^\p{Lu}[\p{L} ,]+\.$"))
+    both = docs.unionByName(spark.createDataFrame(extra, docs.schema)).unionByName(short)
+    judged, _ = identify(both, ~held & (F.col("doc_id") < 90000), SMALL)
+    rows = judged.select("doc_id", "text", "language.rejected").collect()
+    assert all(r.rejected for r in rows if 90000 <= r.doc_id < 100_000)
+    clean = [r for r in rows if r.doc_id >= 100_000]
+    assert len(clean) > 1000 and sum(r.rejected for r in clean) / len(clean) < 0.005

@@ -3,13 +3,21 @@
 A text is the mean of the embeddings of its hashed byte n-grams (1 to 4 bytes, lower case, a blank
 for every run of other ASCII), put through a linear softmax. Embeddings and softmax are trained
 together by stochastic gradient descent in numpy on a bounded sample of labelled rows; part of that
-sample is kept back to fit a temperature and the rejection threshold. Embedding and softmax are
+sample is kept back to fit a temperature and the rejection limits. Embedding and softmax are
 linear, so their product is one small table of scores per hashed n-gram, and that is all that a
 prediction needs.
 
+A text is rejected if its best probability is lower, or the share of its n-grams that no training
+text has is higher, than the held-back texts show at that length. For this they are cut at words
+into pieces of all lengths from four bytes on; each class of lengths (a power of two of n-grams) gets
+the quantile of its pieces, with ``margin`` since a quantile of few pieces is close to the most
+extreme of them.
+
 Defined cases: a null text or one without a letter is ``und``, score 0, rejected. Without a single
-usable labelled row nothing is learned and every text is ``und``. Ties go to the language that
-sorts first. Whole texts are read; the length of a text does not change how it is judged.
+usable labelled row nothing is learned and every text is ``und``. A class of lengths with fewer than
+``least_pieces`` pieces has the limits of the next shorter one; with none shorter, as with fewer than
+eight labelled rows, there is no evidence to reject on and texts with a letter are kept. Ties go to the language that
+sorts first. Whole texts are read.
 """
 
 from __future__ import annotations
@@ -29,6 +37,9 @@ from weirstone.llm.arrays import LOWER, slices, text_buffer
 UNKNOWN = "und"
 RESULT = T.StructType([T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()), T.StructField("rejected", T.BooleanType())])
 
+KNOWN = 1 << 22  # n-grams are told apart by so many hashes where it counts whether they were seen
+CLASSES = 24  # powers of two of the number of n-grams
+
 _FOLD = LOWER.copy()
 _FOLD[:128][[not chr(i).isalpha() for i in range(128)]] = 32
 
@@ -49,6 +60,8 @@ class Settings:
     batch: int = 64
     rate: float = 0.5
     rejected_share: float = 0.0005
+    margin: float = 1.5
+    least_pieces: int = 200
     seed: int = 7
 
 
@@ -58,7 +71,9 @@ class Model:
     table: np.ndarray  # bucket x language
     bias: np.ndarray
     temperature: float
-    threshold: float
+    seen: np.ndarray  # one bit for each of KNOWN hashes
+    least: np.ndarray  # by class of length: lowest probability, highest share of unseen n-grams
+    most: np.ndarray
 
 
 def ngrams(data: np.ndarray, offsets: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
@@ -84,12 +99,15 @@ def ngrams(data: np.ndarray, offsets: np.ndarray, buckets: int) -> tuple[np.ndar
     return np.concatenate(found), np.concatenate(rows)
 
 
-def mean_scores(table: np.ndarray, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """Mean table row of each text."""
-    bucket, row = ngrams(data, offsets, len(table))
+def mean_scores(table: np.ndarray, seen: np.ndarray, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Mean table row of each text, the share of its n-grams that were not seen, and its class of length."""
+    wide, row = ngrams(data, offsets, KNOWN)
+    bucket = wide % len(table)
     n = len(offsets) - 1
     counts = np.maximum(np.bincount(row, minlength=n), 1)
-    return np.stack([np.bincount(row, weights=table[bucket, k], minlength=n) / counts for k in range(table.shape[1])], axis=1)
+    new = (seen[wide >> 3] >> (7 - (wide & 7)) & 1) == 0
+    scores = np.stack([np.bincount(row, weights=table[bucket, k], minlength=n) / counts for k in range(table.shape[1])], axis=1)
+    return scores, np.bincount(row[new], minlength=n) / counts, np.minimum(np.log2(counts).astype(np.int64), CLASSES - 1)
 
 
 def softmax(x: np.ndarray) -> np.ndarray:
@@ -101,6 +119,46 @@ def _offsets(raw: list[bytes]) -> np.ndarray:
     return np.concatenate([[0], np.cumsum([len(r) for r in raw])]).astype(np.int64)
 
 
+def _seen(pieces: list[bytes]) -> np.ndarray:
+    """Bits of the n-grams of all pieces."""
+    present = np.zeros(KNOWN, bool)
+    for at in range(0, len(pieces), 1000):
+        raw = pieces[at : at + 1000]
+        present[ngrams(np.frombuffer(b"".join(raw), np.uint8), _offsets(raw), KNOWN)[0]] = True
+    return np.packbits(present)
+
+
+def _cut(text: str) -> set[str]:
+    """The text and its pieces at words, of all lengths in powers of two from four bytes on."""
+    pieces = {text}
+    words, size = text.split(" "), 4
+    while size < len(text):
+        piece, held = [], 0
+        for word in words:
+            piece.append(word)
+            held += len(word.encode()) + 1
+            if held > size:
+                pieces.add(" ".join(piece))
+                piece, held = [], 0
+        size *= 2
+    return {p for p in pieces if any(map(str.isalpha, p))}
+
+
+def _limits(texts: list[str], judge: Callable[[list[str]], tuple[np.ndarray, np.ndarray, np.ndarray]], floor: float, settings: Settings) -> tuple[np.ndarray, np.ndarray]:
+    """By class of length: the lowest probability and the highest share of unseen n-grams that are kept."""
+    best, unseen, group = (np.concatenate(x) for x in zip(*(judge(sorted(_cut(t))) for t in texts), strict=True))
+    least, most = np.zeros(CLASSES), np.ones(CLASSES)
+    for c in range(CLASSES):
+        here = group == c
+        if here.sum() >= settings.least_pieces:
+            low = float(np.quantile(best[here], settings.rejected_share))
+            least[c] = floor + (low - floor) / settings.margin
+            most[c] = float(np.quantile(unseen[here], 1 - settings.rejected_share)) * settings.margin
+        elif c:
+            least[c], most[c] = least[c - 1], most[c - 1]
+    return least, most
+
+
 def train(texts: list[str], labels: list[str], settings: Settings = Settings()) -> Model | None:
     """Fit on texts in memory; ``None`` without any text."""
     if not texts:
@@ -127,7 +185,8 @@ def train(texts: list[str], labels: list[str], settings: Settings = Settings())
             done += 1
             chosen = shuffled[at : at + settings.batch]
             raw = [pieces[i] for i in chosen]
-            index, member = ngrams(np.frombuffer(b"".join(raw), np.uint8), _offsets(raw), settings.buckets)
+            index, member = ngrams(np.frombuffer(b"".join(raw), np.uint8), _offsets(raw), KNOWN)
+            index %= settings.buckets
             share = 1.0 / np.maximum(np.bincount(member, minlength=len(chosen)), 1)
             used, place = np.unique(index, return_inverse=True)
             flat = np.bincount(member * len(used) + place, minlength=len(chosen) * len(used)).reshape(len(chosen), -1) * share[:, None]
@@ -140,18 +199,27 @@ def train(texts: list[str], labels: list[str], settings: Settings = Settings())
             bias -= rate * error.sum(axis=0)
             embedding[used] -= rate * 100 * back
     table = embedding @ weight
+    seen = _seen(pieces)
     if not len(held):
-        return Model(languages, table, bias, 1.0, 0.0)
-    raw = [texts[i].encode() for i in held]
-    logits = mean_scores(table, np.frombuffer(b"".join(raw), np.uint8), _offsets(raw)) + bias
+        return Model(languages, table, bias, 1.0, seen, np.zeros(CLASSES), np.ones(CLASSES))
+
+    def measure(some: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        raw = [t.encode() for t in some]
+        scores, unseen, group = mean_scores(table, seen, np.frombuffer(b"".join(raw), np.uint8), _offsets(raw))
+        return scores + bias, unseen, group
+
+    def judge(some: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        scores, unseen, group = measure(some)
+        return softmax(scores / temperature).max(axis=1), unseen, group
+
+    logits = measure([texts[i] for i in held])[0]
     truth = np.array([languages.index(labels[i]) for i in held])
     temperature = min(
         (0.25, 0.35, 0.5, 0.7, 1.0, 1.4, 2.0, 2.8, 4.0),
         key=lambda t: -np.log(softmax(logits / t)[np.arange(len(truth)), truth] + 1e-12).mean(),
     )
-    best = softmax(logits / temperature).max(axis=1)
-    threshold = min(float(np.quantile(best, settings.rejected_share)), 1.2 / max(len(languages), 2))
-    return Model(languages, table, bias, temperature, threshold)
+    least, most = _limits([texts[i] for i in held], judge, 1 / len(languages), settings)
+    return Model(languages, table, bias, temperature, seen, least, most)
 
 
 def labelled_sample(docs: DataFrame, may_learn: Column, settings: Settings = Settings(), text: str = "text", lang: str = "lang", key: str = "doc_id") -> tuple[list[str], list[str]]:
@@ -178,12 +246,13 @@ def predictor(model: Model | None) -> Callable[[Column], Column]:
         names, scores, rejected = [], [], []
         for first, last in slices(texts):
             data, offsets = text_buffer(texts.slice(first, last - first))
-            probability = softmax((mean_scores(model.table, data, offsets) + model.bias) / model.temperature)
+            scored, unseen, group = mean_scores(model.table, model.seen, data, offsets)
+            probability = softmax((scored + model.bias) / model.temperature)
             best = probability.argmax(axis=1)
             score = probability[np.arange(len(best)), best]
             names.extend(model.languages[k] for k in best)
             scores.extend(score.tolist())
-            rejected.extend((score < model.threshold).tolist())
+            rejected.extend(((score < model.least[group]) | (unseen > model.most[group])).tolist())
         return pa.StructArray.from_arrays([pa.array(names, pa.string()), pa.array(scores, pa.float64()), pa.array(rejected, pa.bool_())], ["lang_pred", "score", "rejected"])
 
     nothing = F.struct(F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score"), F.lit(True).alias("rejected"))
