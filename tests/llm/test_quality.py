@@ -4,6 +4,7 @@ import math
 
 from pyspark.sql import functions as F
 
+from weirstone.llm import quality
 from weirstone.llm.quality import classify
 
 ROOT = "/root/testdata/sf0.01"
@@ -38,3 +39,19 @@ def test_no_labels_and_empty_table(spark):
     none = spark.createDataFrame([], "doc_id long, quality int")
     assert [round(r.quality_score, 3) for r in classify(docs, none, ("quality",), F.col("host"), F.col("path")).collect()] == [0.5, 0.5]
     assert classify(docs.limit(0), none, ("quality",), F.col("host"), F.col("path")).count() == 0
+
+
+def test_features_are_counted_over_all_labelled_rows(spark):
+    """Words beyond the clearest 800, and words that the fitted sample shows fewer than five times, have a weight."""
+    n = 4000
+    rows = [(i, f"w{i % 1000} common" if i % 2 else f"v{i % 1000} common") for i in range(n)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    labels = spark.createDataFrame([(i, i % 2) for i in range(n)], "doc_id long, toxic int")
+    bad = {h: len(v) for h, v in quality.counted(docs.unionAll(docs).unionAll(docs).unionAll(docs).unionAll(docs).unionAll(docs), labels, ("toxic",), "doc_id", "text").items()}
+    assert 900 < bad["toxic"] <= 1001
+    many = docs.unionByName(docs.selectExpr("doc_id + 10000 doc_id", "text")).unionByName(docs.selectExpr("doc_id + 20000 doc_id", "text"))
+    labelled = labels.unionAll(labels.selectExpr("doc_id + 10000", "toxic")).unionAll(labels.selectExpr("doc_id + 20000", "toxic"))
+    deep = many.unionByName(many.selectExpr("doc_id + 100000 doc_id", "text"))
+    all_labels = labelled.unionAll(labelled.selectExpr("doc_id + 100000", "toxic"))
+    judged = classify(deep, all_labels, ("toxic",), F.lit("h"), F.lit("p")).where("doc_id < 10000").select("doc_id", "toxic_evidence").collect()
+    assert sum((r.toxic_evidence > 0) == (r.doc_id % 2 == 1) for r in judged) / n > 0.97

@@ -1,9 +1,9 @@
 """Quality and toxicity by hierarchical empirical Bayes over documents, hosts and paths.
 
 A document's own evidence is the log-odds of a linear classifier over the presence of hashed words
-and of coarse shape marks (shares of capitals, marks and symbols). It is fitted on a bounded sample
-of labelled rows: features whose presence differs clearly between the classes, then a penalised
-logistic regression over these alone.
+and of coarse shape marks (shares of capitals, marks and symbols). Features whose presence differs clearly between the classes are
+found by counts over all labelled rows, ``FEATURES`` of them at most; a penalised logistic regression
+over these alone is fitted on a sample of at most ``SAMPLE`` labelled rows, kept sparse.
 
 Sites add what single documents cannot show. Labels where there are any, else the classifier's
 probabilities, are added up per path and per host. The spread of the rates between groups, beyond
@@ -31,11 +31,11 @@ from pyspark.sql import types as T
 from weirstone.llm.arrays import LOWER, NOT_WORD, Prefixes, slices, text_buffer, words
 from weirstone.session import fresh_dir
 
-SAMPLE = 8_000
+SAMPLE = 16_000
 BUCKETS = 1 << 18
 MARKS = 8  # bins of each shape mark
 CLEAR = 4.5  # standard errors between the classes that make a feature count
-FEATURES = 800
+FEATURES = 2_000
 
 _UPPER = np.zeros(256, bool)
 _UPPER[65:91] = True
@@ -89,41 +89,68 @@ class Head:
     rate: float
 
 
-def fit(rows: list[np.ndarray], target: np.ndarray, penalty: float = 2.0) -> Head:
-    """Choose clear features, then fit their weights by Newton steps."""
+def clear_features(seen: np.ndarray, here: np.ndarray, n: float, positive: float) -> np.ndarray:
+    """Features that differ clearly between the classes, the clearest first, from the number of rows
+    and of positive rows, in all and with each feature."""
+    if positive in (0.0, float(n)):
+        return np.zeros(0, np.int64)
+    pooled = (seen + 1) / (n + 2)
+    gap = here / positive - (seen - here) / (n - positive)
+    clear = np.abs(gap) / np.sqrt(pooled * (1 - pooled) * (1 / positive + 1 / (n - positive)))
+    clear[seen < 5] = 0
+    chosen = np.argsort(-clear, kind="stable")[:FEATURES]
+    return chosen[clear[chosen] > CLEAR]
+
+
+def _solve(times: Callable[[np.ndarray], np.ndarray], right: np.ndarray, diagonal: np.ndarray) -> np.ndarray:
+    """Conjugate gradients for a positive definite matrix that is given by its products."""
+    x, residual = np.zeros_like(right), right.copy()
+    scaled = residual / diagonal
+    along, size = scaled.copy(), float(residual @ scaled)
+    enough = 1e-8 * size
+    for _ in range(4 * len(right)):
+        if size <= enough or size == 0.0:
+            break
+        product = times(along)
+        length = size / float(along @ product)
+        x += length * along
+        residual -= length * product
+        scaled = residual / diagonal
+        size, last = float(residual @ scaled), size
+        along = scaled + size / last * along
+    return x
+
+
+def fit(rows: list[np.ndarray], target: np.ndarray, chosen: np.ndarray, penalty: float = 2.0) -> Head:
+    """Fit the weights of the chosen features by Newton steps; nothing dense is made of the rows."""
     n, total = len(rows), BUCKETS + 4 * MARKS
     weights = np.zeros(total, np.float32)
     positive = float(target.sum())
     rate = (positive + 0.5) / (n + 1)
     if n == 0 or positive in (0.0, float(n)):
         return Head(weights, float(np.log(rate / (1 - rate))) if n else 0.0, rate if n else 0.5)
-    index = np.concatenate(rows) if rows else np.zeros(0, np.int64)
-    owner = np.repeat(np.arange(n), [len(r) for r in rows])
-    here = np.bincount(index, weights=target[owner], minlength=total)
-    seen = np.bincount(index, minlength=total).astype(float)
-    other = seen - here
-    pooled = (seen + 1) / (n + 2)
-    gap = here / positive - other / (n - positive)
-    clear = np.abs(gap) / np.sqrt(pooled * (1 - pooled) * (1 / positive + 1 / (n - positive)))
-    clear[seen < 5] = 0
-    chosen = np.argsort(-clear, kind="stable")[:FEATURES]
-    chosen = chosen[clear[chosen] > CLEAR]
-    place = np.full(total, -1)
+    place = np.full(total, -1, np.int32)
     place[chosen] = np.arange(len(chosen))
-    matrix = np.zeros((n, len(chosen) + 1), np.float32)
-    hit = place[index] >= 0
-    matrix[owner[hit], place[index[hit]]] = 1
-    matrix[:, -1] = 1
+    spots = [place[r] for r in rows]
+    spots = [x[x >= 0] for x in spots]
+    column = np.concatenate([*spots, np.full(n, len(chosen), np.int32)])  # the bias is in every row
+    owner = np.concatenate([np.repeat(np.arange(n, dtype=np.int32), [len(x) for x in spots]), np.arange(n, dtype=np.int32)])
     ridge = np.full(len(chosen) + 1, penalty)
     ridge[-1] = 1e-6
     beta = np.zeros(len(chosen) + 1)
     beta[-1] = np.log(rate / (1 - rate))
+
+    def by_row(v: np.ndarray) -> np.ndarray:
+        return np.bincount(owner, weights=v[column], minlength=n)
+
+    def by_feature(v: np.ndarray) -> np.ndarray:
+        return np.bincount(column, weights=v[owner], minlength=len(ridge))
+
     for _ in range(25):
-        p = 1 / (1 + np.exp(-np.clip(matrix @ beta, -30, 30)))
-        gradient = matrix.T @ (p - target) + ridge * beta
-        weighted = matrix * np.maximum(p * (1 - p), 1e-6).astype(np.float32)[:, None]
-        curve = (weighted.T @ matrix).astype(float) + np.diag(ridge)
-        step = np.linalg.solve(curve, gradient)
+        p = 1 / (1 + np.exp(-np.clip(by_row(beta), -30, 30)))
+        gradient = by_feature(p - target) + ridge * beta
+        curve = np.maximum(p * (1 - p), 1e-6)
+        step = _solve(lambda v: by_feature(curve * by_row(v)) + ridge * v, gradient, by_feature(curve) + ridge)
         beta -= step
         if np.abs(step).max() < 1e-6:
             break
@@ -131,10 +158,31 @@ def fit(rows: list[np.ndarray], target: np.ndarray, penalty: float = 2.0) -> Hea
     return Head(weights, float(beta[-1]), rate)
 
 
+def counted(docs: DataFrame, labels: DataFrame, heads: tuple[str, ...], key: str, text: str) -> dict[str, np.ndarray]:
+    """The clear features of each head, by counts over all labelled rows."""
+    marked = labels.where(F.col(key).isNotNull()).select(F.col(key).alias("label_key"), *(F.col(h).cast("double").alias(f"is_{i}") for i, h in enumerate(heads)))
+    known = docs.where(F.col(key).isNotNull()).select(F.col(key).alias("label_key"), feature_numbers(text).alias("f")).join(marked, "label_key")
+    sums = [F.sum(f"is_{i}").alias(f"s{i}") for i in range(len(heads))]
+    # one feature that every row has (-1) counts the rows themselves
+    each = known.select(F.explode(F.concat(F.array(F.lit(-1)), F.col("f"))).alias("number"), *(f"is_{i}" for i in range(len(heads))))
+    table = each.groupBy("number").agg(F.count("*").alias("seen"), *sums).toArrow()  # a row per feature at most
+    number = table["number"].to_numpy()
+    total = BUCKETS + 4 * MARKS
+    every = np.flatnonzero(number == -1)
+    if not len(every):
+        return {h: np.zeros(0, np.int64) for h in heads}
+    columns = {}
+    for name in ("seen", *(f"s{i}" for i in range(len(heads)))):
+        columns[name] = np.zeros(total)
+        columns[name][number[number >= 0]] = table[name].to_numpy()[number >= 0]
+    rows = {name: float(table[name][int(every[0])].as_py()) for name in columns}
+    return {h: clear_features(columns["seen"], columns[f"s{i}"], rows["seen"], rows[f"s{i}"]) for i, h in enumerate(heads)}
+
+
 def labelled_rows(docs: DataFrame, labels: DataFrame, heads: tuple[str, ...], key: str, text: str, sample: int) -> tuple[list[np.ndarray], dict[str, np.ndarray]]:
     """Features of at most ``sample`` labelled documents, in hash order of the key."""
     some = labels.where(F.col(key).isNotNull()).orderBy(F.xxhash64(key), key, *heads).limit(sample).select(F.col(key).alias("label_key"), *(F.col(h).alias(f"is_{i}") for i, h in enumerate(heads)))
-    known = docs.select(F.col(key).alias("label_key"), F.col(text).alias("t")).join(some, "label_key")
+    known = docs.select(F.col(key).alias("label_key"), F.col(text).alias("t")).join(F.broadcast(some), "label_key")
     table = known.select(feature_numbers("t").alias("f"), *(f"is_{i}" for i in range(len(heads)))).toArrow()
     lists = table["f"].combine_chunks()
     flat, begin = lists.flatten().to_numpy(), lists.offsets.to_numpy() if len(lists) else np.zeros(1, int)
@@ -183,7 +231,8 @@ def classify(docs: DataFrame, labels: DataFrame, heads: tuple[str, ...], host: C
     spark = docs.sparkSession
     usable = labels if learn_from is None else labels.where(learn_from)
     rows, targets = labelled_rows(docs, usable, heads, key, text, sample)
-    fitted = [fit(rows, targets[h]) for h in heads]
+    clear = counted(docs, usable, heads, key, text)
+    fitted = [fit(rows, targets[h], clear[h]) for h in heads]
     at = fresh_dir(spark, "evidence")
     docs.select(F.col(key).alias("k"), host.alias("host"), path.alias("path"), evidence(fitted, spark)(F.col(text)).alias("e")).write.parquet(at)
     judged = spark.read.parquet(at)
