@@ -83,3 +83,13 @@ def test_one_of_each(spark):
     assert kept.columns == docs.columns
     assert sorted((str(r.doc_id), r.text) for r in kept.collect() if r.text) == [("1", "a b c d e f"), ("4", "x"), ("None", "y z")]
     assert one_of_each(docs.limit(0)).count() == 0 and near_duplicates(docs.limit(0)).count() == 0
+
+
+def test_one_of_each_with_ids_on_several_texts(spark):
+    rows = [(1, "a b c d e f"), (2, "A b c d e f"), (2, "only here and nowhere else"), (4, "p q r s t u"), (5, "P q r s t u"), (5, "v w x y z"), (6, "V w x y z")]
+    rows += [(7, "one two three"), (7, "One two three"), (None, "g h i j k"), (None, "g h i j k"), (None, "G h i j k"), (None, "l m n o"), (8, "L m n o"), (None, None), (None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "1 th", "2 k").repartition(3)
+    kept = one_of_each(docs)
+    assert kept.columns == docs.columns
+    got = sorted((str(r.doc_id), (r.text or "").lower()) for r in kept.collect())
+    assert got == sorted([("1", "a b c d e f"), ("2", "only here and nowhere else"), ("4", "p q r s t u"), ("5", "v w x y z"), ("7", "one two three"), ("8", "l m n o"), ("None", "g h i j k"), ("None", ""), ("None", "")])

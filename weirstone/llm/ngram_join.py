@@ -383,12 +383,19 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
 
 
 def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``docs`` with one document of each component: the one with the smallest key, once."""
+    """``docs`` with one row of each component: the one with the smallest key and, of several texts
+    under that key, the smallest text key. Rows with a null key come after all others. Rows
+    whose text has no word all stay."""
     columns = docs.columns
-    found = _keep(near_duplicates(docs, key, text), "components")
+    measured, roots = linked_texts(docs, text)
+    labels = measured.where("n > 0").join(roots, measured.th == roots.node, "left").select("th", F.coalesce("root", "th").alias("component"))
+    has_words = F.coalesce(F.col(text).rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    given = docs.where(has_words).select(F.col(key).alias("k"), text_key(F.col(text)).alias("th"))
+    first = F.min(F.struct(F.col("k").isNull().alias("last"), "k", "th")).alias("first")
+    chosen = _keep(given.join(labels, "th").groupBy("component").agg(first), "chosen")
     free = "_" + max(columns, key=len)  # a name that no column has
-    gone = found.where(F.col(key) != F.col("component_id")).select(F.col(key).alias(free)).distinct()
-    kept = docs.join(gone, F.col(key) == F.col(free), "left_anti")
-    repeated = F.row_number().over(Window.partitionBy(key, text_key(F.col(text))).orderBy(F.lit(1)))
-    has_words = F.coalesce(F.col(text).rlike(r"[^\x20\x09-\x0D]"), F.lit(False)) & F.col(key).isNotNull()
-    return kept.withColumn(free, repeated).where((F.col(free) == 1) | ~has_words).select(*columns)
+    chosen = chosen.select(F.col("first.k").alias(f"{free}k"), F.col("first.th").alias(f"{free}th"))
+    named = docs.where(has_words).withColumn(free, text_key(F.col(text)))
+    kept = named.join(chosen, (F.col(free) == F.col(f"{free}th")) & F.col(key).eqNullSafe(F.col(f"{free}k")), "left_semi")
+    once = kept.withColumn(f"{free}n", F.row_number().over(Window.partitionBy(key, free).orderBy(F.lit(1)))).where(F.col(f"{free}n") == 1)
+    return once.select(*columns).unionAll(docs.where(~has_words).select(*columns))
