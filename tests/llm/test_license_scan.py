@@ -57,3 +57,12 @@ def test_scan_equals_brute_force(spark):
     text = plan(scan(docs))
     assert "Exchange" not in text and "Python" not in text
     assert scan(docs.limit(0)).count() == 0
+
+
+def test_keywords_do_not_hide_detections(spark):
+    """One text per alternative that holds nothing else."""
+    texts = [(f"It {verb} not be {act}.", "no-redistribution") for verb in ("may", "must", "shall") for act in ("copied", "reproduced", "redistributed")]
+    texts += [("Redistribution is strictly prohibited", "no-redistribution"), ("Provided as\nis", "warranty"), ('provided "as  is"', "warranty"), ("provided as is", "warranty")]
+    texts += [("Zero-clause BSD", "0bsd"), ("zero clause bsd", "0bsd"), ("Released under the Zero-Clause BSD", "0bsd"), ("SPDX-License-Identifier: 0BSD", "0bsd")]
+    docs = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(texts)], "doc_id long, text string")
+    assert {r.doc_id: r.labels for r in scan(docs).collect()} == {i: label for i, (_, label) in enumerate(texts)}

@@ -1,7 +1,7 @@
 """Signature rules of the license scan.
 
 Fixed values, in the order of their priority within a tier. A line of ``LICENSES`` is: label, keyword
-that must occur before any of its patterns is tried, pattern of the name, pattern of the short
+that every text of the name pattern holds (the pattern is tried only where it occurs), pattern of the name, pattern of the short
 identifier, pattern of the address (``-`` for none). All are matched in lower-cased text.
 """
 
@@ -49,7 +49,7 @@ libpng ; libpng ; libpng\s+licen[sc]e ; libpng(?:-2\.0)? ; libpng\.org/pub/png/s
 bsl-1.0 ; boost ; boost\s+software\s+licen[sc]e ; bsl-1\.0 ; boost\.org/license_1_0
 unlicense ; unlicense ; the\s+unlicense ; unlicense ; unlicense\.org
 wtfpl ; wtfpl ; wtfpl ; wtfpl ; wtfpl\.net
-0bsd ; 0bsd ; zero[-\s]clause\s+bsd ; 0bsd ; opensource\.org/licenses/0bsd
+0bsd ; bsd ; zero[-\s]clause\s+bsd ; 0bsd ; opensource\.org/licenses/0bsd
 python-2.0 ; python ; python\s+(?:software\s+foundation\s+)?licen[sc]e ; (?:python|psf)-2\.0 ; docs\.python\.org/.{0,12}license
 postgresql ; postgresql ; postgresql\s+licen[sc]e ; postgresql ; postgresql\.org/about/licence
 php-3.01 ; php ; (?<![a-z])php\s+licen[sc]e ; php-3\.0[01]? ; php\.net/license
@@ -92,7 +92,7 @@ unlicense ; released ; free\s+and\s+unencumbered\s+software\s+released\s+into\s+
 public-domain ; public ; (?:in|into|to)\s+the\s+public\s+domain
 warranty ; warrant ; without\s+warranty\s+of\s+any\s+kind
 warranty ; warrant ; without\s+any\s+(?:express(?:ed)?\s+or\s+implied\s+)?warrant(?:y|ies)
-warranty ; as is ; provided\s+["'“]?as\s+is["'”]?
+warranty ; provided ; provided\s+["'“]?as\s+is["'”]?
 copyright ; copyright ; copyright\s+(?:\(c\)|©)\s*(?:1[89]|20)\d\d
 copyright ; copyright ; copyright\s+(?:1[89]|20)\d\d
 copyright ; © ; ©\s*(?:1[89]|20)\d\d
@@ -100,7 +100,9 @@ reserved ; reserved ; (?<![a-z])all\s+rights\s+(?:are\s+)?reserved
 reserved ; reserved ; (?<![a-z])some\s+rights\s+reserved
 proprietary ; proprietary ; proprietary\s+and\s+confidential
 proprietary ; confidential ; confidential\s+(?:and\s+proprietary\s+)?information\s+of
-no-redistribution ; redistribut ; (?:may|must|shall)\s+not\s+be\s+(?:copied|reproduced|redistributed)
+no-redistribution ; copied ; (?:may|must|shall)\s+not\s+be\s+copied
+no-redistribution ; reproduced ; (?:may|must|shall)\s+not\s+be\s+reproduced
+no-redistribution ; redistributed ; (?:may|must|shall)\s+not\s+be\s+redistributed
 no-redistribution ; redistribut ; redistribution\s+(?:is\s+)?(?:strictly\s+)?prohibited
 non-commercial ; commercial ; (?:for\s+)?non[-\s]?commercial\s+use\s+only
 licensed ; licen ; licen[sc]ed\s+under\s+(?:the\s+)?(?:terms\s+of\s+)?(?:the\s+)?[a-z0-9][a-z0-9.\-]*
