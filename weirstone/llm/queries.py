@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weirstone.llm import decontaminate, language_id, lattice_lm, license_scan, near_vectors, ngram_join, packing, quality, suffix_dedup, token_counts
+from weirstone.llm import chat_format, decontaminate, language_id, lattice_lm, license_scan, merkle, near_vectors, ngram_join, oracle_sql, packing, quality, spelling, suffix_dedup, token_counts
 from weirstone.llm.arrays import bounded_batches
 from weirstone.sources.tables import read_table
 
@@ -98,3 +98,28 @@ def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.deduplicate(read_table(spark, sf_dir, "documents"))
+
+
+@_query
+def op11_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    said = "</s>[INST] ok [/INST]"
+    tricky = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
+    return chat_format.read_back(chat_format.format_turns(turns.unionByName(tricky)))
+
+
+@_query
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.document_manifest(read_table(spark, sf_dir, "documents"), fold(7, 0))
+
+
+@_query
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(read_table(spark, sf_dir, "documents"), spelling.slipped)
+
+
+ORACLE_SQL |= {
+    "op11_chat_format": oracle_sql.CHAT,
+    "op12_merkle_manifest": oracle_sql.MERKLE,
+    "op13_spelling_variants": oracle_sql.SPELLING,
+}
