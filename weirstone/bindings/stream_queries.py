@@ -17,11 +17,12 @@ from weirstone.operators.quality import watched_login_windows
 from weirstone.operators.upsert import upsert
 from weirstone.session import fresh_dir
 from weirstone.sources.logs import stream_raw_logs
-from weirstone.streaming.decrypt import decrypt_stream, decrypted_events, failed_events
+from weirstone.streaming.decrypt import decrypt_stream, decrypted_events, expired_events, failed_events
 from weirstone.streaming.exports import large_export_stream
 from weirstone.streaming.ingest import current_events, fold_batches, ingest_events
 from weirstone.streaming.logins import watched_login_stream
 from weirstone.streaming.logs import compact_logs, current_logs, extract_logs
+from weirstone.streaming.retries import Retries, pending
 from weirstone.streaming.runner import drain_to_files
 
 def stream_table(t: Tables, name: str) -> DataFrame:
@@ -200,6 +201,26 @@ def decrypt_unprocessed_stream(t: Tables) -> DataFrame:
     return decryption_result(good.unionByName(bad, allowMissingColumns=True))
 
 
+@query(f"""
+    SELECT CAST(event_id AS VARCHAR) AS event_key, CASE WHEN {SQL_K} <> 0 THEN user_id END AS user_id,
+           CASE WHEN {SQL_K} = 0 THEN 'expired' ELSE 'ok' END AS status
+    FROM events WHERE event_type <> 'error'
+""")
+def decrypt_retry_stream(t: Tables) -> DataFrame:
+    """What fails is kept as state. A day later, with the other key, it is due: some rows come right, the rest expires."""
+    work = fresh_dir(t.spark, "retries")
+    encrypted = encrypted_events(t)
+    encrypted.write.parquet(f"{work}/encrypted")
+    stream = t.spark.readStream.schema(encrypted.schema).parquet(f"{work}/encrypted")
+    policy = Retries(dt.timedelta(hours=12), attempts=2)
+    for day, key in enumerate((secret_key(), secret_key("another key 0000")), 1):
+        decrypt_stream(stream, aes_gcm(key), dt.datetime(2024, 2, day), f"{work}/events", f"{work}/checkpoint", policy)
+    good = decrypted_events(t.spark, f"{work}/events").select("event_key", "user_id", F.lit("ok").alias("status"))
+    gone = expired_events(t.spark, f"{work}/events").select("event_key", F.lit("expired").alias("status"))
+    waiting = pending(t.spark, f"{work}/events").select("event_key", F.lit("pending").alias("status"))
+    return good.unionByName(gone, allowMissingColumns=True).unionByName(waiting, allowMissingColumns=True)
+
+
 def processed(t: Tables) -> Processed:
     """Purchases are in the event table already, under their keys, with an older message."""
     events = t.events.filter("event_type = 'purchase'").select(

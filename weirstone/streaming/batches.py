@@ -42,6 +42,20 @@ def has_batches(spark: SparkSession, batches: str) -> bool:
     return _exists(spark, batches)
 
 
+def folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of what lies in a folder, none if there is no such folder."""
+    if not _exists(spark, path):
+        return []
+    root = _path(spark, path)
+    return sorted(status.getPath().getName() for status in _files(spark, root).listStatus(root))
+
+
+def remove(spark: SparkSession, path: str) -> bool:
+    """Remove a folder with all that is in it; False if there is none."""
+    at = _path(spark, path)
+    return _files(spark, at).delete(at, True)
+
+
 def _path(spark: SparkSession, path: str):
     return spark._jvm.org.apache.hadoop.fs.Path(path)
 
