@@ -23,8 +23,11 @@ from weirstone.bindings.report_inputs import (
 )
 from weirstone.operators.filters import in_period
 from weirstone.operators.metrics import bin_counts
-from weirstone.plans import conversions, demographics, fraud, issuers, partner, partner_idv
+from weirstone.plans import conversions, delivery, demographics, fraud, issuers, partner, partner_idv
 from weirstone.plans.partner_fields import OUTCOME_DETAILS
+from weirstone.session import fresh_dir
+from weirstone.sources.named_files import read_objects, write_objects
+from weirstone.sources.tables import staged
 
 QUARTER = (dt.datetime(2024, 1, 1), dt.datetime(2024, 4, 1))
 AS_OF = dt.date(2024, 4, 2)
@@ -305,3 +308,108 @@ def issuer_mapping_inverse(t: Tables) -> DataFrame:
 """)
 def issuer_mapping_issues(t: Tables) -> DataFrame:
     return issuers.mapping_issues(raw_issuers(t))
+
+
+def delivered(t: Tables, pattern: str, *lines: DataFrame) -> DataFrame:
+    """(path, line) of all lines of the objects, read back by their names."""
+    root = fresh_dir(t.spark, "delivered")
+    for part in lines:
+        write_objects(part, root)
+    whole = read_objects(t.spark, root, pattern)
+    text = F.split(F.regexp_replace("line", "\\n$", ""), "\n")
+    return whole.select("path", F.posexplode(text).alias("position", "line"))
+
+
+def mapped_issuers(t: Tables) -> DataFrame:
+    """Every other issuer of the events has a provider; sp-1 and sp-3 share one."""
+    listed = demographic_events(t).select(F.col("service_provider").alias("issuer")).distinct()
+    number = F.split("issuer", "-")[1].cast("bigint")
+    ids = listed.filter((number % 2 == 1) | (number == 0)).select("issuer", F.when(number == 3, 1).otherwise(number).alias("id"))
+    return delivery.deliverable(listed, ids)
+
+
+SQL_RECIPIENTS = """
+    numbered AS (SELECT DISTINCT CAST(floor(value / 100) AS BIGINT) AS number FROM events),
+    recipients AS (
+        SELECT 'sp-' || number AS issuer, CASE WHEN number = 3 THEN 1 ELSE number END AS id,
+               CASE WHEN number % 2 <> 1 AND number <> 0 THEN 'missing_id'
+                    WHEN number = 3 AND 1 IN (SELECT number FROM numbered) THEN 'shared_id' ELSE 'ok' END AS status
+        FROM numbered
+    )
+"""
+
+
+@query(f"""
+    WITH {SQL_RECIPIENTS} SELECT issuer, CASE WHEN status <> 'missing_id' THEN id END AS service_provider_id, status FROM recipients
+""")
+def delivery_status(t: Tables) -> DataFrame:
+    return mapped_issuers(t)
+
+
+@query(f"""
+    WITH {SQL_RECIPIENTS}, {SQL_DEMOGRAPHIC_USERS},
+    counts AS (
+        SELECT issuer, 'age_metrics' AS file, CAST({SQL_AGE} // 10 * 10 AS INTEGER) AS k,
+               ({SQL_AGE} // 10 * 10) || '-' || ({SQL_AGE} // 10 * 10 + 9) AS label, count(*) AS n
+        FROM people WHERE {SQL_AGE} BETWEEN 0 AND 140 GROUP BY issuer, {SQL_AGE} // 10
+        UNION ALL SELECT issuer, 'state_metrics', 0, state, count(*) FROM people WHERE trim(state) <> '' GROUP BY issuer, state
+    ),
+    lines AS (
+        SELECT issuer, file, row_number() OVER (PARTITION BY issuer, file ORDER BY k, label) AS position, label || ',' || n AS line FROM counts
+        UNION ALL SELECT issuer, 'age_metrics', 0, 'Age Range,User Count' FROM recipients
+        UNION ALL SELECT issuer, 'state_metrics', 0, 'State,User Count' FROM recipients
+        UNION ALL SELECT issuer, 'overview', p, l || v FROM recipients, LATERAL (VALUES
+            (0, 'Report Timeframe,', '2024-01-01 00:00:00 UTC to 2024-03-31 23:59:59 UTC'), (1, 'Report Generated,', '2024-04-02'), (2, 'Issuer,', issuer)) AS o(p, l, v)
+        UNION ALL SELECT issuer, 'definitions', p, l FROM recipients, (VALUES (0, 'Metric,Unit,Definition'),
+            (1, 'Age range/Verification Demographics,Count,"The number of users for this issuer who verified within the reporting period, grouped by age in 10 year range."'),
+            (2, 'Geographic area/Verification Demographics,Count,"The number of users for this issuer who verified within the reporting period, grouped by state."')) AS d(p, l)
+    )
+    SELECT 'idp/DemographicsMetricsReport/' || id || '/quarterly/Q12024/' || a || id || b || file || '.csv' AS path, CAST(position AS INTEGER) AS position, line
+    FROM lines JOIN recipients USING (issuer), (VALUES ('SP', '_20240402_external_'), ('latest_SP', '_'), ('latest_external_SP', '_')) AS names(a, b)
+    WHERE status = 'ok'
+""")
+def demographics_delivered(t: Tables) -> DataFrame:
+    """Four files of every provider under three names each, written by the executors and read back."""
+    tables = staged(demographics_report(t), fresh_dir(t.spark, "tables"))
+    recipients = staged(mapped_issuers(t), fresh_dir(t.spark, "recipients"))
+    return delivered(t, "idp/*/*/quarterly/*/*.csv", delivery.demographic_lines(tables, recipients, *QUARTER, AS_OF))
+
+
+@query(f"""
+    WITH {SQL_FRAUD_ROWS},
+    ordered AS (SELECT *, row_number() OVER (PARTITION BY report ORDER BY list_position({list(fraud.METRICS)}, "Metric")) AS position FROM r),
+    lines AS (
+        SELECT report, position, "Metric" || ',' || "Total" || ',2024-01-01 00:00:00 UTC,2024-01-31 23:59:59 UTC' AS line FROM ordered
+        UNION ALL SELECT DISTINCT report, 0, 'Metric,Total,Range Start,Range End' FROM r
+    )
+    SELECT 'idp/fraud-metrics-report/' || kind || '.fraud-metrics-report/' || report || '.csv' AS path, CAST(position AS INTEGER) AS position, line
+    FROM lines, (VALUES ('latest'), ('2024/2024-02-01')) AS k(kind)
+""")
+def fraud_delivered(t: Tables) -> DataFrame:
+    """The three fraud files under their dated and latest names; a second run replaces the first one's."""
+    rows = fraud_report(t)
+    old = delivery.fraud_lines(rows.withColumn("Total", F.lit("old")), dt.date(2024, 2, 1))
+    return delivered(t, "idp/fraud-metrics-report/{latest.*,2024/*}/*.csv", old, delivery.fraud_lines(rows, dt.date(2024, 2, 1)))
+
+
+@query("""
+    WITH mapping AS (SELECT s_name AS issuer, s_suppkey AS id FROM supplier UNION ALL SELECT 'alias ' || s_name, s_suppkey FROM supplier),
+    rows AS (SELECT *, row_number() OVER (ORDER BY issuer) AS n FROM mapping)
+    SELECT 'portal/issuers_service_provider_id.json' AS path, CAST(n AS INTEGER) AS position,
+           CASE WHEN n > 1 THEN ',' ELSE '' END || '"' || issuer || '":{"id":' || id || '}' AS line FROM rows
+    UNION ALL SELECT 'portal/issuers_service_provider_id.json', 0, '{'
+    UNION ALL SELECT 'portal/issuers_service_provider_id.json', CAST((SELECT count(*) FROM mapping) + 1 AS INTEGER), '}'
+""")
+def issuer_mapping_delivered(t: Tables) -> DataFrame:
+    return delivered(t, "portal/issuers_service_provider_id.json", delivery.mapping_lines(issuers.issuer_to_id(raw_issuers(t))))
+
+
+@query(f"""
+    {SQL_ROWS}
+    SELECT 'portal/' || service_provider_id || '/monthly/1996-06-01.json' AS path, 0 AS position, issuer
+    FROM joined WHERE service_provider_name IS NOT NULL
+""")
+def partner_documents_delivered(t: Tables) -> DataFrame:
+    """One object per provider, whose issuer is read from its document."""
+    rows = delivered(t, "portal/*/monthly/1996-06-01.json", delivery.partner_lines(partner_documents(t), "monthly"))
+    return rows.select("path", "position", F.get_json_object("line", "$.issuer").alias("issuer"))
