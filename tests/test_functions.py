@@ -1,4 +1,6 @@
 import datetime as dt
+import json
+import random
 import time
 
 import pytest
@@ -168,6 +170,36 @@ def test_text_after_a_document_is_no_document(spark):
     assert [r[0] for r in got] == [None, None, "b", "c", None, None, "h"]
 
 
+def test_one_document_is_what_a_parser_reads_to_the_end(spark):
+    rng = random.Random(2)
+
+    def value(depth):
+        kind = rng.randrange(7 if depth else 4)
+        if kind < 4:
+            return rng.choice([1, None, True, "", "}", "{", '"},{"', "\\", '\\"', "a,b", "]"])
+        if kind == 4:
+            return [value(depth - 1) for _ in range(rng.randrange(3))]
+        return {rng.choice(["id", "x", "}", 'q"']): value(depth - 1) for _ in range(rng.randrange(4))}
+
+    def document():
+        return json.dumps({"id": "d", **{f"k{n}": value(rng.choice([1, 3, 7])) for n in range(rng.randrange(3))}}, separators=rng.choice([(",", ":"), (" , ", " : ")]))
+
+    behind = ["", "", "", " ", "\n", "}", "}}", "]", "]}", ",", ",1}", ',"junk"}', ',"k":1}', ',"k":{"b":2}', ",[{}]", ",null,{}", '"', " x", "{", ":{}"]
+    texts = [document() + rng.choice([*behind, document(), "," + document(), ", [" + document() + "], " + document()]) for _ in range(1500)]
+    texts += ['{"id":"d"},{"id":"e"}', '{"id":"d"}}', '{"id":"d"},"junk"}', '{"s":"{"}}', "[1]{}", "[1]", "{", ""]
+
+    def whole(text):
+        try:
+            return isinstance(json.loads(text), dict)
+        except ValueError:
+            return False
+
+    df = spark.createDataFrame([(n, t) for n, t in enumerate(texts)], "n int, m string")
+    parsed = jsonpath.with_document(df, F.col("m"), ["id"]).select("n", jsonpath.field("id").alias("id"))
+    got = {r.n: r.id for r in parsed.collect()}
+    assert [t for n, t in enumerate(texts) if (got[n] == "d") != whole(t) and t not in ("[1]",)] == []
+
+
 def test_booleans_are_strict(spark):
     values = ["true", "false", "1", '"t"', '"yes"', '"true"', "null", "[true]"]
     df = spark.createDataFrame([(n, f'{{"p":{{"flag":{v}}},"q":"text"}}') for n, v in enumerate(values)], "n int, m string")

@@ -8,11 +8,13 @@ from pyspark.sql import functions as F
 from weirstone.operators.decrypt import aes_gcm
 from weirstone.operators.extract import EVENT_COLUMNS
 from weirstone.operators.quality import watched_login_windows
+from weirstone.sources.bucket_stream import stream_buckets
+from weirstone.sources.buckets import bucket_name
 from weirstone.sources.logs import RAW_LOG_SCHEMA, read_raw_logs, stream_raw_logs
 from weirstone.streaming.batches import folded_batch, retire
 from weirstone.streaming.decrypt import decrypt_stream, decrypted_events, failed_events
 from weirstone.streaming.exports import large_export_stream
-from weirstone.streaming.ingest import ENCRYPTED_SCHEMA, current_events, fold_batches, ingest_events, merge_encrypted
+from weirstone.streaming.ingest import ENCRYPTED_SCHEMA, current_events, fold_batches, ingest_buckets, ingest_events, merge_encrypted, rejected_events
 from weirstone.streaming.logins import watched_login_stream
 from weirstone.streaming.logs import compact_logs, current_logs, extract_logs, rejected_rows
 from weirstone.streaming.runner import drain_to_files
@@ -104,6 +106,40 @@ def test_fold_touches_its_days_only_and_retires_batches(spark, tmp_path):
     assert sorted(p.name for p in (tmp_path / "table" / "partition_dt=2024-01-01").glob("*.parquet")) == first_day
 
 
+def test_rows_without_a_time_are_rejects_and_no_fold_loses_a_row(spark, tmp_path):
+    batches, table = f"{tmp_path}/batches", f"{tmp_path}/table"
+    feed(spark, f"{tmp_path}/in", [("a", "m", ts("2024-01-01 10:00:00")), ("n1", "no time", None)])
+    assert rows(ingest(spark, tmp_path), "event_key") == [("a",)]
+    fold_batches(spark, batches, table, NOW)
+    feed(spark, f"{tmp_path}/in", [("b", "m", ts("2024-01-01 11:00:00")), ("n2", "no time", None)])
+    ingest(spark, tmp_path)
+    for _ in range(2):
+        assert rows(fold_batches(spark, batches, table, NOW), "event_key") == [("a",), ("b",)]
+    found = rejected_events(spark, batches)
+    assert rows(found, "event_key", "message", "batch_id") == [("n1", "no time", 0), ("n2", "no time", 1)]
+    assert rows(found.groupBy("batch_id").count()) == [(0, 1), (1, 1)]
+
+
+def test_undated_rows_of_earlier_batches_are_folded(spark, tmp_path):
+    """Batches from before rows without a time were rejects: no fold replaces what the other has brought."""
+    batches, table = f"{tmp_path}/batches", f"{tmp_path}/table"
+    for n in range(2):
+        undated = spark.createDataFrame([(f"n{n}", "m", None, None, ts(LOADED), None)], "event_key string, message string, ts timestamp, bucket_name string, dw_created_at timestamp, partition_dt date")
+        undated.write.partitionBy("partition_dt").parquet(f"{batches}/batch_id={n}")
+        folded = fold_batches(spark, batches, table, NOW)
+    assert rows(folded, "event_key", "partition_dt") == [("n0", None), ("n1", None)]
+
+
+def test_buckets_are_drained_into_batches(spark, tmp_path):
+    rows_in = spark.createDataFrame([(f"k{n}", "m", ts(f"2024-01-01 10:{n:02}:00")) for n in range(30)], EVENT)
+    rows_in.withColumn("bucket_name", bucket_name(F.col("ts"))).drop("ts").write.partitionBy("bucket_name").parquet(f"{tmp_path}/buckets")
+    as_of = ts("2024-01-01 10:27:00")
+    for _ in range(2):
+        ingest_buckets(stream_buckets(spark, f"{tmp_path}/buckets", limit=10, as_of=as_of), f"{tmp_path}/batches", f"{tmp_path}/checkpoint", F.lit(ts(LOADED)))
+    assert rows(current_events(spark, f"{tmp_path}/batches", NOW), "event_key") == sorted((f"k{n}",) for n in range(25))
+    assert len(list((tmp_path / "batches").glob("batch_id=*"))) == 3
+
+
 def test_merge_keeps_marks_and_first_load(spark):
     target = spark.createDataFrame([("a", "m", "b1", ts(LOADED), ts(LOADED), dt.date(2024, 1, 1))], ENCRYPTED_SCHEMA)
     update = spark.createDataFrame(

@@ -250,6 +250,20 @@ def json_predicates(t: Tables) -> DataFrame:
     return documents.filter(jsonpath.field_equals("k", 7) & ~missing).select("event_id")
 
 
+@query(f"""
+    SELECT event_id, CASE WHEN event_id % 8 IN (0, 1, 2) THEN {SQL_K} END AS k FROM events
+""")
+def json_whole_documents(t: Tables) -> DataFrame:
+    """The properties as they are, nested, with braces in a string, and followed by five kinds of other text."""
+    number = (F.col("event_id") % 8).cast("int")
+    nested = F.concat(F.lit('{"p":{"a":[{"x":1},{"y":"}"}]},'), F.substring("props", F.lit(2), F.length("props")))
+    in_text = F.concat(F.lit('{"s":"{","t":"},{",'), F.substring("props", F.lit(2), F.length("props")))
+    behind = F.array(*map(F.lit, ("", "", "", ',{"k":1}', "}", ',"junk"}', ',"x":{"k":2}', "]")))
+    whole = F.when(number == 1, nested).when(number == 2, in_text).otherwise(F.col("props"))
+    texts = t.events.select("event_id", F.concat(whole, F.get(behind, number)).alias("text"))
+    return jsonpath.with_document(texts, F.col("text"), ["k"]).select("event_id", jsonpath.field("k", "int").alias("k"))
+
+
 @query("""
     SELECT l_orderkey, l_linenumber, CAST(l_quantity AS VARCHAR) AS l_quantity, CAST(l_extendedprice AS DECIMAL(15,2))::DOUBLE AS l_extendedprice
     FROM lineitem

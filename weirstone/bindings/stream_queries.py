@@ -16,10 +16,12 @@ from weirstone.operators.decrypt import Processed, aes_gcm, decryption, process_
 from weirstone.operators.quality import watched_login_windows
 from weirstone.operators.upsert import upsert
 from weirstone.session import fresh_dir
+from weirstone.sources.bucket_stream import stream_buckets
+from weirstone.sources.buckets import bucket_name
 from weirstone.sources.logs import stream_raw_logs
 from weirstone.streaming.decrypt import decrypt_stream, decrypted_events, expired_events, failed_events
 from weirstone.streaming.exports import large_export_stream
-from weirstone.streaming.ingest import current_events, fold_batches, ingest_events
+from weirstone.streaming.ingest import current_events, fold_batches, ingest_buckets, ingest_events, rejected_events
 from weirstone.streaming.logins import watched_login_stream
 from weirstone.streaming.logs import compact_logs, current_logs, extract_logs
 from weirstone.streaming.retries import Retries, pending
@@ -52,6 +54,44 @@ def ingest_stream(t: Tables) -> DataFrame:
     )
 
 
+SQL_HOUR = "time_bucket(INTERVAL '60 minutes', ts)"
+
+
+@query(f"""
+    SELECT CAST(event_id AS VARCHAR) AS event_key, props AS message, 'fraud-ops-events:' || strftime({SQL_HOUR}, '%Y-%m-%dT%H:%M:%SZ') AS bucket_name,
+           strftime({SQL_HOUR}, '%Y-%m-%d') AS partition_dt, '2024-02-01 00:00:00.000000' AS dw_created_at
+    FROM events WHERE {SQL_HOUR} <> (SELECT max({SQL_HOUR}) FROM events)
+""")
+def bucket_stream_events(t: Tables) -> DataFrame:
+    """Folders of hourly buckets, drained in batches of 4000 rows; the hour of the last event is open."""
+    work = fresh_dir(t.spark, "buckets")
+    rows = t.events.select(F.col("event_id").cast("string").alias("event_key"), F.col("props").alias("message"), bucket_name(F.col("ts"), 60).alias("bucket_name"))
+    rows.repartition("bucket_name").write.partitionBy("bucket_name").parquet(f"{work}/in")
+    stream = stream_buckets(t.spark, f"{work}/in", limit=4000, as_of=last_event(t), minutes=60)
+    ingest_buckets(stream, f"{work}/batches", f"{work}/checkpoint", loaded_at=instant(dt.datetime(2024, 2, 1)))
+    later = current_events(t.spark, f"{work}/batches", last_event(t) + dt.timedelta(days=1))
+    return later.select("event_key", "message", "bucket_name", F.col("partition_dt").cast("string").alias("partition_dt"), stamp("dw_created_at").alias("dw_created_at"))
+
+
+@query("""
+    SELECT CAST(event_id AS VARCHAR) AS event_key, 'table' AS place FROM events WHERE event_type <> 'error'
+    UNION ALL SELECT CAST(event_id AS VARCHAR), 'rejected' FROM events WHERE event_type = 'error'
+""")
+def undated_events(t: Tables) -> DataFrame:
+    """Errors come without a time. Two ingests and two folds, the second of which touches the days of the first."""
+    work = fresh_dir(t.spark, "undated")
+    stamped = t.events.select(
+        F.col("event_id").cast("string").alias("event_key"), F.col("props").alias("message"), F.when(F.col("event_type") != "error", F.col("ts")).cast("timestamp").alias("ts"), (F.col("event_id") % 2).alias("half")
+    )
+    for half in range(2):
+        stamped.filter(F.col("half") == half).drop("half").write.mode("append").parquet(f"{work}/in")
+        stream = t.spark.readStream.schema("event_key string, message string, ts timestamp").parquet(f"{work}/in")
+        ingest_events(stream, f"{work}/batches", f"{work}/checkpoint")
+        table = fold_batches(t.spark, f"{work}/batches", f"{work}/table", last_event(t) + dt.timedelta(days=1))
+    rejects = rejected_events(t.spark, f"{work}/batches")
+    return table.select("event_key", F.lit("table").alias("place")).unionByName(rejects.select("event_key", F.lit("rejected").alias("place")))
+
+
 def ingested(t: Tables) -> str:
     work = fresh_dir(t.spark, "ingest")
     stream = stream_table(t, "events").select(

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 DOCUMENT = "__document"
+NESTED = 4  # levels of objects and arrays that are judged without parsing
 
 
 def parsed(text: Column) -> Column:
@@ -44,14 +45,27 @@ def with_document(df: DataFrame, text: Column, paths: Sequence[str], booleans: S
 def is_one_document(text: Column) -> Column:
     """False where a second document or other text follows the first one.
 
-    A document ends with its own brace, and outside of its strings no brace closes before anything
-    but a comma or another closing one. Only texts that break this rule are parsed for an answer: as
-    the one element of an array with something behind it, which leaves no room for a rest.
+    Judged on the text without its strings. An object that begins with the text and where every closing
+    brace is followed by closing ones only is the whole if opening and closing braces are as many.
+    Where a comma follows a brace, pairs of brackets are taken out from the inside: nothing may be left of
+    the text, whereas a comma between two documents stays. What is nested more deeply than
+    ``NESTED``, or begins or ends otherwise, is parsed for an answer: as the one element of an array
+    with something behind it, which leaves no room for a rest.
     """
-    doubtful = ~text.rlike(r"\}\s*$") | text.rlike(r"\}\s*[^\s,\]}]")
+    unescaped = F.replace(F.replace(text, F.lit("\\\\"), F.lit("")), F.lit('\\"'), F.lit(""))
+    bare = F.regexp_replace(unescaped, '"[^"]*"', "")
+    one_object = bare.rlike(r"^\s*\{") & bare.rlike(r"\}\s*$") & ~bare.rlike(r"\}\s*[^\s,\]}]")
+    balanced = F.length(F.replace(bare, F.lit("{"), F.lit(""))) == F.length(F.replace(bare, F.lit("}"), F.lit("")))
+    inner = bare
+    for _ in range(NESTED):
+        inner = F.regexp_replace(inner, r"[{\[][^{}\[\]]*[}\]]", "")
     framed = F.try_parse_json(F.concat(F.lit('{"x":['), text, F.lit('],"end":1}')))
-    alone = F.try_variant_get(framed, "$.end", "int").isNotNull() & F.try_variant_get(framed, "$.x[1]", "string").isNull()
-    return F.when(doubtful, F.coalesce(alone, F.lit(False))).otherwise(True)
+    alone = F.try_variant_get(framed, "$.end", "int").isNotNull() & F.try_variant_get(framed, "$.x[1]", "variant").isNull()
+    return (
+        F.when(one_object & balanced & ~bare.rlike(r"\}\s*,"), True)
+        .when(one_object & ~inner.rlike(r"\S"), True)
+        .otherwise(F.coalesce(alone, F.lit(False)))
+    )
 
 
 def document_schema(paths: Sequence[str], booleans: Sequence[str] = ()) -> str:

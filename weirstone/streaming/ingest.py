@@ -2,7 +2,8 @@
 
 Every couple of minutes the rows that have arrived are appended with their bucket and event time;
 no batch rewrites the day it falls on, and no row is dropped for coming late. ``current_events``
-resolves the batches when reading and leaves out only the bucket that is still being filled.
+resolves the batches when reading and leaves out only the bucket that is still being filled. Rows
+without a time have no bucket and no day; they go to a folder of rejects, with their batch.
 ``fold_batches`` merges closed batches into the table and retires them.
 """
 
@@ -17,6 +18,7 @@ from pyspark.sql import types as T
 
 from weirstone.functions.dates import instant
 from weirstone.operators.upsert import same_key, upsert_partial
+from weirstone.sources.bucket_stream import drain
 from weirstone.sources.buckets import bucket_events, bucket_name, closed_buckets
 from weirstone.sources.tables import create_partitioned, overwrite_partitions, read_partitioned
 from weirstone.streaming.batches import folded_batch, record_folded, retire
@@ -56,12 +58,43 @@ def ingest_events(stream: DataFrame, batches: str, checkpoint: str, minutes: int
 
     def append(batch: DataFrame, batch_id: int) -> None:
         named = batch.select("event_key", "message", "ts", bucket_name(F.col("ts"), minutes).alias("bucket_name"))
-        rows = bucket_events(named).withColumn("dw_created_at", stamp)
-        rows.write.mode("overwrite").partitionBy("partition_dt").parquet(f"{batches}/batch_id={batch_id}")
+        _append(bucket_events(named), batches, batch_id, stamp)
 
     drain_to_batches(stream, append, checkpoint)
 
 
+def ingest_buckets(stream: DataFrame, batches: str, checkpoint: str, loaded_at: Column | None = None) -> None:
+    """Drain the rows of ``stream_buckets``: buckets that are closed, in batches of the source's limit."""
+    stamp = F.current_timestamp() if loaded_at is None else loaded_at
+
+    def append(batch: DataFrame, batch_id: int) -> None:
+        _append(batch.withColumn("ts", F.lit(None).cast("timestamp")), batches, batch_id, stamp)
+
+    drain(stream, append, checkpoint)
+
+
+def _append(rows: DataFrame, batches: str, batch_id: int, stamp: Column) -> None:
+    """Both folders of a batch; the rows are read once."""
+    stamped = rows.select("event_key", "message", "ts", "bucket_name", stamp.alias("dw_created_at"), "partition_dt").persist()
+    try:
+        dated = stamped.filter(F.col("partition_dt").isNotNull())
+        dated.write.mode("overwrite").partitionBy("partition_dt").parquet(f"{batches}/batch_id={batch_id}")
+        undated = stamped.filter(F.col("partition_dt").isNull()).drop("partition_dt")
+        undated.write.mode("overwrite").parquet(f"{rejects_path(batches)}/batch_id={batch_id}")
+    finally:
+        stamped.unpersist()
+
+
+def rejects_path(batches: str) -> str:
+    return f"{batches.rstrip('/')}__rejected"
+
+
+def rejected_events(spark: SparkSession, batches: str) -> DataFrame:
+    """Rows without a time or with an unreadable bucket name, as they came, with their ``batch_id``."""
+    schema = T.StructType([f for f in BATCH_SCHEMA if f.name != "partition_dt"])
+    return read_partitioned(spark, rejects_path(batches), schema)
+
+
 def resolved(rows: DataFrame) -> DataFrame:
     """One row per key and day: the last write by bucket, event time and batch; the first load time."""
     order = F.struct("bucket_name", "ts", "batch_id", "message")
@@ -100,13 +133,16 @@ def fold_batches(spark: SparkSession, batches: str, table: str, as_of: dt.dateti
     create_partitioned(spark.createDataFrame([], ENCRYPTED_SCHEMA), table, "partition_dt")
     done = folded_batch(spark, table)
     pending = read_partitioned(spark, batches, BATCH_SCHEMA).filter(F.col("batch_id") > done)
-    is_open = F.col("bucket_name") == bucket_name(instant(as_of))
+    is_open = F.coalesce(F.col("bucket_name") == bucket_name(instant(as_of)), F.lit(False))
     first_open, last = pending.agg(F.min(F.when(is_open, F.col("batch_id"))), F.max("batch_id")).first()
     upto = last if first_open is None else first_open - 1
     if upto is not None and upto > done:
         ready = pending.filter(F.col("batch_id") <= upto)
         days = [r[0] for r in ready.select("partition_dt").distinct().collect()]  # one value per day
-        target = read_partitioned(spark, table, ENCRYPTED_SCHEMA).filter(F.col("partition_dt").isin(days))
+        concerned = F.col("partition_dt").isin([d for d in days if d is not None])
+        if None in days:  # the partition of rows without a day is replaced like any other
+            concerned = concerned | F.col("partition_dt").isNull()
+        target = read_partitioned(spark, table, ENCRYPTED_SCHEMA).filter(concerned)
         overwrite_partitions(merge_encrypted(target, resolved(ready)), table, "partition_dt")
         record_folded(spark, table, upto)
         retire(spark, batches, upto)
