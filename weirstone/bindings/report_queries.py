@@ -26,6 +26,7 @@ from weirstone.operators.metrics import bin_counts
 from weirstone.plans import conversions, delivery, demographics, fraud, issuers, partner, partner_idv
 from weirstone.plans.partner_fields import OUTCOME_DETAILS
 from weirstone.session import fresh_dir
+from weirstone.sources.documents import store_documents
 from weirstone.sources.named_files import read_objects, write_objects
 from weirstone.sources.tables import staged
 
@@ -54,19 +55,30 @@ def demographics_bins(t: Tables) -> DataFrame:
     return bin_counts(seen.join(cohort, "user_id", "left_semi"), F.col("n"), 10, 0, 140)
 
 
-@query(f"""
+SQL_DEMOGRAPHIC_TABLES = f"""
     WITH {SQL_DEMOGRAPHIC_USERS}
     SELECT issuer, 'age_metrics' AS table_name, CAST({SQL_AGE} // 10 * 10 AS INTEGER) AS sort_key,
            ({SQL_AGE} // 10 * 10) || '-' || ({SQL_AGE} // 10 * 10 + 9) AS label, count(*) AS user_count
     FROM people WHERE {SQL_AGE} BETWEEN 0 AND 140 GROUP BY issuer, {SQL_AGE} // 10
     UNION ALL
     SELECT issuer, 'state_metrics', 0, state, count(*) FROM people WHERE trim(state) <> '' GROUP BY issuer, state
-""")
+"""
+
+
+@query(SQL_DEMOGRAPHIC_TABLES)
 def demographics_report(t: Tables) -> DataFrame:
     users = demographics.verified_users(demographic_events(t), *QUARTER)
     return demographics.demographic_tables(users, AS_OF)
 
 
+@query(SQL_DEMOGRAPHIC_TABLES)
+def demographics_from_stored_documents(t: Tables) -> DataFrame:
+    """The same tables from messages that were stored as documents; no text is read, or kept."""
+    stored = store_documents(demographic_events(t), fresh_dir(t.spark, "documents"), keep_text=False)
+    users = demographics.verified_users(stored, *QUARTER)
+    return demographics.demographic_tables(users, AS_OF)
+
+
 @query(f"""
     WITH {SQL_DEMOGRAPHIC_USERS}
     SELECT issuer, count(*) AS total_records, count(*) FILTER (birth_year IS NULL) AS null_values,

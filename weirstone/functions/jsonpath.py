@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 DOCUMENT = "__document"
+STORED = "document"  # column of a table that holds its messages as VARIANT
 NESTED = 4  # levels of objects and arrays that are judged without parsing
 
 
@@ -68,10 +69,55 @@ def is_one_document(text: Column) -> Column:
     )
 
 
+def stored_document(text: Column) -> Column:
+    """The document as a VARIANT to store beside or in place of its text; NULL where it is no JSON."""
+    return F.when(is_one_document(text), F.try_parse_json(text))
+
+
+def with_stored_document(df: DataFrame, document: Column, paths: Sequence[str], booleans: Sequence[str] = ()) -> DataFrame:
+    """As ``with_document`` from a stored VARIANT: the scan reads the named paths and nothing else.
+
+    Numbers come in their normal form (``1.50`` as ``1.5``), objects with their keys in order.
+    """
+
+    def leaf(path: str) -> Column:
+        if path not in booleans:
+            return value_at(document, path)
+        kind = F.schema_of_variant(value_at(document, path, "variant"))
+        return F.when(kind == "BOOLEAN", value_at(document, path, "boolean"))
+
+    def node(tree: dict, prefix: str) -> Column:
+        cells = [(leaf(prefix + k) if v is None else node(v, f"{prefix}{k}.")).alias(k) for k, v in tree.items()]
+        return F.struct(*cells)
+
+    return df.withColumn(DOCUMENT, node(_tree(paths), ""))
+
+
+def with_message(df: DataFrame, paths: Sequence[str], booleans: Sequence[str] = (), text: str = "message", stored: str = STORED) -> DataFrame:
+    """The stored document of a table that has one, else its text, parsed."""
+    kinds = dict(df.dtypes)
+    if kinds.get(stored) == "variant":
+        return with_stored_document(df, F.col(stored), paths, booleans)
+    return with_document(df, F.col(text), paths, booleans)
+
+
 def document_schema(paths: Sequence[str], booleans: Sequence[str] = ()) -> str:
     """DDL of the nested structs that hold the paths, every leaf a string or one of ``booleans``."""
+
+    def ddl(node: dict, prefix: str) -> str:
+        kinds = [(k, _leaf_type(f"{prefix}{k}", booleans) if v is None else f"struct<{ddl(v, f'{prefix}{k}.')}>") for k, v in node.items()]
+        return ",".join(f"`{k}`:{kind}" for k, kind in kinds)
+
+    return f"struct<{ddl(_tree(paths), '')}>"
+
+
+def _leaf_type(path: str, booleans: Sequence[str]) -> str:
+    return "boolean" if path in booleans else "string"
+
+
+def _tree(paths: Sequence[str]) -> dict:
+    """Nested dicts of the parts of dotted paths; a leaf is None."""
     tree: dict = {}
-    leaf_types: dict = {}
     for path in paths:
         node = tree
         *parents, leaf = path.split(".")
@@ -81,12 +127,7 @@ def document_schema(paths: Sequence[str], booleans: Sequence[str] = ()) -> str:
                 raise ValueError(f"{path} lies below another listed path")
         if node.setdefault(leaf, None) is not None:
             raise ValueError(f"{path} holds another listed path")
-        leaf_types[id(node), leaf] = "boolean" if path in booleans else "string"
-
-    def ddl(node: dict) -> str:
-        return ",".join(f"`{k}`:{leaf_types[id(node), k] if v is None else f'struct<{ddl(v)}>'}" for k, v in node.items())
-
-    return f"struct<{ddl(tree)}>"
+    return tree
 
 
 def field(path: str, type_name: str = "string") -> Column:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from weirstone.functions.dates import quarter_label
-from weirstone.functions.jsonpath import field, field_equals, with_document
+from weirstone.functions.jsonpath import field, field_equals, with_message
 from weirstone.functions.text import is_blank
 from weirstone.operators.filters import in_period
 from weirstone.operators.metrics import bin_counts, bin_label, bin_quality, category_counts
@@ -41,7 +41,8 @@ def verified_users(
 ) -> DataFrame:
     """(issuer, user_id, birth_year, state) of users who were redirected and passed proofing.
 
-    One scan for all issuers, in which every message is parsed once: both cohorts are marked on
+    One scan for all issuers, in which every message is parsed once, or only the columns of five
+    paths are read where the messages are stored as documents: both cohorts are marked on
     the rows and reduced to distinct rows on the map side. What is shuffled by user after that
     is one row per distinct value, so neither a large issuer nor a busy user is a large task.
     A list of issuers is applied to the counts (``table_per_issuer``), never to the raw rows: these
@@ -54,9 +55,8 @@ def verified_users(
         (F.col("name") == REDIRECT_EVENT) & field_equals(IAL_PATH, 2) & field_equals(FACIAL_MATCH_PATH, True)
     )
     proofed = (F.col("name") == PROOFING_EVENT) & field_equals(SUCCESS_PATH, True)
-    documents = with_document(
-        base, F.col("message"), [IAL_PATH, FACIAL_MATCH_PATH, SUCCESS_PATH, BIRTH_YEAR_PATH, STATE_PATH],
-        booleans=[FACIAL_MATCH_PATH, SUCCESS_PATH],
+    documents = with_message(
+        base, [IAL_PATH, FACIAL_MATCH_PATH, SUCCESS_PATH, BIRTH_YEAR_PATH, STATE_PATH], booleans=[FACIAL_MATCH_PATH, SUCCESS_PATH]
     )
     distinct = documents.select(
         "issuer",
