@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from weirstone.bindings.registry import Tables, query, sql_stamp, stamp
@@ -19,6 +19,7 @@ from weirstone.operators.retention import apply_retention, plan_retention
 from weirstone.operators.tablesync import missing_catalog_columns, record_sync, sync_table
 from weirstone.operators.upsert import mark_processed, upsert, upsert_partial
 from weirstone.session import fresh_dir
+from weirstone.sources.file_rewrite import expire_files, mark_files, read_files, upsert_files
 from weirstone.sources.partitions import create_day_table, drop_expired_days, mark_processed_days, merge_days, replace_days
 
 NEW_KEYS = 10_000_000
@@ -354,3 +355,44 @@ def split_pii_customers(t: Tables) -> DataFrame:
     )
     both = main.withColumn("part", F.lit("c")).unionByName(pii.withColumn("part", F.lit("pii")), allowMissingColumns=True)
     return both.select("part", "id", "name", "segment")
+
+
+def orders_by_date(t: Tables, *columns: Column | str) -> tuple[str, str]:
+    """The orders as a folder of some ten files, each with a range of dates, and a folder to stage in."""
+    work = fresh_dir(t.spark, "by-file")
+    t.orders.select(*(columns or "*")).repartitionByRange(10, "o_orderdate").write.parquet(f"{work}/orders")
+    return f"{work}/orders", f"{work}/staging"
+
+
+SQL_LATEST = "o_orderdate >= (SELECT max(o_orderdate) - INTERVAL '90 days' FROM orders)"
+
+
+def latest_orders(t: Tables) -> DataFrame:
+    last = t.orders.agg(F.max("o_orderdate")).first()[0]
+    return t.orders.filter(F.col("o_orderdate") >= F.lit(last - dt.timedelta(days=90)))
+
+
+@query(f"""
+    SELECT * REPLACE ({sql_stamp("o_orderdate")} AS o_orderdate, CASE WHEN {SQL_LATEST} THEN o_totalprice * 2 ELSE o_totalprice END AS o_totalprice)
+    FROM orders
+    UNION ALL SELECT * REPLACE ({sql_stamp("o_orderdate")} AS o_orderdate, o_orderkey + {NEW_KEYS} AS o_orderkey, o_totalprice * 2 AS o_totalprice) FROM orders WHERE {SQL_LATEST}
+""")
+def upsert_files_orders(t: Tables) -> DataFrame:
+    """Orders of the last ninety days change, and come again as new ones; older files stay."""
+    path, staging = orders_by_date(t)
+    doubled = latest_orders(t).withColumn("o_totalprice", F.col("o_totalprice") * 2)
+    again = doubled.withColumn("o_orderkey", F.col("o_orderkey") + NEW_KEYS)
+    upsert_files(doubled.unionByName(again), path, ["o_orderkey"], staging)
+    return read_files(t.spark, path).withColumn("o_orderdate", stamp("o_orderdate"))
+
+
+@query(f"""
+    SELECT o_orderkey, CASE WHEN {SQL_LATEST} AND o_orderdate >= TIMESTAMP '1999-01-01' THEN '2024-02-01 00:00:00.000000' END AS dw_processed_at
+    FROM orders WHERE o_orderdate >= TIMESTAMP '1999-01-01'
+""")
+def mark_and_expire_files_orders(t: Tables) -> DataFrame:
+    """Marks on the latest orders, then retention from 1999 on, each file by file."""
+    path, staging = orders_by_date(t, "o_orderkey", "o_orderdate", F.lit(None).cast("timestamp").alias("dw_processed_at"))
+    mark_files(latest_orders(t).select("o_orderkey"), path, ["o_orderkey"], instant(dt.datetime(2024, 2, 1)), staging)
+    expire_files(t.spark, path, "o_orderdate", dt.date(1999, 1, 1), days=0)
+    return read_files(t.spark, path).select("o_orderkey", stamp("dw_processed_at").alias("dw_processed_at"))

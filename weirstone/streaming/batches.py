@@ -56,6 +56,14 @@ def remove(spark: SparkSession, path: str) -> bool:
     return _files(spark, at).delete(at, True)
 
 
+def move(spark: SparkSession, path: str, target: str) -> None:
+    """Rename a file; one that is there already stays."""
+    to = _path(spark, target)
+    store = _files(spark, to)
+    if not store.exists(to) and not store.rename(_path(spark, path), to):
+        raise OSError(f"{path} could not be moved to {target}")
+
+
 def _path(spark: SparkSession, path: str):
     return spark._jvm.org.apache.hadoop.fs.Path(path)
 
