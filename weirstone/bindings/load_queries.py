@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from weirstone.bindings.registry import Tables, query, sql_stamp, stamp
 from weirstone.bindings.sample_logs import SQL_EVENT_COLUMNS, raw_events, sql_event_message, sql_other_columns
 from weirstone.functions.dates import instant
+from weirstone.operators.checksums import changed_rows, reconcile_by_checksum
 from weirstone.operators.conform import ColumnSpec, conform, conform_issues, split_pii
 from weirstone.operators.extract import EVENT_COLUMNS, extract_columns
 from weirstone.operators.logload import load_logs, load_logs_by_day
@@ -19,7 +20,7 @@ from weirstone.operators.retention import apply_retention, plan_retention
 from weirstone.operators.tablesync import missing_catalog_columns, record_sync, sync_table
 from weirstone.operators.upsert import mark_processed, upsert, upsert_partial
 from weirstone.session import fresh_dir
-from weirstone.sources.file_rewrite import expire_files, mark_files, read_files, upsert_files
+from weirstone.sources.file_rewrite import expire_files, mark_files, read_files, upsert_files, upsert_files_partial
 from weirstone.sources.partitions import create_day_table, drop_expired_days, mark_processed_days, merge_days, replace_days
 
 NEW_KEYS = 10_000_000
@@ -396,3 +397,50 @@ def mark_and_expire_files_orders(t: Tables) -> DataFrame:
     mark_files(latest_orders(t).select("o_orderkey"), path, ["o_orderkey"], instant(dt.datetime(2024, 2, 1)), staging)
     expire_files(t.spark, path, "o_orderdate", dt.date(1999, 1, 1), days=0)
     return read_files(t.spark, path).select("o_orderkey", stamp("dw_processed_at").alias("dw_processed_at"))
+
+
+SQL_CHANGES = f"""
+    changed AS (
+        SELECT o_orderkey + CASE WHEN o_orderkey % 1000 = 7 THEN {NEW_KEYS} ELSE 0 END AS o_orderkey, o_custkey,
+               CASE WHEN o_orderkey % 1000 = 3 THEN -1 ELSE o_totalprice END AS o_totalprice, o_orderstatus
+        FROM orders WHERE o_orderkey % 1000 <> 5
+    )
+"""
+
+
+def changed_orders(t: Tables) -> DataFrame:
+    """Of a thousand keys one has another price, one has moved and one is gone."""
+    number = F.col("o_orderkey") % 1000
+    return t.orders.filter(number != 5).select(
+        (F.col("o_orderkey") + F.when(number == 7, NEW_KEYS).otherwise(0)).alias("o_orderkey"), "o_custkey",
+        F.when(number == 3, -1).otherwise(F.col("o_totalprice")).cast("double").alias("o_totalprice"), "o_orderstatus",
+    )
+
+
+@query(f"""
+    WITH {SQL_CHANGES}
+    SELECT COALESCE(o.o_orderkey, c.o_orderkey) AS o_orderkey,
+           CASE WHEN c.o_orderkey IS NULL THEN 'missing' WHEN o.o_orderkey IS NULL THEN 'extra' ELSE 'mismatched' END AS drift,
+           o.o_totalprice AS expected_o_totalprice, o.o_orderstatus AS expected_o_orderstatus,
+           c.o_totalprice AS actual_o_totalprice, c.o_orderstatus AS actual_o_orderstatus
+    FROM orders o FULL JOIN changed c ON o.o_orderkey = c.o_orderkey
+    WHERE o.o_orderkey IS NULL OR c.o_orderkey IS NULL OR o.o_totalprice <> c.o_totalprice
+""")
+def reconcile_orders_by_checksum(t: Tables) -> DataFrame:
+    """Ranges of 4096 and of 64 keys are compared before any row is."""
+    return reconcile_by_checksum(t.orders, changed_orders(t), "o_orderkey", ["o_totalprice", "o_orderstatus"], (4096, 64))
+
+
+@query(f"""
+    WITH {SQL_CHANGES}
+    SELECT o_orderkey, o_custkey, o_totalprice, o_orderstatus FROM changed
+    UNION ALL SELECT o_orderkey, o_custkey, o_totalprice, o_orderstatus FROM orders WHERE o_orderkey % 1000 IN (5, 7)
+""")
+def sync_orders_by_checksum(t: Tables) -> DataFrame:
+    """A copy takes over what its source has that differs, rewriting the files concerned; what the source lost stays."""
+    path, staging = orders_by_date(t, "o_orderkey", "o_custkey", "o_totalprice", "o_orderstatus", "o_orderdate")
+    copy = read_files(t.spark, path)
+    changed = changed_rows(changed_orders(t), copy, "o_orderkey", (4096, 64))
+    columns = ["o_custkey", "o_totalprice", "o_orderstatus"]
+    upsert_files_partial(changed, path, ["o_orderkey"], columns, staging)
+    return read_files(t.spark, path).select("o_orderkey", *columns)
