@@ -1,6 +1,8 @@
 """Report plans and sinks against golden rows."""
 
+import collections
 import datetime as dt
+import random
 import json
 
 import pytest
@@ -195,6 +197,31 @@ def test_conversion_window_ends(spark, upgraded, found):
     assert conversions.conversion_report(*conversion_inputs(spark, upgraded)).count() == found
 
 
+@pytest.mark.parametrize("points_per_sweep", [3, 1_000_000])
+def test_conversion_sweep_equals_a_comparison_of_all_pairs(spark, points_per_sweep):
+    rng = random.Random(4)
+    issuers, first = ["a", "b", "c"], dt.date(2020, 1, 1)
+    days = [first + dt.timedelta(days=n) for n in range(0, 200, 3)]
+
+    def upgraded():
+        at = dt.datetime.combine(rng.choice(days), dt.time())
+        return rng.choice([at, at, at + dt.timedelta(hours=5), None])
+
+    users = [(n, rng.choice([*issuers, None]), upgraded()) for n in range(400)]
+    ends = [*days, None, dt.date(9999, 12, 31), dt.date(1900, 1, 1)]
+    orders = [(n, n, n, rng.choice(ends), rng.choice(ends), rng.choice([*issuers, "quiet"]), "x") for n in range(60)]
+    covered = spark.createDataFrame(orders, "order_id int, order_number int, gtc_number int, start_date date, end_date date, issuer string, friendly_name string")
+    upgrades = spark.createDataFrame(users, "user_id int, issuer string, upgraded_at timestamp")
+    expected = collections.Counter()
+    for order, _, _, start, end, issuer, _ in orders:
+        for _, at_issuer, at in users:
+            if None not in (start, end, at) and issuer == at_issuer and dt.datetime.combine(start, dt.time()) <= at <= dt.datetime.combine(end, dt.time()):
+                expected[order, at.date().replace(day=1)] += 1
+    counts = conversions.conversion_counts(upgrades, covered, points_per_sweep)
+    assert {(r.order_id, r.month): r.user_count for r in counts.collect()} == expected
+    assert counts.schema["order_id"].dataType == covered.schema["order_id"].dataType
+
+
 def test_conversion_counts_first_upgrade_only(spark):
     upgrades, covered = conversion_inputs(spark)
     more = [(7, "sp:a", ts("2020-05-01")), (8, "sp:a", ts("2020-04-20")), (8, "sp:b", ts("2020-04-19")), (9, "sp:a", ts("2020-04-20")), (None, "sp:a", ts("2020-04-20"))]

@@ -6,9 +6,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from weirstone.bindings.registry import Tables, query, sql_stamp, stamp
-from weirstone.operators import metrics
+from weirstone.operators import bitmaps, metrics
 from weirstone.operators.dedup import dedup_latest
 from weirstone.operators.reconcile import in_both, only_in
+from weirstone.session import fresh_dir
 
 
 @query(f"""
@@ -35,6 +36,39 @@ def users_per_event(t: Tables) -> DataFrame:
     return metrics.distinct_users_by_name(t.events, "event_type", "user_id")
 
 
+def stored_days(t: Tables) -> DataFrame:
+    """Bitmaps per day, issuer and event, loaded in two parts that share their days; issuers are the hundreds of the value."""
+    work = fresh_dir(t.spark, "bitmaps")
+    keys = ["day", "issuer", "event_type"]
+    for part in range(2):
+        events = t.events.filter(F.col("event_id") % 2 == part).select(
+            F.to_date("ts").alias("day"), F.floor(F.col("value") / 100).alias("issuer"), "event_type", F.when(F.col("event_type") != "view", F.col("user_id")).otherwise(F.col("user_id") % 50).alias("user_id")
+        )
+        dictionary = bitmaps.number_users(events, f"{work}/dictionary", "user_id", f"{work}/staging{part}")
+        bitmaps.user_bitmaps(events, dictionary, keys, "user_id").write.mode("append").parquet(f"{work}/days")
+    return t.spark.read.parquet(f"{work}/days")
+
+
+SQL_SEEN = "seen AS (SELECT *, CASE WHEN event_type <> 'view' THEN user_id ELSE user_id % 50 END AS u, CAST(floor(value / 100) AS BIGINT) AS issuer FROM events)"
+
+
+@query(f"WITH {SQL_SEEN} SELECT event_type, count(DISTINCT u) AS unique_users FROM seen WHERE ts < TIMESTAMP '2024-01-20' GROUP BY event_type")
+def users_per_event_from_bitmaps(t: Tables) -> DataFrame:
+    """Distinct users of a period from its stored days; the events are not read again."""
+    days = stored_days(t).filter(F.col("day") < F.lit("2024-01-20").cast("date"))
+    return bitmaps.distinct_users(days, ["event_type"])
+
+
+@query(f"""
+    WITH {SQL_SEEN}, a AS (SELECT DISTINCT issuer, u FROM seen WHERE event_type = 'signup'), b AS (SELECT DISTINCT issuer, u FROM seen WHERE event_type IN ('purchase', 'view'))
+    SELECT issuer, count(*) AS unique_users FROM a JOIN b USING (issuer, u) GROUP BY issuer
+""")
+def users_in_both_from_bitmaps(t: Tables) -> DataFrame:
+    """Users of an issuer with a sign-up and with a purchase or view, whenever."""
+    days = stored_days(t)
+    return bitmaps.in_both(days.filter("event_type = 'signup'"), days.filter("event_type in ('purchase', 'view')"), ["issuer"])
+
+
 @query("""
     SELECT count(DISTINCT CASE WHEN event_type IN ('error', 'view') THEN user_id END) AS error_or_view,
            count(DISTINCT CASE WHEN event_type = 'purchase' THEN user_id END) AS purchase
