@@ -158,6 +158,9 @@ def test_metrics_round_trip(spark, tmp_path):
     got = read_metrics(spark, paths, names).first().asDict()
     assert got["lg99_unique_users_count"] == 5 and got["average_days_creation_to_suspension"] == 1.5
     assert (got["range_start"], got["range_end"]) == (ts("2022-01-01"), ts("2022-01-31 23:59:59"))
+    typed = read_metrics(spark, paths, names, fraud.COUNTS)
+    assert dict(typed.dtypes)["lg99_unique_users_count"] == "bigint" and dict(typed.dtypes)["average_days_creation_to_suspension"] == "double"
+    assert typed.first().asDict() == got
     missing = read_metrics(spark, paths[:1], names)
     with pytest.raises(Exception, match="not found in CSV data"):
         missing.collect()

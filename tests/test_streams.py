@@ -16,7 +16,7 @@ from weirstone.streaming.decrypt import decrypt_stream, decrypted_events, failed
 from weirstone.streaming.exports import large_export_stream
 from weirstone.streaming.ingest import ENCRYPTED_SCHEMA, current_events, fold_batches, ingest_buckets, ingest_events, merge_encrypted, rejected_events
 from weirstone.streaming.logins import watched_login_stream
-from weirstone.streaming.logs import compact_logs, current_logs, extract_logs, rejected_rows
+from weirstone.streaming.logs import compact_logs, current_logs, extract_logs, fold_logs, folded_rejects, rejected_rows
 from weirstone.streaming.runner import drain_to_files
 
 from helpers import rows, ts
@@ -186,6 +186,30 @@ def test_log_stream_equals_batch(spark, tmp_path):
     assert read_raw_logs(spark, f"{tmp_path}/raw", "json").count() == 7
 
 
+def test_log_fold_goes_by_arrival_and_leaves_other_files(spark, tmp_path):
+    def raw(*rows_in):
+        data = [(json.dumps({"id": key, "name": name}) if key else "bad", ts(f"2024-01-01 {at}:00")) for key, name, at in rows_in]
+        spark.createDataFrame(data, RAW_LOG_SCHEMA).coalesce(1).write.mode("append").json(f"{tmp_path}/raw")
+        extract_logs(stream_raw_logs(spark, f"{tmp_path}/raw", "json", files_per_batch=1), EVENT_COLUMNS, "id", f"{tmp_path}/log", f"{tmp_path}/checkpoint")
+
+    def fold(n):
+        return fold_logs(spark, f"{tmp_path}/log", f"{tmp_path}/table", "id", f"{tmp_path}/staging{n}")
+
+    raw(("a", "one", "10:00"), (None, "", "10:00"), ("b", "late in batch", "10:05"), ("b", "early in batch", "10:01"))
+    assert fold(0) == [] and fold(1) == []
+    raw(("c", "new", "11:00"))
+    assert fold(2) == []  # no file holds the key
+    raw(("a", "older", "09:00"), ("c", "newer", "12:00"), (None, "", "13:00"))
+    assert len(fold(3)) == 2
+    table = spark.read.parquet(f"{tmp_path}/table")
+    assert rows(table, "id", "name") == [("a", "one"), ("b", "late in batch"), ("c", "newer")]
+    assert folded_rejects(spark, f"{tmp_path}/table").count() == 2
+    assert not list((tmp_path / "log").glob("batch_id=*"))
+    raw(("d", "new", "14:00"))
+    fold(4)
+    assert rows(spark.read.parquet(f"{tmp_path}/table"), "id") == [("a",), ("b",), ("c",), ("d",)]
+
+
 def test_login_alerts(spark, tmp_path):
     schema = "user_name string, event string, record_time timestamp"
     data = [("superuser", "authenticated", ts("2024-01-01 10:01:00")), ("superuser", "authenticated", ts("2024-01-01 10:07:00")),

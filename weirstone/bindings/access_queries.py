@@ -192,3 +192,18 @@ def masked_customers(t: Tables) -> DataFrame:
         for kind, n in (("allowed", 1), ("masked", 2), ("denied", 3))
     ]
     return views[0].unionByName(views[1]).unionByName(views[2])
+
+
+@query("""
+    SELECT 'events' AS table_name, column_name, CASE WHEN column_type IN ('BIGINT', 'INTEGER', 'DOUBLE') THEN 'NUMERIC' WHEN column_type = 'TIMESTAMP' THEN 'TIMESTAMP' ELSE 'VARCHAR(MAX)' END AS mask_type FROM (DESCRIBE events)
+    UNION ALL
+    SELECT 'embeddings', column_name, CASE WHEN column_type IN ('BIGINT', 'INTEGER', 'DOUBLE') THEN 'NUMERIC' WHEN column_type LIKE '%[]' THEN 'SUPER' ELSE 'VARCHAR(MAX)' END FROM (DESCRIBE embeddings)
+""")
+def mask_types(t: Tables) -> DataFrame:
+    """The type family for which each column's mask is declared."""
+    cells = [
+        F.struct(F.lit(name).alias("table_name"), F.lit(f.name).alias("column_name"), F.lit(masking.mask_type(f.dataType)).alias("mask_type"))
+        for name, df in (("events", t.events), ("embeddings", t.embeddings))
+        for f in df.schema
+    ]
+    return t.spark.range(1).select(F.inline(F.array(*cells)))

@@ -12,7 +12,7 @@ from weirstone.bindings.registry import Tables, query, sql_stamp, stamp
 from weirstone.bindings.sample_logs import SQL_EVENT_COLUMNS, raw_events, sql_event_message, sql_other_columns
 from weirstone.functions.dates import instant
 from weirstone.operators.checksums import changed_rows, reconcile_by_checksum
-from weirstone.operators.conform import ColumnSpec, conform, conform_issues, split_pii
+from weirstone.operators.conform import ColumnSpec, conform, conform_issues, schema_diff, split_pii
 from weirstone.operators.extract import EVENT_COLUMNS, extract_columns
 from weirstone.operators.logload import load_logs, load_logs_by_day
 from weirstone.operators.reconcile import policy_drift, reconcile
@@ -444,3 +444,14 @@ def sync_orders_by_checksum(t: Tables) -> DataFrame:
     columns = ["o_custkey", "o_totalprice", "o_orderstatus"]
     upsert_files_partial(changed, path, ["o_orderkey"], columns, staging)
     return read_files(t.spark, path).select("o_orderkey", *columns)
+
+
+@query("""
+    SELECT column_name, 'change' AS action FROM (DESCRIBE part) WHERE column_name IN ('p_partkey', 'p_brand', 'p_size')
+    UNION ALL SELECT column_name, 'drop' FROM (DESCRIBE part) WHERE column_name NOT IN ('p_partkey', 'p_name', 'p_brand', 'p_size')
+    UNION ALL VALUES ('warehouse_only_field', 'add'), ('dw_created_at', 'add'), ('dw_updated_at', 'add')
+""")
+def schema_diff_parts(t: Tables) -> DataFrame:
+    """What a table's columns need to fit the configured ones."""
+    cells = [F.struct(F.lit(c).alias("column_name"), F.lit(a).alias("action")) for c, a in schema_diff(t.part.schema, PART_SPECS)]
+    return t.spark.range(1).select(F.inline(F.array(*cells)))

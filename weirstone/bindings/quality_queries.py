@@ -166,3 +166,15 @@ def primary_keys(t: Tables) -> DataFrame:
 def foreign_keys(t: Tables) -> DataFrame:
     """Line items whose order is not among the orders that are done or open."""
     return quality.check_foreign_key(t.lineitem, "l_orderkey", t.orders.filter("o_orderstatus <> 'P'"), "o_orderkey")
+
+
+@query("""
+    SELECT 'orders' AS gate, (SELECT count(*) = 0 FROM orders) AS closed
+    UNION ALL SELECT 'events of a kind that does not occur', (SELECT count(*) = 0 FROM events WHERE event_type = 'none')
+    UNION ALL SELECT 'negative balances', (SELECT count(*) = 0 FROM customer WHERE c_acctbal < 0)
+""")
+def job_gates(t: Tables) -> DataFrame:
+    """Whether a job has nothing to do; each look stops at the first row."""
+    gates = {"orders": t.orders, "events of a kind that does not occur": t.events.filter("event_type = 'none'"), "negative balances": t.customer.filter("c_acctbal < 0")}
+    cells = [F.struct(F.lit(name).alias("gate"), F.lit(quality.is_empty(df)).alias("closed")) for name, df in gates.items()]
+    return t.spark.range(1).select(F.inline(F.array(*cells)))

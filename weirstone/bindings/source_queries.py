@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from weirstone.bindings.registry import Tables, query, sql_stamp, stamp
 from weirstone.bindings.report_inputs import SQL_FRAUD_ROWS, fraud_inputs
 from weirstone.functions.dates import instant, quarter_label
-from weirstone.plans.fraud import METRICS, fraud_metrics
+from weirstone.plans.fraud import COUNTS, METRICS, fraud_metrics
 from weirstone.session import fresh_dir
 from weirstone.sources.buckets import bucket_events, bucket_name, closed_buckets
 from weirstone.sources.metrics_csv import read_metrics
@@ -116,7 +116,8 @@ def report_csv(t: Tables) -> DataFrame:
 
 
 def sql_metric(label: str, column: str) -> str:
-    return f"""max(CASE WHEN "Metric" = '{label}' THEN TRY_CAST("Total" AS DOUBLE) END) AS {column}"""
+    kind = "BIGINT" if label in COUNTS else "DOUBLE"
+    return f"""max(CASE WHEN "Metric" = '{label}' THEN TRY_CAST("Total" AS {kind}) END) AS {column}"""
 
 
 @query(f"""
@@ -131,5 +132,5 @@ def metrics_readback(t: Tables) -> DataFrame:
     rows = fraud_metrics(*fraud_inputs(t), dt.datetime(2024, 1, 1), dt.datetime(2024, 2, 1))
     rows.write.partitionBy("report").option("header", True).csv(path)
     names = {label: column for label, (_, column) in METRICS.items()}
-    row = read_metrics(t.spark, [f"{path}/report={r}" for r, _ in sorted(set(METRICS.values()))], names)
+    row = read_metrics(t.spark, [f"{path}/report={r}" for r, _ in sorted(set(METRICS.values()))], names, COUNTS)
     return row.withColumns({c: stamp(c) for c in ("range_start", "range_end")})

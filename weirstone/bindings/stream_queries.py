@@ -18,12 +18,13 @@ from weirstone.operators.upsert import upsert
 from weirstone.session import fresh_dir
 from weirstone.sources.bucket_stream import stream_buckets
 from weirstone.sources.buckets import bucket_name
+from weirstone.sources.file_rewrite import read_files, upsert_files
 from weirstone.sources.logs import stream_raw_logs
 from weirstone.streaming.decrypt import decrypt_stream, decrypted_events, expired_events, failed_events
 from weirstone.streaming.exports import large_export_stream
 from weirstone.streaming.ingest import current_events, fold_batches, ingest_buckets, ingest_events, rejected_events
 from weirstone.streaming.logins import watched_login_stream
-from weirstone.streaming.logs import compact_logs, current_logs, extract_logs
+from weirstone.streaming.logs import compact_logs, current_logs, extract_logs, fold_logs, folded_rejects
 from weirstone.streaming.retries import Retries, pending
 from weirstone.streaming.runner import drain_to_files
 
@@ -146,6 +147,30 @@ def compact_logs_events(t: Tables) -> DataFrame:
     return second.select("id", "name")
 
 
+@query(f"""
+    WITH e AS (SELECT {SQL_EVENT_COLUMNS})
+    SELECT CAST(event_id AS VARCHAR) AS id, CASE WHEN event_type = 'error' THEN 'newer' ELSE 'late' END AS name FROM e WHERE n NOT IN (0, 1)
+    UNION ALL SELECT NULL, 'rejected' FROM e, range(4) WHERE n IN (0, 1)
+""")
+def fold_logs_events(t: Tables) -> DataFrame:
+    """Batches are folded; another load makes errors newer; the raw rows come again and change nothing."""
+    work = fresh_dir(t.spark, "logs")
+    table = f"{work}/table"
+    raw = raw_events(t).withColumn("cloudwatch_timestamp", F.col("cloudwatch_timestamp").cast("timestamp"))
+    for turn in range(2):
+        raw.write.mode("append").parquet(f"{work}/raw")
+        extract_logs(stream_raw_logs(t.spark, f"{work}/raw"), SPEC, "id", f"{work}/batches", f"{work}/checkpoint")
+        fold_logs(t.spark, f"{work}/batches", table, "id", f"{work}/staging{turn}")
+        if turn == 0:
+            held = read_files(t.spark, table)
+            errors = t.events.filter("event_type = 'error'").select(F.col("event_id").cast("string").alias("id"))
+            later = F.col("cloudwatch_timestamp") + F.expr("INTERVAL 1 DAY")
+            newer = held.join(errors, "id", "left_semi").withColumns({"name": F.lit("newer"), "cloudwatch_timestamp": later})
+            upsert_files(newer.select(*held.columns), table, ["id"], f"{work}/newer")
+    rejects = folded_rejects(t.spark, table).select(F.lit(None).cast("string").alias("id"), F.lit("rejected").alias("name"))
+    return read_files(t.spark, table).select("id", "name").unionByName(rejects)
+
+
 @query(SQL_LOGIN_WINDOWS.format(where=""))
 def login_stream(t: Tables) -> DataFrame:
     """An alert per login, and their windows when they are read."""

@@ -29,6 +29,7 @@ METRICS = {
     "Unique users reinstated": ("reinstated_metrics", "unique_reinstated_users_count"),
     "Average Days to Reinstatement": ("reinstated_metrics", "average_days_to_reinstatement"),
 }
+COUNTS = ("Unique users seeing LG-99", "Unique users suspended", "Unique users reinstated")  # whole numbers
 
 
 def user_flags(events: DataFrame, cohorts: dict[str, tuple[str, ...]], name: str = "name", user: str = "user_id") -> DataFrame:
