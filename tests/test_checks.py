@@ -220,6 +220,18 @@ def test_effective_policies_and_masks(spark, policies):
     assert masking.mask_columns(table, bob).schema["name"].dataType == table.schema["name"].dataType
 
 
+def test_classes_of_equal_grants(spark, policies):
+    names = ["IAM:bob", "iam:ALICE", "IAM:carol", "IAM:dave", "etl_TEST", "nobody", "no grants", None]
+    grantees = spark.createDataFrame([(n,) for n in names], "grantee string")
+    classes = masking.grant_classes(policies, grantees, CONFIG.public_columns())
+    assert rows(masking.expanded(classes)) == rows(masking.effective_policies(policies, grantees, CONFIG.public_columns()).select("grantee", "column_id", "policy"))
+    by_class = {}
+    for r in classes.members.collect():
+        by_class.setdefault(r.class_id, set()).add(r.grantee)
+    assert {"nobody", "no grants", None} in by_class.values() and len(by_class) == 6
+    assert classes.rows.groupBy("class_id", "column_id").count().filter("count > 1").isEmpty()
+
+
 def test_user_listed_twice(spark, policies):
     """Bob is masked and denied for one column: the list order makes that a mask, which the public one covers."""
     assert policies.filter("column_id = 'public.users.ssn' and grantee = 'IAM:bob'").isEmpty()

@@ -153,19 +153,46 @@ def masking_policies(t: Tables) -> DataFrame:
     return masking.build_policies(CONFIG, user_groups(t), db_users(t))
 
 
-@query(f"""
+SQL_EFFECTIVE = f"""
     WITH {SQL_POLICIES},
     seen AS (
         SELECT 'IAM:' || s_name AS grantee, column_id, policy_name, priority
         FROM supplier JOIN policies ON policies.grantee IN ('IAM:' || s_name, 'PUBLIC')
     )
     SELECT grantee, column_id, split_part(arg_max(policy_name, priority), '_', 1) AS policy FROM seen GROUP BY 1, 2
-""")
+"""
+
+
+@query(SQL_EFFECTIVE)
 def effective_policies(t: Tables) -> DataFrame:
     policies = masking.build_policies(CONFIG, user_groups(t), db_users(t))
     return masking.effective_policies(policies, db_users(t).withColumnRenamed("user_name", "grantee"), CONFIG.public_columns())
 
 
+def supplier_classes(t: Tables) -> masking.GrantClasses:
+    policies = masking.build_policies(CONFIG, user_groups(t), db_users(t))
+    return masking.grant_classes(policies, db_users(t).withColumnRenamed("user_name", "grantee"), CONFIG.public_columns())
+
+
+@query(SQL_EFFECTIVE)
+def effective_policies_by_class(t: Tables) -> DataFrame:
+    return masking.expanded(supplier_classes(t))
+
+
+@query(f"""
+    WITH effective AS ({SQL_EFFECTIVE}),
+    sets AS (SELECT grantee, string_agg(column_id || '=' || policy, ',' ORDER BY column_id) AS policies FROM effective GROUP BY grantee)
+    SELECT policies, count(*) AS grantees FROM sets GROUP BY policies
+""")
+def grant_class_sizes(t: Tables) -> DataFrame:
+    """How many grantees share which policies."""
+    classes = supplier_classes(t)
+    cells = F.array_sort(F.collect_list(F.concat_ws("=", "column_id", "policy")))
+    sets = classes.rows.groupBy("class_id").agg(F.array_join(cells, ",").alias("policies"))
+    sizes = classes.members.groupBy("class_id").agg(F.count(F.lit(1)).alias("grantees"))
+    return sizes.join(sets, "class_id").groupBy("policies").agg(F.sum("grantees").alias("grantees"))
+
+
 VIEWS = masking.MaskingConfig(
     user_types={"redshift_user": ["IAM:Supplier#000000001", "IAM:Supplier#000000003"]},
     columns={

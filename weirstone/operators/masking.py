@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -167,6 +168,38 @@ def effective_policies(policies: DataFrame, grantees: DataFrame, public_columns:
     return everything.groupBy("grantee", "column_id").agg(F.max_by("policy", "priority").alias("policy"))
 
 
+class GrantClasses(NamedTuple):
+    """Grantees with the same policies as one class: (grantee, class_id) and (class_id, column_id, policy)."""
+
+    members: DataFrame
+    rows: DataFrame
+
+
+def grant_classes(policies: DataFrame, grantees: DataFrame, public_columns: Sequence[str]) -> GrantClasses:
+    """The policies in force, once per set of own policies instead of once per grantee.
+
+    A grantee's own policies are one row per policed column and hashed as a set, the empty set included. The
+    public masks are laid out per class. Both parts are small next to (grantees x columns):
+    stage them, and join them where a table is masked (``expanded``).
+    """
+    own = F.struct("column_id", F.substring_index("policy_name", "_", 1).alias("policy"), "priority")
+    named = policies.filter(F.upper("grantee") != PUBLIC)
+    sets = named.groupBy(F.upper("grantee").alias("key")).agg(F.array_sort(F.collect_set(own)).alias("own"))
+    nothing = F.array().cast(sets.schema["own"].dataType)
+    placed = grantees.select("grantee", F.upper("grantee").alias("key")).join(sets, "key", "left").withColumn("own", F.coalesce("own", nothing))
+    members = placed.withColumn("class_id", F.sha2(F.to_json("own"), 256))
+    public = F.array(*[F.struct(F.lit(c).alias("column_id"), F.lit("mask").alias("policy"), F.lit(PUBLIC_PRIORITY).alias("priority")) for c in public_columns])
+    everything = F.concat("own", public.cast(sets.schema["own"].dataType)) if public_columns else F.col("own")
+    classes = members.groupBy("class_id").agg(F.first("own").alias("own"))  # equal within a class
+    rows = classes.select("class_id", F.inline(everything)).groupBy("class_id", "column_id").agg(F.max_by("policy", "priority").alias("policy"))
+    return GrantClasses(members.select("grantee", "class_id"), rows)
+
+
+def expanded(classes: GrantClasses) -> DataFrame:
+    """(grantee, column_id, policy) in force, as ``effective_policies`` gives it."""
+    return classes.members.join(classes.rows, "class_id").select("grantee", "column_id", "policy")
+
+
 def policies_for(policies: DataFrame, table: str, grantee: str) -> dict[str, str]:
     """Policies in force on one table for one grantee: an entry per policed column, not per row."""
     prefix = f"{table}."
