@@ -55,3 +55,62 @@ def test_features_are_counted_over_all_labelled_rows(spark):
     all_labels = labelled.unionAll(labelled.selectExpr("doc_id + 100000", "toxic"))
     judged = classify(deep, all_labels, ("toxic",), F.lit("h"), F.lit("p")).where("doc_id < 10000").select("doc_id", "toxic_evidence").collect()
     assert sum((r.toxic_evidence > 0) == (r.doc_id % 2 == 1) for r in judged) / n > 0.97
+
+
+def test_a_null_label_is_none(spark):
+    """Rows without a label of a head change nothing for it, and leave the other heads as they are."""
+    docs = spark.createDataFrame([(i, "good words" if i % 2 else "bad words", "h", "p") for i in range(60)], "doc_id long, text string, host string, path string")
+    labels = [(i, i % 2, None if i % 3 else i % 2) for i in range(40)] + [(41, None, None), (None, 1, 0)]
+    both = classify(docs, spark.createDataFrame(labels, "doc_id long, a int, b int"), ("a", "b"), F.col("host"), F.col("path"))
+    alone = classify(docs, spark.createDataFrame([(i, b) for i, _, b in labels if b is not None], "doc_id long, b int"), ("b",), F.col("host"), F.col("path"))
+    got, single = ({r.doc_id: r for r in df.collect()} for df in (both, alone))
+    assert all(math.isfinite(r.a_score) and math.isfinite(r.b_score) for r in got.values())
+    assert all(abs(got[i].b_evidence - single[i].b_evidence) < 1e-6 for i in got)
+    assert all((r.a_score > 0.5) == (r.doc_id % 2 == 1) for r in got.values())
+
+
+def test_repeated_documents_do_not_outgrow_the_sample(spark):
+    rows = [(7, "copied text")] * 3000 + [(i, f"text {i}") for i in range(100)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    labels = spark.createDataFrame([(i, i % 2) for i in range(100)], "doc_id long, quality int")
+    found, targets = quality.labelled_rows(docs, labels, ("quality",), "doc_id", "text", 16)
+    assert len(found) == len(targets["quality"]) == 16
+    found, _ = quality.labelled_rows(docs, labels, ("quality",), "doc_id", "text", 1000)
+    assert len(found) == 101  # document 7 has two texts
+
+
+def test_every_labelled_document_passes_the_filter(spark):
+    docs = spark.range(20_000).selectExpr("id - 10000 as doc_id", "'a b' as text")
+    labels = docs.where("doc_id % 3 = 0").selectExpr("doc_id", "1 as quality")
+    passed = {r.label_key for r in quality.features_of_labelled(docs, labels, "doc_id", "text").select("label_key").collect()}
+    wanted = {r.doc_id for r in labels.collect()}
+    assert wanted <= passed and len(passed) < len(wanted) + 20
+
+
+def test_posteriors_equal_a_plain_computation(spark):
+    """Rates of hosts and paths, drawn towards each other by strengths from the method of moments."""
+    rows = [(i, None, f"h{i % 4}", f"p{i % 3}") for i in range(120)]
+    truth = {i: int((i * 7919) % 5 < i % 4) for i in range(120)}
+    docs = spark.createDataFrame(rows, "doc_id long, text string, host string, path string")
+    labels = spark.createDataFrame(list(truth.items()), "doc_id long, quality int")
+    got = classify(docs, labels, ("quality",), F.col("host"), F.col("path")).collect()
+
+    def moments(groups):
+        n, s = [len(g) for g in groups], [sum(g) for g in groups]
+        rate = min(max(sum(s) / sum(n), 1e-4), 1 - 1e-4)
+        between = sum(k * (t / k - rate) ** 2 for k, t in zip(n, s, strict=True))
+        room = sum(n) - sum(k * k for k in n) / sum(n) - (len(n) - 1)
+        share = min(max((between / (rate * (1 - rate)) - (len(n) - 1)) / room if room > 0 else 0.0, 1e-4), 0.5)
+        return rate, (1 - share) / share
+
+    by_host, by_path = {}, {}
+    for i, _, host, path in rows:
+        by_host.setdefault(host, []).append(truth[i])
+        by_path.setdefault((host, path), []).append(truth[i])
+    rate, host_prior = moments(list(by_host.values()))
+    _, path_prior = moments(list(by_path.values()))
+    for r in got:
+        _, _, host, path = rows[r.doc_id]
+        own, mine = by_host[host], by_path[host, path]
+        host_rate = (sum(own) + host_prior * rate) / (len(own) + host_prior)
+        assert abs(r.quality_site - (sum(mine) + path_prior * host_rate) / (len(mine) + path_prior)) < 1e-9

@@ -14,7 +14,8 @@ log-odds of the path against the global rate are added to the document's evidenc
 Defined cases: null and empty texts have no feature and are judged by their site and the global
 rate. A null host or path is a group of its own. Unlabelled corpora (or labels of one class only)
 give the global rate to all. Repeated label rows count each time in the fit, their mean counts in
-the groups; repeated documents are judged alike. An empty table gives no row.
+the groups; repeated documents are judged alike, and those with the same text are one in the fit. A
+null label says nothing about its head and leaves the others as they are. An empty table gives no row.
 """
 
 from __future__ import annotations
@@ -71,8 +72,7 @@ def features(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return number, np.searchsorted(row, np.arange(n + 1))
 
 
-@F.arrow_udf(T.ArrayType(T.IntegerType()))
-def feature_numbers(texts: pa.Array) -> pa.Array:
+def _feature_lists(texts: pa.Array) -> pa.Array:
     chunks = []
     for first, last in slices(texts):
         number, begin = features(texts.slice(first, last - first))
@@ -80,6 +80,34 @@ def feature_numbers(texts: pa.Array) -> pa.Array:
     return pa.concat_arrays(chunks) if chunks else pa.array([], pa.list_(pa.int32()))
 
 
+feature_numbers = F.arrow_udf(T.ArrayType(T.IntegerType()))(_feature_lists)
+
+KEY_BITS = 1 << 27  # of the filter of labelled keys: 16 MB, whatever the number of labels
+
+
+def labelled_keys(labels: DataFrame, key: str) -> np.ndarray:
+    """A bit for the hash of every labelled key. The filter has a fixed size; where it fills up, it keeps more."""
+    spot = F.pmod(F.xxhash64(key), F.lit(KEY_BITS)) + 1
+    marked = labels.where(F.col(key).isNotNull()).select(F.bitmap_bucket_number(spot).alias("b"), F.bitmap_bit_position(spot).alias("p"))
+    bits = np.zeros((KEY_BITS // 32_768, 4096), np.uint8)
+    for row in marked.groupBy("b").agg(F.bitmap_construct_agg("p").alias("bits")).toLocalIterator():
+        bits[row.b - 1] = np.frombuffer(row.bits, np.uint8)
+    return bits.ravel()
+
+
+def features_of_labelled(docs: DataFrame, labels: DataFrame, key: str, text: str) -> DataFrame:
+    """(label_key, f) of the documents whose key may be labelled; of all others nothing is made or sent."""
+    shared = docs.sparkSession.sparkContext.broadcast(labelled_keys(labels, key))
+
+    @F.arrow_udf("boolean")
+    def may_be(hashes: pa.Array) -> pa.Array:
+        spot = np.mod(hashes.to_numpy(), KEY_BITS)
+        return pa.array((shared.value[spot >> 3] >> (spot & 7) & 1).astype(bool))
+
+    known = docs.where(F.col(key).isNotNull()).select(F.col(key).alias("label_key"), F.col(text).alias("t"))
+    return known.where(may_be(F.xxhash64("label_key"))).select("label_key", feature_numbers("t").alias("f"))
+
+
 @dataclass(frozen=True)
 class Head:
     """Weights by feature number, most of them 0; the bias; the rate in the sample."""
@@ -123,6 +151,9 @@ def _solve(times: Callable[[np.ndarray], np.ndarray], right: np.ndarray, diagona
 
 def fit(rows: list[np.ndarray], target: np.ndarray, chosen: np.ndarray, penalty: float = 2.0) -> Head:
     """Fit the weights of the chosen features by Newton steps; nothing dense is made of the rows."""
+    known = np.flatnonzero(~np.isnan(target))
+    if len(known) < len(rows):
+        rows, target = [rows[k] for k in known], target[known]
     n, total = len(rows), BUCKETS + 4 * MARKS
     weights = np.zeros(total, np.float32)
     positive = float(target.sum())
@@ -161,29 +192,36 @@ def fit(rows: list[np.ndarray], target: np.ndarray, chosen: np.ndarray, penalty:
 def counted(docs: DataFrame, labels: DataFrame, heads: tuple[str, ...], key: str, text: str) -> dict[str, np.ndarray]:
     """The clear features of each head, by counts over all labelled rows."""
     marked = labels.where(F.col(key).isNotNull()).select(F.col(key).alias("label_key"), *(F.col(h).cast("double").alias(f"is_{i}") for i, h in enumerate(heads)))
-    known = docs.where(F.col(key).isNotNull()).select(F.col(key).alias("label_key"), feature_numbers(text).alias("f")).join(marked, "label_key")
-    sums = [F.sum(f"is_{i}").alias(f"s{i}") for i in range(len(heads))]
+    known = features_of_labelled(docs, labels, key, text).join(marked, "label_key")
+    # a row without a label of a head counts for the other heads only
+    sums = [total for i in range(len(heads)) for total in (F.count(f"is_{i}").alias(f"n{i}"), F.coalesce(F.sum(f"is_{i}"), F.lit(0.0)).alias(f"s{i}"))]
     # one feature that every row has (-1) counts the rows themselves
     each = known.select(F.explode(F.concat(F.array(F.lit(-1)), F.col("f"))).alias("number"), *(f"is_{i}" for i in range(len(heads))))
-    table = each.groupBy("number").agg(F.count("*").alias("seen"), *sums).toArrow()  # a row per feature at most
+    table = each.groupBy("number").agg(*sums).toArrow()  # a row per feature at most
     number = table["number"].to_numpy()
     total = BUCKETS + 4 * MARKS
     every = np.flatnonzero(number == -1)
     if not len(every):
         return {h: np.zeros(0, np.int64) for h in heads}
     columns = {}
-    for name in ("seen", *(f"s{i}" for i in range(len(heads)))):
+    for name in (f"{kind}{i}" for kind in "ns" for i in range(len(heads))):
         columns[name] = np.zeros(total)
         columns[name][number[number >= 0]] = table[name].to_numpy()[number >= 0]
     rows = {name: float(table[name][int(every[0])].as_py()) for name in columns}
-    return {h: clear_features(columns["seen"], columns[f"s{i}"], rows["seen"], rows[f"s{i}"]) for i, h in enumerate(heads)}
+    return {h: clear_features(columns[f"n{i}"], columns[f"s{i}"], rows[f"n{i}"], rows[f"s{i}"]) for i, h in enumerate(heads)}
 
 
 def labelled_rows(docs: DataFrame, labels: DataFrame, heads: tuple[str, ...], key: str, text: str, sample: int) -> tuple[list[np.ndarray], dict[str, np.ndarray]]:
-    """Features of at most ``sample`` labelled documents, in hash order of the key."""
-    some = labels.where(F.col(key).isNotNull()).orderBy(F.xxhash64(key), key, *heads).limit(sample).select(F.col(key).alias("label_key"), *(F.col(h).alias(f"is_{i}") for i, h in enumerate(heads)))
-    known = docs.select(F.col(key).alias("label_key"), F.col(text).alias("t")).join(F.broadcast(some), "label_key")
-    table = known.select(feature_numbers("t").alias("f"), *(f"is_{i}" for i in range(len(heads)))).toArrow()
+    """Features of at most ``sample`` labelled documents, in hash order of the key; NaN where a head has no label.
+
+    Documents with the same key and text are one.
+    """
+    some = labels.where(F.col(key).isNotNull()).orderBy(F.xxhash64(key), key, *heads).limit(sample).select(F.col(key).alias("label_key"), *(F.col(h).cast("double").alias(f"is_{i}") for i, h in enumerate(heads)))
+    keys = some.select("label_key").distinct()
+    known = docs.select(F.col(key).alias("label_key"), F.col(text).alias("t")).join(F.broadcast(keys), "label_key", "left_semi")
+    once = known.select("label_key", F.xxhash64("t").alias("th"), feature_numbers("t").alias("f")).dropDuplicates(["label_key", "th"])
+    marks = [f"is_{i}" for i in range(len(heads))]
+    table = once.join(F.broadcast(some), "label_key").orderBy(F.xxhash64("label_key"), "label_key", "th", *marks).limit(sample).select("f", *marks).toArrow()
     lists = table["f"].combine_chunks()
     flat, begin = lists.flatten().to_numpy(), lists.offsets.to_numpy() if len(lists) else np.zeros(1, int)
     rows = [flat[a:b] for a, b in zip(begin[:-1] - begin[0], begin[1:] - begin[0], strict=True)]
