@@ -46,27 +46,30 @@ def with_document(df: DataFrame, text: Column, paths: Sequence[str], booleans: S
 def is_one_document(text: Column) -> Column:
     """False where a second document or other text follows the first one.
 
-    Judged on the text without its strings. An object that begins with the text and where every closing
-    brace is followed by closing ones only is the whole if opening and closing braces are as many.
-    Where a comma follows a brace, pairs of brackets are taken out from the inside: nothing may be left of
-    the text, whereas a comma between two documents stays. What is nested more deeply than
+    Judged on the text without its strings and white space. An object that begins with the text and where
+    every closing brace is followed by closing ones only is the whole if opening and closing braces are as
+    many. Where a comma follows a brace, pairs of brackets are taken out from the inside: nothing may
+    be left of the text, whereas a comma between two documents stays. What is nested more deeply than
     ``NESTED``, or begins or ends otherwise, is parsed for an answer: as the one element of an array
     with something behind it, which leaves no room for a rest.
     """
     unescaped = F.replace(F.replace(text, F.lit("\\\\"), F.lit("")), F.lit('\\"'), F.lit(""))
-    bare = F.regexp_replace(unescaped, '"[^"]*"', "")
-    one_object = bare.rlike(r"^\s*\{") & bare.rlike(r"\}\s*$") & ~bare.rlike(r"\}\s*[^\s,\]}]")
+    bare = F.regexp_replace(F.when(text.contains("\\"), unescaped).otherwise(text), r'"[^"]*"|\s', "")
+    framed = F.try_parse_json(F.concat(F.lit('{"x":['), text, F.lit('],"end":1}')))
+    alone = F.try_variant_get(framed, "$.end", "int").isNotNull() & F.try_variant_get(framed, "$.x[1]", "variant").isNull()
+    # the function keeps the bare text from being made anew for each look at it
+    seen = F.get(F.transform(F.array(bare), _is_one_bare_object), F.lit(0))
+    return F.coalesce(seen, alone, F.lit(False))
+
+
+def _is_one_bare_object(bare: Column) -> Column:
+    """True if so, NULL if that takes a parser."""
+    one_object = bare.startswith("{") & bare.endswith("}") & ~bare.rlike(r"\}[^,\]}]")
     balanced = F.length(F.replace(bare, F.lit("{"), F.lit(""))) == F.length(F.replace(bare, F.lit("}"), F.lit("")))
     inner = bare
     for _ in range(NESTED):
         inner = F.regexp_replace(inner, r"[{\[][^{}\[\]]*[}\]]", "")
-    framed = F.try_parse_json(F.concat(F.lit('{"x":['), text, F.lit('],"end":1}')))
-    alone = F.try_variant_get(framed, "$.end", "int").isNotNull() & F.try_variant_get(framed, "$.x[1]", "variant").isNull()
-    return (
-        F.when(one_object & balanced & ~bare.rlike(r"\}\s*,"), True)
-        .when(one_object & ~inner.rlike(r"\S"), True)
-        .otherwise(F.coalesce(alone, F.lit(False)))
-    )
+    return F.when(one_object & ((~bare.contains("},") & balanced) | (inner == "")), True)
 
 
 def stored_document(text: Column) -> Column:

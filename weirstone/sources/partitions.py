@@ -27,15 +27,16 @@ def create_day_table(df: DataFrame, table: str, day: str) -> None:
 def replace_days(df: DataFrame, table: str) -> None:
     """Overwrite the partitions that occur in ``df``, and no others.
 
-    A table insert reads the overwrite mode from its session only, so it gets a session of its own:
-    two merges of one session do not disturb each other.
+    A table insert reads the overwrite mode from its session only, so it gets a session of its own with
+    the settings of the caller's: two merges of one session do not disturb each other.
     """
     spark = df.sparkSession
     view = f"replace_{uuid.uuid4().hex}"
     df.select(*spark.table(table).columns).createGlobalTempView(view)
     own = spark.newSession()
-    for name in ("spark.sql.shuffle.partitions", "spark.sql.session.timeZone"):
-        own.conf.set(name, spark.conf.get(name))
+    for name, value in spark.conf.getAll.items():
+        if name.startswith("spark.sql.") and spark.conf.isModifiable(name):
+            own.conf.set(name, value)
     own.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
     try:
         own.sql(f"INSERT OVERWRITE TABLE {table} SELECT * FROM global_temp.{view}")

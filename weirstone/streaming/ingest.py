@@ -18,9 +18,10 @@ from pyspark.sql import types as T
 
 from weirstone.functions.dates import instant
 from weirstone.operators.upsert import same_key, upsert_partial
+from weirstone.session import fresh_dir
 from weirstone.sources.bucket_stream import drain
 from weirstone.sources.buckets import bucket_events, bucket_name, closed_buckets
-from weirstone.sources.tables import create_partitioned, overwrite_partitions, read_partitioned
+from weirstone.sources.tables import create_partitioned, overwrite_partitions, read_partitioned, staged
 from weirstone.streaming.batches import folded_batch, record_folded, retire
 from weirstone.streaming.runner import drain_to_batches
 
@@ -143,7 +144,8 @@ def fold_batches(spark: SparkSession, batches: str, table: str, as_of: dt.dateti
         if None in days:  # the partition of rows without a day is replaced like any other
             concerned = concerned | F.col("partition_dt").isNull()
         target = read_partitioned(spark, table, ENCRYPTED_SCHEMA).filter(concerned)
-        overwrite_partitions(merge_encrypted(target, resolved(ready)), table, "partition_dt")
+        updates = staged(resolved(ready), fresh_dir(spark, "fold"))  # three joins read them
+        overwrite_partitions(merge_encrypted(target, updates), table, "partition_dt")
         record_folded(spark, table, upto)
         retire(spark, batches, upto)
     return read_partitioned(spark, table, ENCRYPTED_SCHEMA)
