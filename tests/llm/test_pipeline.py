@@ -3,6 +3,8 @@
 import random
 
 import corpus_pipeline
+from pyspark.sql import functions as F
+
 from weirstone.llm import decontaminate, ngram_join, suffix_dedup
 
 ROOT = "/root/testdata/sf0.001"
@@ -53,6 +55,22 @@ def test_stages_keep_what_is_clean_and_catch_what_is_planted(spark, tmp_path):
     assert ids["best_fit_packing"] == ids["decontaminate"]
 
 
+def test_columns_of_any_name_come_through(spark):
+    given = spark.read.parquet(f"{ROOT}/documents.parquet").withColumn("language", F.col("doc_id") * 2).withColumn("rejected", F.lit(True))
+    kept = corpus_pipeline.known_language(spark, given, ROOT)
+    assert kept.schema == given.schema and kept.where("language = doc_id * 2").count() == kept.count() > 0
+
+
+def test_of_rows_with_one_key_and_text_always_the_same_stays(spark):
+    text = " ".join(f"word{n}" for n in range(40))
+    rows = [(1, text, f"source {n}", None if n % 2 else n) for n in range(30)]
+    chosen = set()
+    for order in (rows, rows[::-1]):
+        docs = spark.createDataFrame(order, "doc_id long, text string, source string, n_chars int").repartition(5)
+        chosen.add(tuple(ngram_join.one_of_each(docs).first()))
+    assert len(chosen) == 1
+
+
 def test_run(spark):
     packed = corpus_pipeline.run(spark, ROOT)
     assert packed.columns == ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"] and packed.count() > 100

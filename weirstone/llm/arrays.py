@@ -6,6 +6,7 @@ of text, and over one text alone where that is longer.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 from functools import cache
 
@@ -41,6 +42,15 @@ def bounded_batches(spark) -> None:
         spark.conf.set(name, BATCH_ROWS)
 
 
+def release() -> None:
+    """Give freed memory back to the system. Workers live on for other tasks and stages, and the
+    allocators keep what one of them once needed."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc
+    if trim:
+        trim(0)
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """Finalizer that spreads every bit of 64-bit values over all bits."""
     x = x ^ (x >> np.uint64(33))

@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql import Window
 
-from weirstone.llm.arrays import LOWER, slices, text_buffer
+from weirstone.llm.arrays import LOWER, release, slices, text_buffer
 
 UNKNOWN = "und"
 RESULT = T.StructType([T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()), T.StructField("rejected", T.BooleanType())])
@@ -253,6 +253,7 @@ def predictor(model: Model | None) -> Callable[[Column], Column]:
             names.extend(model.languages[k] for k in best)
             scores.extend(score.tolist())
             rejected.extend(((score < model.least[group]) | (unseen > model.most[group])).tolist())
+        release()
         return pa.StructArray.from_arrays([pa.array(names, pa.string()), pa.array(scores, pa.float64()), pa.array(rejected, pa.bool_())], ["lang_pred", "score", "rejected"])
 
     nothing = F.struct(F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score"), F.lit(True).alias("rejected"))
@@ -261,7 +262,7 @@ def predictor(model: Model | None) -> Callable[[Column], Column]:
     return lambda text: F.when(F.coalesce(text.rlike("\\p{L}"), F.lit(False)), judge(text)).otherwise(nothing)
 
 
-def identify(docs: DataFrame, may_learn: Column, settings: Settings = Settings(), text: str = "text", lang: str = "lang", key: str = "doc_id") -> tuple[DataFrame, Model | None]:
-    """``docs`` with the column ``language`` (struct of ``lang_pred``, ``score``, ``rejected``)."""
+def identify(docs: DataFrame, may_learn: Column, settings: Settings = Settings(), text: str = "text", lang: str = "lang", key: str = "doc_id", into: str = "language") -> tuple[DataFrame, Model | None]:
+    """``docs`` with the column ``into`` (struct of ``lang_pred``, ``score``, ``rejected``)."""
     model = train(*labelled_sample(docs, may_learn, settings, text, lang, key), settings)
-    return docs.withColumn("language", predictor(model)(F.col(text))), model
+    return docs.withColumn(into, predictor(model)(F.col(text))), model

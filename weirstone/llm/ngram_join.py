@@ -38,7 +38,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from weirstone.llm.arrays import LOWER, SPACE, Lookup, Prefixes, shingles, slices, text_buffer, words
+from weirstone.llm.arrays import LOWER, SPACE, Lookup, Prefixes, release, shingles, slices, text_buffer, words
 from weirstone.llm.graph import components
 from weirstone.session import fresh_dir
 
@@ -49,6 +49,7 @@ HOT_TOKENS = 200_000
 HOT_FROM = 24
 BLOCK_BYTES = 12 << 20
 CHUNK = 1024
+KNOWN_KEYS = 100_000  # texts that a task remembers to have seen; one more copy does no harm
 PAGE = 32
 
 LONG = T.LongType()
@@ -95,7 +96,7 @@ def points(texts: DataFrame) -> DataFrame:
                     if k not in known:
                         known.add(k)
                         fresh.append(i)
-                if len(known) > 1_000_000:
+                if len(known) > KNOWN_KEYS:
                     known.clear()
                 if not fresh:
                     continue
@@ -113,6 +114,7 @@ def points(texts: DataFrame) -> DataFrame:
                 if held > BLOCK_BYTES // 8:
                     yield frequent(blocks)
                     blocks, held = [], 0
+            release()
         if blocks:
             yield frequent(blocks)
 
@@ -135,7 +137,7 @@ def postings(texts: DataFrame, hot: np.ndarray) -> DataFrame:
                     if k not in known:
                         known.add(k)
                         fresh.append(i)
-                if len(known) > 1_000_000:
+                if len(known) > KNOWN_KEYS:
                     known.clear()
                 if not fresh:
                     continue
@@ -151,6 +153,7 @@ def postings(texts: DataFrame, hot: np.ndarray) -> DataFrame:
                 owner = row[leads]
                 th = keys.take(chosen).to_numpy()
                 yield pa.RecordBatch.from_arrays([pa.array(found[leads].view(np.int64)), pa.array(th[owner]), pa.array(n[owner])], names=schema.names)
+            release()
 
     return texts.mapInArrow(post, schema)
 
@@ -184,6 +187,7 @@ def verified(zip_a: pa.Array, zip_b: pa.Array) -> pa.Array:
         texts = [pa.array([unpack.decompress(z).decode() for z in column.slice(first, 256).to_pylist()], pa.large_string()) for column in (zip_a, zip_b)]
         for a, b in zip(*map(_sets, texts), strict=True):
             result.append(bool(len(a) and len(b) and alike(len(np.intersect1d(a, b, assume_unique=True)), len(a), len(b))))
+    release()
     return pa.array(result, pa.bool_())
 
 
@@ -384,8 +388,9 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
 
 def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` with one row of each component: the one with the smallest key and, of several texts
-    under that key, the smallest text key. Rows with a null key come after all others. Rows
-    whose text has no word all stay."""
+    under that key, the smallest text key. Rows with a null key come after all others. Of rows with
+    the same key and text the first by a hash of all columns stays. Rows whose text has no word
+    all stay."""
     columns = docs.columns
     measured, roots = linked_texts(docs, text)
     labels = measured.where("n > 0").join(roots, measured.th == roots.node, "left").select("th", F.coalesce("root", "th").alias("component"))
@@ -397,5 +402,5 @@ def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
     chosen = chosen.select(F.col("first.k").alias(f"{free}k"), F.col("first.th").alias(f"{free}th"))
     named = docs.where(has_words).withColumn(free, text_key(F.col(text)))
     kept = named.join(chosen, (F.col(free) == F.col(f"{free}th")) & F.col(key).eqNullSafe(F.col(f"{free}k")), "left_semi")
-    once = kept.withColumn(f"{free}n", F.row_number().over(Window.partitionBy(key, free).orderBy(F.lit(1)))).where(F.col(f"{free}n") == 1)
+    once = kept.withColumn(f"{free}n", F.row_number().over(Window.partitionBy(key, free).orderBy(F.xxhash64(*[part for c in columns for part in (F.col(c), F.col(c).isNull())])))).where(F.col(f"{free}n") == 1)
     return once.select(*columns).unionAll(docs.where(~has_words).select(*columns))
