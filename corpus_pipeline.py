@@ -17,8 +17,9 @@ from weirstone.sources.tables import read_table
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language the classifier does not reject; it learns from all labelled ones."""
     bounded_batches(spark)
-    judged, _ = language_id.identify(docs, F.col("doc_id").isNotNull())
-    return judged.where(~F.col("language.rejected")).select(*docs.columns)
+    free = "_" + max(docs.columns, key=len)  # a name that no column has
+    judged, _ = language_id.identify(docs, F.col("doc_id").isNotNull(), into=free)
+    return judged.where(~F.col(f"{free}.rejected")).select(*docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
