@@ -2,12 +2,14 @@
 
 import datetime as dt
 import json
+import re
 
 import pytest
 from pyspark.sql import functions as F
 
 from weirstone.operators import access, filters, masking, metrics, pii, quality
 from weirstone.operators.decrypt import EVENT_SCHEMA, aes_gcm, decrypt_events, decryption, mark_days, process_encrypted, register_decryptor, register_series_decryptor
+from weirstone.sources.partitions import day_folders
 
 from helpers import plan, rows, ts
 
@@ -220,6 +222,20 @@ def test_effective_policies_and_masks(spark, policies):
     assert masking.mask_columns(table, bob).schema["name"].dataType == table.schema["name"].dataType
 
 
+def test_freshness_reads_the_newest_day_with_a_time(spark, tmp_path):
+    data = [(ts("2024-01-01 10:00:00"), "2024-01-01"), (ts("2024-01-02 08:00:00"), "2024-01-02"), (ts("2024-01-02 07:00:00"), "2024-01-02"), (None, "2024-01-03"), (None, None)]
+    table = spark.createDataFrame(data, "ts timestamp, d string").select("ts", F.col("d").cast("date").alias("day"))
+    table.write.partitionBy("day").parquet(f"{tmp_path}/t")
+    stored, as_of = spark.read.parquet(f"{tmp_path}/t"), ts("2024-01-02 20:00:00")
+    days = day_folders(spark, f"{tmp_path}/t", "day")
+    assert days == ["2024-01-01", "2024-01-02", "2024-01-03"]
+    found = quality.freshness_of_days(stored, days, "day", "ts", as_of)
+    assert rows(found) == rows(quality.freshness(table, "ts", as_of)) == [(ts("2024-01-02 08:00:00"), 12.0, "within_range")]
+    assert re.search(r"PartitionFilters: \[.*2024-01-02", plan(found, "formatted"))
+    assert rows(quality.freshness_of_days(stored, ["2024-01-03"], "day", "ts", as_of)) == [(None, None, "error")]
+    assert day_folders(spark, f"{tmp_path}/none", "day") == []
+
+
 def test_classes_of_equal_grants(spark, policies):
     names = ["IAM:bob", "iam:ALICE", "IAM:carol", "IAM:dave", "etl_TEST", "nobody", "no grants", None]
     grantees = spark.createDataFrame([(n,) for n in names], "grantee string")

@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from weirstone.bindings.registry import Tables, query, sql_stamp, stamp
 from weirstone.operators import quality
 from weirstone.operators.pii import PII_LITERALS, count_findings, literal_patterns, scan_literals, scan_pii
+from weirstone.session import fresh_dir
+from weirstone.sources.partitions import day_folders
 
 AS_OF = dt.datetime(2024, 1, 31, 12)
 
@@ -35,6 +37,20 @@ def freshness_status(t: Tables) -> DataFrame:
     return parts[0].unionByName(parts[1]).unionByName(parts[2]).withColumn("latest", stamp("latest"))
 
 
+@query(f"""
+    SELECT {sql_stamp("max(ts)")} AS latest, round((epoch_us(TIMESTAMP '2024-02-01 12:00:00') - epoch_us(max(ts))) / 3.6e9, 2) AS freshness_hours,
+           CASE WHEN max(ts) > TIMESTAMP '2024-02-01 12:00:00' - INTERVAL 31 HOURS THEN 'within_range' ELSE 'out_of_range' END AS status
+    FROM events
+""")
+def freshness_of_newest_day(t: Tables) -> DataFrame:
+    """Of a table by day only the newest day is read."""
+    path = fresh_dir(t.spark, "by-day")
+    t.events.select("ts", F.to_date("ts").alias("day")).repartition("day").write.partitionBy("day").parquet(path)
+    table = t.spark.read.parquet(path)
+    found = quality.freshness_of_days(table, day_folders(t.spark, path, "day"), "day", "ts", dt.datetime(2024, 2, 1, 12))
+    return found.withColumn("latest", stamp("latest"))
+
+
 @query("""
     SELECT l_orderkey, l_linenumber, count(*) AS row_count FROM lineitem GROUP BY 1, 2 HAVING count(*) > 1
 """)

@@ -50,6 +50,19 @@ def freshness(df: DataFrame, ts: str, as_of: dt.datetime, hours: int = FRESHNESS
     )
 
 
+def freshness_of_days(table: DataFrame, days: Sequence[str], day: str, ts: str, as_of: dt.datetime, hours: int = FRESHNESS_HOURS) -> DataFrame:
+    """As ``freshness`` for a table partitioned by the date of ``ts``: its newest day alone is read.
+
+    ``days`` are the days that it has, from its folders (``sources.partitions.day_folders``) or the
+    catalogue. A day without any time leaves the answer to the day before.
+    """
+    for value in sorted(days, reverse=True):
+        found = freshness(table.filter(F.col(day) == F.lit(value).cast("date")), ts, as_of, hours)
+        if found.first().latest is not None:  # one row
+            return found
+    return freshness(table.filter(F.lit(False)), ts, as_of, hours)
+
+
 def is_empty(df: DataFrame) -> bool:
     """Gate before a job: stops at the first row instead of counting all."""
     return df.isEmpty()

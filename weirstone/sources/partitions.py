@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from weirstone.operators.retention import RETENTION_DAYS, cutoff
 from weirstone.operators.upsert import mark_processed, upsert, upsert_partial, with_matches, without_matches
 from weirstone.sources.tables import staged
+from weirstone.streaming.batches import folders
 
 
 def create_day_table(df: DataFrame, table: str, day: str) -> None:
@@ -99,6 +100,12 @@ def mark_processed_days(done: DataFrame, table: str, keys: Sequence[str], at: Co
     replace_days(mark_processed(concerned, done, keys, at, mark), table)
 
 
+def day_folders(spark: SparkSession, path: str, day: str) -> list[str]:
+    """The dates of a folder that is partitioned by day; rows without a date have none."""
+    names = [name.removeprefix(f"{day}=") for name in folders(spark, path) if name.startswith(f"{day}=")]
+    return sorted(name for name in names if name[:1].isdigit())
+
+
 def drop_expired_days(spark: SparkSession, table: str, day: str, as_of: dt.date, days: int = RETENTION_DAYS) -> list[dt.date]:
     """Drop the partitions before the cutoff day: no data is read or written.
 
