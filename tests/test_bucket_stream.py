@@ -107,3 +107,42 @@ def test_plans_survive_a_planner_that_broke_off(spark, tmp_path):
     reader.commit({"plan": 2})
     assert BucketReader(options).latestOffset() == {"plan": 2}
     assert BucketReader({"root": f"file://{tmp_path}/none"}).latestOffset() == {"plan": 0}
+
+
+@pytest.mark.parametrize("lost", [None, 0])
+def test_a_backlog_is_drained_many_batches_at_a_time(spark, tmp_path, lost):
+    sink = Sink()
+    sink.lose = lost
+    fill(spark, tmp_path / "in", events(1, 6))
+    if lost is not None:
+        with pytest.raises(Exception, match="lost after the write"):
+            drain(stream_buckets(spark, f"{tmp_path}/in", limit=7, as_of=NOW, batches=2), sink, f"{tmp_path}/cp")
+        before = dict(sink.batches)
+    drain(stream_buckets(spark, f"{tmp_path}/in", limit=7, as_of=NOW, batches=2), sink, f"{tmp_path}/cp")
+    assert [len(b) for _, b in sorted(sink.batches.items())] == [14, 6]  # two turns
+    assert [r[3] for n in sorted(sink.batches) for r in sink.batches[n]] == [1] * 7 + [2] * 7 + [3] * 6
+    assert sink.keys() == [f"{m}-{n}" for m in (1, 6) for n in range(10)]
+    assert lost is None or sink.batches[0] == before[0]
+    fill(spark, tmp_path / "in", events(2, tag="late"))
+    drain(stream_buckets(spark, f"{tmp_path}/in", limit=7, as_of=NOW, batches=2), sink, f"{tmp_path}/cp")
+    assert [r[3] for r in sink.batches[2]] == [4] * 7 + [5] * 3 and len(sink.keys()) == 30
+
+
+def test_only_row_groups_of_a_range_are_read(spark, tmp_path, monkeypatch):
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    folder = tmp_path / "in" / "fraud-ops-events:2024-01-01T10:00:00Z"
+    folder.mkdir(parents=True)
+    text = [str(n) for n in range(100)]
+    pq.write_table(pa.table({"event_key": text, "message": text}), folder / "one.parquet", row_group_size=10)
+    reader = BucketReader({"root": f"file://{tmp_path}/in", "limit": "8", "batches": "5", "tasks": "2", "as_of": NOW.isoformat()})
+    assert reader.latestOffset() == {"plan": 5}
+    asked, plain = [], pq.ParquetFile.iter_batches
+    monkeypatch.setattr(pq.ParquetFile, "iter_batches", lambda self, **how: asked.append(how["row_groups"]) or plain(self, **how))
+    parts = reader.partitions({"plan": 0}, {"plan": 5})
+    read = [[(r["event_key"], r["batch"]) for b in reader.read(p) for r in b.to_pylist()] for p in parts]
+    assert read == [[(str(n), n // 8 + 1) for n in range(24)], [(str(n), n // 8 + 1) for n in range(24, 40)]]
+    assert asked == [[0, 1, 2], [2, 3]]
+    with pytest.raises(FileNotFoundError):
+        reader.partitions({"plan": 0}, {"plan": 6})

@@ -140,6 +140,23 @@ def test_buckets_are_drained_into_batches(spark, tmp_path):
     assert len(list((tmp_path / "batches").glob("batch_id=*"))) == 3
 
 
+def test_a_backlog_of_buckets_takes_one_turn(spark, tmp_path):
+    rows_in = spark.createDataFrame([(f"k{n % 12}", f"m{n}", ts(f"2024-01-01 10:{n:02}:00")) for n in range(30)], EVENT)
+    named = rows_in.withColumn("bucket_name", F.when(F.col("event_key") == "k3", "fraud-ops-events:no time").otherwise(bucket_name(F.col("ts"))))
+    for way, batches in (("one", None), ("many", 50)):
+        path = f"{tmp_path}/{way}"
+        named.drop("ts").coalesce(1).write.partitionBy("bucket_name").parquet(f"{path}/buckets")
+        for _ in range(2):
+            stream = stream_buckets(spark, f"{path}/buckets", limit=4, as_of=NOW, batches=batches)
+            ingest_buckets(stream, f"{path}/batches", f"{path}/checkpoint", F.lit(ts(LOADED)))
+    assert rows(current_events(spark, f"{tmp_path}/many/batches", NOW)) == rows(current_events(spark, f"{tmp_path}/one/batches", NOW))
+    assert rows(rejected_events(spark, f"{tmp_path}/many/batches"), "message") == [("m15",), ("m27",), ("m3",)]
+    # as many batches, one micro-batch
+    assert [len(list((tmp_path / way / "checkpoint" / "commits").glob("[0-9]*"))) for way in ("one", "many")] == [8, 1]
+    folders = [{p.name for at in ("batches", "batches__rejected") for p in (tmp_path / way / at).glob("batch_id=*")} for way in ("one", "many")]
+    assert [len(f) for f in folders] == [8, 8]
+
+
 def test_merge_keeps_marks_and_first_load(spark):
     target = spark.createDataFrame([("a", "m", "b1", ts(LOADED), ts(LOADED), dt.date(2024, 1, 1))], ENCRYPTED_SCHEMA)
     update = spark.createDataFrame(

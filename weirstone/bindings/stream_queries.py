@@ -64,11 +64,12 @@ SQL_HOUR = "time_bucket(INTERVAL '60 minutes', ts)"
     FROM events WHERE {SQL_HOUR} <> (SELECT max({SQL_HOUR}) FROM events)
 """)
 def bucket_stream_events(t: Tables) -> DataFrame:
-    """Folders of hourly buckets, drained in batches of 4000 rows; the hour of the last event is open."""
+    """Folders of hourly buckets, drained in batches of 4000 rows, up to 256 of them at a time; the hour
+    of the last event is open."""
     work = fresh_dir(t.spark, "buckets")
     rows = t.events.select(F.col("event_id").cast("string").alias("event_key"), F.col("props").alias("message"), bucket_name(F.col("ts"), 60).alias("bucket_name"))
     rows.repartition("bucket_name").write.partitionBy("bucket_name").parquet(f"{work}/in")
-    stream = stream_buckets(t.spark, f"{work}/in", limit=4000, as_of=last_event(t), minutes=60)
+    stream = stream_buckets(t.spark, f"{work}/in", limit=4000, as_of=last_event(t), minutes=60, batches=256)
     ingest_buckets(stream, f"{work}/batches", f"{work}/checkpoint", loaded_at=instant(dt.datetime(2024, 2, 1)))
     later = current_events(t.spark, f"{work}/batches", last_event(t) + dt.timedelta(days=1))
     return later.select("event_key", "message", "bucket_name", F.col("partition_dt").cast("string").alias("partition_dt"), stamp("dw_created_at").alias("dw_created_at"))

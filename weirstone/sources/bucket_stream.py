@@ -3,12 +3,14 @@
 Below the root lies a folder per bucket, named by the bucket (plain, or ``bucket_name=`` with the name
 percent-encoded as partition folders have it), with Parquet files of ``event_key`` and ``message``.
 A batch takes the oldest unread rows of closed buckets, at most ``limit`` of them; the bucket that
-is open at ``as_of`` (by default the time of the planning) waits.
-
-The source keeps plans of its own: plan n lists files with a first and a last row, and offset n means
-"all plans up to n". A plan is written before its number is given out, so a batch that is repeated
-after a crash reads the same rows, and rows are in one plan only. Once Spark has committed a batch,
-its plans are forgotten and files that have been read to the end are removed, unless the option
+is open at ``as_of`` (by default the time of the planning) waits. A micro-batch is one such batch, or
+up to ``batches`` of them where more are waiting: so a backlog takes fewer turns, each of them a
+parallel job, and column ``batch`` tells the batches apart.
+
+The source keeps plans of its own: a plan lists files with a first and a last row and the number of
+their batch, and is named by its last batch; offset n means "all batches up to n". A plan is written
+before its number is given out, so a batch that is repeated after a crash reads the same rows, and
+rows are in one batch only. Once Spark has committed a micro-batch, its plans are forgotten and files that have been read to the end are removed, unless the option
 ``keep`` is set: then their names stay in the plans. So a file that comes late into an old bucket is
 read like any other, and neither plans nor listings grow with the past. One query drains a root.
 """
@@ -20,6 +22,7 @@ import json
 import posixpath
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
+from itertools import groupby
 from urllib.parse import unquote
 
 import pyarrow as pa
@@ -33,15 +36,16 @@ from pyspark.sql.types import StructType
 from weirstone.sources.buckets import BUCKET_PREFIX, bucket_events
 from weirstone.sources.named_files import qualified
 
-ROWS = "event_key string, message string, bucket_name string"
+ROWS = "event_key string, message string, bucket_name string, batch long"
 PLANS = "_plans"
 
 
 @dataclass
 class Part(InputPartition):
-    """Ranges (file, bucket, first row, end) that one task reads."""
+    """Ranges (file, bucket, first row, end) that one task reads, and the batch of each."""
 
     ranges: list[tuple[str, str, int, int]]
+    numbers: list[int]
 
 
 class BucketReader(DataSourceStreamReader):
@@ -49,6 +53,7 @@ class BucketReader(DataSourceStreamReader):
         self.root, self.limit = options["root"], int(options.get("limit") or 1000)
         self.minutes, self.as_of = int(options.get("minutes") or 5), options.get("as_of")
         self.keep, self.tasks = options.get("keep") == "true", int(options.get("tasks") or 16)
+        self.batches = int(options.get("batches") or 1)
 
     # Offsets -----------------------------------------------------------------------------------
 
@@ -56,39 +61,43 @@ class BucketReader(DataSourceStreamReader):
         return {"plan": 0}
 
     def latestOffset(self) -> dict:
-        """The last plan's number, after a further plan has been made if there is something to read."""
+        """The last batch's number, after a further plan has been made if there is something to read."""
         plans = self._plans()
         last = max(plans, default=0)
         taken: dict[str, int] = {}
         for n in plans:
-            for file, _, _, end in self._plan(n):
+            for file, _, _, end, _ in self._plan(n):
                 taken[file] = max(taken.get(file, 0), end)
-        found, room = [], self.limit
+        found, room = [], self.limit * self.batches
         for bucket, file in self._closed_files():
             if room <= 0:
                 break
-            rows = self._rows(file)
-            first = taken.get(file, 0)
-            end = min(rows, first + room)
-            if end > first:
-                found.append([file, bucket, first, end])
+            first, rows = taken.get(file, 0), self._rows(file)
+            while first < rows and room > 0:  # up to the end of the file or of the batch
+                end = min(rows, first + (room - 1) % self.limit + 1)
+                found.append([file, bucket, first, end, last + self.batches - (room - 1) // self.limit])
                 room -= end - first
+                first = end
         if not found:
             return {"plan": last}
-        self._write_plan(last + 1, found)
-        return {"plan": last + 1}
+        self._write_plan(found[-1][4], found)
+        return {"plan": found[-1][4]}
 
     def partitions(self, start: dict, end: dict) -> Sequence[InputPartition]:
         """Neighbouring ranges share a task, so that a batch of many small files is not as many tasks."""
-        entries = [tuple(entry) for n in range(start["plan"] + 1, end["plan"] + 1) for entry in self._plan(n)]
-        rows = sum(last - first for _, _, first, last in entries)
+        entries = [tuple(entry) for n in self._plans() if start["plan"] < n <= end["plan"] for entry in self._plan(n)]
+        missing = set(range(start["plan"] + 1, end["plan"] + 1)) - {entry[4] for entry in entries}
+        if missing:
+            raise FileNotFoundError(f"no plan of batch {min(missing)} below {self.root}")
+        rows = sum(entry[3] - entry[2] for entry in entries)
         parts: list[Part] = []
         held = 0
         for entry in entries:
             if not parts or held * self.tasks >= rows:
-                parts.append(Part([]))
+                parts.append(Part([], []))
                 held = 0
-            parts[-1].ranges.append(entry)
+            parts[-1].ranges.append(entry[:4])
+            parts[-1].numbers.append(entry[4])
             held += entry[3] - entry[2]
         return parts
 
@@ -116,18 +125,28 @@ class BucketReader(DataSourceStreamReader):
     # Rows --------------------------------------------------------------------------------------
 
     def read(self, partition: InputPartition) -> Iterator[pa.RecordBatch]:
+        """Neighbouring ranges of a file are read in one go, and of the file only their row groups."""
         store, root = self._store()
-        for file, bucket, begin, end in partition.ranges:
-            at = 0
+        for file, group in groupby(zip(partition.ranges, partition.numbers, strict=True), key=lambda one: one[0][0]):
+            ranges = [(bucket, first, end, number) for (_, bucket, first, end), number in group]
             with store.open_input_file(posixpath.join(root, file)) as source:
-                for batch in pq.ParquetFile(source).iter_batches(columns=["event_key", "message"]):
-                    first, last = max(begin - at, 0), min(end - at, len(batch))
-                    if first < last:
-                        part = batch.slice(first, last - first)
-                        text = [part.column(name).cast(pa.string()) for name in ("event_key", "message")]
-                        yield pa.RecordBatch.from_arrays([*text, pa.array([bucket] * len(part))], names=["event_key", "message", "bucket_name"])
+                parquet = pq.ParquetFile(source)
+                groups, at, after = [], 0, 0
+                for n in range(parquet.num_row_groups):
+                    begin, after = after, after + parquet.metadata.row_group(n).num_rows
+                    if after > ranges[0][1] and begin < ranges[-1][2]:
+                        at = at if groups else begin
+                        groups.append(n)
+                for batch in parquet.iter_batches(row_groups=groups, columns=["event_key", "message"]):
+                    for bucket, begin, end, number in ranges:
+                        first, last = max(begin - at, 0), min(end - at, len(batch))
+                        if first < last:
+                            part = batch.slice(first, last - first)
+                            text = [part.column(name).cast(pa.string()) for name in ("event_key", "message")]
+                            told = [pa.array([bucket] * len(part)), pa.array([number] * len(part), pa.int64())]
+                            yield pa.RecordBatch.from_arrays([*text, *told], names=["event_key", "message", "bucket_name", "batch"])
                     at += len(batch)
-                    if at >= end:
+                    if at >= ranges[-1][2]:
                         break
 
     # Storage -----------------------------------------------------------------------------------
@@ -167,7 +186,7 @@ class BucketReader(DataSourceStreamReader):
     def _plan(self, n: int) -> list[list]:
         store, _ = self._store()
         with store.open_input_stream(self._plan_path(n)) as source:
-            return json.loads(source.read())
+            return [[*entry, n][:5] for entry in json.loads(source.read())]  # an earlier plan was one batch
 
     def _write_plan(self, n: int, entries: list[list]) -> None:
         """Written beside and moved, so that a plan is there as a whole or not at all."""
@@ -180,7 +199,7 @@ class BucketReader(DataSourceStreamReader):
 
 
 class Buckets(DataSource):
-    """Read-only stream; options ``root`` (a URI), ``limit``, ``minutes``, ``as_of``, ``keep`` and ``tasks`` (of a batch, about)."""
+    """Read-only stream; options ``root`` (a URI), ``limit``, ``minutes``, ``as_of``, ``keep``, ``batches`` and ``tasks`` (of a micro-batch, about)."""
 
     @classmethod
     def name(cls) -> str:
@@ -194,14 +213,18 @@ class Buckets(DataSource):
 
 
 def stream_buckets(
-    spark: SparkSession, root: str, limit: int = 1000, as_of: dt.datetime | None = None, minutes: int = 5, keep: bool = False
+    spark: SparkSession, root: str, limit: int = 1000, as_of: dt.datetime | None = None, minutes: int = 5, keep: bool = False, batches: int | None = None
 ) -> DataFrame:
-    """(event_key, message, bucket_name, partition_dt) of closed buckets, at most ``limit`` rows per batch."""
+    """(event_key, message, bucket_name, partition_dt) of closed buckets, at most ``limit`` rows per batch.
+
+    A micro-batch is one batch; with ``batches`` it is up to so many, told apart by a column ``batch``.
+    """
     spark.dataSource.register(Buckets)
     reader = spark.readStream.format("event_buckets").option("root", qualified(spark, root)).option("limit", limit).option("minutes", minutes)
     if as_of is not None:
         reader = reader.option("as_of", as_of.isoformat())
-    return bucket_events(reader.option("keep", str(keep).lower()).load())
+    rows = bucket_events(reader.option("keep", str(keep).lower()).option("batches", batches or 1).load())
+    return rows if batches else rows.drop("batch")
 
 
 def drain(query_of: DataFrame, sink, checkpoint: str) -> StreamingQuery:

@@ -65,11 +65,20 @@ def ingest_events(stream: DataFrame, batches: str, checkpoint: str, minutes: int
 
 
 def ingest_buckets(stream: DataFrame, batches: str, checkpoint: str, loaded_at: Column | None = None) -> None:
-    """Drain the rows of ``stream_buckets``: buckets that are closed, in batches of the source's limit."""
+    """Drain the rows of ``stream_buckets``: buckets that are closed, in batches of the source's limit.
+
+    If a micro-batch holds several batches of the source (column ``batch``), each becomes a folder
+    under the source's number, replaced when it is replayed. A folder of batches keeps to one of both
+    ways: the numbers of Spark and of the source differ.
+    """
     stamp = F.current_timestamp() if loaded_at is None else loaded_at
 
     def append(batch: DataFrame, batch_id: int) -> None:
-        _append(batch.withColumn("ts", F.lit(None).cast("timestamp")), batches, batch_id, stamp)
+        rows = batch.withColumn("ts", F.lit(None).cast("timestamp"))
+        if "batch" in batch.columns:
+            _append_all(rows, batches, stamp)
+        else:
+            _append(rows, batches, batch_id, stamp)
 
     drain(stream, append, checkpoint)
 
@@ -86,6 +95,18 @@ def _append(rows: DataFrame, batches: str, batch_id: int, stamp: Column) -> None
         stamped.unpersist()
 
 
+def _append_all(rows: DataFrame, batches: str, stamp: Column) -> None:
+    """Both folders of every ``batch`` in the rows, which are read once. A batch that is repeated has the
+    same rows, so the partitions that it writes are those it has written before."""
+    stamped = rows.select("event_key", "message", "ts", "bucket_name", stamp.alias("dw_created_at"), F.col("batch").alias("batch_id"), "partition_dt").persist()
+    try:
+        overwrite_partitions(stamped.filter(F.col("partition_dt").isNotNull()), batches, "batch_id", "partition_dt")
+        undated = stamped.filter(F.col("partition_dt").isNull()).drop("partition_dt")
+        overwrite_partitions(undated, rejects_path(batches), "batch_id")
+    finally:
+        stamped.unpersist()
+
+
 def rejects_path(batches: str) -> str:
     return f"{batches.rstrip('/')}__rejected"
 
