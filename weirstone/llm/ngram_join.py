@@ -19,8 +19,11 @@ what is still in different components. Two documents that stay apart have been c
 keeps them apart. Equal texts are one point from the start.
 
 What each step holds: hot tokens are at most ``HOT_TOKENS`` numbers, sent to all tasks; a node with
-many points is split into chunks that are paired in separate tasks; texts are shuffled compressed,
-and past that only those of documents with a surviving pair are kept.
+many points is split into chunks that are paired in separate tasks. The first pairs of a node are
+drawn where its list is made, so lists are not shuffled for them. Of documents without a surviving
+pair no text is shuffled, and later rounds read neither their lists nor their points: a filter of
+``FILTER_BITS`` bits is sent to all tasks, which lets a few others pass by chance (more where it
+fills up); exact joins follow. Texts are shuffled compressed.
 
 Defined cases: null, empty and blank texts have no shingle and are linked with nothing; a text with
 fewer than five words is one shingle. Repeated rows are one component. Rows with a null key belong
@@ -51,6 +54,7 @@ BLOCK_BYTES = 12 << 20
 CHUNK = 1024
 KNOWN_KEYS = 100_000  # texts that a task remembers to have seen; one more copy does no harm
 PAGE = 32
+FILTER_BITS = 1 << 25
 
 LONG = T.LongType()
 
@@ -230,9 +234,7 @@ def page_pairs(th: np.ndarray, n: np.ndarray, point: np.ndarray, root: np.ndarra
     return np.minimum(a, b), np.maximum(a, b)
 
 
-def with_roots(lists: DataFrame, roots: DataFrame | None) -> DataFrame:
-    if roots is None:
-        return lists.withColumn("root", F.col("th"))
+def with_roots(lists: DataFrame, roots: DataFrame) -> DataFrame:
     return lists.join(roots.select(F.col("node").alias("th"), "root"), "th", "left").withColumn("root", F.coalesce("root", "th"))
 
 
@@ -306,9 +308,26 @@ def text_key(text: Column) -> Column:
     return F.xxhash64(text)
 
 
-def fetch(texts: DataFrame, needed: DataFrame) -> DataFrame:
-    """Compressed texts of the keys in ``needed``, each once."""
-    packed = texts.select("th", compressed("text").alias("zip"))
+def may_be_in(wanted: DataFrame) -> Column:
+    """Whether ``th`` may be one of the keys in ``wanted``: true for all of them and few others."""
+    spot = F.pmod("th", F.lit(FILTER_BITS)) + 1
+    marked = wanted.select(F.bitmap_bucket_number(spot).alias("b"), F.bitmap_bit_position(spot).alias("p")).repartition("b")
+    bits = np.zeros((FILTER_BITS // 32_768, 4096), np.uint8)
+    for row in marked.groupBy("b").agg(F.bitmap_construct_agg("p").alias("bits")).toLocalIterator():
+        bits[row.b - 1] = np.frombuffer(row.bits, np.uint8)
+    shared = wanted.sparkSession.sparkContext.broadcast(bits.ravel())
+
+    @F.arrow_udf(T.BooleanType())
+    def may_be(keys: pa.Array) -> pa.Array:
+        at = np.mod(keys.to_numpy(), FILTER_BITS)
+        return pa.array((shared.value[at >> 3] >> (at & 7) & 1).astype(bool))
+
+    return may_be(F.col("th"))
+
+
+def fetch(texts: DataFrame, needed: DataFrame, wanted: Column) -> DataFrame:
+    """Compressed texts of the keys in ``needed``, each once; ``wanted`` is their filter."""
+    packed = texts.where(wanted).select("th", compressed("text").alias("zip"))
     return _keep(packed.join(needed, "th", "left_semi").dropDuplicates(["th"]), "texts")
 
 
@@ -322,19 +341,28 @@ def confirm(pairs: DataFrame, some: DataFrame) -> DataFrame:
     return both.where(verified("zip_a", "zip_b")).select("a", "b")
 
 
-def star_pairs(named: DataFrame, measured: DataFrame, turn: int = 0) -> DataFrame:
-    """In each top node one document of every component with one that leads them all.
-
-    At first these are the smallest keys, the same in all nodes. In later turns every node draws its
-    own: two components of near copies meet in many nodes, with another pair in each.
-    """
+def leading(turn: int) -> Column:
+    """The document that leads its group: in turn 0 the one with the smallest key, the same in all
+    nodes. In other turns every node draws its own: two components of near copies meet in many
+    nodes, with another pair in each."""
     rank = F.lit(0) if turn == 0 else F.xxhash64(F.lit(turn), "token", "th")
-    first = named.groupBy("token", "root").agg(F.min(F.struct(rank.alias("rank"), "th", "n")).alias("one"), F.count("*").alias("members"))
-    node = Window.partitionBy("token")
-    pairs = first.select(F.min("one").over(node).alias("lead"), "one", F.sum("members").over(node).alias("size"))
-    if turn:  # a node of two has one pair only, which the first turn has tried
-        pairs = pairs.where("size > 2")
-    pairs = pairs.where("one.th <> lead.th and 5 * one.n >= 4 * lead.n and 5 * lead.n >= 4 * one.n")
+    return F.min(F.struct(rank.alias("rank"), "th", "n"))
+
+
+def first_stars(lists: DataFrame, measured: DataFrame) -> DataFrame:
+    """In each top node every document with the two that its list names."""
+    return allowed(lists.select(F.explode(F.array("lead", "drawn")).alias("lead"), F.struct("th", "n").alias("one")), measured)
+
+
+def star_pairs(named: DataFrame, measured: DataFrame, turn: int) -> DataFrame:
+    """In each top node one document of every component with one that leads them all."""
+    first = named.groupBy("token", "root").agg(leading(turn).alias("one"))
+    return allowed(first.select(F.min("one").over(Window.partitionBy("token")).alias("lead"), "one"), measured)
+
+
+def allowed(stars: DataFrame, measured: DataFrame) -> DataFrame:
+    """Distinct pairs ``a``, ``b`` of ``lead`` and ``one`` that sizes and bounds allow."""
+    pairs = stars.where("one.th <> lead.th and 5 * one.n >= 4 * lead.n and 5 * lead.n >= 4 * one.n")
     pairs = pairs.select(F.col("lead.th").alias("a"), F.col("lead.n").alias("n_a"), F.col("one.th").alias("b"), F.col("one.n").alias("n_b")).distinct()
     pairs = pairs.join(measured.select(F.col("th").alias("a"), F.col("point").alias("point_a")), "a").join(measured.select(F.col("th").alias("b"), F.col("point").alias("point_b")), "b")
     return pairs.where(bound_allows("point_a", "n_a", "point_b", "n_b")).select("a", "b")
@@ -349,26 +377,31 @@ def linked_texts(docs: DataFrame, text: str = "text") -> tuple[DataFrame, DataFr
     hot = frequent.orderBy(F.col("seen").desc(), "token").limit(HOT_TOKENS).select("token").toArrow()["token"].to_numpy().view(np.uint64)
     node = Window.partitionBy("token")
     posted = postings(texts, hot).select("token", "th", "n", F.min("th").over(node).alias("first"), F.max("th").over(node).alias("last"))
-    lists = _keep(posted.where("first <> last").select("token", "th", "n").distinct(), "nodes")
-    alone = with_roots(lists, None)
-    fresh = _keep(star_pairs(alone, measured).unionByName(star_pairs(alone, measured, ROUNDS + 1)).distinct(), "pairs")
-    some = fetch(texts, ends(fresh))
+    shared = posted.where("first <> last").select("token", "th", "n").distinct()
+    # a node of two has one pair only: it draws no further one, and is done when that has been tried
+    drawn = F.when(F.count("*").over(node) > 2, leading(ROUNDS + 1).over(node))
+    lists = shared.select("token", "th", "n", leading(0).over(node).alias("lead"), drawn.alias("drawn"))
+    lists = _keep(lists.select("token", "th", "n", *[F.when(F.col(c).isNotNull(), F.struct(f"{c}.th", f"{c}.n")).alias(c) for c in ("lead", "drawn")]), "nodes")
+    nodes = lists.where("drawn is not null").select("token", "th", "n")
+    fresh = _keep(first_stars(lists, measured), "pairs")
+    wanted = may_be_in(ends(fresh))
+    some = fetch(texts, ends(fresh), wanted)
     tried, edges, roots = fresh.limit(0), None, None
     for turn in range(1, ROUNDS + 1):
         found = confirm(fresh, some)
         tried = tried.unionByName(fresh)
         edges = _keep(found if edges is None else edges.unionByName(found), "links")
         roots = _keep(components(edges), "roots")
-        fresh = star_pairs(with_roots(lists, roots), measured, turn).join(tried, ["a", "b"], "left_anti")
+        fresh = star_pairs(with_roots(nodes.where(wanted), roots), measured.where(wanted), turn).join(tried, ["a", "b"], "left_anti")
         fresh = _keep(fresh.join(some.select(F.col("th").alias("a")), "a", "left_semi").join(some.select(F.col("th").alias("b")), "b", "left_semi"), "pairs")
         if fresh.isEmpty():
             break
     # what is left in different components is paired in full, as far as the bounds allow
-    left = _keep(tree_pairs(with_roots(lists, roots), measured).join(tried, ["a", "b"], "left_anti"), "pairs")
+    left = _keep(tree_pairs(with_roots(nodes, roots), measured).join(tried, ["a", "b"], "left_anti"), "pairs")
     missing = ends(left).join(some, "th", "left_anti")
     if not left.isEmpty():
         if not missing.isEmpty():
-            some = some.unionByName(fetch(texts, missing))
+            some = some.unionByName(fetch(texts, missing, may_be_in(missing)))
         roots = components(_keep(edges.unionByName(confirm(left, some)), "links"))
     return measured.select("th", "n"), roots
 
