@@ -1,8 +1,12 @@
 """Components against all pairs of shingle sets."""
 
 import random
+import uuid
+from pathlib import Path
 
+import pyarrow as pa
 import pytest
+import zstandard
 from pyspark.sql import functions as F
 
 from weirstone.llm import ngram_join
@@ -93,3 +97,39 @@ def test_one_of_each_with_ids_on_several_texts(spark):
     assert kept.columns == docs.columns
     got = sorted((str(r.doc_id), (r.text or "").lower()) for r in kept.collect())
     assert got == sorted([("1", "a b c d e f"), ("2", "only here and nowhere else"), ("4", "p q r s t u"), ("5", "v w x y z"), ("7", "one two three"), ("8", "l m n o"), ("None", "g h i j k"), ("None", ""), ("None", "")])
+
+
+def test_only_texts_of_surviving_pairs_are_sent(spark, monkeypatch, tmp_path):
+    """Documents that share one shingle and no more have no pair: their texts are not even packed."""
+    rng = random.Random(3)
+    rows = [(i, " ".join(["all", "of", "them", "say", "this"] + [f"v{rng.random()}" for _ in range(40)])) for i in range(200)]
+    rows += [(1000 + i, rows[i][1] + " more") for i in range(5)]
+    folder = str(tmp_path)
+
+    @F.arrow_udf("binary")
+    def told(text: pa.Array) -> pa.Array:
+        Path(folder, f"{uuid.uuid4()}-{len(text)}").touch()
+        return pa.array([zstandard.compress(t.encode()) for t in text.to_pylist()], pa.binary())
+
+    monkeypatch.setattr(ngram_join, "compressed", told)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted(tuple(r) for r in near_duplicates(docs).collect()) == brute(rows)
+    assert 10 <= sum(int(p.name.rpartition("-")[2]) for p in tmp_path.iterdir()) < 100
+
+
+@pytest.mark.parametrize("bits", [1 << 25, 1 << 15])
+def test_the_filter_loses_no_key(spark, monkeypatch, bits):
+    monkeypatch.setattr(ngram_join, "FILTER_BITS", bits)
+    keys = spark.range(20_000).select(F.xxhash64("id").alias("th"), "id")
+    passed = [r.id for r in keys.where(ngram_join.may_be_in(keys.where("id % 10 = 0").select("th"))).collect()]
+    assert set(passed) >= set(range(0, 20_000, 10))
+    assert (len(passed) < 2100) == (bits == 1 << 25)
+
+
+def test_first_pairs_are_drawn_without_a_shuffle_by_token(spark):
+    lists = spark.createDataFrame([(1, 2, 9, (1, 9), (3, 9)), (1, 1, 9, (1, 9), (3, 9)), (1, 3, 9, (1, 9), (3, 9)), (2, 4, 9, (4, 9), None), (2, 5, 9, (4, 9), None), (2, 6, 90, (4, 9), None)],
+                                  "token long, th long, n long, lead struct<th long, n long>, drawn struct<th long, n long>")
+    points = spark.range(1, 7).select(F.col("id").alias("th"), F.lit(bytes([9] * ngram_join.GROUPS)).alias("point"))
+    pairs = ngram_join.first_stars(lists, points)
+    assert sorted(tuple(r) for r in pairs.collect()) == [(1, 2), (1, 3), (3, 1), (3, 2), (4, 5)]
+    assert "hashpartitioning(token" not in pairs._jdf.queryExecution().executedPlan().toString()
