@@ -7,6 +7,7 @@ from collections import Counter
 from pyspark.sql import functions as F
 
 from weirstone.llm import suffix_dedup
+from weirstone.llm.arrays import powers
 from weirstone.llm.suffix_dedup import deduplicate, without_repeats
 
 
@@ -68,3 +69,18 @@ def test_text_without_repeats(spark):
     assert kept.columns == docs.columns
     assert sorted((r.doc_id, r.text, r.n_chars) for r in kept.collect()) == [(1, "one  two", 8), (2, "three", 5), (3, None, None), (4, "", 0), (6, "short", 5)]
     assert deduplicate(docs.limit(0)).count() == 0 and without_repeats(docs.limit(0)).count() == 0
+
+
+def test_a_task_that_cleans_texts_holds_one_worker(spark):
+    """The letters that are left come from the function that removes bytes."""
+    docs = spark.createDataFrame([(1, "é" * 150, 150), (2, "é" * 150 + "x", 151), (3, "y", 1), (4, None, None)], "doc_id long, text string, n_chars int")
+    cleaned = without_repeats(docs)
+    plan = cleaned._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 2  # packed before the shuffle, cleaned after it
+    assert sorted(map(str, cleaned.collect())) == ["Row(doc_id=2, text='x', n_chars=1)", "Row(doc_id=3, text='y', n_chars=1)", "Row(doc_id=4, text=None, n_chars=None)"]
+
+
+def test_powers_are_kept_for_what_is_needed():
+    """Each worker keeps them for good."""
+    up, down = powers(100_000)
+    assert len(up) == len(down) == 1 << 17

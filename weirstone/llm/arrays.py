@@ -74,7 +74,7 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of the base and of its inverse, at least ``n`` of each."""
     if n > 8 << 20:  # one very long text: not kept
         return _powers.__wrapped__(n)
-    return _powers(1 << max(20, (n - 1).bit_length()))
+    return _powers(1 << max(16, (n - 1).bit_length()))  # every worker keeps these
 
 
 def text_buffer(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:

@@ -40,13 +40,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from weirstone.llm.anchors import WINDOW, anchor_ranges
-from weirstone.llm.arrays import Prefixes, mix, slices, text_buffer
+from weirstone.llm.arrays import Prefixes, mix, release, slices, text_buffer
 from weirstone.session import fresh_dir
 
 LENGTH = 200
 COMMON = LENGTH - WINDOW + 1  # bytes from the anchor on that all of its starts cover
 HALF = WINDOW // 2  # starts nearer to the anchor than this share the bytes after it, the others those around it
 PART = 8 << 20
+SLICE = 1 << 17  # bytes of text at once: a score of arrays of numbers is made over them
+KNOWN_KEYS = 100_000  # texts that a task remembers to have seen; one more copy does no harm
 
 LONG = T.LongType()
 
@@ -72,7 +74,7 @@ def sampled(texts: DataFrame, full: bool) -> DataFrame:
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for first, last in slices(batch.column(1)):
+            for first, last in slices(batch.column(1), SLICE):
                 data, offsets = text_buffer(batch.column(1).slice(first, last - first))
                 keys = batch.column(0).slice(first, last - first).to_numpy()
                 for part, bounds, row0, base in _parts(data, offsets):
@@ -84,6 +86,7 @@ def sampled(texts: DataFrame, full: bool) -> DataFrame:
                         begin = anchor - bounds[row] + base
                         columns += [pa.array(mix(inner).view(np.int64)), pa.array(keys[row + row0]), pa.array(packed(begin, anchor - low, anchor - high))]
                     yield pa.RecordBatch.from_arrays(columns, names=schema.names)
+            release()
 
     return texts.mapInArrow(find, schema)
 
@@ -111,7 +114,7 @@ def _contexts(joined: DataFrame) -> DataFrame:
                 if key in seen:  # a copy of the same text
                     continue
                 seen.add(key)
-                if len(seen) > 1_000_000:
+                if len(seen) > KNOWN_KEYS:
                     seen.clear()
                 raw = unpack.decompress(batch.column(1)[i].as_py())
                 place, weight = (batch.column(2)[i].values.field(n).to_numpy() for n in ("place", "weight"))
@@ -128,6 +131,7 @@ def _contexts(joined: DataFrame) -> DataFrame:
                     rows = []
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), [pa.int64()] * 5 + [pa.binary()], strict=True)], names=schema.names)
+            release()
 
     return joined.mapInArrow(cut, schema)
 
@@ -170,16 +174,21 @@ def _merged(contexts: DataFrame) -> DataFrame:
                 if whole:
                     yield repeats(table.slice(0, whole))
                     held = table.slice(whole).to_batches()
+            release()
         if held:
             yield repeats(pa.Table.from_batches(held))
+            release()
 
     return contexts.repartition("group").sortWithinPartitions("group").mapInArrow(merge, schema)
 
 
-RESULT = T.StructType([T.StructField("n_removed", LONG), T.StructField("n_spans", LONG), T.StructField("kept_sha256", T.StringType()), T.StructField("kept", T.BinaryType())])
+RESULT = T.StructType([T.StructField("n_removed", LONG), T.StructField("n_spans", LONG), T.StructField("kept_sha256", T.StringType()), T.StructField("n_kept", LONG), T.StructField("kept", T.StringType())])
 
 
 def _removal(with_text: bool):
+    """What is removed and what is left of a text; with ``with_text`` also its letters, in the same
+    worker: a second function over them would have a second one in each task."""
+
     @F.arrow_udf(RESULT)
     def remove(text: pa.Array, ranges: pa.Array) -> pa.Array:
         unpack = zstandard.ZstdDecompressor()
@@ -202,18 +211,23 @@ def _removal(with_text: bool):
                 at = high
             kept.append(raw[at:])
             left = b"".join(kept)
-            rows.append((removed, spans, hashlib.sha256(left).hexdigest(), left if with_text else None))
-        columns = zip(*rows, strict=True) if rows else [[], [], [], []]
-        types = [pa.int64(), pa.int64(), pa.string(), pa.binary()]
-        return pa.StructArray.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], RESULT.names)
+            rows.append((removed, spans, hashlib.sha256(left).hexdigest(), len(left), left.decode("utf-8", "ignore") if with_text else None))
+        columns = zip(*rows, strict=True) if rows else [[], [], [], [], []]
+        types = [pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.string()]
+        made = pa.StructArray.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], RESULT.names)
+        del rows, columns
+        release()
+        return made
 
-    return remove
+    return remove.asNondeterministic()  # else Spark asks again for the filter, in one more worker for each task
 
 
 @F.arrow_udf(T.BinaryType())
 def _compressed(text: pa.Array) -> pa.Array:
     pack = zstandard.ZstdCompressor(level=1)
-    return pa.array([pack.compress(t.encode()) for t in text.to_pylist()], pa.binary())
+    made = pa.array([pack.compress(t.encode()) for t in text.to_pylist()], pa.binary())
+    release()
+    return made
 
 
 def _keep(df: DataFrame, label: str) -> DataFrame:
@@ -259,13 +273,8 @@ def without_repeats(docs: DataFrame, text: str = "text", length: str | None = "n
     others = F.struct(*(F.col(c) for c in columns if c != text)).alias("rest")
     given = docs.select(others, F.col(text).isNull().alias("no_text"), F.xxhash64(text).alias("th"), _compressed(F.coalesce(F.col(text), F.lit(""))).alias("zip"))
     cleaned = given.join(ranges, "th", "left").select("rest", "no_text", _removal(True)("zip", "ranges").alias("r"))
-    kept = cleaned.where("r.n_removed = 0 or length(r.kept) > 0").select("rest", F.when(~F.col("no_text"), _letters("r.kept")).alias(free))
+    kept = cleaned.where("r.n_removed = 0 or r.n_kept > 0").select("rest", F.when(~F.col("no_text"), F.col("r.kept")).alias(free))
     made = {c: F.col(free) if c == text else F.col("rest")[c] for c in columns}
     if length in columns and length != text:
         made[length] = F.when(F.col(free).isNotNull(), F.length(free).cast(docs.schema[length].dataType)).otherwise(F.col("rest")[length])
     return kept.select(*(made[c].alias(c) for c in columns))
-
-
-@F.arrow_udf(T.StringType())
-def _letters(raw: pa.Array) -> pa.Array:
-    return pa.array([r.decode("utf-8", "ignore") for r in raw.to_pylist()], pa.string())
