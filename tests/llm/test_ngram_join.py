@@ -9,7 +9,7 @@ import pytest
 import zstandard
 from pyspark.sql import functions as F
 
-from weirstone.llm import ngram_join
+from weirstone.llm import graph, ngram_join
 from weirstone.llm.ngram_join import near_duplicates, one_of_each
 
 
@@ -133,3 +133,46 @@ def test_first_pairs_are_drawn_without_a_shuffle_by_token(spark):
     pairs = ngram_join.first_stars(lists, points)
     assert sorted(tuple(r) for r in pairs.collect()) == [(1, 2), (1, 3), (3, 1), (3, 2), (4, 5)]
     assert "hashpartitioning(token" not in pairs._jdf.queryExecution().executedPlan().toString()
+
+
+def jobs(spark, group, act):
+    """What ``act`` returns, and the number of Spark jobs it took."""
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        return act(), len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+    finally:
+        spark.sparkContext._jsc.clearJobGroup()
+
+
+def test_the_filter_is_fetched_by_one_job_for_all_partitions(spark):
+    wanted = spark.range(2000).select(F.xxhash64("id").alias("th"))
+    few = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", 40)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        assert jobs(spark, str(uuid.uuid4()), lambda: ngram_join.may_be_in(wanted))[1] < 10
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", few)
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+def test_a_star_is_found_in_one_round(spark, monkeypatch):
+    made = []
+    written = graph._written
+    monkeypatch.setattr(graph, "_written", lambda df, label: made.append(label) or written(df, label))
+    edges = spark.createDataFrame([(5, 2), (2, 7), (9, 2), (2, 9), (4, 4), (-3, 8)], "a long, b long")
+    assert sorted(map(tuple, graph.star_forest(edges).collect())) == [(5, 2), (7, 2), (8, -3), (9, 2)]
+    assert made == ["stars"]
+    chain = spark.range(300).select(F.col("id").alias("a"), (F.col("id") + 1).alias("b"))
+    assert sorted(map(tuple, graph.star_forest(chain).collect())) == [(i, 0) for i in range(1, 301)]
+
+
+def test_no_pairs_are_made_that_no_turn_reads(spark, monkeypatch):
+    """Star pairs are drawn between turns, not after the last one."""
+    turns = []
+    drawn = ngram_join.star_pairs
+    monkeypatch.setattr(ngram_join, "star_pairs", lambda named, measured, turn: turns.append(turn) or drawn(named, measured, turn))
+    rows = corpus()
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted(map(tuple, near_duplicates(docs).collect())) == brute(rows)
+    assert turns == list(range(1, ngram_join.ROUNDS))

@@ -42,7 +42,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from weirstone.llm.arrays import LOWER, SPACE, Lookup, Prefixes, release, shingles, slices, text_buffer, words
-from weirstone.llm.graph import components
+from weirstone.llm.graph import star_forest
 from weirstone.session import fresh_dir
 
 GROUPS = 256
@@ -313,8 +313,10 @@ def may_be_in(wanted: DataFrame) -> Column:
     spot = F.pmod("th", F.lit(FILTER_BITS)) + 1
     marked = wanted.select(F.bitmap_bucket_number(spot).alias("b"), F.bitmap_bit_position(spot).alias("p")).repartition("b")
     bits = np.zeros((FILTER_BITS // 32_768, 4096), np.uint8)
-    for row in marked.groupBy("b").agg(F.bitmap_construct_agg("p").alias("bits")).toLocalIterator():
-        bits[row.b - 1] = np.frombuffer(row.bits, np.uint8)
+    # FILTER_BITS in all, fetched by one job: row by row would be a job for each shuffle partition
+    made = marked.groupBy("b").agg(F.bitmap_construct_agg("p").alias("bits")).toArrow()
+    for b, row in zip(made["b"].to_pylist(), made["bits"].to_pylist(), strict=True):
+        bits[b - 1] = np.frombuffer(row, np.uint8)
     shared = wanted.sparkSession.sparkContext.broadcast(bits.ravel())
 
     @F.arrow_udf(T.BooleanType())
@@ -336,9 +338,15 @@ def ends(pairs: DataFrame) -> DataFrame:
 
 
 def confirm(pairs: DataFrame, some: DataFrame) -> DataFrame:
-    """The pairs ``a``, ``b`` whose texts are similar."""
+    """The pairs ``a``, ``b`` of which ``some`` has both texts, and whether these are similar (``linked``)."""
     both = pairs.join(some.select(F.col("th").alias("b"), F.col("zip").alias("zip_b")), "b").join(some.select(F.col("th").alias("a"), F.col("zip").alias("zip_a")), "a")
-    return both.where(verified("zip_a", "zip_b")).select("a", "b")
+    return both.select("a", "b", verified("zip_a", "zip_b").alias("linked"))
+
+
+def joined_by(seen: DataFrame, roots: DataFrame | None) -> DataFrame:
+    """Roots after the links in ``seen``; the links of earlier turns are in ``roots`` already."""
+    links = seen.where("linked").select(F.col("a").alias("node"), F.col("b").alias("root"))
+    return star_forest(links if roots is None else roots.unionByName(links))
 
 
 def leading(turn: int) -> Column:
@@ -369,7 +377,7 @@ def allowed(stars: DataFrame, measured: DataFrame) -> DataFrame:
 
 
 def linked_texts(docs: DataFrame, text: str = "text") -> tuple[DataFrame, DataFrame]:
-    """``th``, ``n`` of every text, and ``node``, ``root`` of those that are linked."""
+    """``th``, ``n`` of every text, and ``node``, ``root`` of those that hang on another one."""
     texts = docs.where(F.col(text).isNotNull()).select(text_key(F.col(text)).alias("th"), F.col(text).alias("text"))
     raw = _keep(points(texts), "points")
     measured = _keep(raw.where(F.col("th").isNotNull()).groupBy("th").agg(F.max("n").alias("n"), F.max("point").alias("point")), "measured")
@@ -386,23 +394,24 @@ def linked_texts(docs: DataFrame, text: str = "text") -> tuple[DataFrame, DataFr
     fresh = _keep(first_stars(lists, measured), "pairs")
     wanted = may_be_in(ends(fresh))
     some = fetch(texts, ends(fresh), wanted)
-    tried, edges, roots = fresh.limit(0), None, None
+    tried = roots = None
     for turn in range(1, ROUNDS + 1):
-        found = confirm(fresh, some)
-        tried = tried.unionByName(fresh)
-        edges = _keep(found if edges is None else edges.unionByName(found), "links")
-        roots = _keep(components(edges), "roots")
-        fresh = star_pairs(with_roots(nodes.where(wanted), roots), measured.where(wanted), turn).join(tried, ["a", "b"], "left_anti")
-        fresh = _keep(fresh.join(some.select(F.col("th").alias("a")), "a", "left_semi").join(some.select(F.col("th").alias("b")), "b", "left_semi"), "pairs")
+        seen = _keep(confirm(fresh, some), "links")
+        tried = seen if tried is None else tried.unionByName(seen)
+        roots = joined_by(seen, roots)
+        if turn == ROUNDS:
+            break
+        # pairs whose texts are not there stay untried
+        fresh = _keep(star_pairs(with_roots(nodes.where(wanted), roots), measured.where(wanted), turn).join(tried, ["a", "b"], "left_anti"), "pairs")
         if fresh.isEmpty():
             break
     # what is left in different components is paired in full, as far as the bounds allow
     left = _keep(tree_pairs(with_roots(nodes, roots), measured).join(tried, ["a", "b"], "left_anti"), "pairs")
-    missing = ends(left).join(some, "th", "left_anti")
     if not left.isEmpty():
+        missing = ends(left).join(some, "th", "left_anti")
         if not missing.isEmpty():
             some = some.unionByName(fetch(texts, missing, may_be_in(missing)))
-        roots = components(_keep(edges.unionByName(confirm(left, some)), "links"))
+        roots = joined_by(_keep(confirm(left, some), "links"), roots)
     return measured.select("th", "n"), roots
 
 
